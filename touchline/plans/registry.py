@@ -15,6 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchline.functions.time import epoch_seconds
 from touchline.operators import attribution, positions, reports
@@ -118,7 +119,9 @@ def q_gap_quantile_sampled(spark, sf_dir):
 
 def q_touches_segments(spark, sf_dir):
     t = analytics(spark, sf_dir).touches
-    return t.select("CounterID", "UserID", "VisitID", "ts", "gap", "seg", "idx", "pos", "seg_len",
+    # gap is NULL on a user's first visit; 0 there keeps the column integral across engines
+    return t.select("CounterID", "UserID", "VisitID", "ts", F.coalesce("gap", F.lit(0)).alias("gap"),
+                    "seg", "idx", "pos", "seg_len",
                     "SourceCode", "FirstSource", "LastSignSource", "LastDirectSource")
 
 
@@ -216,7 +219,19 @@ def q_top_simple_report(spark, sf_dir):
     return reports.top_sources_report(rep, "LastClickRevenue", 10)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+def _wide_ints(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Return integer columns as BIGINT so result schemas are the same in every engine."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = fn(spark, sf_dir)
+        small = (T.IntegerType, T.ShortType, T.ByteType)
+        return df.select(*[F.col(f.name).cast("long").alias(f.name) if isinstance(f.dataType, small)
+                           else F.col(f.name) for f in df.schema.fields])
+    q.__name__ = getattr(fn, "__name__", "query")
+    q.__doc__ = fn.__doc__
+    return q
+
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_visits_signed": q_raw_visits_signed,
     "latest_live_visits": q_latest_live_visits,
     "visits_goals_each_visit": q_visits_goals_each_visit,
@@ -243,3 +258,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_chains_report": q_top_chains_report,
     "top_simple_report": q_top_simple_report,
 }
+QUERIES = {name: _wide_ints(fn) for name, fn in _QUERIES.items()}
