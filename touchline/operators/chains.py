@@ -132,6 +132,6 @@ def chains(t: DataFrame, max_gap: float | None, end_date, parallel_arrays: bool
                   "Conversions"]
         out = out.select(
             "StartDate", "UserID", "CounterID",
-            *[F.transform("history", lambda x, f=f: x[f]).alias(f"history.{f}") for f in fields],
+            *[F.col("history")[f].alias(f"history.{f}") for f in fields],
             "VisitsSum", "VisitsSumAfterDuration", "Conversions", "Revenue")
     return out
