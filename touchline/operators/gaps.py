@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -91,4 +92,10 @@ def gap_quantile(visits: DataFrame, p: float = 0.95, sample_denominator: int | N
     """
     if sample_denominator:
         visits = user_sample(visits, sample_denominator, method=sample_method)
-    return exact_quantile(gap_histogram(visit_gaps(visits)), p)
+    # the histogram has at most one row per distinct gap (bounded by the
+    # period in seconds); keep it for the two passes instead of recomputing
+    hist = gap_histogram(visit_gaps(visits)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return exact_quantile(hist, p)
+    finally:
+        hist.unpersist()

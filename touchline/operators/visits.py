@@ -30,7 +30,7 @@ def latest_live_visits(raw: DataFrame, start_date, end_date,
     """
     ts1 = F.get(F.filter("TrafficSource", lambda t: t["Model"] == 1), 0)
     z = lambda c, d=0: F.coalesce(ts1[c], F.lit(d))
-    payload = F.struct(
+    fields = [
         F.col("UTCStartTime"),
         F.coalesce(ts1["StartTime"], epoch_ntz()).alias("StartTime"),
         F.col("Duration").cast("long").alias("Duration"),
@@ -44,16 +44,23 @@ def latest_live_visits(raw: DataFrame, start_date, end_date,
         z("MessengerID").cast("int").alias("MessengerID"),
         conversions_expr(goals).alias("Conversions"),
         revenue_expr(goals).cast("double").alias("Revenue"),
-    )
+    ]
+    names = ["UTCStartTime", "StartTime", "Duration", "TraficSourceID", "SearchEngineID", "AdvEngineID",
+             "SocialSourceNetworkID", "ClickBannerID", "ClickTargetType", "RecommendationSystemID",
+             "MessengerID", "Conversions", "Revenue"]
+    # (VisitVersion, Sign) as one LONG: unique per row of a visit, so every
+    # column is taken from the same (latest) row; fixed-width aggregation
+    # buffers keep this a hash aggregation with map-side partial aggregation.
+    version_key = F.col("VisitVersion") * 2 + (F.col("Sign") > 0).cast("long")
     rows = (raw.where(F.col("StartDate").between(F.lit(start_date).cast("date"),
                                                  F.lit(end_date).cast("date")))
             .select("CounterID", F.col("UserIDHash").alias("UserID"), "VisitID", "StartDate",
-                    "VisitVersion", "Sign", payload.alias("v")))
+                    version_key.alias("_version"), "Sign", *fields))
     collapsed = rows.groupBy(*VISIT_KEY).agg(
-        F.max_by("v", F.struct("VisitVersion", "Sign")).alias("v"),
+        *[F.max_by(n, "_version").alias(n) for n in names],
         F.sum("Sign").alias("signs"),
     )
-    return collapsed.where(F.col("signs") > 0).select(*VISIT_KEY, "v.*")
+    return collapsed.where(F.col("signs") > 0).select(*VISIT_KEY, *names)
 
 
 def with_source_code(visits: DataFrame, literal_banner_column: bool = False) -> DataFrame:

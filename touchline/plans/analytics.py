@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from touchline.operators import attribution, positions, reports
@@ -51,13 +52,21 @@ class ChainAnalytics:
         self._visits = None
         self._touches = None
         self._measures = None
+        self._persisted: list[DataFrame] = []
 
     # -- step 1 --------------------------------------------------------
-    def prepare_visits(self, path: str | None = None) -> DataFrame:
+    def prepare_visits(self, path: str | None = None, persist: bool = True) -> DataFrame:
+        """The live visits. With ``path`` they are written (partitioned by
+        StartDate) and read back; otherwise, when the churn threshold still has
+        to be computed from them, they are persisted (memory, spilling to
+        disk) so the quantile pass and the chain pass share one collapse."""
         v = latest_live_visits(self.raw_visits, self.start_date, self.end_date, self.goals)
         if path:
             write_visits(v, path)
             v = self.spark.read.parquet(path)
+        elif persist and self._max_gap is None:
+            v = v.persist(StorageLevel.MEMORY_AND_DISK)
+            self._persisted.append(v)
         self._visits = v
         return v
 
@@ -97,8 +106,15 @@ class ChainAnalytics:
         """Per-source raw measures of every report, computed in one pass and kept (tiny)."""
         if self._measures is None:
             self._measures = positions.source_measures(touch_credits(self.touches)).persist()
+            self._persisted.append(self._measures)
         return self._measures
 
+    def release(self) -> None:
+        """Drop the persisted intermediates."""
+        for df in self._persisted:
+            df.unpersist()
+        self._persisted.clear()
+
     def _names(self) -> DataFrame:
         return self.source_names if self.source_names is not None else default_source_names(self.spark)
 
