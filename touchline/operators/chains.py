@@ -84,22 +84,19 @@ def visits_ahead(elements: DataFrame, max_gap: float | None) -> DataFrame:
     d = int(max_gap) if max_gap is not None else 0
     is_visit = (F.col("EventType") == VISIT).cast("long")
     by_time = Window.partitionBy(*USER).orderBy("ts")
-    e = elements.select(
-        "*",
-        (F.sum(is_visit).over(by_time.rangeBetween(Window.unboundedPreceding, d))
-         - F.sum(is_visit).over(by_time.rangeBetween(Window.unboundedPreceding, 0))).alias("VisitsSum"),
-        (F.sum(is_visit).over(by_time.rangeBetween(Window.unboundedPreceding, d))).alias("_f_end"),
-    )
-    # probe rows: one per visit at t + e; kind 0 sorts before the visits (kind 1) of that second
-    probes = elements.where(F.col("EventType") == VISIT).select(
-        *USER, "VisitID", (F.col("ts") + F.greatest(F.col("Duration"), F.lit(1))).alias("ts"),
-        F.lit(0).alias("kind"))
-    points = elements.where(F.col("EventType") == VISIT).select(
-        *USER, "VisitID", "ts", F.lit(1).alias("kind"))
-    merged = probes.unionByName(points)
-    w = Window.partitionBy(*USER).orderBy("ts", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    before = (merged.select(*USER, "VisitID", "kind", F.sum("kind").over(w).alias("_g"))
+    upto = lambda hi: F.sum(is_visit).over(by_time.rangeBetween(Window.unboundedPreceding, hi))
+    # each visit also emits a probe at t + e (kind 0); kind 1 marks the visit itself, so a probe
+    # sorts before the visits of its own second and its running count is G(t + e)
+    visit_row = F.struct(F.col("ts").alias("p_ts"), F.lit(1).alias("kind"))
+    probe_row = F.struct((F.col("ts") + F.greatest(F.col("Duration"), F.lit(1))).alias("p_ts"),
+                         F.lit(0).alias("kind"))
+    points = (elements.where(F.col("EventType") == VISIT)
+              .select(*USER, "VisitID", F.explode(F.array(visit_row, probe_row)).alias("p"))
+              .select(*USER, "VisitID", "p.p_ts", "p.kind"))
+    w = Window.partitionBy(*USER).orderBy("p_ts", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    before = (points.select(*USER, "VisitID", "kind", F.sum("kind").over(w).alias("_g"))
               .where(F.col("kind") == 0).select(*USER, "VisitID", "_g"))
+    e = elements.select("*", (upto(d) - upto(0)).alias("VisitsSum"), upto(d).alias("_f_end"))
     out = e.join(before, USER + ["VisitID"], "left")
     after = F.when(F.col("EventType") == VISIT,
                    F.greatest(F.col("_f_end") - F.col("_g"), F.lit(0))).otherwise(F.col("VisitsSum"))

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from touchline.operators import attribution, positions, reports
 from touchline.operators.chains import chains as chain_table
 from touchline.operators.gaps import gap_quantile
+from touchline.operators.skew import BLOCK_ROWS, HOT_USER_ROWS
 from touchline.operators.touches import touch_credits, touches
 from touchline.operators.visits import latest_live_visits
 from touchline.sources.names import UNKNOWN_SOURCE_NAME, default_source_names
@@ -36,7 +37,8 @@ class ChainAnalytics:
                  goals: Sequence[int] = (-1,), percentile: float = 0.95,
                  max_gap: float | None = None, sample_denominator: int | None = None,
                  sample_method: str = "hash", source_names: DataFrame | None = None,
-                 unknown_name: str = UNKNOWN_SOURCE_NAME, exact_ad_prefix: bool = False):
+                 unknown_name: str = UNKNOWN_SOURCE_NAME, exact_ad_prefix: bool = False,
+                 hot_user_rows: int | None = HOT_USER_ROWS, block_rows: int = BLOCK_ROWS):
         self.spark = spark
         self.raw_visits = raw_visits
         self.start_date = start_date
@@ -49,6 +51,8 @@ class ChainAnalytics:
         self.source_names = source_names
         self.unknown_name = unknown_name
         self.exact_ad_prefix = exact_ad_prefix
+        self.hot_user_rows = hot_user_rows
+        self.block_rows = block_rows
         self._visits = None
         self._touches = None
         self._measures = None
@@ -82,10 +86,18 @@ class ChainAnalytics:
                                          self.sample_method)
         return self._max_gap
 
-    def combine_visits(self, materialize: bool = False) -> DataFrame:
-        t = touches(self.visits, self.visit_gap_threshold(), self.exact_ad_prefix)
+    def combine_visits(self, materialize: bool = False, persist: bool = True) -> DataFrame:
+        """The touch table. It feeds the chain export and all reports, so it is
+        kept: checkpointed to ``spark.checkpoint.dir`` with ``materialize=True``
+        (lineage cut, survives executor loss), else persisted (memory, spilling
+        to disk; lost blocks are recomputed)."""
+        t = touches(self.visits, self.visit_gap_threshold(), self.exact_ad_prefix,
+                    hot_user_rows=self.hot_user_rows, block_rows=self.block_rows)
         if materialize:
             t = t.checkpoint(eager=True)
+        elif persist:
+            t = t.persist(StorageLevel.MEMORY_AND_DISK)
+            self._persisted.append(t)
         self._touches = t
         self._measures = None
         return t
