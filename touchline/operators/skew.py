@@ -2,10 +2,10 @@
 
 Every per-user window puts one user's rows in one task. A key holding a
 large share of all rows (a crawler, a shared device id) would make that one
-task the whole job, so such users are cut into blocks of consecutive time
-of about ``block_rows`` rows each and processed per (user, block), with the
-state that crosses a block boundary carried through small per-block
-summaries (see ``touches._credits_blocked``).
+task the whole job, so such users are cut into blocks of consecutive rows
+in time order, about ``block_rows`` each, and processed per (user, block),
+with the state that crosses a block boundary carried through small
+per-block summaries (see ``touches._credits_blocked``).
 
 The hot-user list has at most (rows / threshold) entries -- each entry
 stands for more than ``threshold`` rows -- so it is broadcast.
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # A user with more visits than this in the period takes the blocked path.
@@ -43,9 +43,12 @@ def split_hot(df: DataFrame, key: Sequence[str], threshold: int | None,
     rows / threshold entries, so it is brought to the driver and broadcast.
     When there are none the plan has no blocked branch at all.
 
-    A hot key's time span is cut into equal windows sized so that an even
-    spread gives ``block_rows`` rows per block (at least one second wide).
-    Block numbers grow with time, so block order is time order.
+    Blocks follow the row count, not the clock: rows are counted per (key,
+    second) -- at most one record per second of the period and key -- a
+    running sum over those seconds gives each second the number of earlier
+    rows, and ``blk = earlier_rows div block_rows``. A block therefore holds
+    ``block_rows`` rows plus at most one second's rows, however bursty the
+    key is, and block order is time order.
     """
     if threshold is None:
         return df, None
@@ -53,11 +56,11 @@ def split_hot(df: DataFrame, key: Sequence[str], threshold: int | None,
     rows = found.collect()
     if not rows:
         return df, None
-    hot = F.broadcast(df.sparkSession.createDataFrame(rows, found.schema))
-    normal = df.join(hot.select(*key), list(key), "left_anti")
-    width = F.greatest(F.lit(1).cast("long"),
-                       F.ceil((F.col("_t1") - F.col("_t0") + 1) * F.lit(block_rows) / F.col("_n")).cast("long"))
-    hot_rows = (df.join(hot, list(key), "inner")
-                .withColumn("blk", F.floor((F.col(ts) - F.col("_t0")) / width).cast("long"))
-                .drop("_n", "_t0", "_t1"))
-    return normal, hot_rows
+    hot = F.broadcast(df.sparkSession.createDataFrame(rows, found.schema).select(*key))
+    normal = df.join(hot, list(key), "left_anti")
+    hot_rows = df.join(hot, list(key), "left_semi")
+    per_second = hot_rows.groupBy(*key, ts).agg(F.count(F.lit(1)).alias("_c"))
+    earlier = F.coalesce(F.sum("_c").over(
+        Window.partitionBy(*key).orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = per_second.select(*key, ts, F.floor(earlier / F.lit(block_rows)).cast("long").alias("blk"))
+    return normal, hot_rows.join(blocks, [*key, ts], "inner")
