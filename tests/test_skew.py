@@ -74,3 +74,11 @@ def test_no_hot_users_means_no_blocked_branch(spark):
     v = visits_df(spark, [(1, 0, "1"), (2, 10, "4")])
     plan = touches(v, 100.0, hot_user_rows=10)._jdf.queryExecution().analyzed().toString()
     assert "blk" not in plan
+
+
+def test_blocked_gaps_same_multiset(visits001):
+    from touchline.operators.gaps import visit_gaps
+    plain = sorted(r.gap for r in visit_gaps(visits001, hot_user_rows=None).collect())
+    blocked = sorted(r.gap for r in visit_gaps(visits001, hot_user_rows=0, block_rows=3).collect())
+    assert plain == blocked
+    assert gap_quantile(visits001, hot_user_rows=0, block_rows=2) == gap_quantile(visits001, hot_user_rows=None)

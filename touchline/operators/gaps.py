@@ -9,23 +9,38 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions.time import epoch_seconds
+from touchline.operators.skew import BLOCK_ROWS, HOT_USER_ROWS, split_hot
 from touchline.sources.sampling import user_sample
 
 # Coarse histogram bucket width (seconds) of the two-pass exact quantile.
 _COARSE = 4096
 
 
-def visit_gaps(visits: DataFrame, by=("UserID",)) -> DataFrame:
+def visit_gaps(visits: DataFrame, by=("UserID",), hot_user_rows: int | None = HOT_USER_ROWS,
+               block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row per visit that has a predecessor: ``gap`` = seconds since the previous visit.
 
     ``by`` is the user key. The churn threshold groups by UserID only, while
     chains group by (CounterID, UserID); both are kept on purpose.
+    Hot users are cut into blocks: gaps inside a block come from a per-block
+    window, the gap across a block boundary from the blocks' first and last
+    times (one row per block).
     """
-    t = epoch_seconds("UTCStartTime")
-    w = Window.partitionBy(*by).orderBy("t")
-    return (visits.select(*by, t.alias("t"))
-            .select(*by, (F.col("t") - F.lag("t").over(w)).alias("gap"))
+    t = visits.select(*by, epoch_seconds("UTCStartTime").alias("ts"))
+    normal, hot = split_hot(t, list(by), hot_user_rows, block_rows)
+    w = Window.partitionBy(*by).orderBy("ts")
+    gaps = (normal.select(*by, (F.col("ts") - F.lag("ts").over(w)).alias("gap"))
             .where(F.col("gap").isNotNull()))
+    if hot is None:
+        return gaps
+    wb = Window.partitionBy(*by, "blk").orderBy("ts")
+    inner = (hot.select(*by, (F.col("ts") - F.lag("ts").over(wb)).alias("gap"))
+             .where(F.col("gap").isNotNull()))
+    ends = hot.groupBy(*by, "blk").agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+    across = (ends.select(*by, (F.col("first_ts") - F.lag("last_ts").over(
+                  Window.partitionBy(*by).orderBy("blk"))).alias("gap"))
+              .where(F.col("gap").isNotNull()))
+    return gaps.unionByName(inner).unionByName(across)
 
 
 def gap_histogram(gaps: DataFrame) -> DataFrame:
@@ -84,7 +99,8 @@ def exact_quantile(hist: DataFrame, p: float) -> float | None:
 
 
 def gap_quantile(visits: DataFrame, p: float = 0.95, sample_denominator: int | None = None,
-                 sample_method: str = "hash") -> float | None:
+                 sample_method: str = "hash", hot_user_rows: int | None = HOT_USER_ROWS,
+                 block_rows: int = BLOCK_ROWS) -> float | None:
     """The churn threshold D: the p-quantile of gaps between successive visits of a user.
 
     Exact on all users by default; ``sample_denominator=n`` keeps 1/n of the
@@ -94,7 +110,8 @@ def gap_quantile(visits: DataFrame, p: float = 0.95, sample_denominator: int | N
         visits = user_sample(visits, sample_denominator, method=sample_method)
     # the histogram has at most one row per distinct gap (bounded by the
     # period in seconds); keep it for the two passes instead of recomputing
-    hist = gap_histogram(visit_gaps(visits)).persist(StorageLevel.MEMORY_AND_DISK)
+    hist = gap_histogram(visit_gaps(visits, hot_user_rows=hot_user_rows, block_rows=block_rows)
+                         ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return exact_quantile(hist, p)
     finally:

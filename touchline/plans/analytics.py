@@ -83,7 +83,7 @@ class ChainAnalytics:
         """D: the given max_gap, or the percentile of gaps (one small action)."""
         if self._max_gap is None:
             self._max_gap = gap_quantile(self.visits, self.percentile, self.sample_denominator,
-                                         self.sample_method)
+                                         self.sample_method, self.hot_user_rows, self.block_rows)
         return self._max_gap
 
     def combine_visits(self, materialize: bool = False, persist: bool = True) -> DataFrame:
