@@ -28,6 +28,7 @@ from touchline.operators.gaps import gap_quantile
 from touchline.operators.skew import BLOCK_ROWS, HOT_USER_ROWS
 from touchline.operators.touches import touch_credits, touches
 from touchline.operators.visits import latest_live_visits
+from touchline.session import ensure_checkpoint_dir
 from touchline.sources.names import UNKNOWN_SOURCE_NAME, default_source_names
 from touchline.sources.sinks import write_chains, write_visits
 
@@ -94,6 +95,7 @@ class ChainAnalytics:
         t = touches(self.visits, self.visit_gap_threshold(), self.exact_ad_prefix,
                     hot_user_rows=self.hot_user_rows, block_rows=self.block_rows)
         if materialize:
+            ensure_checkpoint_dir(self.spark)
             t = t.checkpoint(eager=True)
         elif persist:
             t = t.persist(StorageLevel.MEMORY_AND_DISK)

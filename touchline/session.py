@@ -36,10 +36,18 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint dir, setting a scratch one only if unset (tests)."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    """Return the session's checkpoint directory (``spark.checkpoint.dir``).
+
+    On a cluster it must name shared storage and is only read here. A local
+    session (tests, benchmarks) without one gets a scratch directory.
+    """
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared directory (HDFS/S3/...) "
+                               "for checkpoints on a cluster")
         current = tempfile.mkdtemp(prefix="touchline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(current)
     return current
