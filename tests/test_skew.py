@@ -82,3 +82,25 @@ def test_blocked_gaps_same_multiset(visits001):
     blocked = sorted(r.gap for r in visit_gaps(visits001, hot_user_rows=0, block_rows=3).collect())
     assert plain == blocked
     assert gap_quantile(visits001, hot_user_rows=0, block_rows=2) == gap_quantile(visits001, hot_user_rows=None)
+
+
+def test_blocked_chain_export(spark, visits001):
+    from touchline.operators.chains import chains
+    d = gap_quantile(visits001)
+    t = touches(visits001, d, hot_user_rows=None).cache()
+
+    def key(df):
+        return sorted((r.UserID, r.CounterID, tuple((h.VisitID, h.EventType, h.UTCStartTime, h.StartTime)
+                                                    for h in r.history), r.VisitsSum, r.VisitsSumAfterDuration)
+                      for r in df.collect())
+    assert key(chains(t, d, "2024-01-29", hot_user_rows=0, block_rows=3)) == key(
+        chains(t, d, "2024-01-29", hot_user_rows=None))
+
+
+def test_asof_last_buckets(spark):
+    from touchline.operators.asof import asof_last
+    pts = spark.createDataFrame([(1, p, p * 10) for p in (3, 7, 8, 20)] + [(2, 5, 50)], "k long, pos long, value long")
+    qs = spark.createDataFrame([(1, q) for q in (1, 3, 4, 9, 19, 20, 40)] + [(2, 4), (2, 6)], "k long, pos long")
+    got = {(r.k, r.pos): r.value for r in asof_last(pts, qs, ["k"], 2).collect()}
+    assert got == {(1, 1): None, (1, 3): 30, (1, 4): 30, (1, 9): 80, (1, 19): 80, (1, 20): 200, (1, 40): 200,
+                   (2, 4): None, (2, 6): 50}

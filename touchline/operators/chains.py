@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions.time import ntz_from_seconds
+from touchline.operators.asof import asof_last
+from touchline.operators.skew import BLOCK_ROWS, HOT_USER_ROWS, hot_key_list
 from touchline.operators.touches import USER
 
 VISIT = "2_VISIT"
@@ -25,7 +27,8 @@ CHURN = "0_NULL"
 CHURN_CODE = "null"
 
 
-def churn_markers(t: DataFrame, max_gap: float | None, end_date) -> DataFrame:
+def churn_markers(t: DataFrame, max_gap: float | None, end_date,
+                  hot_user_rows: int | None = HOT_USER_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Marker rows for touches ``t`` (from ``touches``).
 
     Gap markers: one per cut, at (time of the visit before the cut) + int(D).
@@ -43,9 +46,13 @@ def churn_markers(t: DataFrame, max_gap: float | None, end_date) -> DataFrame:
     gap_rows = t.where("cut").select(
         *USER, (F.col("seg") - 1).alias("seg"), (F.col("ts") - F.col("gap") + d).alias("ts"),
         (F.col("idx") - 1).alias("rank"))
-    local_rank = t.select(
+    hot = hot_key_list(t, USER, hot_user_rows)
+    normal_t = t if hot is None else t.join(hot, USER, "left_anti")
+    local_rank = normal_t.select(
         *USER, F.col("local_ts"),
         F.row_number().over(Window.partitionBy(*USER).orderBy("local_ts", "VisitID")).alias("rank"))
+    if hot is not None:
+        local_rank = local_rank.unionByName(_hot_local_ranks(t, gap_rows, hot, block_rows))
     gap_markers = gap_rows.join(local_rank, USER + ["rank"], "inner").select(
         *USER, "seg", "ts", (F.col("local_ts") + d).alias("local_ts"), F.lit("gap").alias("kind"))
     tail = t.groupBy(*USER).agg(
@@ -56,6 +63,23 @@ def churn_markers(t: DataFrame, max_gap: float | None, end_date) -> DataFrame:
     return gap_markers.unionByName(tail)
 
 
+def _hot_local_ranks(t: DataFrame, gap_rows: DataFrame, hot: DataFrame, block_rows: int) -> DataFrame:
+    """(user, rank, local_ts) of the rank-th smallest local time, for the ranks the hot users' cuts need.
+
+    Per (user, local second) the visits are counted; the second covers the
+    ranks (earlier + 1 .. earlier + count), and the rank-th smallest time is
+    the second whose range starts at or before the rank -- an as-of lookup
+    on the rank axis (the per-user running sum is over distinct seconds).
+    """
+    per_sec = t.join(hot, USER, "left_semi").groupBy(*USER, "local_ts").agg(F.count(F.lit(1)).alias("c"))
+    w = Window.partitionBy(*USER).orderBy("local_ts").rowsBetween(Window.unboundedPreceding, -1)
+    points = per_sec.select(*USER, (F.coalesce(F.sum("c").over(w), F.lit(0)) + 1).alias("pos"),
+                            F.col("local_ts").alias("value"))
+    queries = gap_rows.join(hot, USER, "left_semi").select(*USER, F.col("rank").alias("pos")).distinct()
+    return asof_last(points, queries, USER, block_rows).select(
+        *USER, F.col("value").alias("local_ts"), F.col("pos").alias("rank"))
+
+
 def chain_elements(t: DataFrame, markers: DataFrame) -> DataFrame:
     """Visits and markers in one frame, ordered per user by (ts, EventType, VisitID)."""
     visits = t.select(*USER, "seg", "VisitID", "SourceCode", "ts", "local_ts",
@@ -69,7 +93,8 @@ def chain_elements(t: DataFrame, markers: DataFrame) -> DataFrame:
     return visits.unionByName(marks)
 
 
-def visits_ahead(elements: DataFrame, max_gap: float | None) -> DataFrame:
+def visits_ahead(elements: DataFrame, max_gap: float | None,
+                 hot_user_rows: int | None = HOT_USER_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Add VisitsSum and VisitsSumAfterDuration to chain elements.
 
     VisitsSum: the user's visits with time in (t, t + int(D)].
@@ -82,6 +107,48 @@ def visits_ahead(elements: DataFrame, max_gap: float | None) -> DataFrame:
     is F(t + int(D)) - G(t + e), floored at 0.
     """
     d = int(max_gap) if max_gap is not None else 0
+    hot = hot_key_list(elements, USER, hot_user_rows)
+    if hot is not None:
+        normal = _visits_ahead_plain(elements.join(hot, USER, "left_anti"), d)
+        return normal.unionByName(_visits_ahead_hot(elements.join(hot, USER, "left_semi"), d))
+    return _visits_ahead_plain(elements, d)
+
+
+_AHEAD_BUCKET_SECONDS = 3600
+
+
+def _visits_ahead_hot(elements: DataFrame, d: int) -> DataFrame:
+    """Visits ahead for hot users without a per-user task.
+
+    F(x) = visits at or before second x comes from an as-of lookup into the
+    per-second running count (one row per second with visits); every element
+    asks for F(t), F(t + int(D)) and F(t + e - 1) (= visits strictly before
+    t + e), answers are joined back on the element's own key.
+    """
+    visits = elements.where(F.col("EventType") == VISIT)
+    per_sec = visits.groupBy(*USER, "ts").agg(F.count(F.lit(1)).alias("c"))
+    cum = per_sec.select(*USER, F.col("ts").alias("pos"), F.sum("c").over(
+        Window.partitionBy(*USER).orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)).alias("value"))
+    ekey = USER + ["VisitID", "ts", "EventType"]
+    e_lo = F.col("ts") + F.greatest(F.col("Duration"), F.lit(1)) - 1
+    asks = elements.select(*ekey, F.explode(F.array(
+        F.struct(F.lit("at").alias("q"), F.col("ts").alias("x")),
+        F.struct(F.lit("end").alias("q"), (F.col("ts") + d).alias("x")),
+        F.struct(F.lit("lo").alias("q"), e_lo.alias("x")))).alias("a")).select(*ekey, "a.q", "a.x")
+    found = asof_last(cum, asks.select(*USER, F.col("x").alias("pos")).distinct(), USER,
+                      _AHEAD_BUCKET_SECONDS)
+    answers = (asks.join(found.withColumnRenamed("pos", "x"), USER + ["x"], "left")
+               .groupBy(*ekey).agg(*[F.max(F.when(F.col("q") == q, F.coalesce(F.col("value"), F.lit(0))))
+                                     .alias(f"f_{q}") for q in ("at", "end", "lo")]))
+    out = elements.join(answers, ekey, "inner")
+    ahead = F.col("f_end") - F.col("f_at")
+    after = F.when(F.col("EventType") == VISIT, F.greatest(F.col("f_end") - F.col("f_lo"), F.lit(0))) \
+             .otherwise(ahead)
+    return out.select(*elements.columns, ahead.cast("long").alias("VisitsSum"),
+                      after.cast("long").alias("VisitsSumAfterDuration"))
+
+
+def _visits_ahead_plain(elements: DataFrame, d: int) -> DataFrame:
     is_visit = (F.col("EventType") == VISIT).cast("long")
     by_time = Window.partitionBy(*USER).orderBy("ts")
     upto = lambda hi: F.sum(is_visit).over(by_time.rangeBetween(Window.unboundedPreceding, hi))
@@ -103,7 +170,8 @@ def visits_ahead(elements: DataFrame, max_gap: float | None) -> DataFrame:
     return out.select(*elements.columns, "VisitsSum", after.cast("long").alias("VisitsSumAfterDuration"))
 
 
-def chains(t: DataFrame, max_gap: float | None, end_date, parallel_arrays: bool = False) -> DataFrame:
+def chains(t: DataFrame, max_gap: float | None, end_date, parallel_arrays: bool = False,
+           hot_user_rows: int | None = HOT_USER_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """The array-form chain table.
 
     Columns: StartDate, UserID, CounterID, history (array of struct VisitID,
@@ -111,7 +179,8 @@ def chains(t: DataFrame, max_gap: float | None, end_date, parallel_arrays: bool
     VisitsSum, VisitsSumAfterDuration, Conversions, Revenue. With
     ``parallel_arrays=True`` history is split into ``history.<field>`` arrays.
     """
-    el = visits_ahead(chain_elements(t, churn_markers(t, max_gap, end_date)), max_gap)
+    markers = churn_markers(t, max_gap, end_date, hot_user_rows, block_rows)
+    el = visits_ahead(chain_elements(t, markers), max_gap, hot_user_rows, block_rows)
     order = ["ts", "EventType", "VisitID"]
     w = Window.partitionBy(*USER, "seg").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     h = F.struct(

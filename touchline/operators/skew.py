@@ -35,6 +35,18 @@ def hot_keys(df: DataFrame, key: Sequence[str], threshold: int, ts: str = "ts")
             .where(F.col("_n") > threshold))
 
 
+def hot_key_list(df: DataFrame, key: Sequence[str], threshold: int | None,
+                 ts: str = "ts") -> DataFrame | None:
+    """The hot keys as a broadcast frame (collected: at most rows / threshold entries), or None."""
+    if threshold is None:
+        return None
+    found = hot_keys(df, key, threshold, ts)
+    rows = found.collect()
+    if not rows:
+        return None
+    return F.broadcast(df.sparkSession.createDataFrame(rows, found.schema).select(*key))
+
+
 def split_hot(df: DataFrame, key: Sequence[str], threshold: int | None,
               block_rows: int, ts: str = "ts") -> tuple[DataFrame, DataFrame | None]:
     """(rows of ordinary keys, rows of hot keys with a block number ``blk``).
@@ -50,13 +62,9 @@ def split_hot(df: DataFrame, key: Sequence[str], threshold: int | None,
     ``block_rows`` rows plus at most one second's rows, however bursty the
     key is, and block order is time order.
     """
-    if threshold is None:
-        return df, None
-    found = hot_keys(df, key, threshold, ts)
-    rows = found.collect()
-    if not rows:
+    hot = hot_key_list(df, key, threshold, ts)
+    if hot is None:
         return df, None
-    hot = F.broadcast(df.sparkSession.createDataFrame(rows, found.schema).select(*key))
     normal = df.join(hot, list(key), "left_anti")
     hot_rows = df.join(hot, list(key), "left_semi")
     per_second = hot_rows.groupBy(*key, ts).agg(F.count(F.lit(1)).alias("_c"))
