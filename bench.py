@@ -34,8 +34,10 @@ def main() -> None:
     from touchline.plans.registry import QUERIES
     from touchline.session import get_session
 
+    # local mode: let AQE keep small shuffle partitions apart so all cores stay busy
     spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus), app_name="touchline-bench",
-                        extra={"spark.driver.memory": "16g"})
+                        extra={"spark.driver.memory": "16g",
+                               "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"})
     # warm-up: JVM, parquet reader and codegen paths on the smallest table
     QUERIES["source_code_counts"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 

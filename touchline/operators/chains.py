@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.time import ntz_from_seconds
 from touchline.operators.asof import asof_last
-from touchline.operators.skew import BLOCK_ROWS, HOT_USER_ROWS, hot_key_list
+from touchline.operators.skew import AUTO, BLOCK_ROWS, HOT_USER_ROWS, resolve_hot
 from touchline.operators.touches import USER
 
 VISIT = "2_VISIT"
@@ -28,7 +28,8 @@ CHURN_CODE = "null"
 
 
 def churn_markers(t: DataFrame, max_gap: float | None, end_date,
-                  hot_user_rows: int | None = HOT_USER_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                  hot_user_rows: int | None = HOT_USER_ROWS, block_rows: int = BLOCK_ROWS,
+                  hot=AUTO) -> DataFrame:
     """Marker rows for touches ``t`` (from ``touches``).
 
     Gap markers: one per cut, at (time of the visit before the cut) + int(D).
@@ -46,7 +47,7 @@ def churn_markers(t: DataFrame, max_gap: float | None, end_date,
     gap_rows = t.where("cut").select(
         *USER, (F.col("seg") - 1).alias("seg"), (F.col("ts") - F.col("gap") + d).alias("ts"),
         (F.col("idx") - 1).alias("rank"))
-    hot = hot_key_list(t, USER, hot_user_rows)
+    hot = resolve_hot(t, USER, hot_user_rows, hot)
     normal_t = t if hot is None else t.join(hot, USER, "left_anti")
     local_rank = normal_t.select(
         *USER, F.col("local_ts"),
@@ -94,7 +95,8 @@ def chain_elements(t: DataFrame, markers: DataFrame) -> DataFrame:
 
 
 def visits_ahead(elements: DataFrame, max_gap: float | None,
-                 hot_user_rows: int | None = HOT_USER_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                 hot_user_rows: int | None = HOT_USER_ROWS, block_rows: int = BLOCK_ROWS,
+                 hot=AUTO) -> DataFrame:
     """Add VisitsSum and VisitsSumAfterDuration to chain elements.
 
     VisitsSum: the user's visits with time in (t, t + int(D)].
@@ -107,7 +109,7 @@ def visits_ahead(elements: DataFrame, max_gap: float | None,
     is F(t + int(D)) - G(t + e), floored at 0.
     """
     d = int(max_gap) if max_gap is not None else 0
-    hot = hot_key_list(elements, USER, hot_user_rows)
+    hot = resolve_hot(elements, USER, hot_user_rows, hot)
     if hot is not None:
         normal = _visits_ahead_plain(elements.join(hot, USER, "left_anti"), d)
         return normal.unionByName(_visits_ahead_hot(elements.join(hot, USER, "left_semi"), d))
@@ -171,7 +173,8 @@ def _visits_ahead_plain(elements: DataFrame, d: int) -> DataFrame:
 
 
 def chains(t: DataFrame, max_gap: float | None, end_date, parallel_arrays: bool = False,
-           hot_user_rows: int | None = HOT_USER_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+           hot_user_rows: int | None = HOT_USER_ROWS, block_rows: int = BLOCK_ROWS,
+           hot=AUTO) -> DataFrame:
     """The array-form chain table.
 
     Columns: StartDate, UserID, CounterID, history (array of struct VisitID,
@@ -179,8 +182,9 @@ def chains(t: DataFrame, max_gap: float | None, end_date, parallel_arrays: bool
     VisitsSum, VisitsSumAfterDuration, Conversions, Revenue. With
     ``parallel_arrays=True`` history is split into ``history.<field>`` arrays.
     """
-    markers = churn_markers(t, max_gap, end_date, hot_user_rows, block_rows)
-    el = visits_ahead(chain_elements(t, markers), max_gap, hot_user_rows, block_rows)
+    hot = resolve_hot(t, USER, hot_user_rows, hot)
+    markers = churn_markers(t, max_gap, end_date, hot_user_rows, block_rows, hot=hot)
+    el = visits_ahead(chain_elements(t, markers), max_gap, hot_user_rows, block_rows, hot=hot)
     order = ["ts", "EventType", "VisitID"]
     w = Window.partitionBy(*USER, "seg").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     h = F.struct(

@@ -47,8 +47,19 @@ def hot_key_list(df: DataFrame, key: Sequence[str], threshold: int | None,
     return F.broadcast(df.sparkSession.createDataFrame(rows, found.schema).select(*key))
 
 
+AUTO = "auto"
+
+
+def resolve_hot(df: DataFrame, key: Sequence[str], threshold: int | None, hot=AUTO,
+                ts: str = "ts") -> DataFrame | None:
+    """``hot`` given by the caller (a key frame, or None for "no hot keys"), or found now."""
+    if isinstance(hot, str):
+        return hot_key_list(df, key, threshold, ts)
+    return F.broadcast(hot.select(*key)) if hot is not None else None
+
+
 def split_hot(df: DataFrame, key: Sequence[str], threshold: int | None,
-              block_rows: int, ts: str = "ts") -> tuple[DataFrame, DataFrame | None]:
+              block_rows: int, ts: str = "ts", hot=AUTO) -> tuple[DataFrame, DataFrame | None]:
     """(rows of ordinary keys, rows of hot keys with a block number ``blk``).
 
     The hot keys are found with one small action; their list has at most
@@ -62,7 +73,7 @@ def split_hot(df: DataFrame, key: Sequence[str], threshold: int | None,
     ``block_rows`` rows plus at most one second's rows, however bursty the
     key is, and block order is time order.
     """
-    hot = hot_key_list(df, key, threshold, ts)
+    hot = resolve_hot(df, key, threshold, hot, ts)
     if hot is None:
         return df, None
     normal = df.join(hot, list(key), "left_anti")

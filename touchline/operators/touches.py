@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.source_code import is_direct, is_direct_click, is_significant
 from touchline.functions.time import epoch_seconds
-from touchline.operators.skew import BLOCK_ROWS, HOT_USER_ROWS, split_hot
+from touchline.operators.skew import AUTO, BLOCK_ROWS, HOT_USER_ROWS, split_hot
 from touchline.operators.visits import with_source_code
 
 USER = ["CounterID", "UserID"]
@@ -78,7 +78,7 @@ def _finish(df: DataFrame) -> DataFrame:
 
 def touches(visits: DataFrame, max_gap: float | None, exact_ad_prefix: bool = False,
             with_source: bool = True, hot_user_rows: int | None = HOT_USER_ROWS,
-            block_rows: int = BLOCK_ROWS) -> DataFrame:
+            block_rows: int = BLOCK_ROWS, hot=AUTO) -> DataFrame:
     """visits -> touch table (one row per visit).
 
     Columns: the visit's CounterID, UserID, VisitID, StartDate, UTCStartTime,
@@ -97,11 +97,12 @@ def touches(visits: DataFrame, max_gap: float | None, exact_ad_prefix: bool = Fa
       (chains of length > 3 containing it at a middle position).
 
     ``max_gap`` is D (None: no cuts). The cut test is ``gap > D`` on the
-    untruncated D. ``hot_user_rows=None`` disables the blocked path.
+    untruncated D. ``hot_user_rows=None`` disables the blocked path; ``hot``
+    may pass a precomputed hot-user frame (or None) instead of finding it.
     """
     check_threshold(max_gap)
     v = _prepare(visits, with_source)
-    normal, hot = split_hot(v, USER, hot_user_rows, block_rows)
+    normal, hot = split_hot(v, USER, hot_user_rows, block_rows, hot=hot)
     out = _finish(_credits_plain(_touches_plain(normal, max_gap, exact_ad_prefix)))
     if hot is not None:
         out = out.unionByName(_finish(_credits_blocked(hot, max_gap, exact_ad_prefix)))

@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from touchline.operators import attribution, positions, reports
 from touchline.operators.chains import chains as chain_table
 from touchline.operators.gaps import gap_quantile
-from touchline.operators.skew import BLOCK_ROWS, HOT_USER_ROWS
+from touchline.functions.time import epoch_seconds
+from touchline.operators.skew import AUTO, BLOCK_ROWS, HOT_USER_ROWS, hot_key_list
 from touchline.operators.touches import touch_credits, touches
 from touchline.operators.visits import latest_live_visits
 from touchline.session import ensure_checkpoint_dir
@@ -58,6 +59,7 @@ class ChainAnalytics:
         self._touches = None
         self._measures = None
         self._persisted: list[DataFrame] = []
+        self._hot = AUTO
 
     # -- step 1 --------------------------------------------------------
     def prepare_visits(self, path: str | None = None, persist: bool = True) -> DataFrame:
@@ -93,7 +95,7 @@ class ChainAnalytics:
         (lineage cut, survives executor loss), else persisted (memory, spilling
         to disk; lost blocks are recomputed)."""
         t = touches(self.visits, self.visit_gap_threshold(), self.exact_ad_prefix,
-                    hot_user_rows=self.hot_user_rows, block_rows=self.block_rows)
+                    hot_user_rows=self.hot_user_rows, block_rows=self.block_rows, hot=self.hot_users())
         if materialize:
             ensure_checkpoint_dir(self.spark)
             t = t.checkpoint(eager=True)
@@ -108,8 +110,17 @@ class ChainAnalytics:
     def touches(self) -> DataFrame:
         return self._touches if self._touches is not None else self.combine_visits()
 
+    def hot_users(self) -> DataFrame | None:
+        """(CounterID, UserID) with more than hot_user_rows visits, found once (bounded list)."""
+        if self._hot is AUTO:
+            self._hot = hot_key_list(self.visits.select(
+                "CounterID", "UserID", epoch_seconds("UTCStartTime").alias("ts")),
+                ["CounterID", "UserID"], self.hot_user_rows)
+        return self._hot
+
     def chains(self, path: str | None = None, parallel_arrays: bool = False) -> DataFrame:
-        c = chain_table(self.touches, self.visit_gap_threshold(), self.end_date, parallel_arrays)
+        c = chain_table(self.touches, self.visit_gap_threshold(), self.end_date, parallel_arrays,
+                        self.hot_user_rows, self.block_rows, hot=self.hot_users())
         if path:
             write_chains(c, path)
             c = self.spark.read.parquet(path)

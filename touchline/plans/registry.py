@@ -127,13 +127,14 @@ def q_touches_segments(spark, sf_dir):
 
 def q_churn_markers(spark, sf_dir):
     ca = analytics(spark, sf_dir)
-    return churn_markers(ca.touches, ca.visit_gap_threshold(), END)
+    return churn_markers(ca.touches, ca.visit_gap_threshold(), END, hot=ca.hot_users())
 
 
 def _elements_ahead(spark, sf_dir):
     ca = analytics(spark, sf_dir)
     d = ca.visit_gap_threshold()
-    return visits_ahead(chain_elements(ca.touches, churn_markers(ca.touches, d, END)), d)
+    hot = ca.hot_users()
+    return visits_ahead(chain_elements(ca.touches, churn_markers(ca.touches, d, END, hot=hot)), d, hot=hot)
 
 
 def q_visits_ahead(spark, sf_dir):
@@ -147,8 +148,7 @@ def q_visits_ahead_after_duration(spark, sf_dir):
 
 
 def q_chains_array(spark, sf_dir):
-    ca = analytics(spark, sf_dir)
-    c = chains(ca.touches, ca.visit_gap_threshold(), END)
+    c = analytics(spark, sf_dir).chains()
     j = lambda f, conv=None: F.array_join(
         F.transform("history", lambda h: (conv(h[f]) if conv else h[f]).cast("string")), ",")
     return c.select(
