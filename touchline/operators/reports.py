@@ -26,12 +26,13 @@ ASSOCIATED_COLUMNS = {
 def with_names(report: DataFrame, names: DataFrame, default: str = UNKNOWN_SOURCE_NAME) -> DataFrame:
     """Left join to the names table; codes without a name get ``default``.
 
-    The names table is a fixed dimension (one row per known code, ~100 rows),
-    so it is broadcast; duplicates in it are dropped first so a join can
-    never multiply report rows.
+    The names table is a fixed dimension (one row per known code, ~100
+    rows); Spark broadcasts it from its measured size (autoBroadcastJoinThreshold),
+    and a names table too large for that falls back to a shuffle join.
+    Duplicates are dropped first so a join can never multiply report rows.
     """
     dim = names.select("SourceCode", "SourceName").dropDuplicates(["SourceCode"])
-    return (report.join(F.broadcast(dim), "SourceCode", "left")
+    return (report.join(dim, "SourceCode", "left")
             .withColumn("SourceName", F.coalesce(F.col("SourceName"), F.lit(default))))
 
 

@@ -8,7 +8,8 @@ with the state that crosses a block boundary carried through small
 per-block summaries (see ``touches._credits_blocked``).
 
 The hot-user list has at most (rows / threshold) entries -- each entry
-stands for more than ``threshold`` rows -- so it is broadcast.
+stands for more than ``threshold`` rows. It is collected, and broadcast when
+its measured size is within MAX_BROADCAST_KEYS.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from pyspark.sql import functions as F
 HOT_USER_ROWS = 2_000_000
 # Target rows per block of a hot user.
 BLOCK_ROWS = 500_000
+# Broadcast the hot-key list only up to this many keys (checked after collecting it).
+MAX_BROADCAST_KEYS = 200_000
 
 
 def hot_keys(df: DataFrame, key: Sequence[str], threshold: int, ts: str = "ts") -> DataFrame:
@@ -37,14 +40,19 @@ def hot_keys(df: DataFrame, key: Sequence[str], threshold: int, ts: str = "ts")
 
 def hot_key_list(df: DataFrame, key: Sequence[str], threshold: int | None,
                  ts: str = "ts") -> DataFrame | None:
-    """The hot keys as a broadcast frame (collected: at most rows / threshold entries), or None."""
+    """The hot keys (at most rows / threshold of them), or None when there are none.
+
+    The list is collected, so its size is known: up to MAX_BROADCAST_KEYS it
+    is broadcast, beyond that it stays an ordinary (shuffle-joined) frame.
+    """
     if threshold is None:
         return None
     found = hot_keys(df, key, threshold, ts)
     rows = found.collect()
     if not rows:
         return None
-    return F.broadcast(df.sparkSession.createDataFrame(rows, found.schema).select(*key))
+    keys = df.sparkSession.createDataFrame(rows, found.schema).select(*key)
+    return F.broadcast(keys) if len(rows) <= MAX_BROADCAST_KEYS else keys
 
 
 AUTO = "auto"
@@ -55,7 +63,7 @@ def resolve_hot(df: DataFrame, key: Sequence[str], threshold: int | None, hot=AU
     """``hot`` given by the caller (a key frame, or None for "no hot keys"), or found now."""
     if isinstance(hot, str):
         return hot_key_list(df, key, threshold, ts)
-    return F.broadcast(hot.select(*key)) if hot is not None else None
+    return hot.select(*key) if hot is not None else None
 
 
 def split_hot(df: DataFrame, key: Sequence[str], threshold: int | None,
