@@ -56,6 +56,17 @@ def main() -> None:
         rep.collect()
     timings["full_report_set"] = round(time.perf_counter() - t0, 3)
 
+    # cost of skew safety: every user forced through the blocked (user, block) path
+    from touchline.operators import positions
+    from touchline.operators.touches import touches
+    t0 = time.perf_counter()
+    positions.source_measures(touches(ca.visits, ca.visit_gap_threshold(), hot_user_rows=0,
+                                      block_rows=1000)).collect()
+    skew_path = round(time.perf_counter() - t0, 3)
+    t0 = time.perf_counter()
+    positions.source_measures(touches(ca.visits, ca.visit_gap_threshold(), hot_user_rows=None)).collect()
+    plain_path = round(time.perf_counter() - t0, 3)
+
     events = spark.read.parquet(f"{sf_dir}/events.parquet").count()
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
@@ -66,6 +77,8 @@ def main() -> None:
         "sf": float(m.group(1)) if m else sf_dir,
         "events": events,
         "cpus": int(cpus),
+        "measures_all_users_blocked_sec": skew_path,
+        "measures_plain_sec": plain_path,
     }))
     spark.stop()
 

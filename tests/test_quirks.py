@@ -11,7 +11,7 @@ from touchline.operators.gaps import gap_quantile
 from touchline.operators.touches import touch_credits, touches
 from touchline.operators.visits import latest_live_visits
 from touchline.schema import RAW_VISITS
-from tests.helpers import BASE, by_code, visits_df
+from tests.helpers import BASE, visits_df
 
 
 def test_q2_direct_click_wildcard(spark):

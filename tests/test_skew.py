@@ -1,6 +1,5 @@
 """The blocked path for hot users gives exactly the plain path's results."""
 
-import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F

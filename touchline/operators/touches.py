@@ -20,6 +20,7 @@ cut, suffix sums of the segment in later blocks, sources already seen in the
 segment -- comes from per-block summaries (one row per block) through
 running windows over blocks and a join back on (user, block). No task ever
 holds more than one block of a user; the results equal the plain path.
+The hot rows are checkpointed after each carry round (``spark.checkpoint.dir``).
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from touchline.functions.source_code import is_direct, is_direct_click, is_signi
 from touchline.functions.time import epoch_seconds
 from touchline.operators.skew import AUTO, BLOCK_ROWS, HOT_USER_ROWS, split_hot
 from touchline.operators.visits import with_source_code
+from touchline.session import ensure_checkpoint_dir
 
 USER = ["CounterID", "UserID"]
 ORDER = ["ts", "VisitID"]
@@ -192,6 +194,18 @@ def _credits_plain(t: DataFrame) -> DataFrame:
 _BLK = USER + ["blk"]
 
 
+def _cut_lineage(df: DataFrame) -> DataFrame:
+    """Write a round's result to the checkpoint directory and continue from the stored rows.
+
+    Each round joins the rows with a summary computed from the same rows; without
+    a cut the plan would repeat the earlier rounds once per reference. The
+    checkpoint lives in ``spark.checkpoint.dir`` (shared storage on a cluster),
+    so a lost executor does not send the job back to the first round.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _struct_at(cond, idx_col="lidx"):
     return F.when(cond, F.struct(F.col(idx_col).alias("i"), F.col("SourceCode").alias("s")))
 
@@ -271,7 +285,7 @@ def _credits_blocked(h: DataFrame, max_gap: float | None, exact_ad_prefix: bool)
         F.min("bfirst_cut").over(next_blks).alias("next_cut_after"),
         F.lead("first_conv").over(by_blk).alias("next_first_conv"),
     )
-    h = h.join(c, _BLK, "inner")
+    h = _cut_lineage(h.join(c, _BLK, "inner"))
 
     # global per-row values
     rb = F.col("rows_before")
@@ -331,6 +345,7 @@ def _credits_blocked(h: DataFrame, max_gap: float | None, exact_ad_prefix: bool)
     tail = F.col("seg") == F.col("last_seg")
     h = h.select("*", *[(F.col(f"l_{k}") + F.when(tail, F.coalesce(F.col(f"later_{k}"), zero.get(k, F.lit(0))))
                          .otherwise(zero.get(k, F.lit(0)))).alias(k) for k in values])
+    h = _cut_lineage(h)
 
     # round 3: first occurrence of a source in its segment (and among positions >= 2)
     w_src = Window.partitionBy(*_BLK, "seg", "SourceCode").orderBy(*ORDER)

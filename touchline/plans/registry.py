@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.functions.time import epoch_seconds
-from touchline.operators import attribution, positions, reports
-from touchline.operators.chains import chain_elements, chains, churn_markers, visits_ahead
+from touchline.operators import positions, reports
+from touchline.operators.chains import chain_elements, churn_markers, visits_ahead
 from touchline.operators.gaps import gap_quantile
-from touchline.operators.touches import touch_credits, touches
+from touchline.operators.touches import touch_credits
 from touchline.operators.visits import latest_live_visits, with_source_code
 from touchline.plans.analytics import ChainAnalytics
 from touchline.sources.events_adapter import raw_visits_from_events
