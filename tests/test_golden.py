@@ -126,3 +126,18 @@ def test_stand_alone_parts_agree_with_merged(f1):
     lin = by_code(attribution.attr_linear(touch_credits(t)))
     for code, r in lin.items():
         assert r["LinearAttrVisits"] == pytest.approx(merged[code]["LinearAttrVisits"])
+
+
+def test_facade_top_reports(spark):
+    from touchline.plans.analytics import ChainAnalytics
+    from touchline.schema import RAW_VISITS
+    raw = spark.createDataFrame([], RAW_VISITS)
+    ca = ChainAnalytics(spark, raw, "2024-01-01", "2024-01-31", max_gap=D)
+    ca._visits = visits_df(spark, F1)
+    simple = ca.top_report("simple").collect()
+    assert simple[0].SourceCode == "0" and simple[0].LastClickRevenue == 15.0
+    assoc = ca.top_report("associated").collect()
+    assert [r.AssociatedConvs for r in assoc] == ["2", "1", "1"]
+    chains_view = ca.top_report("chains").collect()
+    assert chains_view[0].unique_chains_perc == "80.00%"
+    ca.release()

@@ -137,3 +137,12 @@ def test_significance_and_fallback(spark):
     assert last == {1: "2_2", 2: "2_2", 3: "2_2"}
     t2 = touches(visits_df(spark, [(1, 0, "0"), (2, 10, "5")]), 100.0)
     assert {r.VisitID: r.LastSignSource for r in t2.collect()} == {1: "0", 2: "5"}
+
+
+def test_q1_literal_banner_column(spark):
+    # a 3/1 visit without a banner click but with a recommender id: only the literal
+    # (column-shifted) form turns it into a 3_1_<type> code
+    v = visits_df(spark, [(1, 0, "3_1")]).withColumn("RecommendationSystemID", F.lit(4)) \
+        .withColumn("ClickTargetType", F.lit(2))
+    assert touches(v, 100.0).first().SourceCode == "3_1"
+    assert touches(v, 100.0, literal_banner_column=True).first().SourceCode == "3_1_2"

@@ -65,8 +65,8 @@ def check_threshold(max_gap: float | None) -> None:
                          "visit; pass a threshold of at least 1")
 
 
-def _prepare(visits: DataFrame, with_source: bool) -> DataFrame:
-    v = with_source_code(visits) if with_source else visits
+def _prepare(visits: DataFrame, with_source: bool, literal_banner_column: bool = False) -> DataFrame:
+    v = with_source_code(visits, literal_banner_column) if with_source else visits
     return v.select(
         *USER, "VisitID", "StartDate", "UTCStartTime", "StartTime", "Duration", "SourceCode",
         "Conversions", "Revenue",
@@ -80,7 +80,7 @@ def _finish(df: DataFrame) -> DataFrame:
 
 def touches(visits: DataFrame, max_gap: float | None, exact_ad_prefix: bool = False,
             with_source: bool = True, hot_user_rows: int | None = HOT_USER_ROWS,
-            block_rows: int = BLOCK_ROWS, hot=AUTO) -> DataFrame:
+            block_rows: int = BLOCK_ROWS, hot=AUTO, literal_banner_column: bool = False) -> DataFrame:
     """visits -> touch table (one row per visit).
 
     Columns: the visit's CounterID, UserID, VisitID, StartDate, UTCStartTime,
@@ -101,9 +101,11 @@ def touches(visits: DataFrame, max_gap: float | None, exact_ad_prefix: bool = Fa
     ``max_gap`` is D (None: no cuts). The cut test is ``gap > D`` on the
     untruncated D. ``hot_user_rows=None`` disables the blocked path; ``hot``
     may pass a precomputed hot-user frame (or None) instead of finding it.
+    ``literal_banner_column=True`` builds ``3_1_<type>`` codes from the column
+    the source system actually stored in the banner slot (RecommendationSystemID).
     """
     check_threshold(max_gap)
-    v = _prepare(visits, with_source)
+    v = _prepare(visits, with_source, literal_banner_column)
     normal, hot = split_hot(v, USER, hot_user_rows, block_rows, hot=hot)
     out = _finish(_credits_plain(_touches_plain(normal, max_gap, exact_ad_prefix)))
     if hot is not None:

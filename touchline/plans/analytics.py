@@ -40,7 +40,8 @@ class ChainAnalytics:
                  max_gap: float | None = None, sample_denominator: int | None = None,
                  sample_method: str = "hash", source_names: DataFrame | None = None,
                  unknown_name: str = UNKNOWN_SOURCE_NAME, exact_ad_prefix: bool = False,
-                 hot_user_rows: int | None = HOT_USER_ROWS, block_rows: int = BLOCK_ROWS):
+                 hot_user_rows: int | None = HOT_USER_ROWS, block_rows: int = BLOCK_ROWS,
+                 literal_banner_column: bool = False):
         self.spark = spark
         self.raw_visits = raw_visits
         self.start_date = start_date
@@ -54,6 +55,7 @@ class ChainAnalytics:
         self.unknown_name = unknown_name
         self.exact_ad_prefix = exact_ad_prefix
         self.hot_user_rows = hot_user_rows
+        self.literal_banner_column = literal_banner_column
         self.block_rows = block_rows
         self._visits = None
         self._touches = None
@@ -95,7 +97,8 @@ class ChainAnalytics:
         (lineage cut, survives executor loss), else persisted (memory, spilling
         to disk; lost blocks are recomputed)."""
         t = touches(self.visits, self.visit_gap_threshold(), self.exact_ad_prefix,
-                    hot_user_rows=self.hot_user_rows, block_rows=self.block_rows, hot=self.hot_users())
+                    hot_user_rows=self.hot_user_rows, block_rows=self.block_rows, hot=self.hot_users(),
+                    literal_banner_column=self.literal_banner_column)
         if materialize:
             ensure_checkpoint_dir(self.spark)
             t = t.checkpoint(eager=True)
@@ -155,6 +158,29 @@ class ChainAnalytics:
         return reports.with_names(positions.position_metrics(self.measures()), self._names(),
                                   self.unknown_name)
 
+    def top_report(self, view: str, k: int = 10, labels: dict[str, str] | None = None) -> DataFrame:
+        """The display tables: ``simple`` (by LastClickRevenue), ``associated`` (by
+        AssociatedConvs, counts with thousands separators), ``chains`` / ``conv_chains``
+        (position shares as percentages, by unique_chains_perc / unique_conv_chains_perc)."""
+        pct = ["in_chain_perc_total", "unique_chains_perc", "first_touch_total", "first_touch_2plus",
+               "mid_touch_3plus", "last_touch_total", "last_touch_2plus"]
+        conv_pct = ["in_conv_chains_perc_total", "unique_conv_chains_perc", "first_touch_conv_total",
+                    "first_touch_conv_2plus", "mid_touch_conv_3plus", "last_touch_conv_total",
+                    "last_touch_conv_2plus"]
+        if view == "simple":
+            return reports.top_sources_report(self.simple_attributions(), "LastClickRevenue", k, labels=labels)
+        if view == "associated":
+            cols = ["SourceName", "AssociatedVisits", "AssociatedConvs", "AssociatedRevenue"]
+            return reports.top_sources_report(
+                self.associated_conversions(), "AssociatedConvs", k, cols, labels,
+                {"AssociatedVisits": "thousands", "AssociatedConvs": "thousands", "AssociatedRevenue": "money"})
+        if view in ("chains", "conv_chains"):
+            cols = pct if view == "chains" else conv_pct
+            return reports.top_sources_report(
+                self.source_in_chains_metrics(), cols[1], k, ["SourceName", *cols], labels,
+                {c: "percent" for c in cols})
+        raise ValueError(f"unknown view {view!r}")
+
     # -- the stand-alone parts, as the source system queries them -------
     def attribution_part(self, model: str) -> DataFrame:
         fn = {
