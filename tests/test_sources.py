@@ -94,3 +94,24 @@ def test_write_visits_partitioned(spark, raw001, tmpdir_path):
     back = spark.read.parquet(out)
     assert back.count() == 887
     assert back.where(F.col("StartDate") == "2024-01-05").count() == v.where(F.col("StartDate") == "2024-01-05").count()
+
+
+def test_unsigned_64bit_ids_from_json(spark, tmpdir_path):
+    big = 2 ** 64 - 5  # above the signed range
+    rows = [{"CounterID": 1, "UserIDHash": str(big), "VisitID": str(2 ** 63 + 7), "VisitVersion": 1, "Sign": 1,
+             "StartDate": "2024-01-05", "UTCStartTime": "2024-01-05 10:00:00", "Duration": 3,
+             "TrafficSource.Model": [1], "TrafficSource.StartTime": ["2024-01-05 13:00:00"],
+             "TrafficSource.ID": [3], "TrafficSource.SearchEngineID": [0], "TrafficSource.AdvEngineID": [1],
+             "TrafficSource.SocialSourceNetworkID": [0], "TrafficSource.ClickBannerID": [str(big)],
+             "TrafficSource.ClickTargetType": [2], "TrafficSource.RecommendationSystemID": [0],
+             "TrafficSource.MessengerID": [0], "EPurchase.ID": [], "EPurchase.Revenue": [],
+             "Goals.ID": [], "Goals.Price": []}]
+    path = os.path.join(tmpdir_path, "u64.jsonl")
+    with open(path, "w") as f:
+        for r in rows:
+            f.write(json.dumps(r) + "\n")
+    raw = load_json_dump(spark, path, envelope=False)
+    r = raw.first()
+    assert r.UserIDHash == big - 2 ** 64 and r.VisitID == 2 ** 63 + 7 - 2 ** 64
+    v = latest_live_visits(raw, "2024-01-01", "2024-01-31", [-1]).first()
+    assert v.ClickBannerID == big - 2 ** 64 and v.TraficSourceID == 3

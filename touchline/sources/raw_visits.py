@@ -7,6 +7,23 @@ from pyspark.sql import functions as F
 
 from touchline.schema import GOAL, PURCHASE, RAW_VISITS, TRAFFIC_SOURCE
 
+# unsigned 64-bit ids; values >= 2**63 arrive as DECIMAL(20,0) (parquet UINT64) or as
+# quoted text (JSON exports quote 64-bit integers)
+_U64_FIELDS = {"UserIDHash", "VisitID"}
+_U64_GROUP_FIELDS = {("TrafficSource", "ClickBannerID")}
+
+
+def u64_to_long(c):
+    """An unsigned 64-bit id as the signed BIGINT with the same bits (2**63.. maps to negatives).
+
+    Ids are only compared and hashed, which the mapping preserves; a plain cast
+    would fail (ANSI mode) on values above 2**63 - 1.
+    """
+    d = c.cast("decimal(20,0)")
+    return F.when(d >= F.lit(str(2 ** 63)).cast("decimal(20,0)"),
+                  d - F.lit(str(2 ** 64)).cast("decimal(21,0)")).otherwise(d).cast("long")
+
+
 _GROUPS = {
     "TrafficSource": TRAFFIC_SOURCE,
     "EPurchase": PURCHASE,
@@ -44,14 +61,18 @@ def normalize_raw_visits(df: DataFrame) -> DataFrame:
             parts = []
             for sub in struct_t.fields:
                 flat = f"{name}.{sub.name}"
-                if flat in cols:
+                if flat in cols and (name, sub.name) in _U64_GROUP_FIELDS:
+                    parts.append(F.transform(F.col(f"`{flat}`"), u64_to_long).alias(sub.name))
+                elif flat in cols:
                     parts.append(F.col(f"`{flat}`").cast(f"array<{sub.dataType.simpleString()}>").alias(sub.name))
                 else:
                     parts.append(F.lit(None).cast(f"array<{sub.dataType.simpleString()}>").alias(sub.name))
             zipped = F.arrays_zip(*parts)
             out.append(zipped.cast(f"array<{struct_t.simpleString()}>").alias(name))
         elif name == "UserIDHash" and name not in cols and "UserID" in cols:
-            out.append(F.col("UserID").cast(field.dataType).alias(name))
+            out.append(u64_to_long(F.col("UserID")).alias(name))
+        elif name in _U64_FIELDS:
+            out.append(u64_to_long(F.col(name)).alias(name))
         else:
             out.append(F.col(name).cast(field.dataType).alias(name))
     return df.select(*out)
