@@ -115,3 +115,10 @@ def test_unsigned_64bit_ids_from_json(spark, tmpdir_path):
     assert r.UserIDHash == big - 2 ** 64 and r.VisitID == 2 ** 63 + 7 - 2 ** 64
     v = latest_live_visits(raw, "2024-01-01", "2024-01-31", [-1]).first()
     assert v.ClickBannerID == big - 2 ** 64 and v.TraficSourceID == 3
+
+
+def test_cluster_conf_sizes():
+    from touchline.session import cluster_conf
+    c = cluster_conf(100 * 2 ** 40, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 100 * 2 ** 40 // (256 << 20)
+    assert int(cluster_conf(10 << 20, 64)["spark.sql.shuffle.partitions"]) == 192

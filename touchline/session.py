@@ -51,3 +51,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a cluster run over ``input_bytes`` of raw visits on ``total_cores`` cores.
+
+    * scan splits of at most 256 MB (``spark.sql.files.maxPartitionBytes``);
+    * shuffle partitions so that one holds about ``target_partition_bytes`` of
+      the widest shuffle (the narrow visit rows are a fraction of the raw rows,
+      so this errs on the small side), never fewer than 3 waves of the cores;
+    * AQE on, with partition coalescing and skew splitting for joins, so a
+      badly sized number is corrected at run time.
+    ``spark.checkpoint.dir`` must additionally name shared storage.
+    """
+    partitions = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
