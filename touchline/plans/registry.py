@@ -33,7 +33,16 @@ LINEAR_DIGITS = 6
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_visits_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return raw_visits_from_events(spread_small_input(spark.read.parquet(f"{sf_dir}/events.parquet")))
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Spread an input that arrives as fewer splits than there are cores (e.g. one parquet row
+    group) round-robin over the cores; a large input with enough splits is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def analytics(spark: SparkSession, sf_dir: str, goals=GOALS) -> ChainAnalytics:
