@@ -150,23 +150,24 @@ def _touches_plain(v: DataFrame, max_gap: float | None, exact_ad_prefix: bool) -
 
 
 def _credits_plain(t: DataFrame) -> DataFrame:
-    # Suffix sums run over the reverse order with a growing frame (linear);
-    # frames that end at unboundedFollowing are recomputed per row in Spark.
-    w_rev = (Window.partitionBy(*SEG).orderBy(*[F.col(c).desc() for c in ORDER])
-             .rowsBetween(_UNB, _CUR))
+    # Suffix sums within the segment as (segment total - running sum + own value), both on
+    # the segment order the positions already use: no extra sort, linear. (A frame ending
+    # at unboundedFollowing would be recomputed per row.) Counts and money are exact;
+    # the linear credits differ from a direct suffix sum only in the last bits.
+    run = Window.partitionBy(*SEG).orderBy(*ORDER).rowsBetween(_UNB, _CUR)
+    whole = Window.partitionBy(*SEG)
     conv = F.col("Conversions")
     is_conv = (conv > 0).cast("long")
     inv = F.lit(1.0) / F.col("pos")
+    values = {
+        "suf_cc": is_conv, "suf_conv": conv, "suf_rev": money("Revenue"),
+        "lin_n": inv, "lin_conv": conv * inv, "lin_rev": F.col("Revenue") * inv,
+    }
     t = t.select(
         "*",
         (conv > 0).alias("is_conv"),
-        F.count(F.lit(1)).over(w_rev).alias("suf_n"),
-        F.sum(is_conv).over(w_rev).alias("suf_cc"),
-        F.sum(conv).over(w_rev).alias("suf_conv"),
-        F.sum(money("Revenue")).over(w_rev).alias("suf_rev"),
-        F.sum(inv).over(w_rev).alias("lin_n"),
-        F.sum(conv * inv).over(w_rev).alias("lin_conv"),
-        F.sum(F.col("Revenue") * inv).over(w_rev).alias("lin_rev"),
+        (F.col("seg_len") - F.col("pos") + 1).alias("suf_n"),
+        *[(F.sum(x).over(whole) - F.sum(x).over(run) + x).alias(k) for k, x in values.items()],
     )
     w_src = Window.partitionBy(*SEG, "SourceCode").orderBy(*ORDER)
     t = t.select(
