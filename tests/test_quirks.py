@@ -146,3 +146,32 @@ def test_q1_literal_banner_column(spark):
         .withColumn("ClickTargetType", F.lit(2))
     assert touches(v, 100.0).first().SourceCode == "3_1"
     assert touches(v, 100.0, literal_banner_column=True).first().SourceCode == "3_1_2"
+
+
+def test_q6_threshold_gaps_by_user_chains_by_counter(spark):
+    from touchline.operators.gaps import visit_gaps
+    # user 1: counter 1 at 0 s and 100 s, counter 2 at 50 s
+    v = visits_df(spark, [(1, 0, "1", 0, 0, 0, 1, 1), (2, 100, "1", 0, 0, 0, 1, 1), (3, 50, "4", 0, 0, 0, 1, 2)])
+    assert sorted(r.gap for r in visit_gaps(v).collect()) == [50, 50]
+    t = touches(v, 60.0)  # per counter the gap is 100 > 60: a cut inside counter 1 only
+    assert sorted((r.CounterID, r.VisitID, r.seg) for r in t.collect()) == [(1, 1, 0), (1, 2, 1), (2, 3, 0)]
+
+
+def test_q14_same_second_ties_by_visit_id(spark):
+    t = touches(visits_df(spark, [(9, 0, "2_2"), (3, 0, "0"), (5, 0, "1")]), 100.0)
+    assert sorted((r.pos, r.VisitID) for r in t.collect()) == [(1, 3), (2, 5), (3, 9)]
+    assert {r.VisitID: r.FirstSource for r in t.collect()} == {3: "0", 5: "0", 9: "0"}
+
+
+def test_q19_significance_of_codes(spark):
+    # '1', '7', '11'-style codes are significant; '0', '-1', '4', '5' are not
+    t = touches(visits_df(spark, [(1, 0, "7"), (2, 10, "0"), (3, 20, "5"), (4, 30, "1"), (5, 40, "4")]), 100.0)
+    assert {r.VisitID: r.LastSignSource for r in t.collect()} == {1: "7", 2: "7", 3: "7", 4: "1", 5: "1"}
+
+
+def test_q22_revenue_rounds_half_to_even(spark):
+    d = BASE.date()
+    rows = [(1, 7, 100, 1, 1, d, BASE, 10, [_ts(1)], [("a", 1_125_000)], []),   # 1.125 exactly
+            (1, 7, 101, 1, 1, d, BASE, 10, [_ts(1)], [("a", 1_375_000)], [])]   # 1.375 exactly
+    v = {r.VisitID: r.Revenue for r in latest_live_visits(_raw(spark, rows), "2024-01-01", "2024-12-31", [-1]).collect()}
+    assert v == {100: 1.12, 101: 1.38}
