@@ -39,10 +39,12 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def spread_small_input(df: DataFrame) -> DataFrame:
     """Spread an input that arrives as fewer splits than there are cores (e.g. one parquet row
     group) round-robin over the cores; a large input with enough splits is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()   # plans the scan, runs no job
+    except Exception:  # sessions without RDD access (Spark Connect): leave the input as it is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def analytics(spark: SparkSession, sf_dir: str, goals=GOALS) -> ChainAnalytics:
