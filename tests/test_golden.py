@@ -3,10 +3,12 @@
 import pytest
 
 from touchline.operators import attribution, positions, reports
-from touchline.operators.chains import chains
+import datetime as dt
+
+from touchline.operators.chains import chains, history_of
 from touchline.operators.touches import touch_credits, touches
 from touchline.sources.names import default_source_names
-from tests.helpers import by_code, visits_df
+from tests.helpers import BASE, by_code, visits_df
 
 F1 = [  # visit_id, t, code, conv, rev, duration
     (1, 0, "2_2", 0, 0, 60),
@@ -82,25 +84,28 @@ def test_position_metrics(f1):
 
 def test_chain_table_and_visits_ahead(f1, spark):
     t, _ = f1
-    c = chains(t, D, "2024-01-10").collect()
-    got = sorted((tuple(h.VisitID for h in r.history), r.VisitsSum, r.VisitsSumAfterDuration) for r in c)
-    assert got == sorted([
-        ((1,), 2, 1), ((1, 2), 1, 1), ((1, 2, 3), 0, 0), ((1, 2, 3, 0), 0, 0),
-        ((4,), 1, 0), ((4, 5), 0, 0), ((4, 5, 0), 0, 0),
-    ])
-    marker_rows = [r for r in c if r.history[-1].EventType == "0_NULL"]
-    assert sorted(int(r.history[-1].UTCStartTime.timestamp()) % 100000 for r in marker_rows)
-    # trailing marker falls outside a period that ended before it
-    c2 = chains(t, D, "2024-01-09").collect()
-    assert len(c2) == 6
-
-
-def test_parallel_array_layout(f1):
+    c = chains(t, D, "2024-01-10")
+    got = sorted((r.chain, r.pos, r.VisitID, r.EventType, r.VisitsSum, r.VisitsSumAfterDuration)
+                 for r in c.collect())
+    assert got == [
+        (0, 1, 1, "2_VISIT", 2, 1), (0, 2, 2, "2_VISIT", 1, 1), (0, 3, 3, "2_VISIT", 0, 0),
+        (0, 4, 0, "0_NULL", 0, 0),
+        (1, 1, 4, "2_VISIT", 1, 0), (1, 2, 5, "2_VISIT", 0, 0), (1, 3, 0, "0_NULL", 0, 0),
+    ]
+    markers = {(r.chain, r.pos): r.UTCStartTime for r in c.collect() if r.EventType == "0_NULL"}
+    assert markers[(0, 4)] - BASE == dt.timedelta(seconds=200)   # 100 + int(D)
+    assert markers[(1, 3)] - BASE == dt.timedelta(seconds=650)   # trailing: 550 + int(D)
+    # the trailing marker falls outside a period that ended before it
+    assert chains(t, D, "2024-01-09").count() == 6
+
+
+def test_history_of_a_chain(f1):
     t, _ = f1
-    c = chains(t, D, "2024-01-10", parallel_arrays=True)
-    assert "history.SourceCode" in c.columns
-    row = [r for r in c.collect() if len(r["history.VisitID"]) == 3][0]
-    assert row["history.SourceCode"] == ["2_2", "3_1_2", "0"]
+    c = chains(t, D, "2024-01-10")
+    h = history_of(c, 1, 1, 0, 3).collect()
+    assert [r.VisitID for r in h] == [1, 2, 3]
+    assert [r.SourceCode for r in h] == ["2_2", "3_1_2", "0"]
+    assert [r.EventType for r in history_of(c, 1, 1, 1, 3).collect()] == ["2_VISIT", "2_VISIT", "0_NULL"]
 
 
 def test_middle_touch_f1b(spark):

@@ -71,12 +71,13 @@ def test_shares(pipeline):
 def test_chain_rows_equal_visits(pipeline):
     v, d, t, _ = pipeline
     c = chains(t, d, END)
-    visit_rows = c.where(F.element_at("history", -1)["EventType"] == "2_VISIT").count()
-    assert visit_rows == v.count()
-    # every chain is a prefix: its length equals the touch position
-    lens = sorted(r[0] for r in c.where(F.element_at("history", -1)["EventType"] == "2_VISIT")
-                  .select(F.size("history")).collect())
-    assert lens == sorted(r[0] for r in t.select("pos").collect())
+    visit_rows = c.where(F.col("EventType") == "2_VISIT")
+    assert visit_rows.count() == v.count()
+    # a visit's chain length is its touch position; markers close their segment
+    assert sorted(r[0] for r in visit_rows.select("pos").collect()) == sorted(r[0] for r in t.select("pos").collect())
+    seg_len = {(r.CounterID, r.UserID, r.seg): r.seg_len for r in t.select("CounterID", "UserID", "seg", "seg_len").distinct().collect()}
+    for r in c.where(F.col("EventType") == "0_NULL").collect():
+        assert r.pos == seg_len[(r.CounterID, r.UserID, r.chain)] + 1
 
 
 def test_invariant_under_partitioning_and_order(spark, pipeline):

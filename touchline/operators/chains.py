@@ -1,15 +1,18 @@
-"""Churn markers, visits ahead, and the array-form chain table.
-
-The chain table has one row per chain element -- a visit (``2_VISIT``) or a
-churn marker (``0_NULL``) -- holding the prefix of its chain up to and
-including that element. A gap marker sits int(D) seconds after the visit
-before a cut; a trailing marker sits int(D) seconds after the user's last
-visit and is kept when its local date is within the period. Markers sort
-before visits of the same second.
-
-This table is an export format: a chain of n elements stores n prefixes,
-so its size is the sum of n^2 over chains. Reports never read it; they use
-the linear touch table.
+"""Churn markers, visits ahead, and the chain table.
+
+A chain element is a visit (``2_VISIT``) or a churn marker (``0_NULL``). A
+gap marker sits int(D) seconds after the visit before a cut; a trailing
+marker sits int(D) seconds after the user's last visit and is kept when its
+local date is within the period. Markers sort before visits of the same
+second.
+
+Every element ends one chain: the elements of its segment up to and
+including itself. Storing that prefix on every row (the history arrays of
+the original table) would emit every pair of elements of a segment -- n^2
+per segment. The chain table here stores each element once with ``chain``
+(its segment) and ``pos`` (its place in it); the history of the chain that
+ends at a row is exactly the rows of the same (CounterID, UserID, chain)
+with ``pos`` up to its own (``history_of``).
 """
 
 from __future__ import annotations
@@ -38,11 +41,12 @@ def churn_markers(t: DataFrame, max_gap: float | None, end_date,
     rank of the visit before the cut.
     Trailing markers: one per (CounterID, UserID) at max(UTC) + int(D) and
     max(local) + int(D), kept when that local date <= end_date.
-    Columns: CounterID, UserID, seg, ts, local_ts, kind ('gap' / 'tail').
+    Columns: CounterID, UserID, seg, ts, local_ts, kind ('gap' / 'tail'),
+    pos (the segment's length + 1: a marker closes its segment's chain).
     """
     if max_gap is None:
         return t.sparkSession.createDataFrame(
-            [], "CounterID long, UserID long, seg long, ts long, local_ts long, kind string")
+            [], "CounterID long, UserID long, seg long, ts long, local_ts long, kind string, pos long")
     d = int(max_gap)
     gap_rows = t.where("cut").select(
         *USER, (F.col("seg") - 1).alias("seg"), (F.col("ts") - F.col("gap") + d).alias("ts"),
@@ -61,7 +65,10 @@ def churn_markers(t: DataFrame, max_gap: float | None, end_date,
         (F.max("local_ts") + d).alias("local_ts"))
     tail = tail.where(F.to_date(ntz_from_seconds("local_ts")) <= F.lit(end_date).cast("date")) \
                .select(*USER, "seg", "ts", "local_ts", F.lit("tail").alias("kind"))
-    return gap_markers.unionByName(tail)
+    # segment lengths: one partial-aggregated count per segment, joined on (user, segment)
+    seg_len = t.groupBy(*USER, "seg").agg(F.count(F.lit(1)).alias("n"))
+    return (gap_markers.unionByName(tail).join(seg_len, USER + ["seg"], "inner")
+            .select(*USER, "seg", "ts", "local_ts", "kind", (F.col("n") + 1).alias("pos")))
 
 
 def _hot_local_ranks(t: DataFrame, gap_rows: DataFrame, hot: DataFrame, block_rows: int) -> DataFrame:
@@ -83,11 +90,11 @@ def _hot_local_ranks(t: DataFrame, gap_rows: DataFrame, hot: DataFrame, block_ro
 
 def chain_elements(t: DataFrame, markers: DataFrame) -> DataFrame:
     """Visits and markers in one frame, ordered per user by (ts, EventType, VisitID)."""
-    visits = t.select(*USER, "seg", "VisitID", "SourceCode", "ts", "local_ts",
+    visits = t.select(*USER, "seg", F.col("pos").cast("long").alias("pos"), "VisitID", "SourceCode", "ts", "local_ts",
                       F.lit(VISIT).alias("EventType"), F.col("Duration").cast("long").alias("Duration"),
                       F.col("Conversions").cast("long").alias("Conversions"),
                       F.col("Revenue").cast("double").alias("Revenue"))
-    marks = markers.select(*USER, "seg", F.lit(0).cast("long").alias("VisitID"),
+    marks = markers.select(*USER, "seg", "pos", F.lit(0).cast("long").alias("VisitID"),
                            F.lit(CHURN_CODE).alias("SourceCode"), "ts", "local_ts",
                            F.lit(CHURN).alias("EventType"), F.lit(0).cast("long").alias("Duration"),
                            F.lit(0).cast("long").alias("Conversions"), F.lit(0.0).alias("Revenue"))
@@ -172,36 +179,31 @@ def _visits_ahead_plain(elements: DataFrame, d: int) -> DataFrame:
     return out.select(*elements.columns, "VisitsSum", after.cast("long").alias("VisitsSumAfterDuration"))
 
 
-def chains(t: DataFrame, max_gap: float | None, end_date, parallel_arrays: bool = False,
+def chains(t: DataFrame, max_gap: float | None, end_date,
            hot_user_rows: int | None = HOT_USER_ROWS, block_rows: int = BLOCK_ROWS,
            hot=AUTO) -> DataFrame:
-    """The array-form chain table.
+    """The chain table, one row per chain element (visits and markers).
 
-    Columns: StartDate, UserID, CounterID, history (array of struct VisitID,
-    SourceCode, StartTime, UTCStartTime, EventType, Duration, Conversions),
-    VisitsSum, VisitsSumAfterDuration, Conversions, Revenue. With
-    ``parallel_arrays=True`` history is split into ``history.<field>`` arrays.
+    Columns: StartDate (local date of the element), UserID, CounterID, chain,
+    pos, VisitID (0 for markers), SourceCode ('null' for markers), StartTime,
+    UTCStartTime, EventType, Duration, VisitsSum, VisitsSumAfterDuration,
+    Conversions, Revenue. A row's chain is its (CounterID, UserID, chain)
+    rows with pos <= its pos; reports use only chains that end in a visit.
     """
     hot = resolve_hot(t, USER, hot_user_rows, hot)
     markers = churn_markers(t, max_gap, end_date, hot_user_rows, block_rows, hot=hot)
     el = visits_ahead(chain_elements(t, markers), max_gap, hot_user_rows, block_rows, hot=hot)
-    order = ["ts", "EventType", "VisitID"]
-    w = Window.partitionBy(*USER, "seg").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    h = F.struct(
-        F.col("VisitID"), F.col("SourceCode"),
-        ntz_from_seconds("local_ts").alias("StartTime"), ntz_from_seconds("ts").alias("UTCStartTime"),
-        F.col("EventType"), F.col("Duration").cast("int").alias("Duration"),
-        F.col("Conversions").cast("double").alias("Conversions"))
-    out = el.select(
+    return el.select(
         F.to_date(ntz_from_seconds("local_ts")).alias("StartDate"), "UserID", "CounterID",
-        F.collect_list(h).over(w).alias("history"),
+        F.col("seg").alias("chain"), F.col("pos").cast("long").alias("pos"), "VisitID", "SourceCode",
+        ntz_from_seconds("local_ts").alias("StartTime"), ntz_from_seconds("ts").alias("UTCStartTime"),
+        "EventType", F.col("Duration").cast("long").alias("Duration"),
         F.col("VisitsSum").cast("long"), F.col("VisitsSumAfterDuration").cast("long"),
         F.col("Conversions").cast("long"), F.col("Revenue").cast("double"))
-    if parallel_arrays:
-        fields = ["VisitID", "SourceCode", "StartTime", "UTCStartTime", "EventType", "Duration",
-                  "Conversions"]
-        out = out.select(
-            "StartDate", "UserID", "CounterID",
-            *[F.col("history")[f].alias(f"history.{f}") for f in fields],
-            "VisitsSum", "VisitsSumAfterDuration", "Conversions", "Revenue")
-    return out
+
+
+def history_of(chain_table: DataFrame, counter_id: int, user_id: int, chain: int, pos: int) -> DataFrame:
+    """The elements of one chain in order: what the original table kept as the row's history arrays."""
+    return (chain_table.where((F.col("CounterID") == counter_id) & (F.col("UserID") == user_id)
+                              & (F.col("chain") == chain) & (F.col("pos") <= pos))
+            .orderBy("pos"))

@@ -6,7 +6,7 @@
     ca.simple_attributions()       # five positional models per source
     ca.associated_conversions()
     ca.source_in_chains_metrics()
-    ca.chains()                    # array-form chain table (export format)
+    ca.chains()                    # chain table: one row per element with (chain, pos)
 
 Nothing is written unless a path is given. ``materialize=True`` on
 ``combine_visits`` writes the touch table to the session's checkpoint
@@ -121,8 +121,9 @@ class ChainAnalytics:
                 ["CounterID", "UserID"], self.hot_user_rows)
         return self._hot
 
-    def chains(self, path: str | None = None, parallel_arrays: bool = False) -> DataFrame:
-        c = chain_table(self.touches, self.visit_gap_threshold(), self.end_date, parallel_arrays,
+    def chains(self, path: str | None = None) -> DataFrame:
+        """The chain table (one row per element with its chain and position; see operators.chains)."""
+        c = chain_table(self.touches, self.visit_gap_threshold(), self.end_date,
                         self.hot_user_rows, self.block_rows, hot=self.hot_users())
         if path:
             write_chains(c, path)

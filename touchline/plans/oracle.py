@@ -386,14 +386,13 @@ el2 AS (
 
 
 def chains_sql() -> str:
+    # the history of each element as the original builds it (a list over the chain up to the
+    # element); its length is the element's position in the chain
     w = "OVER (PARTITION BY CounterID, UserID, chain_id ORDER BY ts, EventType, VisitID ROWS UNBOUNDED PRECEDING)"
-    j = lambda e: f"array_to_string(list(CAST({e} AS VARCHAR)) {w}, ',')"
     return f"""{_with(visits_cte(), _threshold_cte(), MARKERS_CTE)}
-SELECT {_day('local_ts')} AS StartDate, UserID, CounterID,
-  {j('VisitID')} AS h_visit_id, {j('SourceCode')} AS h_source_code, {j('local_ts')} AS h_start_time,
-  {j('ts')} AS h_utc_start_time, {j('EventType')} AS h_event_type, {j('Duration')} AS h_duration,
-  {j('Conversions')} AS h_conversions,
-  VisitsSum, VisitsSumAfterDuration, Conversions, Revenue
+SELECT {_day('local_ts')} AS StartDate, UserID, CounterID, chain_id AS chain,
+  CAST(len(list(VisitID) {w}) AS BIGINT) AS pos, VisitID, SourceCode, local_ts AS StartTime,
+  ts AS UTCStartTime, EventType, Duration, VisitsSum, VisitsSumAfterDuration, Conversions, Revenue
 FROM el2"""
 
 

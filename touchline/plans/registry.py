@@ -138,7 +138,8 @@ def q_touches_segments(spark, sf_dir):
 
 def q_churn_markers(spark, sf_dir):
     ca = analytics(spark, sf_dir)
-    return churn_markers(ca.touches, ca.visit_gap_threshold(), END, hot=ca.hot_users())
+    return churn_markers(ca.touches, ca.visit_gap_threshold(), END, hot=ca.hot_users()).select(
+        "CounterID", "UserID", "seg", "ts", "local_ts", "kind")
 
 
 def _elements_ahead(spark, sf_dir):
@@ -159,17 +160,11 @@ def q_visits_ahead_after_duration(spark, sf_dir):
 
 
 def q_chains_array(spark, sf_dir):
+    """The chain table: one row per element with its chain and position (history = rows up to pos)."""
     c = analytics(spark, sf_dir).chains()
-    j = lambda f, conv=None: F.array_join(
-        F.transform("history", lambda h: (conv(h[f]) if conv else h[f]).cast("string")), ",")
-    return c.select(
-        _date("StartDate"), "UserID", "CounterID",
-        j("VisitID").alias("h_visit_id"), j("SourceCode").alias("h_source_code"),
-        j("StartTime", F.unix_timestamp).alias("h_start_time"),
-        j("UTCStartTime", F.unix_timestamp).alias("h_utc_start_time"),
-        j("EventType").alias("h_event_type"), j("Duration").alias("h_duration"),
-        j("Conversions", lambda x: x.cast("long")).alias("h_conversions"),
-        "VisitsSum", "VisitsSumAfterDuration", "Conversions", "Revenue")
+    return c.select(_date("StartDate"), "UserID", "CounterID", "chain", "pos", "VisitID", "SourceCode",
+                    _secs("StartTime"), _secs("UTCStartTime"), "EventType", "Duration", "VisitsSum",
+                    "VisitsSumAfterDuration", "Conversions", "Revenue")
 
 
 # -- attribution --------------------------------------------------------------

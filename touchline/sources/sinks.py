@@ -31,7 +31,7 @@ def write_visits_dates(visits: DataFrame, path: str) -> None:
 
 
 def write_chains(chains: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Array-form chain table, partitioned by StartDate."""
+    """Chain table, partitioned by StartDate."""
     chains.write.mode(mode).partitionBy("StartDate").parquet(path)
 
 
