@@ -11,7 +11,7 @@
 Nothing is written unless a path is given. ``materialize=True`` on
 ``combine_visits`` writes the touch table to the session's checkpoint
 directory (``spark.checkpoint.dir``, shared storage on a cluster), so the
-reports and chain export start from stored rows instead of replaying the
+reports and the chain table start from stored rows instead of replaying the
 collapse and windows, and a lost executor costs only its own tasks.
 """
 
@@ -92,7 +92,7 @@ class ChainAnalytics:
         return self._max_gap
 
     def combine_visits(self, materialize: bool = False, persist: bool = True) -> DataFrame:
-        """The touch table. It feeds the chain export and all reports, so it is
+        """The touch table. It feeds the chain table and all reports, so it is
         kept: checkpointed to ``spark.checkpoint.dir`` with ``materialize=True``
         (lineage cut, survives executor loss), else persisted (memory, spilling
         to disk; lost blocks are recomputed)."""
