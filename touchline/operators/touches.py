@@ -32,7 +32,7 @@ from touchline.functions.source_code import is_direct, is_direct_click, is_signi
 from touchline.functions.time import epoch_seconds
 from touchline.operators.skew import AUTO, BLOCK_ROWS, HOT_USER_ROWS, split_hot
 from touchline.operators.visits import with_source_code
-from touchline.session import ensure_checkpoint_dir
+from touchline.session import checkpointed
 
 USER = ["CounterID", "UserID"]
 ORDER = ["ts", "VisitID"]
@@ -205,8 +205,7 @@ def _cut_lineage(df: DataFrame) -> DataFrame:
     checkpoint lives in ``spark.checkpoint.dir`` (shared storage on a cluster),
     so a lost executor does not send the job back to the first round.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return checkpointed(df)
 
 
 def _struct_at(cond, idx_col="lidx"):

@@ -29,7 +29,7 @@ from touchline.functions.time import epoch_seconds
 from touchline.operators.skew import AUTO, BLOCK_ROWS, HOT_USER_ROWS, hot_key_list
 from touchline.operators.touches import touch_credits, touches
 from touchline.operators.visits import latest_live_visits
-from touchline.session import ensure_checkpoint_dir
+from touchline.session import checkpointed
 from touchline.sources.names import UNKNOWN_SOURCE_NAME, default_source_names
 from touchline.sources.sinks import write_chains, write_visits
 
@@ -100,8 +100,7 @@ class ChainAnalytics:
                     hot_user_rows=self.hot_user_rows, block_rows=self.block_rows, hot=self.hot_users(),
                     literal_banner_column=self.literal_banner_column)
         if materialize:
-            ensure_checkpoint_dir(self.spark)
-            t = t.checkpoint(eager=True)
+            t = checkpointed(t)
         elif persist:
             t = t.persist(StorageLevel.MEMORY_AND_DISK)
             self._persisted.append(t)

@@ -53,6 +53,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def checkpointed(df):
+    """``df`` written to the checkpoint directory, continuing from the stored rows.
+
+    The rows are persisted first so they are computed once: the count that
+    runs the checkpoint and the checkpoint write both read the persisted
+    copy, which is dropped afterwards. The checkpointed plan keeps its
+    partitioning, so later operators on the same keys do not shuffle again.
+    """
+    from pyspark import StorageLevel
+    ensure_checkpoint_dir(df.sparkSession)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return kept.checkpoint(eager=True)
+    finally:
+        kept.unpersist()
+
+
 def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
     """Settings for a cluster run over ``input_bytes`` of raw visits on ``total_cores`` cores.
 
