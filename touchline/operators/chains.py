@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.time import ntz_from_seconds
 from touchline.operators.asof import asof_last
-from touchline.operators.skew import AUTO, BLOCK_ROWS, HOT_USER_ROWS, resolve_hot
+from touchline.operators.skew import AUTO, BLOCK_ROWS, HOT_USER_ROWS, resolve_hot, rows_before
 from touchline.operators.touches import USER
 
 VISIT = "2_VISIT"
@@ -77,12 +77,11 @@ def _hot_local_ranks(t: DataFrame, gap_rows: DataFrame, hot: DataFrame, block_ro
     Per (user, local second) the visits are counted; the second covers the
     ranks (earlier + 1 .. earlier + count), and the rank-th smallest time is
     the second whose range starts at or before the rank -- an as-of lookup
-    on the rank axis (the per-user running sum is over distinct seconds).
+    on the rank axis (``rows_before`` gives the ranges in bounded windows).
     """
-    per_sec = t.join(hot, USER, "left_semi").groupBy(*USER, "local_ts").agg(F.count(F.lit(1)).alias("c"))
-    w = Window.partitionBy(*USER).orderBy("local_ts").rowsBetween(Window.unboundedPreceding, -1)
-    points = per_sec.select(*USER, (F.coalesce(F.sum("c").over(w), F.lit(0)) + 1).alias("pos"),
-                            F.col("local_ts").alias("value"))
+    per_sec = t.join(hot, USER, "left_semi").groupBy(*USER, "local_ts").agg(F.count(F.lit(1)).alias("_c"))
+    points = rows_before(per_sec, USER, "local_ts").select(
+        *USER, (F.col("_before") + 1).alias("pos"), F.col("local_ts").alias("value"))
     queries = gap_rows.join(hot, USER, "left_semi").select(*USER, F.col("rank").alias("pos")).distinct()
     return asof_last(points, queries, USER, block_rows).select(
         *USER, F.col("value").alias("local_ts"), F.col("pos").alias("rank"))
@@ -135,9 +134,9 @@ def _visits_ahead_hot(elements: DataFrame, d: int) -> DataFrame:
     t + e), answers are joined back on the element's own key.
     """
     visits = elements.where(F.col("EventType") == VISIT)
-    per_sec = visits.groupBy(*USER, "ts").agg(F.count(F.lit(1)).alias("c"))
-    cum = per_sec.select(*USER, F.col("ts").alias("pos"), F.sum("c").over(
-        Window.partitionBy(*USER).orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)).alias("value"))
+    per_sec = visits.groupBy(*USER, "ts").agg(F.count(F.lit(1)).alias("_c"))
+    cum = rows_before(per_sec, USER, "ts").select(
+        *USER, F.col("ts").alias("pos"), (F.col("_before") + F.col("_c")).alias("value"))
     ekey = USER + ["VisitID", "ts", "EventType"]
     e_lo = F.col("ts") + F.greatest(F.col("Duration"), F.lit(1)) - 1
     asks = elements.select(*ekey, F.explode(F.array(

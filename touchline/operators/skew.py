@@ -38,6 +38,26 @@ def hot_keys(df: DataFrame, key: Sequence[str], threshold: int, ts: str = "ts")
             .where(F.col("_n") > threshold))
 
 
+def rows_before(counts: DataFrame, key: Sequence[str], pos: str = "ts", count: str = "_c",
+                bucket: int = 3600) -> DataFrame:
+    """Add ``_before``: the key's total ``count`` at positions below ``pos``.
+
+    ``counts`` has one row per (key, pos) (e.g. rows per second). Two levels keep
+    every window small: running totals over buckets of ``bucket`` positions
+    (one row per bucket and key: 8,760 hours in a year) and running sums inside
+    a bucket (at most ``bucket`` rows), added together.
+    """
+    key = list(key)
+    b = counts.withColumn("_b", F.floor(F.col(pos) / F.lit(bucket)).cast("long"))
+    per_bucket = b.groupBy(*key, "_b").agg(F.sum(count).alias("_bt"))
+    carry = per_bucket.select(*key, "_b", F.coalesce(F.sum("_bt").over(
+        Window.partitionBy(*key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_cb"))
+    inside = F.coalesce(F.sum(count).over(
+        Window.partitionBy(*key, "_b").orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return (b.select("*", inside.alias("_ib")).join(carry, key + ["_b"], "inner")
+            .select(*counts.columns, (F.col("_cb") + F.col("_ib")).alias("_before")))
+
+
 def hot_key_list(df: DataFrame, key: Sequence[str], threshold: int | None,
                  ts: str = "ts") -> DataFrame | None:
     """The hot keys (at most rows / threshold of them), or None when there are none.
@@ -75,9 +95,9 @@ def split_hot(df: DataFrame, key: Sequence[str], threshold: int | None,
     When there are none the plan has no blocked branch at all.
 
     Blocks follow the row count, not the clock: rows are counted per (key,
-    second) -- at most one record per second of the period and key -- a
-    running sum over those seconds gives each second the number of earlier
-    rows, and ``blk = earlier_rows div block_rows``. A block therefore holds
+    second), ``rows_before`` gives each second the number of earlier rows (in
+    windows of at most one hour of seconds, or one row per hour), and
+    ``blk = earlier_rows div block_rows``. A block therefore holds
     ``block_rows`` rows plus at most one second's rows, however bursty the
     key is, and block order is time order.
     """
@@ -87,7 +107,6 @@ def split_hot(df: DataFrame, key: Sequence[str], threshold: int | None,
     normal = df.join(hot, list(key), "left_anti")
     hot_rows = df.join(hot, list(key), "left_semi")
     per_second = hot_rows.groupBy(*key, ts).agg(F.count(F.lit(1)).alias("_c"))
-    earlier = F.coalesce(F.sum("_c").over(
-        Window.partitionBy(*key).orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    blocks = per_second.select(*key, ts, F.floor(earlier / F.lit(block_rows)).cast("long").alias("blk"))
+    blocks = rows_before(per_second, key, ts).select(
+        *key, ts, F.floor(F.col("_before") / F.lit(block_rows)).cast("long").alias("blk"))
     return normal, hot_rows.join(blocks, [*key, ts], "inner")
