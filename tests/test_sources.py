@@ -122,3 +122,14 @@ def test_cluster_conf_sizes():
     c = cluster_conf(100 * 2 ** 40, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 100 * 2 ** 40 // (256 << 20)
     assert int(cluster_conf(10 << 20, 64)["spark.sql.shuffle.partitions"]) == 192
+
+
+def test_command_line_job(spark, raw001, tmpdir_path, capsys):
+    from touchline.__main__ import main
+    raw_dir = os.path.join(tmpdir_path, "raw")
+    raw001.write.parquet(raw_dir)
+    out = os.path.join(tmpdir_path, "out")
+    main(["--raw", raw_dir, "--start", "2024-01-02", "--end", "2024-01-29", "--goals", "-1", "--out", out])
+    back = spark.read.option("sep", "\t").option("header", True).csv(os.path.join(out, "simple_attributions"))
+    assert back.count() == 34 and "LinearAttrVisits" in back.columns
+    assert "== conv_chains ==" in capsys.readouterr().out
