@@ -101,3 +101,14 @@ def test_asof_last_buckets(spark):
     got = {(r.k, r.pos): r.value for r in asof_last(pts, qs, ["k"], 2).collect()}
     assert got == {(1, 1): None, (1, 3): 30, (1, 4): 30, (1, 9): 80, (1, 19): 80, (1, 20): 200, (1, 40): 200,
                    (2, 4): None, (2, 6): 50}
+
+
+def test_many_hot_keys_are_not_broadcast(spark, visits001, monkeypatch):
+    from touchline.operators import skew
+    monkeypatch.setattr(skew, "MAX_BROADCAST_KEYS", 3)
+    d = gap_quantile(visits001)
+    hot = skew.hot_key_list(visits001.select("CounterID", "UserID", F.unix_timestamp("UTCStartTime").alias("ts")),
+                            ["CounterID", "UserID"], 0)
+    assert "ResolvedHint" not in hot._jdf.queryExecution().analyzed().toString()
+    _assert_same(_rows(touches(visits001, d, hot_user_rows=None)),
+                 _rows(touches(visits001, d, hot_user_rows=0, block_rows=5)))

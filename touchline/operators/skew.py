@@ -62,17 +62,18 @@ def hot_key_list(df: DataFrame, key: Sequence[str], threshold: int | None,
                  ts: str = "ts") -> DataFrame | None:
     """The hot keys (at most rows / threshold of them), or None when there are none.
 
-    The list is collected, so its size is known: up to MAX_BROADCAST_KEYS it
-    is broadcast, beyond that it stays an ordinary (shuffle-joined) frame.
+    At most MAX_BROADCAST_KEYS + 1 keys are collected: up to MAX_BROADCAST_KEYS
+    the list is broadcast, beyond that it stays an ordinary (shuffle-joined) frame.
     """
     if threshold is None:
         return None
     found = hot_keys(df, key, threshold, ts)
-    rows = found.collect()
+    rows = found.limit(MAX_BROADCAST_KEYS + 1).collect()   # never more than this reaches the driver
     if not rows:
         return None
-    keys = df.sparkSession.createDataFrame(rows, found.schema).select(*key)
-    return F.broadcast(keys) if len(rows) <= MAX_BROADCAST_KEYS else keys
+    if len(rows) > MAX_BROADCAST_KEYS:
+        return found.select(*key)            # too many to broadcast: an ordinary shuffle-joined frame
+    return F.broadcast(df.sparkSession.createDataFrame(rows, found.schema).select(*key))
 
 
 AUTO = "auto"
