@@ -1,12 +1,12 @@
 """Hand-computed tiny cases (FIXTURES.md F1, F1b): every report column pinned."""
 
+import datetime as dt
+
 import pytest
 
 from touchline.operators import attribution, positions, reports
-import datetime as dt
-
 from touchline.operators.chains import chains, history_of
-from touchline.operators.touches import touch_credits, touches
+from touchline.operators.touches import touches
 from touchline.sources.names import default_source_names
 from tests.helpers import BASE, by_code, visits_df
 
@@ -23,7 +23,7 @@ D = 100.0
 @pytest.fixture(scope="module")
 def f1(spark):
     t = touches(visits_df(spark, F1), D)
-    return t, positions.source_measures(touch_credits(t))
+    return t, positions.source_measures(t)
 
 
 def test_segments_and_positions(f1):
@@ -111,7 +111,7 @@ def test_history_of_a_chain(f1):
 def test_middle_touch_f1b(spark):
     rows = [(1, 0, "1", 0), (2, 1, "4", 0), (3, 2, "5", 0), (4, 3, "4", 1), (5, 4, "7", 1)]
     t = touches(visits_df(spark, rows), 100.0)
-    m = positions.source_measures(touch_credits(t))
+    m = positions.source_measures(t)
     mid = by_code(positions.position_part(m, "pos_middle"))
     assert {k: (v["mid_touch_3plus"], v["mid_touch_conv_3plus"]) for k, v in mid.items()} == {
         "4": (1.0, 1.0), "5": (1.0, 1.0)}
@@ -128,7 +128,7 @@ def test_stand_alone_parts_agree_with_merged(f1):
         for code, r in by_code(fn(t)).items():
             assert r[f"{prefix}Visits"] == merged[code][f"{prefix}Visits"]
             assert r[f"{prefix}Revenue"] == merged[code][f"{prefix}Revenue"]
-    lin = by_code(attribution.attr_linear(touch_credits(t)))
+    lin = by_code(attribution.attr_linear(t))
     for code, r in lin.items():
         assert r["LinearAttrVisits"] == pytest.approx(merged[code]["LinearAttrVisits"])
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from touchline.operators import positions, reports
 from touchline.operators.chains import chains
 from touchline.operators.gaps import gap_quantile, visit_gaps
-from touchline.operators.touches import touch_credits, touches
+from touchline.operators.touches import touches
 from touchline.operators.visits import latest_live_visits
 
 START, END = "2024-01-02", "2024-01-29"
@@ -17,7 +17,7 @@ def pipeline(spark, raw001):
     v = latest_live_visits(raw001, START, END, [-1]).cache()
     d = gap_quantile(v)
     t = touches(v, d).cache()
-    m = positions.source_measures(touch_credits(t)).cache()
+    m = positions.source_measures(t).cache()
     return v, d, t, m
 
 
@@ -85,7 +85,7 @@ def test_invariant_under_partitioning_and_order(spark, pipeline):
     shuffled = v.repartition(3).orderBy(F.rand(7))
     spark.conf.set("spark.sql.shuffle.partitions", "3")
     try:
-        m2 = positions.source_measures(touch_credits(touches(shuffled, d)))
+        m2 = positions.source_measures(touches(shuffled, d))
         a = {r["SourceCode"]: r.asDict() for r in m.collect()}
         b = {r["SourceCode"]: r.asDict() for r in m2.collect()}
     finally:

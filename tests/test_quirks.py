@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from touchline.operators import positions
 from touchline.operators.chains import churn_markers
 from touchline.operators.gaps import gap_quantile
-from touchline.operators.touches import touch_credits, touches
+from touchline.operators.touches import touches
 from touchline.operators.visits import latest_live_visits
 from touchline.schema import RAW_VISITS
 from tests.helpers import BASE, visits_df
@@ -90,7 +90,7 @@ def test_date_filter_inclusive(spark):
 
 def test_q9_3plus_means_longer_than_3(spark):
     rows = [(1, 0, "1"), (2, 1, "4"), (3, 2, "5")]  # longest chain has 3 elements: no middle chains
-    m = positions.source_measures(touch_credits(touches(visits_df(spark, rows), 100.0)))
+    m = positions.source_measures(touches(visits_df(spark, rows), 100.0))
     assert all(r["mid_touch_3plus"] == 0 for r in positions.position_metrics(m).collect())
     assert m.agg(F.max("tot_chains_4")).first()[0] == 0
 

@@ -48,7 +48,7 @@ def attr_last_direct(t: DataFrame) -> DataFrame:
 
 
 def attr_linear(credits: DataFrame) -> DataFrame:
-    """credits = touch_credits(touches)."""
+    """credits = the touch table (``touches``)."""
     return credits.groupBy("SourceCode").agg(
         F.sum("lin_n").alias("LinearAttrVisits"),
         F.sum("lin_conv").alias("LinearAttrConvs"),

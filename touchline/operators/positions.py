@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from touchline.operators.touches import money
 
+
 def _zero_l():
     return F.lit(0).cast("long")
 
@@ -96,7 +97,7 @@ def _cast(name, c):
 
 
 def source_measures(credits: DataFrame) -> DataFrame:
-    """credits (touch_credits) -> one row per SourceCode with every raw measure and the totals."""
+    """touch table -> one row per SourceCode with every raw measure and the totals."""
     measures = _measures()
     records = []
     for role, key in _ROLE_KEY.items():

@@ -113,11 +113,6 @@ def touches(visits: DataFrame, max_gap: float | None, exact_ad_prefix: bool = Fa
     return out
 
 
-def touch_credits(t: DataFrame) -> DataFrame:
-    """Kept for callers of the two-step form: ``touches`` already adds the credits."""
-    return t
-
-
 # -- plain path: one window partition per user ------------------------------
 
 def _cut(gap_col, max_gap):

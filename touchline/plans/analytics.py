@@ -27,7 +27,7 @@ from touchline.operators.chains import chains as chain_table
 from touchline.operators.gaps import gap_quantile
 from touchline.functions.time import epoch_seconds
 from touchline.operators.skew import AUTO, BLOCK_ROWS, HOT_USER_ROWS, hot_key_list
-from touchline.operators.touches import touch_credits, touches
+from touchline.operators.touches import touches
 from touchline.operators.visits import latest_live_visits
 from touchline.session import checkpointed
 from touchline.sources.names import UNKNOWN_SOURCE_NAME, default_source_names
@@ -133,7 +133,7 @@ class ChainAnalytics:
     def measures(self) -> DataFrame:
         """Per-source raw measures of every report, computed in one pass and kept (tiny)."""
         if self._measures is None:
-            self._measures = positions.source_measures(touch_credits(self.touches)).persist()
+            self._measures = positions.source_measures(self.touches).persist()
             self._persisted.append(self._measures)
         return self._measures
 
@@ -192,9 +192,9 @@ class ChainAnalytics:
         if model in fn:
             return fn[model](self.touches)
         if model == "linear":
-            return attribution.attr_linear(touch_credits(self.touches))
+            return attribution.attr_linear(self.touches)
         if model == "associated":
-            return attribution.associated(touch_credits(self.touches))
+            return attribution.associated(self.touches)
         raise ValueError(f"unknown model {model!r}")
 
     def position_part(self, part: str) -> DataFrame:

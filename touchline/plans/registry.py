@@ -21,7 +21,6 @@ from touchline.functions.time import epoch_seconds
 from touchline.operators import positions, reports
 from touchline.operators.chains import chain_elements, churn_markers, visits_ahead
 from touchline.operators.gaps import gap_quantile
-from touchline.operators.touches import touch_credits
 from touchline.operators.visits import latest_live_visits, with_source_code
 from touchline.plans.analytics import ChainAnalytics
 from touchline.sources.events_adapter import raw_visits_from_events
@@ -176,7 +175,7 @@ def _part(model):
 
 
 def _measures(spark, sf_dir) -> DataFrame:
-    return positions.source_measures(touch_credits(analytics(spark, sf_dir).touches))
+    return positions.source_measures(analytics(spark, sf_dir).touches)
 
 
 def q_simple_attributions(spark, sf_dir):
