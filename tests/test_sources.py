@@ -133,3 +133,16 @@ def test_command_line_job(spark, raw001, tmpdir_path, capsys):
     back = spark.read.option("sep", "\t").option("header", True).csv(os.path.join(out, "simple_attributions"))
     assert back.count() == 34 and "LinearAttrVisits" in back.columns
     assert "== conv_chains ==" in capsys.readouterr().out
+
+
+def test_date_filter_prunes_partitions(spark, raw001, tmpdir_path):
+    from touchline.sources import read_raw_visits
+    path = os.path.join(tmpdir_path, "raw_by_day")
+    raw001.write.partitionBy("StartDate").parquet(path)
+    raw = read_raw_visits(spark, path)
+    v = latest_live_visits(raw, "2024-01-05", "2024-01-06", [-1])
+    plan = v._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(StartDate" in plan and "2024-01-05" in plan
+    days = {r.StartDate.isoformat() for r in v.select("StartDate").distinct().collect()}
+    assert days == {"2024-01-05", "2024-01-06"}
+    assert v.count() == latest_live_visits(raw001, "2024-01-05", "2024-01-06", [-1]).count()
