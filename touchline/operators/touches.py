@@ -342,9 +342,7 @@ def _credits_blocked(h: DataFrame, max_gap: float | None, exact_ad_prefix: bool)
     tail = F.col("seg") == F.col("last_seg")
     h = h.select("*", *[(F.col(f"l_{k}") + F.when(tail, F.coalesce(F.col(f"later_{k}"), zero.get(k, F.lit(0))))
                          .otherwise(zero.get(k, F.lit(0)))).alias(k) for k in values])
-    h = _cut_lineage(h)
-
-    # round 3: first occurrence of a source in its segment (and among positions >= 2)
+    # first occurrence of a source inside the block's part of its segment (and among positions >= 2)
     w_src = Window.partitionBy(*_BLK, "seg", "SourceCode").orderBy(*ORDER)
     h = h.select(
         "*",
@@ -352,6 +350,10 @@ def _credits_blocked(h: DataFrame, max_gap: float | None, exact_ad_prefix: bool)
         ((F.col("pos") >= 2)
          & (F.sum((F.col("pos") >= 2).cast("long")).over(w_src.rowsBetween(_UNB, _CUR)) == 1)).alias("lmid"),
     )
+    h = _cut_lineage(h)
+
+    # round 3: first occurrence of a source in its segment (and among positions >= 2) across
+    # blocks; the in-block flags were computed before the checkpoint above
 
     def seen_earlier(flag: str, name: str) -> DataFrame:
         # (seg, source) pairs of a block whose first occurrence is in an earlier block; only the
