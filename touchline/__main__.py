@@ -12,6 +12,7 @@ from __future__ import annotations
 import argparse
 import os
 
+from touchline.operators.skew import BLOCK_ROWS, HOT_USER_ROWS
 from touchline.plans.analytics import ChainAnalytics
 from touchline.session import get_session
 from touchline.sources import load_json_dump, read_raw_visits, read_source_names, write_report_tsv
@@ -29,13 +30,17 @@ def main(argv=None) -> None:
     ap.add_argument("--out", required=True, help="output directory for the report files")
     ap.add_argument("--master", default=None, help="Spark master (default: as configured)")
     ap.add_argument("--top", type=int, default=10)
+    ap.add_argument("--hot-user-rows", type=int, default=HOT_USER_ROWS,
+                    help="users with more visits take the blocked (user, block) path")
+    ap.add_argument("--block-rows", type=int, default=BLOCK_ROWS, help="target rows per block of a hot user")
     a = ap.parse_args(argv)
 
     spark = get_session(a.master) if a.master else get_session()
     raw = load_json_dump(spark, a.raw) if a.json else read_raw_visits(spark, a.raw)
     goals = [int(g) for g in a.goals.split(",") if g.strip()]
     names = read_source_names(spark, a.names) if a.names else None
-    ca = ChainAnalytics(spark, raw, a.start, a.end, goals=goals, source_names=names)
+    ca = ChainAnalytics(spark, raw, a.start, a.end, goals=goals, source_names=names,
+                        hot_user_rows=a.hot_user_rows, block_rows=a.block_rows)
     ca.prepare_visits()
     ca.combine_visits(materialize=True)
     for name, report in [("simple_attributions", ca.simple_attributions()),
