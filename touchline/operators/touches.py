@@ -20,7 +20,7 @@ cut, suffix sums of the segment in later blocks, sources already seen in the
 segment -- comes from per-block summaries (one row per block) through
 running windows over blocks and a join back on (user, block). No task ever
 holds more than one block of a user; the results equal the plain path.
-The hot rows are checkpointed after each carry round (``spark.checkpoint.dir``).
+The hot rows are written under ``spark.checkpoint.dir`` after each carry round.
 """
 
 from __future__ import annotations
@@ -196,11 +196,11 @@ def _cut_lineage(df: DataFrame) -> DataFrame:
     """Write a round's result to the checkpoint directory and continue from the stored rows.
 
     Each round joins the rows with a summary computed from the same rows; without
-    a cut the plan would repeat the earlier rounds once per reference. The
-    checkpoint lives in ``spark.checkpoint.dir`` (shared storage on a cluster),
-    so a lost executor does not send the job back to the first round.
+    a cut the plan would repeat the earlier rounds once per reference. The rows
+    live under ``spark.checkpoint.dir`` (shared storage on a cluster), so a lost
+    executor does not send the job back to the first round.
     """
-    return checkpointed(df)
+    return checkpointed(df, "hot-touches")
 
 
 def _struct_at(cond, idx_col="lidx"):

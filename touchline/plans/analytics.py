@@ -9,8 +9,8 @@
     ca.chains()                    # chain table: one row per element with (chain, pos)
 
 Nothing is written unless a path is given. ``materialize=True`` on
-``combine_visits`` writes the touch table to the session's checkpoint
-directory (``spark.checkpoint.dir``, shared storage on a cluster), so the
+``combine_visits`` writes the touch table as parquet under the session's
+checkpoint directory (``spark.checkpoint.dir``, shared storage on a cluster), so the
 reports and the chain table start from stored rows instead of replaying the
 collapse and windows, and a lost executor costs only its own tasks.
 """
@@ -93,14 +93,14 @@ class ChainAnalytics:
 
     def combine_visits(self, materialize: bool = False, persist: bool = True) -> DataFrame:
         """The touch table. It feeds the chain table and all reports, so it is
-        kept: checkpointed to ``spark.checkpoint.dir`` with ``materialize=True``
-        (lineage cut, survives executor loss), else persisted (memory, spilling
-        to disk; lost blocks are recomputed)."""
+        kept: written under ``spark.checkpoint.dir`` and read back with
+        ``materialize=True`` (lineage cut, survives executor loss), else
+        persisted (memory, spilling to disk; lost blocks are recomputed)."""
         t = touches(self.visits, self.visit_gap_threshold(), self.exact_ad_prefix,
                     hot_user_rows=self.hot_user_rows, block_rows=self.block_rows, hot=self.hot_users(),
                     literal_banner_column=self.literal_banner_column)
         if materialize:
-            t = checkpointed(t)
+            t = checkpointed(t, "touches")
         elif persist:
             t = t.persist(StorageLevel.MEMORY_AND_DISK)
             self._persisted.append(t)

@@ -53,21 +53,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def checkpointed(df):
-    """``df`` written to the checkpoint directory, continuing from the stored rows.
+def checkpointed(df, name: str = "stage"):
+    """``df`` written as parquet under the checkpoint directory, continuing from the stored rows.
 
-    The rows are persisted first so they are computed once: the count that
-    runs the checkpoint and the checkpoint write both read the persisted
-    copy, which is dropped afterwards. The checkpointed plan keeps its
-    partitioning, so later operators on the same keys do not shuffle again.
+    One job computes and writes the rows (no cached copy held in executor
+    memory); the returned frame reads them back, so its lineage starts at
+    shared storage and a lost executor never sends the job back further.
     """
-    from pyspark import StorageLevel
-    ensure_checkpoint_dir(df.sparkSession)
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return kept.checkpoint(eager=True)
-    finally:
-        kept.unpersist()
+    import uuid
+    base = ensure_checkpoint_dir(df.sparkSession)
+    path = f"{base.rstrip('/')}/touchline/{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
