@@ -30,3 +30,18 @@ def test_two_arrivals_then_late_versions(spark, raw001, tmpdir_path):
     exp = latest_live_visits(raw001, START, END)
     assert got.count() == exp.count() == 887
     assert _key(got) == _key(exp)
+
+
+def test_day_fully_cancelled_later_is_removed(spark, raw001, tmpdir_path):
+    raw_dir = os.path.join(tmpdir_path, "raw2")
+    out = os.path.join(tmpdir_path, "visits2")
+    ckpt = os.path.join(tmpdir_path, "ckpt2")
+    day = F.col("StartDate") == F.lit("2024-01-05").cast("date")
+    raw001.where(day & (F.col("Sign") == 1)).write.mode("append").parquet(raw_dir)
+    start_visit_maintenance(spark, raw_dir, out, START, END, checkpoint_location=ckpt).awaitTermination()
+    assert spark.read.parquet(out).count() > 0
+    # cancel rows for every row of that day arrive: the day has no live visit left
+    cancels = raw001.where(day & (F.col("Sign") == 1)).withColumn("Sign", F.lit(-1))
+    cancels.write.mode("append").parquet(raw_dir)
+    start_visit_maintenance(spark, raw_dir, out, START, END, checkpoint_location=ckpt).awaitTermination()
+    assert not os.path.exists(os.path.join(out, "StartDate=2024-01-05"))

@@ -9,10 +9,11 @@ or a cancel row therefore re-collapses its whole day, and re-running a
 batch after a failure writes the same partitions again (idempotent).
 
 Progress is kept in the stream checkpoint, by default under the session's
-``spark.checkpoint.dir`` (shared storage on a cluster). The list of dates
-of one batch is the only thing collected to the driver (one row per day).
-A day whose every visit gets cancelled leaves its old partition in place,
-since a dynamic overwrite only replaces partitions it writes.
+``spark.checkpoint.dir`` (shared storage on a cluster). The lists of days of
+one batch (received, and still holding live visits) are the only things
+collected to the driver (one row per day). A dynamic overwrite only replaces
+partitions it writes, so a day whose every visit got cancelled has its
+partition removed explicitly.
 """
 
 from __future__ import annotations
@@ -39,10 +40,27 @@ def _rebuild_days(spark: SparkSession, raw_dir: str, visits_dir: str, start_date
         if not days:
             return
         raw = spark.read.schema(RAW_VISITS).parquet(raw_dir).where(F.col("StartDate").isin(days))
-        write_visits_dates(latest_live_visits(raw, start_date, end_date, goals), visits_dir)
+        visits = latest_live_visits(raw, start_date, end_date, goals).persist()
+        try:
+            live_days = {r[0] for r in visits.select("StartDate").distinct().collect()}
+            if live_days:
+                write_visits_dates(visits, visits_dir)
+        finally:
+            visits.unpersist()
+        for day in set(days) - live_days:
+            _drop_partition(spark, visits_dir, day)
     return rebuild
 
 
+def _drop_partition(spark: SparkSession, table_dir: str, day) -> None:
+    """Remove the StartDate partition directory of a day that no longer has live visits."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{table_dir.rstrip('/')}/StartDate={day.isoformat()}")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)
+
+
 def start_visit_maintenance(spark: SparkSession, raw_dir: str, visits_dir: str, start_date: str,
                             end_date: str, goals: Sequence[int] = (-1,),
                             checkpoint_location: str | None = None, available_now: bool = True,
