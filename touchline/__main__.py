@@ -35,7 +35,8 @@ def main(argv=None) -> None:
     ap.add_argument("--block-rows", type=int, default=BLOCK_ROWS, help="target rows per block of a hot user")
     a = ap.parse_args(argv)
 
-    spark = get_session(a.master) if a.master else get_session()
+    # without --master the launcher's master (spark-submit) and partition settings are kept
+    spark = get_session(a.master, shuffle_partitions=None)
     raw = load_json_dump(spark, a.raw) if a.json else read_raw_visits(spark, a.raw)
     goals = [int(g) for g in a.goals.split(",") if g.strip()]
     names = read_source_names(spark, a.names) if a.names else None

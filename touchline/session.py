@@ -16,16 +16,27 @@ DEFAULT_CONF = {
 }
 
 
-def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def get_session(master: str | None = "local[*]", shuffle_partitions: int | None = 8,
                 app_name: str = "touchline", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with UTC time, AQE on and the UI off.
 
-    A checkpoint directory is set only when the cluster has not named one;
-    on a cluster ``spark.checkpoint.dir`` must point at shared storage.
+    ``master=None`` keeps the master the launcher configured (spark-submit),
+    falling back to ``local[*]`` only when none is set; ``shuffle_partitions=None``
+    keeps the configured number. A checkpoint directory is set only when the
+    cluster has not named one; on a cluster ``spark.checkpoint.dir`` must
+    point at shared storage.
     """
-    builder = SparkSession.builder.master(master).appName(app_name)
+    builder = SparkSession.builder.appName(app_name)
+    if master is not None:
+        builder = builder.master(master)
+    else:
+        from pyspark import SparkConf, SparkContext
+        SparkContext._ensure_initialized()   # attach to the launcher's JVM so its settings are visible
+        if not SparkConf().contains("spark.master"):
+            builder = builder.master("local[*]")
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
