@@ -112,3 +112,24 @@ def test_many_hot_keys_are_not_broadcast(spark, visits001, monkeypatch):
     assert "ResolvedHint" not in hot._jdf.queryExecution().analyzed().toString()
     _assert_same(_rows(touches(visits001, d, hot_user_rows=None)),
                  _rows(touches(visits001, d, hot_user_rows=0, block_rows=5)))
+
+
+def test_facade_materialised_with_hot_users(spark, raw001):
+    from touchline.plans.analytics import ChainAnalytics
+    plain = ChainAnalytics(spark, raw001, "2024-01-02", "2024-01-29", hot_user_rows=None)
+    hot = ChainAnalytics(spark, raw001, "2024-01-02", "2024-01-29", hot_user_rows=40, block_rows=7)
+    hot.combine_visits(materialize=True)
+    assert hot.hot_users() is not None
+    for report in ("simple_attributions", "associated_conversions", "source_in_chains_metrics"):
+        a = {r["SourceCode"]: r.asDict() for r in getattr(plain, report)().collect()}
+        b = {r["SourceCode"]: r.asDict() for r in getattr(hot, report)().collect()}
+        assert a.keys() == b.keys(), report
+        for k in a:
+            for c, v in a[k].items():
+                if isinstance(v, float):
+                    assert b[k][c] == pytest.approx(v, rel=1e-9, abs=1e-12), (report, k, c)
+                else:
+                    assert b[k][c] == v, (report, k, c)
+    assert hot.chains().count() == plain.chains().count()
+    plain.release()
+    hot.release()
