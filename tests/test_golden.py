@@ -146,3 +146,13 @@ def test_facade_top_reports(spark):
     chains_view = ca.top_report("chains").collect()
     assert chains_view[0].unique_chains_perc == "80.00%"
     ca.release()
+
+
+def test_debug_prints_the_plan(spark, capsys):
+    from touchline.plans.analytics import ChainAnalytics
+    from touchline.schema import RAW_VISITS
+    ca = ChainAnalytics(spark, spark.createDataFrame([], RAW_VISITS), "2024-01-01", "2024-01-31", max_gap=D)
+    ca._visits = visits_df(spark, F1)
+    ca.associated_conversions(debug=True)
+    assert "Physical Plan" in capsys.readouterr().out
+    ca.release()

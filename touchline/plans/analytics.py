@@ -146,17 +146,23 @@ class ChainAnalytics:
     def _names(self) -> DataFrame:
         return self.source_names if self.source_names is not None else default_source_names(self.spark)
 
-    def simple_attributions(self) -> DataFrame:
-        return reports.with_names(reports.simple_attributions(self.measures()), self._names(),
-                                  self.unknown_name)
-
-    def associated_conversions(self) -> DataFrame:
-        return reports.with_names(reports.associated_conversions(self.measures()), self._names(),
-                                  self.unknown_name)
-
-    def source_in_chains_metrics(self) -> DataFrame:
-        return reports.with_names(positions.position_metrics(self.measures()), self._names(),
-                                  self.unknown_name)
+    @staticmethod
+    def _shown(df: DataFrame, debug: bool) -> DataFrame:
+        if debug:   # the plan Spark will run, in place of printing query text
+            df.explain("formatted")
+        return df
+
+    def simple_attributions(self, debug: bool = False) -> DataFrame:
+        return self._shown(reports.with_names(reports.simple_attributions(self.measures()), self._names(),
+                                              self.unknown_name), debug)
+
+    def associated_conversions(self, debug: bool = False) -> DataFrame:
+        return self._shown(reports.with_names(reports.associated_conversions(self.measures()), self._names(),
+                                              self.unknown_name), debug)
+
+    def source_in_chains_metrics(self, debug: bool = False) -> DataFrame:
+        return self._shown(reports.with_names(positions.position_metrics(self.measures()), self._names(),
+                                              self.unknown_name), debug)
 
     def top_report(self, view: str, k: int = 10, labels: dict[str, str] | None = None) -> DataFrame:
         """The display tables: ``simple`` (by LastClickRevenue), ``associated`` (by
