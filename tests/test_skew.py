@@ -133,3 +133,13 @@ def test_facade_materialised_with_hot_users(spark, raw001):
     assert hot.chains().count() == plain.chains().count()
     plain.release()
     hot.release()
+
+
+def test_hot_user_lists_user_and_pair_level(spark):
+    from touchline.operators.skew import hot_user_lists
+    rows = [(1, 7)] * 3 + [(2, 7)] * 3 + [(1, 8)] * 5 + [(1, 9)] * 2
+    df = spark.createDataFrame(rows, "CounterID long, UserID long")
+    users, pairs = hot_user_lists(df, 4)
+    assert sorted(r.UserID for r in users.collect()) == [7, 8]          # 7: 3 + 3 over two counters
+    assert sorted((r.CounterID, r.UserID) for r in pairs.collect()) == [(1, 8)]
+    assert hot_user_lists(df, 10) == (None, None)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions.time import epoch_seconds
-from touchline.operators.skew import BLOCK_ROWS, HOT_USER_ROWS, split_hot
+from touchline.operators.skew import AUTO, BLOCK_ROWS, HOT_USER_ROWS, split_hot
 from touchline.sources.sampling import user_sample
 
 # Coarse histogram bucket width (seconds) of the two-pass exact quantile.
@@ -17,7 +17,7 @@ _COARSE = 4096
 
 
 def visit_gaps(visits: DataFrame, by=("UserID",), hot_user_rows: int | None = HOT_USER_ROWS,
-               block_rows: int = BLOCK_ROWS) -> DataFrame:
+               block_rows: int = BLOCK_ROWS, hot=AUTO) -> DataFrame:
     """One row per visit that has a predecessor: ``gap`` = seconds since the previous visit.
 
     ``by`` is the user key. The churn threshold groups by UserID only, while
@@ -27,7 +27,7 @@ def visit_gaps(visits: DataFrame, by=("UserID",), hot_user_rows: int | None = HO
     times (one row per block).
     """
     t = visits.select(*by, epoch_seconds("UTCStartTime").alias("ts"))
-    normal, hot = split_hot(t, list(by), hot_user_rows, block_rows)
+    normal, hot = split_hot(t, list(by), hot_user_rows, block_rows, hot=hot)
     w = Window.partitionBy(*by).orderBy("ts")
     gaps = (normal.select(*by, (F.col("ts") - F.lag("ts").over(w)).alias("gap"))
             .where(F.col("gap").isNotNull()))
@@ -100,7 +100,7 @@ def exact_quantile(hist: DataFrame, p: float) -> float | None:
 
 def gap_quantile(visits: DataFrame, p: float = 0.95, sample_denominator: int | None = None,
                  sample_method: str = "hash", hot_user_rows: int | None = HOT_USER_ROWS,
-                 block_rows: int = BLOCK_ROWS) -> float | None:
+                 block_rows: int = BLOCK_ROWS, hot=AUTO) -> float | None:
     """The churn threshold D: the p-quantile of gaps between successive visits of a user.
 
     Exact on all users by default; ``sample_denominator=n`` keeps 1/n of the
@@ -110,7 +110,7 @@ def gap_quantile(visits: DataFrame, p: float = 0.95, sample_denominator: int | N
         visits = user_sample(visits, sample_denominator, method=sample_method)
     # the histogram has at most one row per distinct gap (bounded by the
     # period in seconds); keep it for the two passes instead of recomputing
-    hist = gap_histogram(visit_gaps(visits, hot_user_rows=hot_user_rows, block_rows=block_rows)
+    hist = gap_histogram(visit_gaps(visits, hot_user_rows=hot_user_rows, block_rows=block_rows, hot=hot)
                          ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return exact_quantile(hist, p)

@@ -79,6 +79,36 @@ def hot_key_list(df: DataFrame, key: Sequence[str], threshold: int | None,
 AUTO = "auto"
 
 
+def hot_user_lists(visits_ts: DataFrame, threshold: int | None,
+                   counter: str = "CounterID", user: str = "UserID"):
+    """(hot UserIDs, hot (CounterID, UserID) pairs) from one aggregation, each a frame or None.
+
+    A user is hot for the churn threshold (gaps by user) when all its counters
+    together exceed ``threshold``; a (counter, user) pair is hot for chains when
+    it alone does. Rows are counted per pair (partial aggregation), summed per
+    user over its few counters, and at most MAX_BROADCAST_KEYS + 1 candidates
+    reach the driver; beyond that both lists stay lazy, shuffle-joined frames.
+    """
+    if threshold is None:
+        return None, None
+    pairs = visits_ts.groupBy(counter, user).agg(F.count(F.lit(1)).alias("_n"))
+    pairs = pairs.withColumn("_un", F.sum("_n").over(Window.partitionBy(user)))
+    found = pairs.where((F.col("_n") > threshold) | (F.col("_un") > threshold))
+    rows = found.limit(MAX_BROADCAST_KEYS + 1).collect()
+    if not rows:
+        return None, None
+    if len(rows) > MAX_BROADCAST_KEYS:
+        return (found.where(F.col("_un") > threshold).select(user).distinct(),
+                found.where(F.col("_n") > threshold).select(counter, user))
+    spark = visits_ts.sparkSession
+    users = sorted({r[user] for r in rows if r["_un"] > threshold})
+    hot_pairs = sorted({(r[counter], r[user]) for r in rows if r["_n"] > threshold})
+    users_df = F.broadcast(spark.createDataFrame([(u,) for u in users], f"{user} long")) if users else None
+    pairs_df = (F.broadcast(spark.createDataFrame(hot_pairs, f"{counter} long, {user} long"))
+                if hot_pairs else None)
+    return users_df, pairs_df
+
+
 def resolve_hot(df: DataFrame, key: Sequence[str], threshold: int | None, hot=AUTO,
                 ts: str = "ts") -> DataFrame | None:
     """``hot`` given by the caller (a key frame, or None for "no hot keys"), or found now."""

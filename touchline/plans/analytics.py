@@ -25,8 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from touchline.operators import attribution, positions, reports
 from touchline.operators.chains import chains as chain_table
 from touchline.operators.gaps import gap_quantile
-from touchline.functions.time import epoch_seconds
-from touchline.operators.skew import AUTO, BLOCK_ROWS, HOT_USER_ROWS, hot_key_list
+from touchline.operators.skew import AUTO, BLOCK_ROWS, HOT_USER_ROWS, hot_user_lists
 from touchline.operators.touches import touches
 from touchline.operators.visits import latest_live_visits
 from touchline.session import checkpointed
@@ -88,7 +87,8 @@ class ChainAnalytics:
         """D: the given max_gap, or the percentile of gaps (one small action)."""
         if self._max_gap is None:
             self._max_gap = gap_quantile(self.visits, self.percentile, self.sample_denominator,
-                                         self.sample_method, self.hot_user_rows, self.block_rows)
+                                         self.sample_method, self.hot_user_rows, self.block_rows,
+                                         hot=self._hot_lists()[0])
         return self._max_gap
 
     def combine_visits(self, materialize: bool = False, persist: bool = True) -> DataFrame:
@@ -112,14 +112,16 @@ class ChainAnalytics:
     def touches(self) -> DataFrame:
         return self._touches if self._touches is not None else self.combine_visits()
 
-    def hot_users(self) -> DataFrame | None:
-        """(CounterID, UserID) with more than hot_user_rows visits, found once (bounded list)."""
+    def _hot_lists(self):
+        """(hot UserIDs, hot (CounterID, UserID) pairs), found once with one aggregation."""
         if self._hot is AUTO:
-            self._hot = hot_key_list(self.visits.select(
-                "CounterID", "UserID", epoch_seconds("UTCStartTime").alias("ts")),
-                ["CounterID", "UserID"], self.hot_user_rows)
+            self._hot = hot_user_lists(self.visits.select("CounterID", "UserID"), self.hot_user_rows)
         return self._hot
 
+    def hot_users(self) -> DataFrame | None:
+        """(CounterID, UserID) with more than hot_user_rows visits (bounded list), or None."""
+        return self._hot_lists()[1]
+
     def chains(self, path: str | None = None) -> DataFrame:
         """The chain table (one row per element with its chain and position; see operators.chains)."""
         c = chain_table(self.touches, self.visit_gap_threshold(), self.end_date,
