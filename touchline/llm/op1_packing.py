@@ -14,7 +14,6 @@ repeat a doc_id are packed each. No rows give no rows. Columns other than the tw
 
 from __future__ import annotations
 
-import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -24,73 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.common import id_text, slices, text_bytes
+from touchline.llm.common import id_text, slices
+from touchline.llm.wordbpe import word_encoder
 from touchline.session import checkpointed
 
 CAPACITY = 2048
 SEPARATOR = 0
 SALTS = 256
-CACHE_ENTRIES = 200_000
-
-_SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ]+")
-_PRE_TOKEN = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
-
-
-class WordEncoder:
-    """Token ids of white-space separated chunks as little-endian uint32 bytes, cached.
-
-    The vocabulary's normaliser and splitter never look across white space, so a text's ids are those
-    of its chunks. Chunks of printable ASCII and Latin-1 letters are cut further into the splitter's
-    pieces, which repeat more often; all else goes to the tokenizer as it is. Both caches are emptied
-    when full.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.chunks: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        if not texts:
-            return []
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def _learn(self, missing: list[bytes]) -> None:
-        if len(self.pieces) > CACHE_ENTRIES:
-            self.pieces.clear()
-        plain, other = [], []
-        for chunk in missing:
-            text = chunk.decode("utf-8", "replace")
-            if _SIMPLE.fullmatch(text):
-                plain.append((chunk, _PRE_TOKEN.findall(text.lower())))
-            else:
-                other.append((chunk, text))
-        new = list({p for _, cut in plain for p in cut if p not in self.pieces})
-        self.pieces.update(zip(new, self._encode(new)))
-        for chunk, cut in plain:
-            self.chunks[chunk] = b"".join([self.pieces[p] for p in cut])
-        self.chunks.update(zip((c for c, _ in other), self._encode([t for _, t in other])))
-
-    def __call__(self, text: bytes) -> bytes:
-        chunks = text.split()
-        if len(self.chunks) > CACHE_ENTRIES:
-            self.chunks.clear()
-        missing = [c for c in set(chunks) if c not in self.chunks]
-        if missing:
-            self._learn(missing)
-        return b"".join(map(self.chunks.__getitem__, chunks))
-
-
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
-def _encoder(path: str) -> WordEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
@@ -98,18 +37,19 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     rows = id_text(docs)
     out = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                      ("ids_crc32", pa.int64())] + ([("ids", pa.list_(pa.int32()))] if with_ids else []))
-    end = np.array([SEPARATOR], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(tokenizer_path)
-        for batch in slices(batches, "text"):
-            found = []
-            for doc, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
-                ids = encode(text or b"") + end
-                for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    own = ids[at:at + 4 * capacity]
-                    row = (doc, k, at // 4, len(own) // 4, zlib.crc32(own))
-                    found.append(row + (np.frombuffer(own, "<i4"),) if with_ids else row)
+        encode = word_encoder(tokenizer_path)
+        for batch in slices(batches, "text", 12 << 20):
+            ids, counts = encode(batch.column(1))
+            ids = np.insert(ids.astype("<u4"), np.cumsum(counts), SEPARATOR)
+            found, at = [], 0
+            for doc, n in zip(batch.column(0).to_pylist(), (counts + 1).tolist()):
+                for piece, start in enumerate(range(0, n, capacity)):
+                    own = ids[at + start:at + min(n, start + capacity)]
+                    row = (doc, piece, start, len(own), zlib.crc32(own))
+                    found.append(row + (own.view("<i4"),) if with_ids else row)
+                at += n
             columns = list(zip(*found))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, out)], schema=out)
 
