@@ -43,37 +43,41 @@ RULES = (
     Rule("word_length", "word_chars / n_words", 2.0, 12.0),
     Rule("symbols", "n_symbols / n_words", None, 0.1),
     Rule("stop_words", "n_stop_words / n_words", 0.06, None),
-    Rule("repeated_lines", "n_dup_lines / n_lines", None, 0.3),
+    Rule("repeated_lines", "n_dup_lines / n_lines", None, 0.5),
     Rule("repeated_words", "n_repeat_words / n_words", None, 0.3),
     Rule("exclamations", "n_shouts / n_words", None, 0.1),
 )
 
 
-def _repeat_words(w: Column) -> Column:
-    """Words of an array that lie in a window of three words found more than once in it.
+def _with_repeat_words(frame: DataFrame) -> DataFrame:
+    """``frame`` (column w: words) with n_repeat_words: words that lie in a window of three words found
+    more than once.
 
     Windows are compared by hash first; only windows with an equal hash are compared as text, so the
-    count is exact. Work is that of one sort of the document's windows.
+    count is exact. Work is that of one sort of the document's windows. Every step is a column of its own
+    (and used more than once, so that the optimizer keeps it): inside a lambda an expression would be
+    evaluated for every element.
     """
-    n = F.size(w)
-
     def gram(i: Column) -> list[Column]:
-        return [F.get(w, i + k) for k in range(WINDOW)]
-
-    hashes = F.slice(F.transform(w, lambda x, i: F.xxhash64(*gram(i))), 1, F.greatest(n - (WINDOW - 1), F.lit(0)))
-    by_hash = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("key"), i.alias("at"))))
-
-    def alike(rows: Column) -> Column:
-        return F.filter(rows, lambda x, k: (x["key"].eqNullSafe(F.get(rows, k - 1)["key"]))
-                        | (x["key"].eqNullSafe(F.get(rows, k + 1)["key"])))
-
-    by_text = F.sort_array(F.transform(alike(by_hash), lambda x: F.struct(
-        F.concat_ws(" ", *gram(x["at"])).alias("key"), x["at"].alias("at"))))
-    places = F.sort_array(F.transform(alike(by_text), lambda x: x["at"]))
-    covered = F.aggregate(
-        F.transform(places, lambda p, k: F.least(F.lit(WINDOW), F.coalesce(F.get(places, k + 1) - p, F.lit(WINDOW)))),
-        F.lit(0), lambda a, x: a + x)
-    return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), covered).otherwise(0).cast("long")
+        return [F.get(F.col("w"), i + k) for k in range(WINDOW)]
+
+    def alike(name: str) -> Column:
+        return F.filter(name, lambda x, k: (x["key"].eqNullSafe(F.get(F.col(name), k - 1)["key"]))
+                        | (x["key"].eqNullSafe(F.get(F.col(name), k + 1)["key"])))
+
+    some = F.greatest(F.size("w") - (WINDOW - 1), F.lit(0))
+    keyed = F.sort_array(F.transform("_hashes", lambda h, i: F.struct(h.alias("key"), i.alias("at"))))
+    texts = F.transform(alike("_by_hash"), lambda x: F.struct(F.concat_ws(" ", *gram(x["at"])).alias("key"),
+                                                              x["at"].alias("at")))
+    spans = F.transform("_places", lambda p, k: F.least(
+        F.lit(WINDOW), F.coalesce(F.get(F.col("_places"), k + 1) - p, F.lit(WINDOW))))
+    return (frame
+            .withColumn("_hashes", F.slice(F.transform("w", lambda x, i: F.xxhash64(*gram(i))), F.lit(1), some))
+            .withColumn("_by_hash", F.when(F.size(F.array_distinct("_hashes")) < F.size("_hashes"), keyed))
+            .withColumn("_by_text", F.sort_array(texts))
+            .withColumn("_places", F.sort_array(F.transform(alike("_by_text"), lambda x: x["at"])))
+            .withColumn("n_repeat_words", F.coalesce(F.aggregate(spans, F.lit(0), lambda a, x: a + x), F.lit(0)))
+            .drop("_hashes", "_by_hash", "_by_text", "_places"))
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
@@ -81,13 +85,13 @@ def base_counts(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     cut = id_text(docs).select("doc_id", text.alias("text"), words("text").alias("w"), lines.alias("lines"))
-    return cut.select(
+    return _with_repeat_words(cut).select(
         "doc_id",
         F.size("w").cast("long").alias("n_words"),
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace("text", "[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        _repeat_words(F.col("w")).alias("n_repeat_words"),
+        F.col("n_repeat_words").cast("long").alias("n_repeat_words"),
         F.size("lines").cast("long").alias("n_lines"),
         F.size(F.filter("w", lambda x: x.isin(STOP_WORDS))).cast("long").alias("n_stop_words"),
         F.length(F.regexp_replace("text", "[^!]+", "")).cast("long").alias("n_shouts"),

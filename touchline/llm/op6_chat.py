@@ -91,10 +91,12 @@ def format_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
     rows = turns.select(F.col(conv).cast("long").alias("conv_id"), F.col(turn).cast("long").alias("turn"),
                         F.coalesce(F.col(role), F.lit("")).alias("role"), F.col(parts).cast(f"array<{PART}>").alias("parts"))
 
+    attachment = pa.struct([("kind", pa.string()), ("ref", pa.string()), ("place", pa.int64()), ("tokens", pa.int64())])
+    out = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("rendered", pa.string()),
+                     ("loss_from", pa.int32()), ("loss_to", pa.int32()), ("attachments", pa.list_(attachment)),
+                     ("n_tokens", pa.int64())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
-        from pyspark.sql.types import StructType
-        out = to_arrow_schema(StructType.fromDDL(TURN_SCHEMA))
         for batch in batches:
             found = []
             for row in batch.to_pylist():

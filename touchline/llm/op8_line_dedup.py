@@ -55,7 +55,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2, id_col:
     kept = F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.coalesce(F.get(F.col("_flags"), i), F.lit(False))),
                         "\n")
     return both.withColumns({
-        text_col: F.when(places.isNull(), text).otherwise(kept),
+        # _flags is used twice, so the optimizer keeps it a column instead of putting it into the lambda
+        text_col: F.when(F.col("_flags").isNull(), text).otherwise(kept),
         lines: (F.length(F.regexp_replace(text, r"[^\n]+", "")) + 1).cast("long"),
         dropped: F.coalesce(F.size(places), F.lit(0)).cast("long"),
     }).drop("_id", "_text", "_places", "_flags")
