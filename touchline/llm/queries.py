@@ -66,6 +66,12 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from touchline.llm.op9_substrings import remove_repeats
+    kept = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from touchline.llm.op10_fingerprints import fingerprints
     return fingerprints(table(spark, sf_dir, "documents"))
@@ -80,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_chat": op6_chat,
     "op7_quality": op7_quality,
     "op8_line_dedup": op8_line_dedup,
+    "op9_substrings": op9_substrings,
     "op10_fingerprints": op10_fingerprints,
 }
 
