@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm import op1_packing, op5_near_dedup, op7_quality, op8_line_dedup, op9_substrings
+from touchline.llm.common import free
 from touchline.session import checkpointed
 
 
@@ -27,26 +28,29 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     # two passes over the texts instead of one and a shuffle of them
     stats = checkpointed(op7_quality.with_statistics(docs.select("doc_id", "text")).drop("text"), "op7-statistics")
-    scored = op7_quality.with_score(op7_quality.with_statistics(docs), op7_quality.fit(stats, labels), "_score")
-    return scored.filter(F.col("_score") >= op7_quality.THRESHOLD).drop("_score")
+    score = free("_score", docs.columns)
+    scored = op7_quality.with_score(op7_quality.with_statistics(docs), op7_quality.fit(stats, labels), score)
+    return scored.filter(F.col(score) >= op7_quality.THRESHOLD).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier document has."""
-    return _like(docs, op8_line_dedup.dedup_lines(docs, lines="_lines", dropped="_dropped"))
+    names = [free(c, docs.columns) for c in ("_lines", "_dropped")]
+    return _like(docs, op8_line_dedup.dedup_lines(docs, lines=names[0], dropped=names[1]))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near duplicates; of rows that repeat a doc_id, one."""
-    kept = op5_near_dedup.near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    kept = kept.withColumnRenamed("doc_id", "_kept")
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    name = free("_kept", docs.columns)
+    kept = op5_near_dedup.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias(name)).distinct()
+    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
     return rows.dropDuplicates(["doc_id"])
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that occur elsewhere; those without any stay as they are."""
-    cut = op9_substrings.remove_repeats(docs, words="_words", removed="_removed", untouched=True)
+    names = [free(c, docs.columns) for c in ("_words", "_removed")]
+    cut = op9_substrings.remove_repeats(docs, words=names[0], removed=names[1], untouched=True)
     return _like(docs, cut)
 
 

@@ -23,7 +23,7 @@ def test_escapes_are_reversible():
 
 
 def test_conversations_read_back(spark):
-    rows = [(c, t, ["user", "assistant", "system\nx", None][(c + t) % 4], text)
+    rows = [(c, t, ["user", "assistant", "system\nx", None][((c or 0) + t) % 4], text)
             for c in (1, 2, None) for t, text in enumerate(NASTY)] + [(7, 0, "assistant", "twice")] * 2
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("rendered", F.lit(1))
     formatted = op6_chat.format_turns(turns.withColumn("parts", op6_chat.text_parts("text")))

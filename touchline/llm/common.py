@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -22,6 +25,31 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
 
+def free(name: str, columns: list[str]) -> str:
+    """``name``, lengthened until no column has it (names are compared as Spark does, without case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+_handed_out: set[str] = set()
+
+
+def shipped(frame: DataFrame) -> DataFrame:
+    """``frame``, once Python workers can import this package: where it is neither in their path nor in the
+    working directory, Spark hands out a copy of it."""
+    context = frame.sparkSession.sparkContext
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = {os.path.abspath(p) for p in ["", *os.environ.get("PYTHONPATH", "").split(os.pathsep)]}
+    if root not in known and context.applicationId not in _handed_out:
+        made = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="touchline-"), "touchline"), "zip", root,
+                                   "touchline")
+        context.addPyFile(made)
+        _handed_out.add(context.applicationId)
+    return frame
+
+
 def words(text: str | Column) -> Column:
     """Array of the words (runs without ASCII white space) of a text; empty for null or blank texts."""
     trimmed = F.btrim(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")), F.lit(ASCII_SPACES))

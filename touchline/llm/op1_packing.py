@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.common import id_text, slices
+from touchline.llm.common import id_text, shipped, slices
 from touchline.llm.wordbpe import word_encoder
 from touchline.session import checkpointed
 
@@ -54,7 +54,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, out)], schema=out)
 
     ddl = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
-    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, ddl)
+    return shipped(rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).mapInArrow(cut, ddl)
 
 
 def best_two_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
@@ -177,4 +177,4 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     from pyspark.sql import types as T
     schema = T.StructType([f for f in pieces.schema.fields]
                           + [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    return ranked.mapInArrow(assign, schema)
+    return shipped(ranked).mapInArrow(assign, schema)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import slices
+from touchline.llm.common import shipped, slices
 
 #: Kinds of HTML elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -311,4 +311,4 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                  pa.array([len(t) for t in found], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    return rows.mapInArrow(run, f"page_id {types['page_id']}, url {types['url']}, text string, n_chars long")
+    return shipped(rows).mapInArrow(run, f"page_id {types['page_id']}, url {types['url']}, text string, n_chars long")

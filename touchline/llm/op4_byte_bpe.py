@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import id_text, slices
+from touchline.llm.common import id_text, shipped, slices
 
 #: Chunks of text (a word with the space before it, as a rule) kept with their ids; emptied when full.
 CACHE_ENTRIES = 300_000
@@ -165,7 +165,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], schema=out)
 
     rows = id_text(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, ids array<int>")
+    return shipped(rows).mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -191,4 +191,4 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, pa.BinaryArray.from_buffers(
                     pa.binary(), batch.num_rows, [None, pa.py_buffer(offsets), data])], schema=out)
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+    return shipped(encoded.select("doc_id", "ids")).mapInArrow(run, "doc_id long, ids array<int>, decoded binary")

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.common import id_text, slices
+from touchline.llm.common import id_text, shipped, slices
 from touchline.llm.components import connected_components
 from touchline.session import checkpointed
 
@@ -136,7 +136,7 @@ def signatures(docs: DataFrame, shingle: int = 2) -> DataFrame:
                     pa.array(c, f.type) for c, f in zip(columns, list(out)[1:]))], schema=out)
 
     rows = id_text(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, set_id binary, orders binary, sketch binary")
+    return shipped(rows).mapInArrow(run, "doc_id long, n_shingles long, set_id binary, orders binary, sketch binary")
 
 
 NODE = "tree int, prefix binary, id long, n long, sketch binary, component long"
@@ -160,7 +160,7 @@ def _forest(nodes: DataFrame) -> DataFrame:
                      *(batch.column(c).take(again) for c in ("id", "n", "sketch", "component"))],
                     names=["tree", "prefix", "id", "n", "sketch", "component"])
 
-    return nodes.select("id", "n", "orders", "sketch", "component").mapInArrow(run, NODE)
+    return shipped(nodes.select("id", "n", "orders", "sketch", "component")).mapInArrow(run, NODE)
 
 
 class _Rows:
@@ -259,7 +259,7 @@ def _scan(forest: DataFrame, window: int, share: float, keep: int) -> DataFrame:
             yield outer(1, part, first)
             yield outer(2, part, held)
 
-    return forest.mapInArrow(run, schema)
+    return shipped(forest).mapInArrow(run, schema)
 
 
 def _pair_batches(found: list[tuple], part: int, names: list[str]) -> Iterator[pa.RecordBatch]:
@@ -303,7 +303,7 @@ def candidates(nodes: DataFrame, share: float, window: int, keep: int, name: str
                             [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)),
                              pa.array(match.astype(np.int32)), pa.array(dense)], names=names)
 
-    across = edge.repartition("seam").mapInArrow(seam, "a long, b long, estimate int, dense boolean")
+    across = shipped(edge.repartition("seam")).mapInArrow(seam, "a long, b long, estimate int, dense boolean")
     return (inner.unionByName(across).groupBy("a", "b")
             .agg(F.max("estimate").alias("estimate"), F.max("dense").alias("dense")))
 
@@ -322,7 +322,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFr
 
     both = (pairs.select("a", "b").join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("x")), "a")
             .join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("y")), "b"))
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return shipped(both.select("a", "b", "x", "y")).mapInArrow(run, "a long, b long")
 
 
 def _sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
@@ -335,7 +335,7 @@ def _sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
                                                  names=["id", "hashes"])
 
     rows = id_text(docs).select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
-    return rows.mapInArrow(run, "id long, hashes binary").dropDuplicates(["id"])
+    return shipped(rows).mapInArrow(run, "id long, hashes binary").dropDuplicates(["id"])
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 2, share: tuple[int, int] = (80, 100)) -> DataFrame:

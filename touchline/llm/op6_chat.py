@@ -29,10 +29,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from touchline.llm.common import shipped
+
 START, END = "<|im_start|>", "<|im_end|>"
 PART = "struct<kind:string,text:string,ref:string,units:long>"
 TURN_SCHEMA = ("conv_id long, turn long, role string, rendered string, loss_from int, loss_to int, "
-               "attachments array<struct<kind:string,ref:string,place:int,tokens:long>>, n_tokens long")
+               "attachments array<struct<kind:string,ref:string,place:long,tokens:long>>, n_tokens long")
 _ESCAPE, _UNESCAPE = re.compile(r"<(\\*)\|"), re.compile(r"<(\\*)\\\|")
 
 
@@ -112,7 +114,7 @@ def format_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
                               "n_tokens": sum(a["tokens"] for a in visitor.attachments)})
             yield pa.RecordBatch.from_pylist(found, schema=out)
 
-    return rows.mapInArrow(run, TURN_SCHEMA)
+    return shipped(rows).mapInArrow(run, TURN_SCHEMA)
 
 
 class _Digest:
@@ -162,4 +164,4 @@ def read_back(formatted: DataFrame) -> DataFrame:
     ordered = (formatted.repartition("conv_id")
                .sortWithinPartitions("conv_id", "turn", "role", "rendered")
                .select("conv_id", "rendered", "loss_from", "loss_to"))
-    return ordered.mapInArrow(run, schema)
+    return shipped(ordered).mapInArrow(run, schema)

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.llm.common import slices, text_bytes
+from touchline.llm.common import shipped, slices, text_bytes
 
 FEATURES = 256
 BANDWIDTH = 3.0
@@ -71,7 +71,8 @@ def statistics(text: bytes) -> list[float]:
 
 
 def with_statistics(docs: DataFrame, text_col: str = "text", out: str = "_stats") -> DataFrame:
-    """``docs`` with the vector of statistics of each text."""
+    """``docs`` with the vector of statistics of each text (a column of that name is replaced)."""
+    docs = docs.drop(out)
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.ArrayType(T.DoubleType()))])
     text_at = docs.columns.index(text_col)
 
@@ -81,7 +82,7 @@ def with_statistics(docs: DataFrame, text_col: str = "text", out: str = "_stats"
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.float64()))],
                                              names=[*batch.schema.names, out])
 
-    return docs.mapInArrow(run, schema)
+    return shipped(docs).mapInArrow(run, schema)
 
 
 def remainder(id_col: str) -> Column:
@@ -126,7 +127,7 @@ def _sums(rows: DataFrame, add) -> np.ndarray:
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sum"])
 
-    found = rows.mapInArrow(run, "sum binary").collect()
+    found = shipped(rows).mapInArrow(run, "sum binary").collect()
     return sum((np.frombuffer(bytes(r["sum"])) for r in found), np.zeros(0)) if not found else \
         np.sum([np.frombuffer(bytes(r["sum"])) for r in found], axis=0)
 
@@ -205,7 +206,7 @@ def with_score(stats: DataFrame, model: Model, out: str = "score") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), pa.array(score)],
                                                  names=[*(batch.schema.names[i] for i in keep), out])
 
-    return stats.mapInArrow(run, schema)
+    return shipped(stats).mapInArrow(run, schema)
 
 
 def held_out(doc_id) -> bool:

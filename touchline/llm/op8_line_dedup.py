@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import ASCII_SPACES
+from touchline.llm.common import ASCII_SPACES, free
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -45,18 +45,22 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2, id_col:
                 text_col: str = "text", lines: str = "n_lines", dropped: str = "n_dropped") -> DataFrame:
     """``docs`` with the kept lines as text and the numbers of lines before and dropped (columns of these
     names are replaced)."""
+    base = docs.drop(lines, dropped)
+    mine = {c: free(c, base.columns) for c in ("_id", "_text", "_places", "_flags")}
     found = dropped_lines(docs, min_chars, min_docs, id_col, text_col)
+    found = found.select(*[F.col(c).alias(mine[c]) for c in ("_id", "_text", "_places")])
     text = F.coalesce(F.col(text_col), F.lit(""))
-    both = docs.join(found, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_text")), "left")
-    places = F.col("_places")
+    both = base.join(found, F.col(id_col).eqNullSafe(F.col(mine["_id"])) & (F.xxhash64(text) == F.col(mine["_text"])),
+                     "left")
+    places = F.col(mine["_places"])
     flags = F.flatten(F.transform(places, lambda p, k: F.concat(
         F.array_repeat(F.lit(False), p - F.coalesce(F.get(places, k - 1), F.lit(-1)) - 1), F.array(F.lit(True)))))
-    both = both.withColumn("_flags", flags)
-    kept = F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.coalesce(F.get(F.col("_flags"), i), F.lit(False))),
-                        "\n")
+    both = both.withColumn(mine["_flags"], flags)
+    flags = F.col(mine["_flags"])
+    kept = F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.coalesce(F.get(flags, i), F.lit(False))), "\n")
     return both.withColumns({
-        # _flags is used twice, so the optimizer keeps it a column instead of putting it into the lambda
-        text_col: F.when(F.col("_flags").isNull(), text).otherwise(kept),
+        # the flags are used twice, so the optimizer keeps them a column instead of putting them into the lambda
+        text_col: F.when(flags.isNull(), text).otherwise(kept),
         lines: (F.length(F.regexp_replace(text, r"[^\n]+", "")) + 1).cast("long"),
         dropped: F.coalesce(F.size(places), F.lit(0)).cast("long"),
-    }).drop("_id", "_text", "_places", "_flags")
+    }).drop(*mine.values())

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.llm.common import slices, text_bytes
+from touchline.llm.common import free, shipped, slices, text_bytes
 from touchline.llm.op5_near_dedup import _mix, word_hashes
 from touchline.session import checkpointed
 
@@ -99,7 +99,7 @@ def stretches(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str
                          batch.column("crc").take(row), pa.array(first, pa.int32()), pa.array(count, pa.int32())],
                         schema=out)
 
-    return _keyed(docs, id_col, text_col).mapInArrow(
+    return shipped(_keyed(docs, id_col, text_col)).mapInArrow(
         run, "anchor long, content long, doc long, crc long, first int, windows int")
 
 
@@ -192,7 +192,7 @@ def _marks(shards: DataFrame, size: int) -> DataFrame:
         if now:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*shard(now))], schema=out)
 
-    return shards.select("anchor", "content", "words", "n").mapInArrow(run, "anchor long, content long, mask long")
+    return shipped(shards.select("anchor", "content", "words", "n")).mapInArrow(run, "anchor long, content long, mask long")
 
 
 def _fetch(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
@@ -226,7 +226,7 @@ def _fetch(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_col:
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), out)], schema=out)
 
-    return rows.select("k.text", "l.list").mapInArrow(
+    return shipped(rows.select("k.text", "l.list")).mapInArrow(
         run, "anchor long, content long, n long, words string, hashes array<long>")
 
 
@@ -261,11 +261,13 @@ def remove_repeats(docs: DataFrame, size: int = MIN_WORDS, id_col: str = "doc_id
                    words: str = "n_words", removed: str = "n_removed", untouched: bool = False) -> DataFrame:
     """``docs`` with the kept words joined by one space as text, and the numbers of words before and removed
     (columns of these names are replaced). ``untouched``: texts that lose nothing stay as they are."""
-    marked = repeated_stretches(docs, size, id_col, text_col)
     base = docs.drop(words, removed)
+    mine = {c: free(c, base.columns) for c in ("doc", "crc", "marked")}
+    marked = repeated_stretches(docs, size, id_col, text_col)
+    marked = marked.select(*[F.col(c).alias(mine[c]) for c in ("doc", "crc", "marked")])
     crc: Column = F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
-    both = base.join(marked, F.col(id_col).cast("long").eqNullSafe(F.col("doc")) & (crc == F.col("crc")), "left")
-    both = both.select(*[base[c] for c in base.columns], F.col("marked").alias("_marked"))
+    both = base.join(marked, F.col(id_col).cast("long").eqNullSafe(F.col(mine["doc"])) & (crc == F.col(mine["crc"])),
+                     "left").drop(mine["doc"], mine["crc"])
     schema = T.StructType([*base.schema.fields, T.StructField(words, T.LongType()),
                            T.StructField(removed, T.LongType())])
     text_at = base.columns.index(text_col)
@@ -291,4 +293,4 @@ def remove_repeats(docs: DataFrame, size: int = MIN_WORDS, id_col: str = "doc_id
             yield pa.RecordBatch.from_arrays([*columns, pa.array(before, pa.int64()), pa.array(gone, pa.int64())],
                                              names=schema.names)
 
-    return both.mapInArrow(run, schema)
+    return shipped(both).mapInArrow(run, schema)
