@@ -5,6 +5,8 @@
   sum of valid purchase revenue (millionths) in units, rounded to 2 places;
 * ``goals == [ids]`` -> one conversion per goal hit whose id is listed (repeats
   count), revenue the sum of those goals' prices (thousandths), rounded to 2.
+
+NULL groups, as writers store "none", count as empty and NULL amounts as 0.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ def conversions_expr(goals: Sequence[int], purchases="EPurchase", goal_col="Goal
     if mode == "purchases":
         return F.coalesce(F.size(F.col(purchases)), F.lit(0)).cast("long")
     ids = [int(g) for g in goals]
-    return F.size(F.filter(F.col(goal_col), lambda g: g["ID"].isin(ids))).cast("long")
+    return F.coalesce(F.size(F.filter(F.col(goal_col), lambda g: g["ID"].isin(ids))), F.lit(0)).cast("long")
 
 
 def revenue_expr(goals: Sequence[int], purchases="EPurchase", goal_col="Goals") -> Column:
@@ -46,13 +48,13 @@ def revenue_expr(goals: Sequence[int], purchases="EPurchase", goal_col="Goals")
         return F.lit(0.0)
     if mode == "purchases":
         def valid(p):
-            r = p["Revenue"]
+            r = F.coalesce(p["Revenue"], F.lit(0))
             x = (F.when(r < 0, F.lit(0)).when(r > MAX_VALID_PURCHASE_REVENUE, F.lit(0))
                  .otherwise(r).cast("double") / PURCHASE_REVENUE_SCALE)
             return F.when(F.isnan(x) | (F.abs(x) == float("inf")), F.lit(0.0)).otherwise(x)
         total = F.aggregate(F.transform(F.col(purchases), valid), F.lit(0.0), lambda a, x: a + x)
-        return F.bround(total, 2)
+        return F.coalesce(F.bround(total, 2), F.lit(0.0))
     ids = [int(g) for g in goals]
     prices = F.aggregate(F.filter(F.col(goal_col), lambda g: g["ID"].isin(ids)),
-                         F.lit(0).cast("long"), lambda a, g: a + g["Price"])
-    return F.bround(prices / GOAL_PRICE_SCALE, 2)
+                         F.lit(0).cast("long"), lambda a, g: a + F.coalesce(g["Price"], F.lit(0)))
+    return F.coalesce(F.bround(prices / GOAL_PRICE_SCALE, 2), F.lit(0.0))

@@ -62,16 +62,6 @@ VISITS = T.StructType([
     T.StructField("Revenue", T.DoubleType()),
 ])
 
-HISTORY_ELEMENT = T.StructType([
-    T.StructField("VisitID", T.LongType()),
-    T.StructField("SourceCode", T.StringType()),
-    T.StructField("StartTime", T.TimestampNTZType()),
-    T.StructField("UTCStartTime", T.TimestampNTZType()),
-    T.StructField("EventType", T.StringType()),
-    T.StructField("Duration", T.IntegerType()),
-    T.StructField("Conversions", T.DoubleType()),
-])
-
 SOURCE_NAMES = T.StructType([
     T.StructField("SourceCode", T.StringType()),
     T.StructField("SourceName", T.StringType()),

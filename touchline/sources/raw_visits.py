@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from touchline.functions.time import epoch_ntz
 from touchline.schema import GOAL, PURCHASE, RAW_VISITS, TRAFFIC_SOURCE
 
 # unsigned 64-bit ids; values >= 2**63 arrive as DECIMAL(20,0) (parquet UINT64) or as
@@ -44,64 +46,145 @@ def read_raw_visits(spark: SparkSession, path_or_table: str, fmt: str = "parquet
     return normalize_raw_visits(df)
 
 
+#: The sub-column that every row of a group has; the others may be missing and take type defaults.
+_KEY = {"TrafficSource": "Model", "EPurchase": "ID", "Goals": "ID"}
+_REQUIRED = {"TrafficSource": ("Model", "ID"), "EPurchase": ("ID",), "Goals": ("ID",)}
+
+
+def _value(c: Column, source: T.DataType, target: T.DataType, u64: bool = False) -> Column:
+    """``c`` as ``target``. Instants become their UTC wall clock, whatever the session's zone."""
+    if u64:
+        return u64_to_long(c)
+    if isinstance(target, T.TimestampNTZType) and isinstance(source, T.TimestampType):
+        return F.timestamp_add("MICROSECOND", F.unix_micros(c), epoch_ntz())
+    return c.cast(target)
+
+
+def _default(target: T.DataType) -> Column:
+    if isinstance(target, T.TimestampNTZType):
+        return epoch_ntz()
+    return F.lit("" if isinstance(target, T.StringType) else 0).cast(target)
+
+
+def _converter(source: T.DataType, target: T.DataType, u64: bool):
+    return lambda x: _value(x, source, target, u64)
+
+
+def _constant(value: Column):
+    return lambda x: value
+
+
+def _missing(what: str) -> ValueError:
+    return ValueError(f"raw visits lack {what}")
+
+
+def _nested_group(df: DataFrame, name: str) -> Column:
+    """An array of structs rebuilt field by field, by name."""
+    struct_t, kind = _GROUPS[name], df.schema[name].dataType
+    if not isinstance(kind, T.ArrayType) or not isinstance(kind.elementType, T.StructType):
+        raise _missing(f"an array of structs {name} (found {kind.simpleString()})")
+    own = {f.name: f.dataType for f in kind.elementType.fields}
+    for sub in _REQUIRED[name]:
+        if sub not in own:
+            raise _missing(f"{name}.{sub}")
+
+    def build(x: Column) -> Column:
+        return F.struct(*[(_value(x[f.name], own[f.name], f.dataType, (name, f.name) in _U64_GROUP_FIELDS)
+                           if f.name in own else _default(f.dataType)).alias(f.name) for f in struct_t.fields])
+
+    return F.transform(F.coalesce(F.col(f"`{name}`"), F.array().cast(kind)), build)
+
+
+def _flat_group(df: DataFrame, name: str) -> Column:
+    """Parallel arrays ``name.field`` zipped into one array of structs; NULL arrays are empty."""
+    struct_t = _GROUPS[name]
+    own = {f.name: df.schema[f"{name}.{f.name}"].dataType for f in struct_t.fields if f"{name}.{f.name}" in df.columns}
+    for sub in _REQUIRED[name]:
+        if sub not in own:
+            raise _missing(f"{name}.{sub}")
+
+    def array(sub: str) -> Column:
+        return F.coalesce(F.col(f"`{name}.{sub}`"), F.array().cast(own[sub]))
+
+    key = array(_KEY[name])
+    parts = []
+    for f in struct_t.fields:
+        if f.name in own:
+            values = F.transform(array(f.name), _converter(own[f.name].elementType, f.dataType,
+                                                           (name, f.name) in _U64_GROUP_FIELDS))
+        else:
+            values = F.transform(key, _constant(_default(f.dataType)))
+        parts.append(values.alias(f.name))
+    return F.arrays_zip(*parts)
+
+
 def normalize_raw_visits(df: DataFrame) -> DataFrame:
     """Bring a raw visit frame to schema.RAW_VISITS.
 
-    Accepts either the nested form (``TrafficSource`` as array of struct) or
-    the flat form of the source system, where a group is a set of parallel
-    arrays named ``TrafficSource.Model``, ``TrafficSource.ID``, ... . Parallel
-    arrays are zipped element-wise into one array of structs.
+    Accepts either the nested form (``TrafficSource`` as array of struct, fields in any order) or the
+    flat form of the source system, where a group is a set of parallel arrays named
+    ``TrafficSource.Model``, ``TrafficSource.ID``, ... , zipped element-wise into one array of structs.
+    Without a group's ``Model`` or ``ID`` no row could be read right, so their absence raises; other
+    missing sub-columns take their type's default, NULL groups are empty.
     """
     cols = set(df.columns)
     out = []
     for field in RAW_VISITS.fields:
         name = field.name
-        if name in _GROUPS and name not in cols:
-            struct_t = _GROUPS[name]
-            parts = []
-            for sub in struct_t.fields:
-                flat = f"{name}.{sub.name}"
-                if flat in cols and (name, sub.name) in _U64_GROUP_FIELDS:
-                    parts.append(F.transform(F.col(f"`{flat}`"), u64_to_long).alias(sub.name))
-                elif flat in cols:
-                    parts.append(F.col(f"`{flat}`").cast(f"array<{sub.dataType.simpleString()}>").alias(sub.name))
-                else:
-                    parts.append(F.lit(None).cast(f"array<{sub.dataType.simpleString()}>").alias(sub.name))
-            zipped = F.arrays_zip(*parts)
-            out.append(zipped.cast(f"array<{struct_t.simpleString()}>").alias(name))
+        if name in _GROUPS:
+            out.append((_nested_group(df, name) if name in cols else _flat_group(df, name)).alias(name))
         elif name == "UserIDHash" and name not in cols and "UserID" in cols:
             out.append(u64_to_long(F.col("UserID")).alias(name))
-        elif name in _U64_FIELDS:
-            out.append(u64_to_long(F.col(name)).alias(name))
+        elif name not in cols:
+            raise _missing(name)
         else:
-            out.append(F.col(name).cast(field.dataType).alias(name))
+            out.append(_value(F.col(name), df.schema[name].dataType, field.dataType, name in _U64_FIELDS).alias(name))
     return df.select(*out)
 
 
-def load_json_dump(spark: SparkSession, path: str, envelope: bool = True) -> DataFrame:
+def _export_schema() -> T.StructType:
+    """Rows of a JSON export: dates and times as text, 64-bit integers as text or number."""
+    kept = (T.IntegerType,)
+    fields = []
+    for f in RAW_VISITS.fields:
+        if f.name in _GROUPS:
+            fields += [T.StructField(f"{f.name}.{x.name}", T.ArrayType(
+                x.dataType if isinstance(x.dataType, kept) else T.StringType())) for x in f.dataType.elementType.fields]
+        else:
+            fields.append(T.StructField(f.name, f.dataType if isinstance(f.dataType, kept) else T.StringType()))
+    return T.StructType([*fields, T.StructField("UserID", T.StringType())])
+
+
+def load_json_dump(spark: SparkSession, path: str, envelope: bool = False) -> DataFrame:
     """Load a JSON export of raw visits.
 
-    ``envelope=True``: one document ``{"meta": [...], "data": [{...}, ...], "rows": n}``
-    (may be gzip-compressed; such a file is read by one task, so large
-    exports should be JSON lines). ``envelope=False``: JSON lines, one visit
-    row per line, which splits across tasks.
-    Date-time fields are ``YYYY-MM-DD hh:mm:ss`` text in both forms.
+    The normal form is JSON lines, one visit row per line, which splits across tasks.
+    ``envelope=True`` reads one document ``{"meta": [...], "data": [{...}, ...], "rows": n}`` (may be
+    gzip-compressed): one task holds the whole file, so this is for small exports only. Groups are
+    parallel arrays (``TrafficSource.Model``, ...); date-time fields are ``YYYY-MM-DD hh:mm:ss`` text.
+    Which columns the export has is read off its first line (or document); the types are fixed, so the
+    data is not read twice.
     """
+    schema = _export_schema()
     if envelope:
-        doc = spark.read.option("multiLine", True).json(path)
-        rows = doc.select(F.explode("data").alias("r")).select("r.*")
+        doc = spark.read.option("multiLine", True).schema(T.StructType([T.StructField("data", T.ArrayType(schema))]))
+        rows = doc.json(path).select(F.explode("data").alias("r")).select("r.*")
+        whole = spark.read.text(path, wholetext=True).select(F.expr("json_object_keys(get_json_object(value, '$.data[0]'))"))
+        present = whole.first()
     else:
-        rows = spark.read.json(path)
-    cols = set(rows.columns)
+        rows = spark.read.schema(schema).json(path)
+        present = spark.read.text(path).select(F.expr("json_object_keys(value)")).first()
+    present = set(present[0] or ()) if present else set(schema.names)
     fixed = []
     for c in rows.columns:
+        if c not in present:
+            continue
         if c == "UTCStartTime":
-            fixed.append(F.to_timestamp_ntz(F.col(c).cast("string")).alias(c))
+            fixed.append(F.to_timestamp_ntz(F.col(c)).alias(c))
         elif c == "TrafficSource.StartTime":
-            fixed.append(F.transform(F.col(f"`{c}`"), lambda x: F.to_timestamp_ntz(x.cast("string"))).alias(c))
+            fixed.append(F.transform(F.col(f"`{c}`"), lambda x: F.to_timestamp_ntz(x)).alias(c))
         elif c == "StartDate":
-            fixed.append(F.to_date(F.col(c).cast("string")).alias(c))
+            fixed.append(F.to_date(F.col(c)).alias(c))
         else:
             fixed.append(F.col(f"`{c}`").alias(c))
-    del cols
     return normalize_raw_visits(rows.select(*fixed))
