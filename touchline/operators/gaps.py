@@ -26,7 +26,7 @@ def visit_gaps(visits: DataFrame, by=("UserID",), hot_user_rows: int | None = HO
     window, the gap across a block boundary from the blocks' first and last
     times (one row per block).
     """
-    t = visits.select(*by, epoch_seconds("UTCStartTime").alias("ts"))
+    t = visits.select(*by, "VisitID", epoch_seconds("UTCStartTime").alias("ts"))
     normal, hot = split_hot(t, list(by), hot_user_rows, block_rows, hot=hot)
     w = Window.partitionBy(*by).orderBy("ts")
     gaps = (normal.select(*by, (F.col("ts") - F.lag("ts").over(w)).alias("gap"))

@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from touchline.session import checkpointed
+
 # A user with more visits than this in the period takes the blocked path.
 HOT_USER_ROWS = 2_000_000
 # Target rows per block of a hot user.
@@ -63,7 +65,7 @@ def hot_key_list(df: DataFrame, key: Sequence[str], threshold: int | None,
     """The hot keys (at most rows / threshold of them), or None when there are none.
 
     At most MAX_BROADCAST_KEYS + 1 keys are collected: up to MAX_BROADCAST_KEYS
-    the list is broadcast, beyond that it stays an ordinary (shuffle-joined) frame.
+    the list is broadcast, beyond that it is stored once and shuffle-joined.
     """
     if threshold is None:
         return None
@@ -72,7 +74,7 @@ def hot_key_list(df: DataFrame, key: Sequence[str], threshold: int | None,
     if not rows:
         return None
     if len(rows) > MAX_BROADCAST_KEYS:
-        return found.select(*key)            # too many to broadcast: an ordinary shuffle-joined frame
+        return checkpointed(found.select(*key), "hot-keys")     # too many to broadcast: stored, shuffle-joined
     return F.broadcast(df.sparkSession.createDataFrame(rows, found.schema).select(*key))
 
 
@@ -87,7 +89,7 @@ def hot_user_lists(visits_ts: DataFrame, threshold: int | None,
     together exceed ``threshold``; a (counter, user) pair is hot for chains when
     it alone does. Rows are counted per pair (partial aggregation), summed per
     user over its few counters, and at most MAX_BROADCAST_KEYS + 1 candidates
-    reach the driver; beyond that both lists stay lazy, shuffle-joined frames.
+    reach the driver; beyond that both lists are stored once and shuffle-joined.
     """
     if threshold is None:
         return None, None
@@ -98,6 +100,7 @@ def hot_user_lists(visits_ts: DataFrame, threshold: int | None,
     if not rows:
         return None, None
     if len(rows) > MAX_BROADCAST_KEYS:
+        found = checkpointed(found, "hot-keys")
         return (found.where(F.col("_un") > threshold).select(user).distinct(),
                 found.where(F.col("_n") > threshold).select(counter, user))
     spark = visits_ts.sparkSession
@@ -117,27 +120,38 @@ def resolve_hot(df: DataFrame, key: Sequence[str], threshold: int | None, hot=AU
     return hot.select(*key) if hot is not None else None
 
 
-def split_hot(df: DataFrame, key: Sequence[str], threshold: int | None,
-              block_rows: int, ts: str = "ts", hot=AUTO) -> tuple[DataFrame, DataFrame | None]:
+#: Pieces that one second of a hot key can be cut into, by equal ranges of its ids.
+SECOND_PIECES = 4096
+
+
+def split_hot(df: DataFrame, key: Sequence[str], threshold: int | None, block_rows: int, ts: str = "ts",
+              order: str = "VisitID", hot=AUTO) -> tuple[DataFrame, DataFrame | None]:
     """(rows of ordinary keys, rows of hot keys with a block number ``blk``).
 
-    The hot keys are found with one small action; their list has at most
-    rows / threshold entries, so it is brought to the driver and broadcast.
-    When there are none the plan has no blocked branch at all.
+    The hot keys are found with one small action; their list has at most rows / threshold entries. When
+    there are none the plan has no blocked branch at all.
 
-    Blocks follow the row count, not the clock: rows are counted per (key,
-    second), ``rows_before`` gives each second the number of earlier rows (in
-    windows of at most one hour of seconds, or one row per hour), and
-    ``blk = earlier_rows div block_rows``. A block therefore holds
-    ``block_rows`` rows plus at most one second's rows, however bursty the
-    key is, and block order is time order.
+    Blocks follow the row count, not the clock, in (``ts``, ``order``) order: rows are counted per (key,
+    second), and a second with more than ``block_rows`` rows is cut into ranges of ``order``, which are
+    counted too; ``rows_before`` gives each of these pieces the number of earlier rows, and
+    ``blk = earlier_rows div block_rows``. A block therefore holds ``block_rows`` rows plus at most one
+    piece's, however bursty the key is, and block order is time order.
     """
     hot = resolve_hot(df, key, threshold, hot, ts)
     if hot is None:
         return df, None
     normal = df.join(hot, list(key), "left_anti")
     hot_rows = df.join(hot, list(key), "left_semi")
-    per_second = hot_rows.groupBy(*key, ts).agg(F.count(F.lit(1)).alias("_c"))
-    blocks = rows_before(per_second, key, ts).select(
-        *key, ts, F.floor(F.col("_before") / F.lit(block_rows)).cast("long").alias("blk"))
-    return normal, hot_rows.join(blocks, [*key, ts], "inner")
+    full = (hot_rows.groupBy(*key, ts).agg(F.count(F.lit(1)).alias("_c"), F.min(order).alias("_lo"),
+                                           F.max(order).alias("_hi"))
+            .where(F.col("_c") > block_rows).drop("_c"))
+    width = (F.col("_hi").cast("double") - F.col("_lo").cast("double") + 1.0) / SECOND_PIECES
+    piece = F.floor((F.col(order).cast("double") - F.col("_lo").cast("double")) / width)
+    pieces = (hot_rows.join(full, [*key, ts], "left")
+              .withColumn("_at", F.col(ts) * SECOND_PIECES
+                          + F.coalesce(F.least(piece, F.lit(SECOND_PIECES - 1)), F.lit(0)).cast("long"))
+              .drop("_lo", "_hi"))
+    counts = pieces.groupBy(*key, "_at").agg(F.count(F.lit(1)).alias("_c"))
+    blocks = rows_before(counts, key, "_at", bucket=3600 * SECOND_PIECES).select(
+        *key, "_at", F.floor(F.col("_before") / F.lit(block_rows)).cast("long").alias("blk"))
+    return normal, pieces.join(blocks, [*key, "_at"], "inner").drop("_at")
