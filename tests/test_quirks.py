@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-import pytest
 from pyspark.sql import functions as F
 
 from touchline.operators import positions
@@ -106,8 +105,11 @@ def test_q13_cut_uses_untruncated_threshold(spark):
 
 
 def test_q15_threshold_below_one_second(spark):
-    with pytest.raises(ValueError):
-        touches(visits_df(spark, [(1, 0, "1")]), 0.5)
+    # int(D) = 0: a marker has its visit's own second; its place in the chain (pos) still comes after it
+    t = touches(visits_df(spark, [(1, 0, "1"), (2, 0, "1"), (3, 7, "1")]), 0.5)
+    assert sorted((r.VisitID, r.seg, r.pos) for r in t.collect()) == [(1, 0, 1), (2, 0, 2), (3, 1, 1)]
+    assert sorted((r.kind, r.seg, r.pos) for r in churn_markers(t, 0.5, "2030-01-01").collect()) == [
+        ("gap", 0, 3), ("tail", 1, 2)]
 
 
 def test_q16_no_gaps(spark):

@@ -30,45 +30,107 @@ CHURN = "0_NULL"
 CHURN_CODE = "null"
 
 
-def churn_markers(t: DataFrame, max_gap: float | None, end_date,
-                  hot_user_rows: int | None = HOT_USER_ROWS, block_rows: int = BLOCK_ROWS,
-                  hot=AUTO) -> DataFrame:
-    """Marker rows for touches ``t`` (from ``touches``).
-
-    Gap markers: one per cut, at (time of the visit before the cut) + int(D).
-    Their local time pairs ranks of two independent sorts, as the source
-    system does: the k-th smallest local time of the user, k being the UTC
-    rank of the visit before the cut.
-    Trailing markers: one per (CounterID, UserID) at max(UTC) + int(D) and
-    max(local) + int(D), kept when that local date <= end_date.
-    Columns: CounterID, UserID, seg, ts, local_ts, kind ('gap' / 'tail'),
-    pos (the segment's length + 1: a marker closes its segment's chain).
+def _timeline(t: DataFrame, d: int, end_date) -> DataFrame:
+    """Visits and churn markers of ordinary users in one frame, from user windows alone.
+
+    Every visit emits itself, the gap marker before it where a cut precedes it, and the trailing marker
+    after the user's last visit. A gap marker takes the k-th smallest local time of the user, k being the
+    UTC rank of the visit before the cut: both are put on one rank axis, where the marker reads the visit
+    with its rank. All windows partition by (CounterID, UserID): one exchange, no join.
     """
-    if max_gap is None:
-        return t.sparkSession.createDataFrame(
-            [], "CounterID long, UserID long, seg long, ts long, local_ts long, kind string, pos long")
-    d = int(max_gap)
+    w = Window.partitionBy(*USER)
+    t = t.select("*", F.lag("pos").over(w.orderBy("idx")).alias("_prev_pos"),
+                 F.lead("idx").over(w.orderBy("idx")).isNull().alias("_last"),
+                 F.row_number().over(w.orderBy("local_ts", "VisitID", "StartDate")).alias("_rank"),
+                 F.max("local_ts").over(w).alias("_max_local"))
+    tail_local = F.col("_max_local") + d
+    tail = F.col("_last") & (F.to_date(ntz_from_seconds(tail_local)) <= F.lit(end_date).cast("date"))
+
+    def row(kind, rank, seg, pos, ts, local_ts):
+        return F.struct(F.lit(kind).alias("kind"), rank.cast("long").alias("rank"), seg.alias("seg"),
+                        pos.cast("long").alias("pos"), ts.alias("ts"), local_ts.cast("long").alias("local_ts"))
+
+    none = F.lit(None)
+    rows = F.array(
+        row("visit", F.col("_rank"), F.col("seg"), F.col("pos"), F.col("ts"), F.col("local_ts")),
+        F.when(F.col("cut"), row("gap", F.col("idx") - 1, F.col("seg") - 1, F.col("_prev_pos") + 1,
+                                 F.col("ts") - F.col("gap") + d, none)),
+        F.when(tail, row("tail", none, F.col("seg"), F.col("pos") + 1, F.col("ts") + d, tail_local)))
+    both = t.select(*USER, "idx", "VisitID", "StartDate", "SourceCode", "Duration", "Conversions", "Revenue",
+                    F.explode(F.array_compact(rows)).alias("_row"))
+    # visits before markers of the same rank
+    at = w.orderBy("_row.rank", F.col("_row.kind").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    paired = F.last(F.when(F.col("_row.kind") == "visit", F.col("_row.local_ts")), ignorenulls=True).over(at)
+    local = F.when(F.col("_row.kind") == "gap", paired + d).otherwise(F.col("_row.local_ts"))
+    both = both.select("*", local.alias("_local"))
+    return both.select(*_element_columns(F.col("_row.kind"), "_row.seg", "_row.pos", "_row.ts", "_local"))
+
+
+def _element_columns(kind, seg, pos, ts, local) -> list:
+    visit = kind == "visit"
+    own = lambda c, default: F.when(visit, F.col(c)).otherwise(F.lit(default))
+    return [*USER, F.col(seg).alias("seg"), F.col(pos).cast("long").alias("pos"), own("VisitID", 0).alias("VisitID"),
+            own("SourceCode", CHURN_CODE).alias("SourceCode"), F.col(ts).alias("ts"), F.col(local).alias("local_ts"),
+            F.when(visit, VISIT).otherwise(CHURN).alias("EventType"),
+            own("Duration", 0).cast("long").alias("Duration"), own("Conversions", 0).cast("long").alias("Conversions"),
+            own("Revenue", 0.0).cast("double").alias("Revenue"), own("idx", 0).cast("long").alias("idx"),
+            F.when(~visit, kind).alias("marker")]
+
+
+def _hot_markers(t: DataFrame, d: int, end_date, hot: DataFrame, block_rows: int) -> DataFrame:
+    """The markers of hot users (rows ``t`` are theirs), by lookups in bounded pieces."""
     gap_rows = t.where("cut").select(
         *USER, (F.col("seg") - 1).alias("seg"), (F.col("ts") - F.col("gap") + d).alias("ts"),
         (F.col("idx") - 1).alias("rank"))
-    hot = resolve_hot(t, USER, hot_user_rows, hot)
-    normal_t = t if hot is None else t.join(hot, USER, "left_anti")
-    local_rank = normal_t.select(
-        *USER, F.col("local_ts"),
-        F.row_number().over(Window.partitionBy(*USER).orderBy("local_ts", "VisitID")).alias("rank"))
-    if hot is not None:
-        local_rank = local_rank.unionByName(_hot_local_ranks(t, gap_rows, hot, block_rows))
-    gap_markers = gap_rows.join(local_rank, USER + ["rank"], "inner").select(
+    local_rank = _hot_local_ranks(t, gap_rows, hot, block_rows)
+    gaps = gap_rows.join(local_rank, USER + ["rank"], "inner").select(
         *USER, "seg", "ts", (F.col("local_ts") + d).alias("local_ts"), F.lit("gap").alias("kind"))
-    tail = t.groupBy(*USER).agg(
-        F.max("seg").alias("seg"), (F.max("ts") + d).alias("ts"),
-        (F.max("local_ts") + d).alias("local_ts"))
+    tail = t.groupBy(*USER).agg(F.max("seg").alias("seg"), (F.max("ts") + d).alias("ts"),
+                                (F.max("local_ts") + d).alias("local_ts"))
     tail = tail.where(F.to_date(ntz_from_seconds("local_ts")) <= F.lit(end_date).cast("date")) \
                .select(*USER, "seg", "ts", "local_ts", F.lit("tail").alias("kind"))
-    # segment lengths: one partial-aggregated count per segment, joined on (user, segment)
     seg_len = t.groupBy(*USER, "seg").agg(F.count(F.lit(1)).alias("n"))
-    return (gap_markers.unionByName(tail).join(seg_len, USER + ["seg"], "inner")
-            .select(*USER, "seg", "ts", "local_ts", "kind", (F.col("n") + 1).alias("pos")))
+    return (gaps.unionByName(tail).join(seg_len, USER + ["seg"], "inner")
+            .select(*USER, "seg", (F.col("n") + 1).alias("pos"), "ts", "local_ts", "kind"))
+
+
+def chain_elements(t: DataFrame, max_gap: float | None, end_date, hot_user_rows: int | None = HOT_USER_ROWS,
+                   block_rows: int = BLOCK_ROWS, hot=AUTO) -> DataFrame:
+    """Visits and churn markers of touches ``t`` in one frame.
+
+    Columns: CounterID, UserID, seg, pos, VisitID, SourceCode, ts, local_ts, EventType, Duration,
+    Conversions, Revenue, idx (the visit's row number in its user, 0 for markers) and marker ('gap',
+    'tail' or NULL). Gap markers: one per cut, at (time of the visit before the cut) + int(D); trailing
+    markers: one per user at max(UTC) + int(D) and max(local) + int(D), kept when that local date is
+    within the period. A marker closes its segment's chain: its pos is the segment's length + 1.
+    Without a threshold there are no markers.
+    """
+    if max_gap is None:
+        t = t.withColumn("_kind", F.lit("visit"))
+        return t.select(*_element_columns(F.col("_kind"), "seg", "pos", "ts", "local_ts"))
+    d = int(max_gap)
+    hot = resolve_hot(t, USER, hot_user_rows, hot)
+    if hot is None:
+        return _timeline(t, d, end_date)
+    hot_t = t.join(hot, USER, "left_semi")
+    marks = _hot_markers(hot_t, d, end_date, hot, block_rows).select(
+        *USER, "seg", "pos", "ts", "local_ts", F.col("kind").alias("_kind"),
+        *[F.lit(None).cast(kind).alias(c) for c, kind in (
+            ("VisitID", "long"), ("SourceCode", "string"), ("Duration", "long"), ("Conversions", "long"),
+            ("Revenue", "double"), ("idx", "long"))])
+    visits = hot_t.select(*[F.col(c) for c in marks.columns if c != "_kind"], F.lit("visit").alias("_kind"))
+    both = visits.unionByName(marks)
+    both = both.select(*_element_columns(F.col("_kind"), "seg", "pos", "ts", "local_ts"))
+    return _timeline(t.join(hot, USER, "left_anti"), d, end_date).unionByName(both)
+
+
+def churn_markers(t: DataFrame, max_gap: float | None, end_date,
+                  hot_user_rows: int | None = HOT_USER_ROWS, block_rows: int = BLOCK_ROWS,
+                  hot=AUTO) -> DataFrame:
+    """The marker rows alone: CounterID, UserID, seg, ts, local_ts, kind ('gap' / 'tail'), pos."""
+    el = chain_elements(t, max_gap, end_date, hot_user_rows, block_rows, hot)
+    return el.where(F.col("marker").isNotNull()).select(
+        *USER, "seg", "ts", "local_ts", F.col("marker").alias("kind"), "pos")
 
 
 def _hot_local_ranks(t: DataFrame, gap_rows: DataFrame, hot: DataFrame, block_rows: int) -> DataFrame:
@@ -87,19 +149,6 @@ def _hot_local_ranks(t: DataFrame, gap_rows: DataFrame, hot: DataFrame, block_ro
         *USER, F.col("value").alias("local_ts"), F.col("pos").alias("rank"))
 
 
-def chain_elements(t: DataFrame, markers: DataFrame) -> DataFrame:
-    """Visits and markers in one frame, ordered per user by (ts, EventType, VisitID)."""
-    visits = t.select(*USER, "seg", F.col("pos").cast("long").alias("pos"), "VisitID", "SourceCode", "ts", "local_ts",
-                      F.lit(VISIT).alias("EventType"), F.col("Duration").cast("long").alias("Duration"),
-                      F.col("Conversions").cast("long").alias("Conversions"),
-                      F.col("Revenue").cast("double").alias("Revenue"))
-    marks = markers.select(*USER, "seg", "pos", F.lit(0).cast("long").alias("VisitID"),
-                           F.lit(CHURN_CODE).alias("SourceCode"), "ts", "local_ts",
-                           F.lit(CHURN).alias("EventType"), F.lit(0).cast("long").alias("Duration"),
-                           F.lit(0).cast("long").alias("Conversions"), F.lit(0.0).alias("Revenue"))
-    return visits.unionByName(marks)
-
-
 def visits_ahead(elements: DataFrame, max_gap: float | None,
                  hot_user_rows: int | None = HOT_USER_ROWS, block_rows: int = BLOCK_ROWS,
                  hot=AUTO) -> DataFrame:
@@ -110,9 +159,9 @@ def visits_ahead(elements: DataFrame, max_gap: float | None,
 
     With F(x) = visits at or before x (a growing range frame, linear),
     VisitsSum = F(t + int(D)) - F(t). The second lower bound differs per row,
-    so G(t + e) (visits strictly before t + e) comes from probe rows merged
-    into the same per-user order, probes first within a second; the result
-    is F(t + int(D)) - G(t + e), floored at 0.
+    so G(t + e) (visits strictly before t + e) comes from probe rows in the same
+    per-user order; the result is F(t + int(D)) - G(t + e), floored at 0.
+    ``elements`` come from ``chain_elements`` (``idx`` tells a user's visits apart).
     """
     d = int(max_gap) if max_gap is not None else 0
     hot = resolve_hot(elements, USER, hot_user_rows, hot)
@@ -137,7 +186,7 @@ def _visits_ahead_hot(elements: DataFrame, d: int) -> DataFrame:
     per_sec = visits.groupBy(*USER, "ts").agg(F.count(F.lit(1)).alias("_c"))
     cum = rows_before(per_sec, USER, "ts").select(
         *USER, F.col("ts").alias("pos"), (F.col("_before") + F.col("_c")).alias("value"))
-    ekey = USER + ["VisitID", "ts", "EventType"]
+    ekey = USER + ["idx", "EventType", "ts"]     # idx tells visits apart, the time markers
     e_lo = F.col("ts") + F.greatest(F.col("Duration"), F.lit(1)) - 1
     asks = elements.select(*ekey, F.explode(F.array(
         F.struct(F.lit("at").alias("q"), F.col("ts").alias("x")),
@@ -157,25 +206,28 @@ def _visits_ahead_hot(elements: DataFrame, d: int) -> DataFrame:
 
 
 def _visits_ahead_plain(elements: DataFrame, d: int) -> DataFrame:
-    is_visit = (F.col("EventType") == VISIT).cast("long")
-    by_time = Window.partitionBy(*USER).orderBy("ts")
-    upto = lambda hi: F.sum(is_visit).over(by_time.rangeBetween(Window.unboundedPreceding, hi))
-    # each visit also emits a probe at t + e (kind 0); kind 1 marks the visit itself, so a probe
-    # sorts before the visits of its own second and its running count is G(t + e)
-    visit_row = F.struct(F.col("ts").alias("p_ts"), F.lit(1).alias("kind"))
-    probe_row = F.struct((F.col("ts") + F.greatest(F.col("Duration"), F.lit(1))).alias("p_ts"),
-                         F.lit(0).alias("kind"))
-    points = (elements.where(F.col("EventType") == VISIT)
-              .select(*USER, "VisitID", F.explode(F.array(visit_row, probe_row)).alias("p"))
-              .select(*USER, "VisitID", "p.p_ts", "p.kind"))
-    w = Window.partitionBy(*USER).orderBy("p_ts", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    before = (points.select(*USER, "VisitID", "kind", F.sum("kind").over(w).alias("_g"))
-              .where(F.col("kind") == 0).select(*USER, "VisitID", "_g"))
-    e = elements.select("*", (upto(d) - upto(0)).alias("VisitsSum"), upto(d).alias("_f_end"))
-    out = e.join(before, USER + ["VisitID"], "left")
-    after = F.when(F.col("EventType") == VISIT,
-                   F.greatest(F.col("_f_end") - F.col("_g"), F.lit(0))).otherwise(F.col("VisitsSum"))
-    return out.select(*elements.columns, "VisitsSum", after.cast("long").alias("VisitsSumAfterDuration"))
+    """Visits ahead of ordinary users, in user windows without a join.
+
+    Every visit also emits a probe at t + e. On one time order F(t), F(t + d) (visits at or before) and,
+    for a probe, G(t + e) (visits strictly before its time) are three growing frames; a second window over
+    the visit's own rows hands the probe's count to the visit.
+    """
+    visit = F.col("EventType") == VISIT
+    here = F.struct(F.col("ts").alias("at"), F.lit(False).alias("probe"))
+    probe = F.struct((F.col("ts") + F.greatest(F.col("Duration"), F.lit(1))).alias("at"), F.lit(True).alias("probe"))
+    points = elements.select("*", F.explode(F.when(visit, F.array(here, probe)).otherwise(F.array(here))).alias("_p"))
+    points = points.select("*", F.col("_p.at").alias("_at"), F.col("_p.probe").alias("_probe"),
+                           ((F.col("EventType") == VISIT) & ~F.col("_p.probe")).cast("long").alias("_one"))
+    by_time = Window.partitionBy(*USER).orderBy("_at")
+    upto = lambda hi: F.coalesce(
+        F.sum("_one").over(by_time.rangeBetween(Window.unboundedPreceding, hi)), F.lit(0))
+    points = points.select("*", upto(0).alias("_f"), upto(d).alias("_f_end"), upto(-1).alias("_before"))
+    same = Window.partitionBy(*USER, "idx", "EventType")
+    points = points.select("*", F.max(F.when(F.col("_probe"), F.col("_before"))).over(same).alias("_g"))
+    ahead = F.col("_f_end") - F.col("_f")
+    after = F.when(visit, F.greatest(F.col("_f_end") - F.col("_g"), F.lit(0))).otherwise(ahead)
+    return points.where(~F.col("_probe")).select(*elements.columns, ahead.cast("long").alias("VisitsSum"),
+                                                 after.cast("long").alias("VisitsSumAfterDuration"))
 
 
 def chains(t: DataFrame, max_gap: float | None, end_date,
@@ -190,8 +242,8 @@ def chains(t: DataFrame, max_gap: float | None, end_date,
     rows with pos <= its pos; reports use only chains that end in a visit.
     """
     hot = resolve_hot(t, USER, hot_user_rows, hot)
-    markers = churn_markers(t, max_gap, end_date, hot_user_rows, block_rows, hot=hot)
-    el = visits_ahead(chain_elements(t, markers), max_gap, hot_user_rows, block_rows, hot=hot)
+    el = chain_elements(t, max_gap, end_date, hot_user_rows, block_rows, hot=hot)
+    el = visits_ahead(el, max_gap, hot_user_rows, block_rows, hot=hot)
     return el.select(
         F.to_date(ntz_from_seconds("local_ts")).alias("StartDate"), "UserID", "CounterID",
         F.col("seg").alias("chain"), F.col("pos").cast("long").alias("pos"), "VisitID", "SourceCode",

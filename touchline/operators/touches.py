@@ -35,7 +35,7 @@ from touchline.operators.visits import with_source_code
 from touchline.session import checkpointed
 
 USER = ["CounterID", "UserID"]
-ORDER = ["ts", "VisitID"]
+ORDER = ["ts", "VisitID", "StartDate"]
 SEG = USER + ["seg"]
 
 _UNB = Window.unboundedPreceding
@@ -59,17 +59,12 @@ def money(c):
     return c.cast("decimal(18,2)")
 
 
-def check_threshold(max_gap: float | None) -> None:
-    if max_gap is not None and max_gap < 1:
-        raise ValueError("churn threshold below one second: markers would sort before their own "
-                         "visit; pass a threshold of at least 1")
-
-
 def _prepare(visits: DataFrame, with_source: bool, literal_banner_column: bool = False) -> DataFrame:
     v = with_source_code(visits, literal_banner_column) if with_source else visits
     return v.select(
         *USER, "VisitID", "StartDate", "UTCStartTime", "StartTime", "Duration", "SourceCode",
-        "Conversions", "Revenue",
+        # a visit table from elsewhere may hold NULL for "none"; one NULL would void its whole chain's credit
+        F.coalesce("Conversions", F.lit(0)).alias("Conversions"), F.coalesce("Revenue", F.lit(0.0)).alias("Revenue"),
         epoch_seconds("UTCStartTime").alias("ts"), epoch_seconds("StartTime").alias("local_ts"),
     )
 
@@ -104,7 +99,6 @@ def touches(visits: DataFrame, max_gap: float | None, exact_ad_prefix: bool = Fa
     ``literal_banner_column=True`` builds ``3_1_<type>`` codes from the column
     the source system actually stored in the banner slot (RecommendationSystemID).
     """
-    check_threshold(max_gap)
     v = _prepare(visits, with_source, literal_banner_column)
     normal, hot = split_hot(v, USER, hot_user_rows, block_rows, hot=hot)
     out = _finish(_credits_plain(_touches_plain(normal, max_gap, exact_ad_prefix)))
