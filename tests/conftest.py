@@ -15,7 +15,7 @@ SF001 = "/root/testdata/sf0.001"
 def spark():
     from touchline.session import get_session
     wh = tempfile.mkdtemp(prefix="touchline-wh-")
-    s = get_session("local[*]", shuffle_partitions=8, app_name="touchline-tests",
+    s = get_session("local[*]", shuffle_partitions=3, app_name="touchline-tests",
                     extra={"spark.sql.warehouse.dir": wh, "spark.driver.memory": "4g"})
     yield s
     s.stop()
@@ -23,7 +23,7 @@ def spark():
 
 @pytest.fixture(scope="session")
 def raw001(spark):
-    from touchline.sources.events_adapter import raw_visits_from_events
+    from touchline.plans.fixture import raw_visits_from_events
     return raw_visits_from_events(spark.read.parquet(f"{SF001}/events.parquet")).cache()
 
 

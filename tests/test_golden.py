@@ -7,7 +7,7 @@ import pytest
 from touchline.operators import attribution, positions, reports
 from touchline.operators.chains import chains, history_of
 from touchline.operators.touches import touches
-from touchline.sources.names import default_source_names
+from touchline.plans.fixture import fixture_names
 from tests.helpers import BASE, by_code, visits_df
 
 F1 = [  # visit_id, t, code, conv, rev, duration
@@ -52,7 +52,7 @@ def test_simple_attributions(f1):
 
 def test_associated(f1, spark):
     _, m = f1
-    rep = by_code(reports.with_names(reports.associated_conversions(m), default_source_names(spark)))
+    rep = by_code(reports.with_names(reports.associated_conversions(m), fixture_names(spark)))
     assert {k: (v["AssociatedVisits"], v["AssociatedConvs"], v["AssociatedRevenue"]) for k, v in rep.items()} == {
         "2_2": (4, 1, 10.0), "3_1_2": (2, 1, 10.0), "0": (3, 2, 15.0)}
     assert rep["0"]["SourceName"] == "Direct"

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from touchline.operators.gaps import gap_quantile
 from touchline.operators.visits import latest_live_visits
 from touchline.sources import (
-    append_tsv, default_source_names, load_json_dump, read_source_names, user_bucket, user_sample,
+    append_tsv, load_json_dump, no_source_names, read_source_names, user_bucket, user_sample,
     write_report_tsv, write_visits,
 )
-from touchline.sources.names import bundled_name_rows
+from touchline.plans.fixture import fixture_name_rows, fixture_names
 
 
 def test_events_adapter_rows(raw001):
@@ -44,7 +44,7 @@ def test_json_dump_envelope(spark, tmpdir_path):
     path = os.path.join(tmpdir_path, "dump.json.gz")
     with gzip.open(path, "wt") as f:
         json.dump(doc, f)
-    raw = load_json_dump(spark, path)
+    raw = load_json_dump(spark, path, envelope=True)
     v = {r.VisitID: r for r in latest_live_visits(raw, "2024-01-01", "2024-01-31", [-1]).collect()}
     assert (v[9].TraficSourceID, v[9].SearchEngineID, v[9].Revenue) == (2, 3, 2.5)
     assert v[10].Conversions == 0
@@ -57,8 +57,8 @@ def test_json_dump_envelope(spark, tmpdir_path):
 
 
 def test_names_tsv_and_report_tsv(spark, tmpdir_path):
-    names = default_source_names(spark)
-    assert names.count() == len(bundled_name_rows())
+    names = fixture_names(spark)
+    assert names.count() == len(fixture_name_rows())
     assert dict(names.collect())["-1"] == "Internal"  # codes stay text
     out = os.path.join(tmpdir_path, "report")
     write_report_tsv(names, out)
@@ -129,7 +129,11 @@ def test_command_line_job(spark, raw001, tmpdir_path, capsys):
     raw_dir = os.path.join(tmpdir_path, "raw")
     raw001.write.parquet(raw_dir)
     out = os.path.join(tmpdir_path, "out")
-    main(["--raw", raw_dir, "--start", "2024-01-02", "--end", "2024-01-29", "--goals", "-1", "--out", out])
+    chains_out, visits_out = os.path.join(tmpdir_path, "chains"), os.path.join(tmpdir_path, "visits")
+    main(["--raw", raw_dir, "--start", "2024-01-02", "--end", "2024-01-29", "--goals", "-1", "--out", out,
+          "--chains-out", chains_out, "--visits-out", visits_out])
+    assert spark.read.parquet(visits_out).count() == 887
+    assert spark.read.parquet(chains_out).where("EventType = '2_VISIT'").count() == 887
     back = spark.read.option("sep", "\t").option("header", True).csv(os.path.join(out, "simple_attributions"))
     assert back.count() == 34 and "LinearAttrVisits" in back.columns
     assert "== conv_chains ==" in capsys.readouterr().out

@@ -2,7 +2,7 @@
 
     python -m touchline --raw PATH --start 2020-07-01 --end 2020-09-30 --goals -1 --out DIR
 
-Reads raw visits (parquet, or a JSON export with --json), builds the visit
+Reads raw visits (parquet, or a JSON export with --json-lines), builds the visit
 and touch tables (checkpointed to spark.checkpoint.dir), writes the three
 reports as tab-separated files under DIR and prints the four top-10 views.
 """
@@ -21,12 +21,15 @@ from touchline.sources import load_json_dump, read_raw_visits, read_source_names
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="touchline")
     ap.add_argument("--raw", required=True, help="raw visit table (parquet directory or JSON export)")
-    ap.add_argument("--json", action="store_true", help="--raw is a JSON export (envelope form)")
+    ap.add_argument("--json-lines", action="store_true", help="--raw is a JSON export, one visit row per line")
+    ap.add_argument("--json", action="store_true", help="--raw is a small JSON export of one document")
     ap.add_argument("--start", required=True)
     ap.add_argument("--end", required=True)
     ap.add_argument("--goals", default="-1",
                     help="comma-separated goal ids; -1 = purchases; empty = every visit converts")
-    ap.add_argument("--names", help="SourceCode<TAB>SourceName file (default: bundled table)")
+    ap.add_argument("--names", help="SourceCode<TAB>SourceName file (default: no names)")
+    ap.add_argument("--visits-out", help="keep the live visits here (partitioned by StartDate)")
+    ap.add_argument("--chains-out", help="write the chain table here (partitioned by StartDate)")
     ap.add_argument("--out", required=True, help="output directory for the report files")
     ap.add_argument("--master", default=None, help="Spark master (default: as configured)")
     ap.add_argument("--top", type=int, default=10)
@@ -37,13 +40,16 @@ def main(argv=None) -> None:
 
     # without --master the launcher's master (spark-submit) and partition settings are kept
     spark = get_session(a.master, shuffle_partitions=None)
-    raw = load_json_dump(spark, a.raw) if a.json else read_raw_visits(spark, a.raw)
+    raw = (load_json_dump(spark, a.raw, envelope=a.json) if a.json or a.json_lines
+           else read_raw_visits(spark, a.raw))
     goals = [int(g) for g in a.goals.split(",") if g.strip()]
     names = read_source_names(spark, a.names) if a.names else None
     ca = ChainAnalytics(spark, raw, a.start, a.end, goals=goals, source_names=names,
                         hot_user_rows=a.hot_user_rows, block_rows=a.block_rows)
-    ca.prepare_visits()
+    ca.prepare_visits(a.visits_out)
     ca.combine_visits(materialize=True)
+    if a.chains_out:
+        ca.chains(a.chains_out)
     for name, report in [("simple_attributions", ca.simple_attributions()),
                          ("associated_conversions", ca.associated_conversions()),
                          ("source_in_chains_metrics", ca.source_in_chains_metrics())]:

@@ -148,6 +148,16 @@ POSITION_PARTS = {
                                 ("last_touch_conv_total", "last_cc", "tot_conv_chains")]),
 }
 
+# The parts in the order of the display tables.
+_DISPLAYED = ["pos_weight", "pos_unique_chains", "pos_first_all", "pos_first_2plus", "pos_middle", "pos_last_all",
+              "pos_last_2plus"]
+
+
+def displayed_columns(converting: bool = False) -> list[str]:
+    """Metric columns of the chains display table, over all chains or over converting ones."""
+    return [POSITION_PARTS[part][1][int(converting)][0] for part in _DISPLAYED]
+
+
 
 def position_part(measures: DataFrame, part: str) -> DataFrame:
     """One of the seven position metric pairs, listing only sources that occur in that part."""

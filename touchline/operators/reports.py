@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.formats import percent_text, thousands_text
+from touchline.operators.positions import displayed_columns
 from touchline.sources.names import UNKNOWN_SOURCE_NAME
 
 SIMPLE_COLUMNS = {
@@ -73,3 +74,16 @@ def top_sources_report(report: DataFrame, metric: str, k: int = 10,
             e = F.col(c)
         out.append(e.alias(labels.get(c, c)))
     return top.select(*out)
+
+
+def top_associated(report: DataFrame, k: int = 10, labels: dict[str, str] | None = None) -> DataFrame:
+    """The display table of associated conversions."""
+    kinds = dict(zip(ASSOCIATED_COLUMNS, ("thousands", "thousands", "money")))
+    return top_sources_report(report, "AssociatedConvs", k, ["SourceName", *kinds], labels, kinds)
+
+
+def top_chains(report: DataFrame, converting: bool = False, k: int = 10,
+               labels: dict[str, str] | None = None) -> DataFrame:
+    """The display table of position shares, by the share of unique (converting) chains."""
+    cols = displayed_columns(converting)
+    return top_sources_report(report, cols[1], k, ["SourceName", *cols], labels, {c: "percent" for c in cols})

@@ -28,8 +28,8 @@ from touchline.operators.gaps import gap_quantile
 from touchline.operators.skew import AUTO, BLOCK_ROWS, HOT_USER_ROWS, hot_user_lists
 from touchline.operators.touches import touches
 from touchline.operators.visits import latest_live_visits
-from touchline.session import checkpointed
-from touchline.sources.names import UNKNOWN_SOURCE_NAME, default_source_names
+from touchline.session import checkpointed, delete_paths, recorded
+from touchline.sources.names import UNKNOWN_SOURCE_NAME, no_source_names
 from touchline.sources.sinks import write_chains, write_visits
 
 
@@ -41,6 +41,8 @@ class ChainAnalytics:
                  unknown_name: str = UNKNOWN_SOURCE_NAME, exact_ad_prefix: bool = False,
                  hot_user_rows: int | None = HOT_USER_ROWS, block_rows: int = BLOCK_ROWS,
                  literal_banner_column: bool = False):
+        if max_gap is not None and max_gap < 0:
+            raise ValueError("max_gap must not be negative")
         self.spark = spark
         self.raw_visits = raw_visits
         self.start_date = start_date
@@ -60,21 +62,21 @@ class ChainAnalytics:
         self._touches = None
         self._measures = None
         self._persisted: list[DataFrame] = []
+        self._stored: list[str] = []
         self._hot = AUTO
 
     # -- step 1 --------------------------------------------------------
     def prepare_visits(self, path: str | None = None, persist: bool = True) -> DataFrame:
-        """The live visits. With ``path`` they are written (partitioned by
-        StartDate) and read back; otherwise, when the churn threshold still has
-        to be computed from them, they are persisted (memory, spilling to
-        disk) so the quantile pass and the chain pass share one collapse."""
+        """The live visits. With ``path`` they are written (partitioned by StartDate) and read back;
+        otherwise they are stored under ``spark.checkpoint.dir``, since the hot-user count, the quantile
+        and the chain pass all read them (``persist=False``: left as a plan)."""
         v = latest_live_visits(self.raw_visits, self.start_date, self.end_date, self.goals)
         if path:
             write_visits(v, path)
             v = self.spark.read.parquet(path)
-        elif persist and self._max_gap is None:
-            v = v.persist(StorageLevel.MEMORY_AND_DISK)
-            self._persisted.append(v)
+        elif persist:
+            with recorded(self._stored):
+                v = checkpointed(v, "visits")
         self._visits = v
         return v
 
@@ -96,12 +98,13 @@ class ChainAnalytics:
         kept: written under ``spark.checkpoint.dir`` and read back with
         ``materialize=True`` (lineage cut, survives executor loss), else
         persisted (memory, spilling to disk; lost blocks are recomputed)."""
-        t = touches(self.visits, self.visit_gap_threshold(), self.exact_ad_prefix,
-                    hot_user_rows=self.hot_user_rows, block_rows=self.block_rows, hot=self.hot_users(),
-                    literal_banner_column=self.literal_banner_column)
-        if materialize:
-            t = checkpointed(t, "touches")
-        elif persist:
+        threshold, hot = self.visit_gap_threshold(), self.hot_users()
+        with recorded(self._stored):
+            t = touches(self.visits, threshold, self.exact_ad_prefix, hot_user_rows=self.hot_user_rows,
+                        block_rows=self.block_rows, hot=hot, literal_banner_column=self.literal_banner_column)
+            if materialize:
+                t = checkpointed(t, "touches")
+        if persist and not materialize:
             t = t.persist(StorageLevel.MEMORY_AND_DISK)
             self._persisted.append(t)
         self._touches = t
@@ -115,7 +118,8 @@ class ChainAnalytics:
     def _hot_lists(self):
         """(hot UserIDs, hot (CounterID, UserID) pairs), found once with one aggregation."""
         if self._hot is AUTO:
-            self._hot = hot_user_lists(self.visits.select("CounterID", "UserID"), self.hot_user_rows)
+            with recorded(self._stored):
+                self._hot = hot_user_lists(self.visits.select("CounterID", "UserID"), self.hot_user_rows)
         return self._hot
 
     def hot_users(self) -> DataFrame | None:
@@ -140,13 +144,15 @@ class ChainAnalytics:
         return self._measures
 
     def release(self) -> None:
-        """Drop the persisted intermediates."""
+        """Drop the persisted intermediates and delete those stored under ``spark.checkpoint.dir``
+        (visits or chains written to a path of the caller's stay)."""
         for df in self._persisted:
             df.unpersist()
         self._persisted.clear()
+        delete_paths(self.spark, self._stored)
 
     def _names(self) -> DataFrame:
-        return self.source_names if self.source_names is not None else default_source_names(self.spark)
+        return self.source_names if self.source_names is not None else no_source_names(self.spark)
 
     @staticmethod
     def _shown(df: DataFrame, debug: bool) -> DataFrame:
@@ -170,23 +176,12 @@ class ChainAnalytics:
         """The display tables: ``simple`` (by LastClickRevenue), ``associated`` (by
         AssociatedConvs, counts with thousands separators), ``chains`` / ``conv_chains``
         (position shares as percentages, by unique_chains_perc / unique_conv_chains_perc)."""
-        pct = ["in_chain_perc_total", "unique_chains_perc", "first_touch_total", "first_touch_2plus",
-               "mid_touch_3plus", "last_touch_total", "last_touch_2plus"]
-        conv_pct = ["in_conv_chains_perc_total", "unique_conv_chains_perc", "first_touch_conv_total",
-                    "first_touch_conv_2plus", "mid_touch_conv_3plus", "last_touch_conv_total",
-                    "last_touch_conv_2plus"]
         if view == "simple":
             return reports.top_sources_report(self.simple_attributions(), "LastClickRevenue", k, labels=labels)
         if view == "associated":
-            cols = ["SourceName", "AssociatedVisits", "AssociatedConvs", "AssociatedRevenue"]
-            return reports.top_sources_report(
-                self.associated_conversions(), "AssociatedConvs", k, cols, labels,
-                {"AssociatedVisits": "thousands", "AssociatedConvs": "thousands", "AssociatedRevenue": "money"})
+            return reports.top_associated(self.associated_conversions(), k, labels)
         if view in ("chains", "conv_chains"):
-            cols = pct if view == "chains" else conv_pct
-            return reports.top_sources_report(
-                self.source_in_chains_metrics(), cols[1], k, ["SourceName", *cols], labels,
-                {c: "percent" for c in cols})
+            return reports.top_chains(self.source_in_chains_metrics(), view == "conv_chains", k, labels)
         raise ValueError(f"unknown view {view!r}")
 
     # -- the stand-alone parts, as the source system queries them -------

@@ -7,10 +7,15 @@ row, so the same rows can be produced by the SQL oracle. The lists below are
 the fixture's own design (FIXTURES.md, F2).
 """
 
-from pyspark.sql import DataFrame
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.functions.time import ntz_from_seconds
+from touchline.schema import SOURCE_NAMES
 
 # Fixture values (F2): lookup lists indexed from zero.
 SOURCE_IDS = [0, 1, 2, 2, 3, 3, 3, 3, 8, 9, 10, -1, 4, 5, 7, 11]
@@ -96,3 +101,16 @@ def raw_visits_from_events(events: DataFrame) -> DataFrame:
         purchases.alias("EPurchase"),
         goals.alias("Goals"),
     )
+
+
+def fixture_name_rows() -> list[tuple[str, str]]:
+    """The fixture's own source labels; some codes are left out on purpose."""
+    path = os.path.join(os.path.dirname(__file__), "fixture_names.tsv")
+    with open(path, encoding="utf-8") as f:
+        lines = [line.rstrip("\n") for line in f]
+    return [tuple(line.split("\t", 1)) for line in lines[1:] if line]
+
+
+def fixture_names(spark: SparkSession) -> DataFrame:
+    """The labels as a frame made on the driver: executors need no file of this package."""
+    return spark.createDataFrame(fixture_name_rows(), SOURCE_NAMES)

@@ -12,9 +12,10 @@ Tables: the driver's ``events`` view. Times are epoch seconds throughout.
 
 from __future__ import annotations
 
-from touchline.operators.positions import POSITION_PARTS
+from touchline.operators.positions import POSITION_PARTS, displayed_columns
+from touchline.plans.fixture import fixture_name_rows
 from touchline.plans.registry import END, START
-from touchline.sources.names import UNKNOWN_SOURCE_NAME, bundled_name_rows
+from touchline.sources.names import UNKNOWN_SOURCE_NAME
 
 GOALS_PURCHASES = "purchases"
 
@@ -93,14 +94,23 @@ def _conv_rev(goals) -> tuple[str, str]:
     return conv, rev
 
 
-def visits_cte(goals=(-1,)) -> str:
+# visit ids that start again at 1 on every date of a user
+REPEATED_IDS = """repeated AS (
+  SELECT * REPLACE (dense_rank() OVER (PARTITION BY CounterID, UserIDHash, StartDate ORDER BY VisitID) AS VisitID)
+  FROM raw
+)"""
+
+
+def visits_cte(goals=(-1,), repeated_ids: bool = False) -> str:
     conv, rev = _conv_rev(list(goals))
+    source = "repeated" if repeated_ids else "raw"
     return f"""{RAW},
+{REPEATED_IDS + "," if repeated_ids else ""}
 rv AS (
   SELECT CounterID, UserIDHash AS UserID, VisitID, StartDate, VisitVersion, Sign, UTCStartTime, Duration,
          list_filter(TrafficSource, lambda t: t.Model = 1)[1] AS m1,
          {conv} AS conv, {rev} AS rev
-  FROM raw
+  FROM {source}
   WHERE StartDate >= DATE '{START}' AND StartDate <= DATE '{END}'
 ),
 vis AS (
@@ -256,7 +266,7 @@ FROM ch GROUP BY 1""",
 
 
 def _names_cte() -> str:
-    rows = ", ".join(f"({_sql_str(c)}, {_sql_str(n)})" for c, n in bundled_name_rows())
+    rows = ", ".join(f"({_sql_str(c)}, {_sql_str(n)})" for c, n in fixture_name_rows())
     return f"names(SourceCode, SourceName) AS (VALUES {rows})"
 
 
@@ -329,32 +339,28 @@ FROM vsrc"""
 
 
 MARKERS_CTE = f"""
-uarr AS (
-  SELECT CounterID, UserID, list_sort(list(ts)) AS utc_times, list_sort(list(local_ts)) AS times,
-         max(ts) AS max_ts, max(local_ts) AS max_local
-  FROM vsrc GROUP BY CounterID, UserID
-),
-gapm AS (
-  SELECT CounterID, UserID, i, utc_times[i] + (SELECT di FROM thr) AS ts, times[i] + (SELECT di FROM thr) AS local_ts,
-         utc_times[i + 1] - utc_times[i] AS diff
-  FROM (SELECT *, unnest(range(1, len(utc_times))) AS i FROM uarr)
+ranked AS (
+  SELECT CounterID, UserID, ts, local_ts,
+    row_number() OVER (PARTITION BY CounterID, UserID ORDER BY ts, VisitID) AS by_utc,
+    row_number() OVER (PARTITION BY CounterID, UserID ORDER BY local_ts, VisitID) AS by_local,
+    lead(ts) OVER (PARTITION BY CounterID, UserID ORDER BY ts, VisitID) AS following
+  FROM vsrc
 ),
-markers AS (
-  SELECT CounterID, UserID,
-    CAST(sum(CASE WHEN diff > (SELECT d FROM thr) THEN 1 ELSE 0 END) OVER (PARTITION BY CounterID, UserID ORDER BY i
-         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT) AS seg0,
-    ts, local_ts, 'gap' AS kind, diff
-  FROM gapm
+ends AS (
+  SELECT *, row_number() OVER (PARTITION BY CounterID, UserID ORDER BY by_utc) - 1 AS seg
+  FROM ranked WHERE following - ts > (SELECT d FROM thr)
 ),
 all_markers AS (
-  SELECT CounterID, UserID, coalesce(seg0, 0) AS seg, ts, local_ts, kind FROM markers WHERE diff > (SELECT d FROM thr)
+  SELECT e.CounterID, e.UserID, CAST(e.seg AS BIGINT) AS seg, e.ts + (SELECT di FROM thr) AS ts,
+    r.local_ts + (SELECT di FROM thr) AS local_ts, 'gap' AS kind
+  FROM ends e JOIN ranked r ON r.CounterID = e.CounterID AND r.UserID = e.UserID AND r.by_local = e.by_utc
   UNION ALL
-  SELECT CounterID, UserID,
-    (SELECT CAST(count(*) AS BIGINT) FROM gapm g WHERE g.CounterID = u.CounterID AND g.UserID = u.UserID
-       AND g.diff > (SELECT d FROM thr)) AS seg,
-    max_ts + (SELECT di FROM thr), max_local + (SELECT di FROM thr), 'tail'
-  FROM uarr u
-  WHERE make_timestamp((max_local + (SELECT di FROM thr)) * 1000000)::DATE <= DATE '{END}'
+  SELECT l.CounterID, l.UserID, CAST(coalesce(n, 0) AS BIGINT), l.ts + (SELECT di FROM thr),
+    l.local_ts + (SELECT di FROM thr), 'tail'
+  FROM (SELECT CounterID, UserID, max(ts) AS ts, max(local_ts) AS local_ts FROM vsrc GROUP BY ALL) l
+  LEFT JOIN (SELECT CounterID, UserID, count(*) AS n FROM ends GROUP BY ALL) c
+    ON c.CounterID = l.CounterID AND c.UserID = l.UserID
+  WHERE make_timestamp((l.local_ts + (SELECT di FROM thr)) * 1000000)::DATE <= DATE '{END}'
 ),
 elements AS (
   SELECT CounterID, UserID, VisitID, SourceCode, ts, local_ts, '2_VISIT' AS EventType,
@@ -385,11 +391,11 @@ el2 AS (
 )"""
 
 
-def chains_sql() -> str:
+def chains_sql(repeated_ids: bool = False) -> str:
     # the history of each element as the original builds it (a list over the chain up to the
     # element); its length is the element's position in the chain
     w = "OVER (PARTITION BY CounterID, UserID, chain_id ORDER BY ts, EventType, VisitID ROWS UNBOUNDED PRECEDING)"
-    return f"""{_with(visits_cte(), _threshold_cte(), MARKERS_CTE)}
+    return f"""{_with(visits_cte(repeated_ids=repeated_ids), _threshold_cte(), MARKERS_CTE)}
 SELECT {_day('local_ts')} AS StartDate, UserID, CounterID, chain_id AS chain,
   CAST(len(list(VisitID) {w}) AS BIGINT) AS pos, VisitID, SourceCode, local_ts AS StartTime,
   ts AS UTCStartTime, EventType, Duration, VisitsSum, VisitsSumAfterDuration, Conversions, Revenue
@@ -411,6 +417,8 @@ SELECT CAST(CounterID AS BIGINT) AS CounterID, UserIDHash, VisitID, CAST(VisitVe
   array_to_string(list_transform(Goals, lambda g: CAST(g.Price AS VARCHAR)), ',') AS goal_prices
 FROM raw"""
     q["latest_live_visits"] = _visits_out([-1])
+    q["raw_visits_flat"] = f"SELECT * REPLACE (CAST(0 AS BIGINT) AS MessengerID) FROM ({_visits_out([-1])})"
+    q["visits_null_groups"] = _visits_out([-1])
     q["visits_goals_each_visit"] = _visits_out([])
     q["visits_goals_list"] = _visits_out([10, 20])
     q["source_code_counts"] = f"""{_with(visits_cte())}
@@ -430,7 +438,10 @@ SELECT CounterID, UserID, seg, ts, local_ts, kind FROM all_markers"""
 SELECT CounterID, UserID, VisitID, EventType, ts, VisitsSum FROM el2"""
     q["visits_ahead_after_duration"] = f"""{_with(visits_cte(), _threshold_cte(), MARKERS_CTE)}
 SELECT CounterID, UserID, VisitID, EventType, ts, Duration, VisitsSumAfterDuration FROM el2"""
-    q["chains_array"] = chains_sql()
+    q["chains_array"] = q["chains_blocked"] = chains_sql()
+    q["chains_repeated_ids"] = chains_sql(repeated_ids=True)
+    q["gap_quantile_blocked"] = q["gap_quantile"]
+    q["touches_blocked"] = q["touches_segments"]
     q["attr_last_click"] = _attr("chain[-1]", "LastClick")
     q["attr_first_click"] = _attr("chain[1]", "FirstClick")
     q["attr_last_significant"] = _attr(LAST_SIG, "LastSignClick")
@@ -448,10 +459,9 @@ SELECT CounterID, UserID, VisitID, EventType, ts, Duration, VisitsSumAfterDurati
   regexp_replace(format('{{:,.2f}}', AssociatedRevenue), '(\\.\\d)0$', '\\1') AS AssociatedRevenue
 FROM ({assoc}) r ORDER BY r.AssociatedConvs DESC, r.SourceCode ASC LIMIT 10"""
     pos = positions_sql()
-    pct = ["in_chain_perc_total", "unique_chains_perc", "first_touch_total", "first_touch_2plus",
-           "mid_touch_3plus", "last_touch_total", "last_touch_2plus"]
-    q["top_chains_report"] = ("SELECT SourceName, " + ", ".join(
-        f"printf('%.2f%%', {c} * 100) AS {c}" for c in pct)
-        + f" FROM ({pos}) r ORDER BY r.unique_chains_perc DESC, r.SourceCode ASC LIMIT 10")
+    for name, converting in (("top_chains_report", False), ("top_conv_chains_report", True)):
+        cols = displayed_columns(converting)
+        shown = ", ".join(f"printf('%.2f%%', {c} * 100) AS {c}" for c in cols)
+        q[name] = f"SELECT SourceName, {shown} FROM ({pos}) r ORDER BY r.{cols[1]} DESC, r.SourceCode ASC LIMIT 10"
     q["top_simple_report"] = f"SELECT * FROM ({simple_sql()}) ORDER BY LastClickRevenue DESC, SourceCode ASC LIMIT 10"
     return q

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -54,7 +56,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not current:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a shared directory (HDFS/S3/...) "
                                "for checkpoints on a cluster")
         current = tempfile.mkdtemp(prefix="touchline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
@@ -75,9 +77,32 @@ def checkpointed(df, name: str = "stage"):
     base = ensure_checkpoint_dir(df.sparkSession)
     path = f"{base.rstrip('/')}/touchline/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
+    for paths in _recorders:
+        paths.append(path)
     return df.sparkSession.read.parquet(path)
 
 
+_recorders: list[list[str]] = []
+
+
+@contextmanager
+def recorded(paths: list[str]):
+    """Note in ``paths`` what ``checkpointed`` writes inside, for ``delete_paths``."""
+    _recorders.append(paths)
+    try:
+        yield paths
+    finally:
+        _recorders.remove(paths)
+
+
+def delete_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders on whatever file system they are on."""
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    paths.clear()
+
+
 def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
     """Settings for a cluster run over ``input_bytes`` of raw visits on ``total_cores`` cores.
 

@@ -1,15 +1,14 @@
 """Scans, loaders and sinks."""
 
-from touchline.sources.events_adapter import raw_visits_from_events
-from touchline.sources.names import default_source_names, read_source_names
+from touchline.sources.names import no_source_names, read_source_names
 from touchline.sources.raw_visits import load_json_dump, normalize_raw_visits, read_raw_visits
 from touchline.sources.sampling import user_bucket, user_sample
 from touchline.sources.sinks import (
-    append_tsv, write_chains, write_report_tsv, write_visits,
+    append_tsv, save_chains, save_visits, write_chains, write_report_tsv, write_visits,
 )
 
 __all__ = [
-    "append_tsv", "default_source_names", "load_json_dump", "normalize_raw_visits",
-    "raw_visits_from_events", "read_raw_visits", "read_source_names", "user_bucket",
-    "user_sample", "write_chains", "write_report_tsv", "write_visits",
+    "append_tsv", "load_json_dump", "no_source_names", "normalize_raw_visits", "read_raw_visits",
+    "read_source_names", "save_chains", "save_visits", "user_bucket", "user_sample", "write_chains",
+    "write_report_tsv", "write_visits",
 ]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 from touchline.schema import SOURCE_NAMES
@@ -11,28 +9,13 @@ from touchline.schema import SOURCE_NAMES
 # Fixed value: label of a code missing from the names table.
 UNKNOWN_SOURCE_NAME = "Неизвестный источник"
 
-DEFAULT_NAMES_PATH = os.path.join(os.path.dirname(__file__), "source_names.tsv")
-
 
-def read_source_names(spark: SparkSession, path: str = DEFAULT_NAMES_PATH) -> DataFrame:
+def read_source_names(spark: SparkSession, path: str) -> DataFrame:
     """Tab-separated file with header ``SourceCode<TAB>SourceName``; codes stay text."""
     return (spark.read.schema(SOURCE_NAMES).option("sep", "\t").option("header", True)
             .csv(path))
 
 
-def default_source_names(spark: SparkSession) -> DataFrame:
-    """The bundled names table (our own labels; some codes left out on purpose)."""
-    return read_source_names(spark, DEFAULT_NAMES_PATH)
-
-
-def bundled_name_rows() -> list[tuple[str, str]]:
-    """The bundled table as Python rows (used to inline it into SQL checks)."""
-    rows = []
-    with open(DEFAULT_NAMES_PATH, encoding="utf-8") as f:
-        next(f)
-        for line in f:
-            line = line.rstrip("\n")
-            if line:
-                code, name = line.split("\t", 1)
-                rows.append((code, name))
-    return rows
+def no_source_names(spark: SparkSession) -> DataFrame:
+    """An empty names table: every code gets the unknown label."""
+    return spark.createDataFrame([], SOURCE_NAMES)

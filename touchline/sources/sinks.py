@@ -6,33 +6,46 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_visits(visits: DataFrame, path: str, mode: str = "overwrite") -> None:
+VISIT_LAYOUT = ["StartDate", "CounterID", "UserID", "UTCStartTime"]
+CHAIN_LAYOUT = ["StartDate", "CounterID", "UserID", "chain", "pos"]
+
+
+def _laid_out(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows in range partitions of ``keys``: a partition meets few dates, so a table gets about one file
+    a partition and one more a date, not one a partition and date; files hold contiguous runs of users,
+    and a user with a huge day is split at sampled boundaries instead of landing in one task."""
+    return rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+
+
+def write_visits(visits: DataFrame, path: str, mode: str = "overwrite", only_dates: bool = False) -> None:
     """Cleaned visits, partitioned by StartDate (date filters prune partitions).
 
-    Rows are range-partitioned on (StartDate, CounterID, UserID, UTCStartTime):
-    files hold contiguous runs of users in time order, so a later per-user read
-    touches few row groups, and a user with a huge day is split across tasks
-    at sampled time boundaries instead of landing in one.
+    ``only_dates``: replace only the StartDate partitions present in ``visits``.
     """
-    keys = ["StartDate", "CounterID", "UserID", "UTCStartTime"]
-    (visits.repartitionByRange(*keys).sortWithinPartitions(*keys)
-     .write.mode(mode).partitionBy("StartDate").parquet(path))
+    writer = _laid_out(visits, VISIT_LAYOUT).write.mode(mode).partitionBy("StartDate")
+    if only_dates:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
 
 
 def write_visits_dates(visits: DataFrame, path: str) -> None:
     """Replace only the StartDate partitions present in ``visits`` (incremental rebuild)."""
-    spark = visits.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        write_visits(visits, path, mode="overwrite")
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    write_visits(visits, path, only_dates=True)
 
 
 def write_chains(chains: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Chain table, partitioned by StartDate."""
-    chains.write.mode(mode).partitionBy("StartDate").parquet(path)
+    """Chain table, partitioned by StartDate, laid out like the visits."""
+    _laid_out(chains, CHAIN_LAYOUT).write.mode(mode).partitionBy("StartDate").parquet(path)
+
+
+def save_visits(visits: DataFrame, table: str, mode: str = "overwrite") -> None:
+    """Cleaned visits as a catalog table partitioned by StartDate."""
+    _laid_out(visits, VISIT_LAYOUT).write.mode(mode).partitionBy("StartDate").format("parquet").saveAsTable(table)
+
+
+def save_chains(chains: DataFrame, table: str, mode: str = "overwrite") -> None:
+    """The chain table as a catalog table partitioned by StartDate."""
+    _laid_out(chains, CHAIN_LAYOUT).write.mode(mode).partitionBy("StartDate").format("parquet").saveAsTable(table)
 
 
 def write_report_tsv(report: DataFrame, path: str, header: bool = True) -> None:
