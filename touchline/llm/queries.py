@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm.common import table
+from touchline.llm.oracle import ORACLE_SQL
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,5 +91,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_fingerprints": op10_fingerprints,
 }
 
-#: DuckDB SQL of the queries that SQL can express on whole tables.
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
