@@ -42,9 +42,9 @@ class Rule:
 RULES = (
     Rule("word_length", "word_chars / n_words", 2.0, 12.0),
     Rule("symbols", "n_symbols / n_words", None, 0.1),
-    Rule("stop_words", "n_stop_words / n_words", 0.06, None),
+    Rule("stop_words", "n_stop_words / n_words", 0.03, None),
     Rule("repeated_lines", "n_dup_lines / n_lines", None, 0.5),
-    Rule("repeated_words", "n_repeat_words / n_words", None, 0.3),
+    Rule("repeated_words", "n_repeat_words / n_words", None, 0.5),
     Rule("exclamations", "n_shouts / n_words", None, 0.1),
 )
 
