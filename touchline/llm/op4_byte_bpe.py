@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -25,10 +26,12 @@ from pyspark.sql import functions as F
 
 from touchline.llm.common import id_text, shipped, slices
 
-#: Chunks of text (a word with the space before it, as a rule) kept with their ids; emptied when full.
-CACHE_ENTRIES = 300_000
+#: Chunks of text (a word with the space before it, as a rule) and pre-tokens kept with their ids, in two
+#: generations of this size.
+CACHE_ENTRIES = 150_000
 #: A single space between two characters that are no white space: a pre-token starts there and none spans it.
 _SEAM = regex.compile(r"(?<=\S) (?=\S)")
+_OTHER_SPACE = re.compile(r"[^\S \n]")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -36,65 +39,107 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
 
 
+class Kept(dict):
+    """A dict of bounded size: full, it becomes the old generation, from which used entries return."""
+
+    old: dict = {}
+
+    def lacks(self, keys) -> list:
+        """The keys to be learned; makes room first."""
+        if len(self) > CACHE_ENTRIES:
+            self.old = dict(self)
+            self.clear()
+        missing, old = [], self.old
+        for key in keys:
+            if key not in self:
+                value = old.get(key)
+                if value is None:
+                    missing.append(key)
+                else:
+                    self[key] = value
+        return missing
+
+
 class Replay:
     """Merges of a rank table replayed over many words at once."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.pair_rank: dict[tuple[int, int], int] = {}
+        self.single = np.array([ranks[bytes([b])] for b in range(256)])
+        self.first = np.array([[ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)])
+        self.pair_rank: dict[int, int] = {}
 
     def _rank(self, a: int, b: int) -> int:
-        """Rank of the merge of two tokens, -1 if there is none."""
-        found = self.pair_rank.get((a, b))
-        if found is None:
-            if len(self.pair_rank) > 4 * CACHE_ENTRIES:
-                self.pair_rank.clear()
-            found = self.pair_rank[a, b] = self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1)
+        """Rank of the merge of two tokens, -1 if there is none; kept for the next time."""
+        if len(self.pair_rank) > 2 * CACHE_ENTRIES:
+            self.pair_rank.clear()
+        found = self.pair_rank[a << 20 | b] = self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1)
         return found
 
+    def _start(self, words: list[bytes]) -> tuple[list[int], dict[int, list[int]]]:
+        """Tokens of all words, each word ended by -1, and the inverted index of the adjacent pairs:
+        merged token -> places of the left part, ascending."""
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        word = np.repeat(np.arange(len(words)), sizes)
+        at = np.arange(len(raw)) + word
+        token = np.full(len(raw) + len(words), -1)
+        token[at] = self.single[raw]
+        rank = np.where(word[:-1] == word[1:], self.first[raw[:-1], raw[1:]], -1)
+        left = np.flatnonzero(rank >= 0)
+        left = left[np.argsort(rank[left], kind="stable")]
+        cuts = np.flatnonzero(np.diff(rank[left])) + 1
+        parts = np.split(at[left], cuts) if len(left) else []
+        first = rank[left[np.r_[0, cuts]]].tolist() if len(left) else []
+        return token.tolist(), {r: p.tolist() for r, p in zip(first, parts)}
+
     def __call__(self, words: list[bytes]) -> list[list[int]]:
-        ranks, rank_of = self.ranks, self._rank
-        token: list[int] = []      # -1: end of a word, or merged away
-        for word in words:
-            token += [ranks[word[i:i + 1]] for i in range(len(word))]
-            token.append(-1)
+        """Ids of each word; no word is empty."""
+        token, places = self._start(words)
+        known, rank_of = self.pair_rank.get, self._rank
         n = len(token)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        places: dict[int, list[int]] = {}       # inverted index: merged token -> where its left part stands
-        for i in range(n - 1):
-            a, b = token[i], token[i + 1]
-            if a >= 0 and b >= 0 and (r := rank_of(a, b)) >= 0:
-                places.setdefault(r, []).append(i)
         heap = list(places)
         heapq.heapify(heap)
         again: set[int] = set()    # where a merge made a pair that ranks before it
         while heap:
             r = heapq.heappop(heap)
-            for i in sorted(places.pop(r, ())):
-                a = token[i]
-                j = after[i]
-                if a < 0 or j >= n or token[j] < 0 or rank_of(a, token[j]) != r:
-                    continue        # one of its parts went into another merge
+            for i in sorted(places.pop(r)):
+                a, j = token[i], after[i]
+                if a < 0 or (b := token[j]) < 0:
+                    continue        # a part went into another merge
+                q = known(a << 20 | b)
+                if (rank_of(a, b) if q is None else q) != r:
+                    continue
                 token[i], token[j] = r, -2
                 after[i] = k = after[j]
-                if k < n:
-                    before[k] = i
-                    if token[k] >= 0 and (q := rank_of(r, token[k])) >= 0:
-                        if q not in places:
-                            places[q] = []
+                before[k] = i
+                if (b := token[k]) >= 0:
+                    q = known(r << 20 | b)
+                    if q is None:
+                        q = rank_of(r, b)
+                    if q >= 0:
+                        if q in places:
+                            places[q].append(i)
+                        else:
+                            places[q] = [i]
                             heapq.heappush(heap, q)
-                        places[q].append(i)
                         if q < r:
                             again.add(i)
                 h = before[i]
-                if h >= 0 and token[h] >= 0 and (q := rank_of(token[h], r)) >= 0:
-                    if q not in places:
-                        places[q] = []
-                        heapq.heappush(heap, q)
-                    places[q].append(h)
-                    if q < r:
-                        again.add(h)
+                if h >= 0 and (a := token[h]) >= 0:
+                    q = known(a << 20 | r)
+                    if q is None:
+                        q = rank_of(a, r)
+                    if q >= 0:
+                        if q in places:
+                            places[q].append(h)
+                        else:
+                            places[q] = [h]
+                            heapq.heappush(heap, q)
+                        if q < r:
+                            again.add(h)
         found, at = [], 0
         older = sorted(again)
         for word in words:
@@ -107,7 +152,7 @@ class Replay:
         return found
 
     def _one(self, word: bytes) -> list[int]:
-        parts = [self.ranks[word[i:i + 1]] for i in range(len(word))]
+        parts = self.single[list(word)].tolist()
         while len(parts) > 1:
             best = min(((r, i) for i in range(len(parts) - 1) if (r := self._rank(parts[i], parts[i + 1])) >= 0),
                        default=None)
@@ -118,32 +163,50 @@ class Replay:
 
 
 class Encoder:
+    """Ids of whole texts. Texts are cut into chunks at seams and chunks into pre-tokens; the ids of both are
+    kept, and the pre-tokens that are new in a batch are merged together."""
+
     def __init__(self, path: str, pattern: str):
-        self.replay = Replay(read_ranks(path))
+        self.ranks = read_ranks(path)
+        self.replay = Replay(self.ranks)
         self.pattern = regex.compile(pattern)
-        self.chunks: dict[str, bytes] = {}
+        self.chunks, self.words = Kept(), Kept()
 
     def _learn(self, missing: list[str]) -> None:
         cut = [self.pattern.findall(c) for c in missing]
-        words = list({w for c in cut for w in c})
-        ids = {w: np.array(t, "<i4").tobytes() for w, t in zip(words, self.replay([w.encode() for w in words]))}
-        self.chunks.update((c, b"".join([ids[w] for w in own])) for c, own in zip(missing, cut))
+        new, ranks = [], self.ranks
+        for w in self.words.lacks({w for c in cut for w in c}):
+            raw = w.encode()
+            if raw in ranks:        # a token of the vocabulary as it is
+                self.words[w] = ranks[raw].to_bytes(4, "little")
+            else:
+                new.append((w, raw))
+        if new:
+            ids = self.replay([raw for _, raw in new])
+            flat = np.array([t for own in ids for t in own], "<i4").tobytes()
+            at = 0
+            for (w, _), own in zip(new, ids):
+                end = at + 4 * len(own)
+                self.words[w] = flat[at:end]
+                at = end
+        words = self.words
+        for chunk, own in zip(missing, cut):
+            self.chunks[chunk] = words[own[0]] if len(own) == 1 else b"".join([words[w] for w in own])
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian int32 bytes."""
-        if len(self.chunks) > CACHE_ENTRIES:
-            self.chunks.clear()
         cut = [self._chunks(t) for t in texts]
-        missing = [c for c in set().union(*cut) if c not in self.chunks]
+        missing = self.chunks.lacks(set().union(*cut))
         if missing:
             self._learn(missing)
         return [b"".join(map(self.chunks.__getitem__, c)) for c in cut]
 
     def _chunks(self, text: str) -> list[str]:
         """Cuts a text at seams; the chunks' pre-tokens are those of the whole text."""
-        parts = text.split(" ")
-        if all(p and not p[0].isspace() and not p[-1].isspace() for p in parts):    # every space is a seam
-            return parts[:1] + [" " + p for p in parts[1:]]
+        if not ("  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " "
+                or _OTHER_SPACE.search(text)):      # every space is a seam
+            first, *rest = text.split(" ")
+            return [first, *map(" ".__add__, rest)] if first else []
         at = [0, *(m.start() for m in _SEAM.finditer(text)), len(text)]
         return [text[a:b] for a, b in zip(at, at[1:]) if b > a]
 
