@@ -221,7 +221,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _ENCODERS.setdefault((ranks_path, pattern), None) or Encoder(ranks_path, pattern)
         _ENCODERS[ranks_path, pattern] = encoder
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 << 20):      # the replay's lists take many times the new words' bytes
             found = encoder([t or "" for t in batch.column(1).to_pylist()])
             ends = np.r_[0, np.cumsum([len(f) // 4 for f in found])].astype(np.int32)
             ids = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(found), "<i4")))
