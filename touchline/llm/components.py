@@ -27,7 +27,7 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.filter("u <> v").distinct()
+        large = large.filter("u <> v")
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(down.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())

@@ -9,9 +9,10 @@ dense, the window holds the neighbours with the longest common prefixes, that is
 region. The last rows of a partition are compared with the first of the next in a second small job.
 
 Candidates whose sketches (two bits of every MinHash value) are out of reach of the threshold are
-dropped; the rest is confirmed on the full sets, the best few of each set first, then only those that
-would still join two components. Sets from dense regions are scanned once more with a window
-``DENSE_WINDOW`` wide, pairs within a component left out.
+dropped; the rest is confirmed on the full sets: first the best pair of each set, twice over, then all
+pairs that would still join two components. Sets from dense regions are scanned again
+with a window ``DENSE_WINDOW`` wide, in which each finds its best partners in other components, until
+nothing new is linked.
 
 Documents with the same set are one node throughout, however many they are. Null or empty texts have an
 empty set and link with nothing. A null doc_id never names a component of other documents. Rows that
@@ -21,6 +22,7 @@ repeat a doc_id count as copies. No rows give no rows; columns other than the tw
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,21 +30,23 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.common import id_text, shipped, slices
 from touchline.llm.components import connected_components
-from touchline.session import checkpointed
+from touchline.session import checkpointed, ensure_checkpoint_dir
 
 TREES, DEPTH, MIN_DEPTH = 24, 6, 3
 WINDOW, DENSE_WINDOW = 32, 1024
 #: Neighbours kept of a row whose region is wider than the window.
 DENSE_KEEP = 8
-#: Candidates of a set confirmed in the first round.
-FIRST = 2
+#: Best partners of a row in a dense region, by sketch, that the wide window looks at; scans at most.
+DENSE_BEST, DENSE_SCANS = 4, 2
+#: Rounds in which each set confirms its best pair, before all that is left is confirmed.
+BEST_ROUNDS = 2
 #: Standard deviations below the threshold at which a sketch is out of reach.
-REACH = 4.5
+REACH = 4.0
 ROWS_A_PARTITION = 100_000
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
@@ -188,8 +192,26 @@ class _Rows:
         return _Rows(*(np.concatenate([a, b]) for a, b in zip(self.columns, other.columns)))
 
 
-def _pairs(rows: _Rows, first_new: int, window: int, share: float, keep: int) -> list[tuple]:
-    """Candidates (a, b, estimate, dense) among sorted rows whose second row is ``first_new`` or later."""
+def _best(found: list[tuple], most: int) -> list[tuple]:
+    """The ``most`` best partners of every row, of either side."""
+    if not found:
+        return found
+    i, j, match, wide = (np.concatenate(c) for c in zip(*found))
+    stay = np.zeros(len(i), bool)
+    for side in (i, j):
+        order = np.lexsort((-match, side))
+        begin = np.flatnonzero(np.r_[True, np.diff(side[order]) != 0])
+        place = np.arange(len(order)) - np.repeat(begin, np.diff(np.r_[begin, len(order)]))
+        stay[order[place < most]] = True
+    return [(i[stay], j[stay], match[stay], wide[stay])]
+
+
+def _pairs(rows: _Rows, first_new: int, window: int, share: float, keep: int, most: int = 0) -> list[tuple]:
+    """Candidates (a, b, matches, dense) among sorted rows whose second row is ``first_new`` or later.
+
+    ``keep``: neighbours of a row whose region is wider than the window (0: the whole window); ``most``:
+    only so many partners of each row, those with the most matches.
+    """
     bits = rows.sketch.shape[1] * 8 // 2
     need = _least_matches(share, bits)
     same_tree = rows.tree
@@ -220,8 +242,12 @@ def _pairs(rows: _Rows, first_new: int, window: int, share: float, keep: int) ->
             match = bits - np.bitwise_count(differ[:, :half] | differ[:, half:]).sum(axis=1, dtype=np.int64)
             hit = match >= need
             a, b, match = a[hit], b[hit], match[hit]
-            found.append((rows.ids[a], rows.ids[b], match, wide[a] | wide[b]))
-    return found
+            found.append((a, b, match, wide[a] | wide[b]))
+            if most and sum(len(f[0]) for f in found) > 1_000_000:
+                found = _best(found, most)
+    if most:
+        found = _best(found, most)
+    return [(rows.ids[a], rows.ids[b], match, dense) for a, b, match, dense in found]
 
 
 def _least_matches(share: float, bits: int) -> int:
@@ -229,7 +255,7 @@ def _least_matches(share: float, bits: int) -> int:
     return int(np.floor(bits * p - REACH * np.sqrt(bits * p * (1 - p))))
 
 
-def _scan(forest: DataFrame, window: int, share: float, keep: int) -> DataFrame:
+def _scan(forest: DataFrame, window: int, share: float, keep: int, most: int) -> DataFrame:
     """Candidate rows (kind 0: a, b, estimate, dense) and each partition's outer rows (kind 1, 2: first, last)."""
     schema = f"kind int, part int, a long, b long, estimate int, dense boolean, {NODE}"
     names = [x.split()[0] for x in schema.split(", ")]
@@ -251,7 +277,7 @@ def _scan(forest: DataFrame, window: int, share: float, keep: int) -> DataFrame:
                 continue
             new = _Rows.of(batch)
             rows = held.plus(new) if held is not None else new
-            yield from _pair_batches(_pairs(rows, len(rows) - len(new), window, share, keep), part, names)
+            yield from _pair_batches(_pairs(rows, len(rows) - len(new), window, share, keep, most), part, names)
             if first is None or len(first) < window:
                 first = rows[:window] if first is None else first.plus(new)[:window]
             held = rows[-window:]
@@ -273,13 +299,11 @@ def _pair_batches(found: list[tuple], part: int, names: list[str]) -> Iterator[p
                  *(pa.nulls(n, k) for k in kinds)], names=names)
 
 
-def candidates(nodes: DataFrame, share: float, window: int, keep: int, name: str) -> DataFrame:
+def candidates(nodes: DataFrame, share: float, window: int, keep: int, most: int, name: str) -> DataFrame:
     """Distinct candidate pairs of nodes (a < b) with sketch matches and whether their region was dense."""
-    forest = _forest(nodes)
     n = max(1, -(-nodes.count() * TREES // ROWS_A_PARTITION))
-    forest = checkpointed(forest, name)     # the range bounds are sampled first: read back, not made twice
-    ranged = forest.repartitionByRange(n, "tree", "prefix", "id").sortWithinPartitions("tree", "prefix", "id")
-    scanned = checkpointed(_scan(ranged, window, share, keep), name)
+    ranged = _forest(nodes).repartitionByRange(n, "tree", "prefix", "id").sortWithinPartitions("tree", "prefix", "id")
+    scanned = checkpointed(_scan(ranged, window, share, keep, most), name)
     inner = scanned.filter("kind = 0").select("a", "b", "estimate", "dense")
     edge = scanned.filter("kind > 0")
     edge = edge.withColumn("seam", F.when(F.col("kind") == 1, F.col("part") - 1).otherwise(F.col("part")))
@@ -297,7 +321,7 @@ def candidates(nodes: DataFrame, share: float, window: int, keep: int, name: str
             if len(sides) == 2:
                 rows = sides[0].plus(sides[1])
                 order = np.lexsort((rows.ids, *rows.prefix.T[::-1], rows.tree))
-                for a, b, match, dense in _pairs(rows[order], 0, window, share, keep):
+                for a, b, match, dense in _pairs(rows[order], 0, window, share, keep, most):
                     if len(a):
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)),
@@ -325,8 +349,9 @@ def confirm(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFr
     return shipped(both.select("a", "b", "x", "y")).mapInArrow(run, "a long, b long")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
-    """id and sorted hashes of the full shingle set of the named documents."""
+def _store_sets(docs: DataFrame, ids: DataFrame, shingle: int) -> str:
+    """Name of a table with id and sorted hashes of the full shingle set of the named documents, stored in buckets of id: they are
+    joined many times over, and bucketed they are never shuffled again."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in slices(batches, "text", 8 << 20):
@@ -335,7 +360,13 @@ def _sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
                                                  names=["id", "hashes"])
 
     rows = id_text(docs).select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
-    return shipped(rows).mapInArrow(run, "id long, hashes binary").dropDuplicates(["id"])
+    found = shipped(rows).mapInArrow(run, "id long, hashes binary").dropDuplicates(["id"])
+    spark = docs.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"touchline_sets_{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/touchline/{name}"
+    found.repartition(n, "id").write.bucketBy(n, "id").sortBy("id").format("parquet").option("path", path).saveAsTable(name)
+    return name
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 2, share: tuple[int, int] = (80, 100)) -> DataFrame:
@@ -361,36 +392,67 @@ def _links(docs: DataFrame, nodes: DataFrame, shingle: int, share: tuple[int, in
     """(node, component) of the sets that are linked with others."""
     least = share[0] / share[1]
     plain = nodes.withColumn("component", F.lit(None).cast("long"))
-    pairs = checkpointed(candidates(plain, least, WINDOW, DENSE_KEEP, "op5-forest"), "op5-pairs")
+    pairs = checkpointed(candidates(plain, least, WINDOW, DENSE_KEEP, 0, "op5-forest"), "op5-pairs")
     ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = checkpointed(_sets(docs, ends, shingle), "op5-sets")
-    best = Window.partitionBy("a").orderBy(F.desc("estimate"), "b")
-    ranked = pairs.withColumn("_r", F.row_number().over(best))
-    first = confirm(ranked.filter(F.col("_r") <= FIRST), sets, share)
-    edges = checkpointed(first, "op5-edges")
-    linked = connected_components(edges, "op5-components")
-    rest = ranked.filter(F.col("_r") > FIRST).select("a", "b")
-    edges, linked = _join_more(rest, sets, share, edges, linked)
+    spark = docs.sparkSession
+    name = _store_sets(docs, ends, shingle)
+    try:
+        return _confirmed(plain, pairs, spark.table(name), share)
+    finally:    # all that was made from it is written by now; the files go with the checkpoint folder
+        spark.sql(f"DROP TABLE {name}")
+
+
+def _confirmed(plain: DataFrame, pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """(node, component) from the candidates of the forest and, for crowded regions, of further scans."""
+    least = share[0] / share[1]
+    spark = plain.sparkSession
+    linked = _join_up(pairs, sets, share, spark.createDataFrame([], "node long, component long"))
     dense = pairs.filter("dense")
     if dense.head(1):
         ids = dense.select(F.col("a").alias("id")).unionByName(dense.select(F.col("b").alias("id"))).distinct()
-        crowded = (plain.drop("component").join(ids, "id", "left_semi")
-                   .join(linked.withColumnRenamed("node", "id"), "id", "left")
-                   .withColumn("component", F.coalesce("component", "id")))
-        more = candidates(checkpointed(crowded, "op5-dense"), least, DENSE_WINDOW, 0, "op5-dense-forest")
-        edges, linked = _join_more(more, sets, share, edges, linked)
+        crowd = plain.drop("component").join(ids, "id", "left_semi")
+        for _ in range(DENSE_SCANS):
+            named = (crowd.join(linked.withColumnRenamed("node", "id"), "id", "left")
+                     .withColumn("component", F.coalesce("component", "id")))
+            more = candidates(checkpointed(named, "op5-dense"), least, DENSE_WINDOW, 0, DENSE_BEST, "op5-dense-forest")
+            before = linked
+            linked = _join_up(checkpointed(more, "op5-pairs"), sets, share, linked)
+            if linked is before:
+                break
     return linked
 
 
-def _join_more(pairs: DataFrame, sets: DataFrame, share: tuple[int, int], edges: DataFrame,
-               linked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Confirm the pairs that would join two components, and the components with what they add."""
-    a = linked.select(F.col("node").alias("a"), F.col("component").alias("_ca"))
-    b = linked.select(F.col("node").alias("b"), F.col("component").alias("_cb"))
-    apart = (pairs.join(a, "a", "left").join(b, "b", "left")
-             .filter(F.coalesce("_ca", "a") != F.coalesce("_cb", "b")).select("a", "b"))
-    new = checkpointed(confirm(apart, sets, share), "op5-edges")
-    if not new.head(1):
-        return edges, linked
-    edges = edges.unionByName(new)
-    return edges, connected_components(edges, "op5-components")
+def _apart(pairs: DataFrame, linked: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components, with these (ca, cb)."""
+    a = linked.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    b = linked.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    return (pairs.join(a, "a", "left").join(b, "b", "left")
+            .select("a", "b", "estimate", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"))
+            .filter("ca <> cb"))
+
+
+def _join_up(pairs: DataFrame, sets: DataFrame, share: tuple[int, int], linked: DataFrame) -> DataFrame:
+    """The components once the pairs between different ones are confirmed and added; ``linked`` itself if
+    that changes nothing.
+
+    First each set confirms its best pair with another component, ``BEST_ROUNDS`` times over; groups of
+    copies are one component by then, and their other pairs need no look. The last round confirms all that
+    is left.
+    """
+    for turn in range(BEST_ROUNDS + 1):
+        apart = checkpointed(_apart(pairs, linked), "op5-apart")
+        if not apart.head(1):
+            break
+        if turn < BEST_ROUNDS:
+            best = F.max(F.struct("estimate", F.col("a").alias("x"), F.col("b").alias("y"))).alias("best")
+            picked = apart.groupBy("a").agg(best).select("best").unionByName(apart.groupBy("b").agg(best).select("best"))
+            tried = picked.select(F.col("best.x").alias("a"), F.col("best.y").alias("b")).distinct()
+        else:
+            tried = apart.select("a", "b")
+        tried = checkpointed(tried, "op5-tried")
+        new = checkpointed(confirm(tried, sets, share), "op5-edges")
+        pairs = apart.select("a", "b", "estimate").join(tried, ["a", "b"], "left_anti")
+        if new.head(1):
+            stars = linked.select(F.col("node").alias("a"), F.col("component").alias("b"))    # settled already
+            linked = connected_components(stars.unionByName(new), "op5-components")
+    return linked
