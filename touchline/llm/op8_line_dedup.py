@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.common import ASCII_SPACES, free
+from touchline.session import checkpointed
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -37,6 +38,8 @@ def dropped_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2,
     holders = (lines.groupBy("_h1", "_h2", "_id").agg(F.lit(1).alias("_one"))
                .groupBy("_h1", "_h2").agg(F.count("_one").alias("_docs"), F.min("_id").alias("_first"))
                .filter(F.col("_docs") >= min_docs).drop("_docs"))
+    # written, so that the join reads it through an exchange of its own and Spark can split hot lines
+    holders = checkpointed(holders, "op8-holders")
     return (lines.join(holders, ["_h1", "_h2"]).filter(~F.col("_id").eqNullSafe(F.col("_first")))
             .groupBy("_id", "_text").agg(F.sort_array(F.collect_set("_place")).alias("_places")))
 
