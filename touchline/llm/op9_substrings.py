@@ -234,7 +234,9 @@ def repeated_stretches(docs: DataFrame, size: int = MIN_WORDS, id_col: str = "do
                        text_col: str = "text") -> DataFrame:
     """doc, crc and ``marked``: (first window, mask of windows that occur elsewhere) of every text with any."""
     every = stretches(docs, size, id_col, text_col)
-    seen = every.groupBy("anchor").agg(F.count("*").alias("_n")).filter("_n > 1").select("anchor")
+    # written, so that the join below reads it through an exchange of its own and Spark can split hot anchors
+    seen = checkpointed(every.groupBy("anchor").agg(F.count("*").alias("_n")).filter("_n > 1").select("anchor"),
+                        "op9-anchors")
     shared = checkpointed(every.join(seen, "anchor", "left_semi"), "op9-shared")
     distinct = shared.groupBy("anchor", "content").agg(
         F.count("*").alias("n"), F.min(F.struct("doc", "crc", "first", "windows")).alias("place"))
@@ -253,7 +255,8 @@ def repeated_stretches(docs: DataFrame, size: int = MIN_WORDS, id_col: str = "do
     full = F.expr("shiftleft(1L, windows) - 1")
     settled = distinct.join(marks, ["anchor", "content"], "left").select(
         "anchor", "content", F.when(F.col("n") > 1, full).otherwise(F.coalesce("mask", F.lit(0))).alias("mask"))
-    places = shared.join(settled.filter("mask <> 0"), ["anchor", "content"])
+    # written for the same reason: a passage of very many documents is one hot key here
+    places = shared.join(checkpointed(settled.filter("mask <> 0"), "op9-settled"), ["anchor", "content"])
     return places.groupBy("doc", "crc").agg(F.collect_list(F.struct("first", "mask")).alias("marked"))
 
 
