@@ -206,11 +206,13 @@ def _best(found: list[tuple], most: int) -> list[tuple]:
     return [(i[stay], j[stay], match[stay], wide[stay])]
 
 
-def _pairs(rows: _Rows, first_new: int, window: int, share: float, keep: int, most: int = 0) -> list[tuple]:
+def _pairs(rows: _Rows, first_new: int, window: int, share: float, keep: int, most: int = 0,
+           seam: bool = False) -> list[tuple]:
     """Candidates (a, b, matches, dense) among sorted rows whose second row is ``first_new`` or later.
 
     ``keep``: neighbours of a row whose region is wider than the window (0: the whole window); ``most``:
-    only so many partners of each row, those with the most matches.
+    only so many partners of each row, those with the most matches; ``seam``: only pairs whose first row
+    comes before ``first_new``.
     """
     bits = rows.sketch.shape[1] * 8 // 2
     need = _least_matches(share, bits)
@@ -228,6 +230,8 @@ def _pairs(rows: _Rows, first_new: int, window: int, share: float, keep: int, mo
         if not len(live):
             break
         i = live[live + o >= first_new]
+        if seam:
+            i = i[i < first_new]
         j = i + o
         if keep and o > keep:
             near = ~wide[i]
@@ -321,7 +325,8 @@ def candidates(nodes: DataFrame, share: float, window: int, keep: int, most: int
             if len(sides) == 2:
                 rows = sides[0].plus(sides[1])
                 order = np.lexsort((rows.ids, *rows.prefix.T[::-1], rows.tree))
-                for a, b, match, dense in _pairs(rows[order], 0, window, share, keep, most):
+                for a, b, match, dense in _pairs(rows[order], len(sides[0]), window, share, keep, most,
+                                                  seam=True):
                     if len(a):
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)),
