@@ -68,6 +68,19 @@ def test_candidates_across_partitions(spark, monkeypatch):
     assert found == {(i, c) for (i, _), (_, c) in zip(rows, components(rows))}
 
 
+def star(base, n, share):
+    """A text and copies of it that are less alike among themselves."""
+    return [(0, base)] + [(k, changed(base, k, share)) for k in range(1, n)]
+
+
+def test_regions_wider_than_a_block(spark, monkeypatch):
+    monkeypatch.setattr(op5, "WINDOW", 4)
+    monkeypatch.setattr(op5, "DENSE_WINDOW", 4)
+    rows = star(prose(61, 120), 90, 0.05)
+    found = {(r.doc_id, r.component_id) for r in op5.near_duplicates(documents(spark, rows)).collect()}
+    assert found == {(i, c) for (i, _), (_, c) in zip(rows, components(rows))}
+
+
 def test_near_dedup_of_nothing(spark):
     assert op5.near_duplicates(documents(spark, [])).count() == 0
     found = op5.near_duplicates(documents(spark, [(3, None), (4, ""), (5, " ")])).collect()

@@ -10,9 +10,10 @@ region. The last rows of a partition are compared with the first of the next in
 
 Candidates whose sketches (two bits of every MinHash value) are out of reach of the threshold are
 dropped; the rest is confirmed on the full sets: first the best pair of each set, twice over, then all
-pairs that would still join two components. Sets from dense regions are scanned again
-with a window ``DENSE_WINDOW`` wide, in which each finds its best partners in other components, until
-nothing new is linked.
+pairs that would still join two components. Regions that hold more sets than the window are then
+compared whole: dealt into blocks of about ``DENSE_WINDOW`` sets, every two blocks of a region meet, but
+for those within its largest component. Each set gives its best partners in other components, until nothing
+new is linked.
 
 Documents with the same set are one node throughout, however many they are. Null or empty texts have an
 empty set and link with nothing. A null doc_id never names a component of other documents. Rows that
@@ -38,11 +39,12 @@ from touchline.llm.components import connected_components
 from touchline.session import checkpointed, ensure_checkpoint_dir
 
 TREES, DEPTH, MIN_DEPTH = 24, 6, 3
-WINDOW, DENSE_WINDOW = 32, 1024
-#: Neighbours kept of a row whose region is wider than the window.
+#: Rows each way of the first scan; rows in a block of a region that is wider.
+WINDOW, DENSE_WINDOW = 32, 512
+#: Neighbours that the first scan keeps of a row whose region is wider than the window.
 DENSE_KEEP = 8
-#: Best partners of a row in a dense region, by sketch, that the wide window looks at; scans at most.
-DENSE_BEST, DENSE_SCANS = 4, 2
+#: Best partners of a row, by sketch, in a round over the crowded regions.
+DENSE_BEST = 4
 #: Rounds in which each set confirms its best pair, before all that is left is confirmed.
 BEST_ROUNDS = 2
 #: Standard deviations below the threshold at which a sketch is out of reach.
@@ -192,27 +194,11 @@ class _Rows:
         return _Rows(*(np.concatenate([a, b]) for a, b in zip(self.columns, other.columns)))
 
 
-def _best(found: list[tuple], most: int) -> list[tuple]:
-    """The ``most`` best partners of every row, of either side."""
-    if not found:
-        return found
-    i, j, match, wide = (np.concatenate(c) for c in zip(*found))
-    stay = np.zeros(len(i), bool)
-    for side in (i, j):
-        order = np.lexsort((-match, side))
-        begin = np.flatnonzero(np.r_[True, np.diff(side[order]) != 0])
-        place = np.arange(len(order)) - np.repeat(begin, np.diff(np.r_[begin, len(order)]))
-        stay[order[place < most]] = True
-    return [(i[stay], j[stay], match[stay], wide[stay])]
-
-
-def _pairs(rows: _Rows, first_new: int, window: int, share: float, keep: int, most: int = 0,
-           seam: bool = False) -> list[tuple]:
+def _pairs(rows: _Rows, first_new: int, window: int, share: float, keep: int, seam: bool = False) -> list[tuple]:
     """Candidates (a, b, matches, dense) among sorted rows whose second row is ``first_new`` or later.
 
-    ``keep``: neighbours of a row whose region is wider than the window (0: the whole window); ``most``:
-    only so many partners of each row, those with the most matches; ``seam``: only pairs whose first row
-    comes before ``first_new``.
+    ``keep``: neighbours of a row whose region is wider than the window; ``seam``: only pairs whose first
+    row comes before ``first_new``.
     """
     bits = rows.sketch.shape[1] * 8 // 2
     need = _least_matches(share, bits)
@@ -233,7 +219,7 @@ def _pairs(rows: _Rows, first_new: int, window: int, share: float, keep: int, mo
         if seam:
             i = i[i < first_new]
         j = i + o
-        if keep and o > keep:
+        if o > keep:
             near = ~wide[i]
             i, j = i[near], j[near]
         ok = np.minimum(rows.n[i], rows.n[j]) >= share * np.maximum(rows.n[i], rows.n[j])
@@ -247,10 +233,6 @@ def _pairs(rows: _Rows, first_new: int, window: int, share: float, keep: int, mo
             hit = match >= need
             a, b, match = a[hit], b[hit], match[hit]
             found.append((a, b, match, wide[a] | wide[b]))
-            if most and sum(len(f[0]) for f in found) > 1_000_000:
-                found = _best(found, most)
-    if most:
-        found = _best(found, most)
     return [(rows.ids[a], rows.ids[b], match, dense) for a, b, match, dense in found]
 
 
@@ -259,7 +241,7 @@ def _least_matches(share: float, bits: int) -> int:
     return int(np.floor(bits * p - REACH * np.sqrt(bits * p * (1 - p))))
 
 
-def _scan(forest: DataFrame, window: int, share: float, keep: int, most: int) -> DataFrame:
+def _scan(forest: DataFrame, window: int, share: float, keep: int) -> DataFrame:
     """Candidate rows (kind 0: a, b, estimate, dense) and each partition's outer rows (kind 1, 2: first, last)."""
     schema = f"kind int, part int, a long, b long, estimate int, dense boolean, {NODE}"
     names = [x.split()[0] for x in schema.split(", ")]
@@ -281,7 +263,7 @@ def _scan(forest: DataFrame, window: int, share: float, keep: int, most: int) ->
                 continue
             new = _Rows.of(batch)
             rows = held.plus(new) if held is not None else new
-            yield from _pair_batches(_pairs(rows, len(rows) - len(new), window, share, keep, most), part, names)
+            yield from _pair_batches(_pairs(rows, len(rows) - len(new), window, share, keep), part, names)
             if first is None or len(first) < window:
                 first = rows[:window] if first is None else first.plus(new)[:window]
             held = rows[-window:]
@@ -303,11 +285,11 @@ def _pair_batches(found: list[tuple], part: int, names: list[str]) -> Iterator[p
                  *(pa.nulls(n, k) for k in kinds)], names=names)
 
 
-def candidates(nodes: DataFrame, share: float, window: int, keep: int, most: int, name: str) -> DataFrame:
+def candidates(nodes: DataFrame, share: float, window: int, keep: int, name: str) -> DataFrame:
     """Distinct candidate pairs of nodes (a < b) with sketch matches and whether their region was dense."""
     n = max(1, -(-nodes.count() * TREES // ROWS_A_PARTITION))
     ranged = _forest(nodes).repartitionByRange(n, "tree", "prefix", "id").sortWithinPartitions("tree", "prefix", "id")
-    scanned = checkpointed(_scan(ranged, window, share, keep, most), name)
+    scanned = checkpointed(_scan(ranged, window, share, keep), name)
     inner = scanned.filter("kind = 0").select("a", "b", "estimate", "dense")
     edge = scanned.filter("kind > 0")
     edge = edge.withColumn("seam", F.when(F.col("kind") == 1, F.col("part") - 1).otherwise(F.col("part")))
@@ -325,8 +307,7 @@ def candidates(nodes: DataFrame, share: float, window: int, keep: int, most: int
             if len(sides) == 2:
                 rows = sides[0].plus(sides[1])
                 order = np.lexsort((rows.ids, *rows.prefix.T[::-1], rows.tree))
-                for a, b, match, dense in _pairs(rows[order], len(sides[0]), window, share, keep, most,
-                                                  seam=True):
+                for a, b, match, dense in _pairs(rows[order], len(sides[0]), window, share, keep, seam=True):
                     if len(a):
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)),
@@ -337,6 +318,102 @@ def candidates(nodes: DataFrame, share: float, window: int, keep: int, most: int
             .agg(F.max("estimate").alias("estimate"), F.max("dense").alias("dense")))
 
 
+def _crowd(nodes: DataFrame) -> DataFrame:
+    """tree, region, id, n and sketch of the rows of regions that hold several of the nodes."""
+    rows = _forest(nodes).withColumn("region", F.substring("prefix", 1, 2 * MIN_DEPTH))
+    wide = rows.groupBy("tree", "region").count().filter("count > 1").select("tree", "region")
+    wide = checkpointed(wide, "op5-regions")
+    return checkpointed(rows.select("tree", "region", "id", "n", "sketch")
+                        .join(wide, ["tree", "region"], "left_semi"), "op5-crowd")
+
+
+def _meet(left: tuple, right: tuple | None, share: float, most: int, both: bool) -> tuple:
+    """Candidates among two blocks (or one, if ``right`` is None) of a region, and whether any were left out.
+
+    A block is (ids, n, low bits, high bits, component). ``most``: best partners taken of each row on the
+    right, and on the left too if ``both``.
+    """
+    other = left if right is None else right
+    need = _least_matches(share, TREES * DEPTH)
+    found = []
+    for k in range(0, len(left[0]), 64):
+        ids, n, low, high, component = (c[k:k + 64] for c in left)
+        match = np.full((len(ids), len(other[0])), TREES * DEPTH, np.int16)
+        for w in range(low.shape[1]):
+            match -= np.bitwise_count((low[:, None, w] ^ other[2][:, w]) | (high[:, None, w] ^ other[3][:, w]))
+        ok = match >= need
+        ok &= np.minimum(n[:, None], other[1]) >= share * np.maximum(n[:, None], other[1])
+        ok &= component[:, None] != other[4]
+        if right is None:
+            ok &= np.arange(k, k + len(ids))[:, None] < np.arange(len(other[0]))
+        i, j = np.nonzero(ok)
+        found.append((i + k, j, match[i, j]))
+    i, j, match = (np.concatenate(c) for c in zip(*found))
+    stay = np.zeros(len(i), bool)
+    if len(i):
+        # rows that choose, and their pairs: those on the right, and those on the left behind them
+        side, pair = j, np.arange(len(i))
+        if both:
+            side, pair = np.r_[j, i if right is None else i + len(other[0])], np.r_[pair, pair]
+        order = np.lexsort((-match[pair], side))
+        begin = np.flatnonzero(np.r_[True, np.diff(side[order]) != 0])
+        place = np.arange(len(order)) - np.repeat(begin, np.diff(np.r_[begin, len(order)]))
+        stay[pair[order[place < most]]] = True
+    return left[0][i[stay]], other[0][j[stay]], match[stay], not stay.all()
+
+
+def crowded_pairs(crowd: DataFrame, linked: DataFrame, share: float, most: int) -> DataFrame:
+    """Distinct pairs (a < b) of crowded regions between different components that their sketches allow, with
+    sketch matches and whether others of the same blocks were left out (``more``).
+
+    Every two rows of a region meet unless both are in its largest component, in one of the groups that
+    its pairs of blocks make: so no task holds a region, and groups of copies that are linked already cost
+    only their rows times the blocks of the others.
+    """
+    named = checkpointed(crowd.join(linked.withColumnRenamed("node", "id"), "id", "left")
+                         .withColumn("component", F.coalesce("component", "id")), "op5-dense")
+    parts = named.groupBy("tree", "region", "component").count()
+    regions = (parts.groupBy("tree", "region").agg(F.sum("count").alias("size"),
+                                                   F.max(F.struct("count", "component")).alias("top"))
+               .filter(F.col("size") > F.col("top.count"))
+               .select("tree", "region", F.col("top.component").alias("major"),
+                       F.ceil(F.col("top.count") / DENSE_WINDOW).alias("p"),
+                       F.ceil((F.col("size") - F.col("top.count")) / DENSE_WINDOW).alias("q")))
+    regions = checkpointed(regions, "op5-regions")
+    inside, salt = F.col("component") == F.col("major"), F.xxhash64("id")
+    rows = (named.join(regions, ["tree", "region"])
+            .withColumn("inside", inside)
+            .withColumn("block", F.when(F.col("inside"), F.pmod(salt, "p")).otherwise(F.col("p") + F.pmod(salt, "q")))
+            .withColumn("other", F.explode(F.sequence(F.when(F.col("inside"), F.col("p")).otherwise(F.lit(0)),
+                                                      F.col("p") + F.col("q") - 1)))
+            .select("tree", "region", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
+                    "block", "inside", "id", "n", "sketch", "component"))
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        x, y = table["x"][0].as_py(), table["y"][0].as_py()
+        own = table["block"].to_numpy()
+        bits = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(table.num_rows, 2, -1)
+        padded = np.zeros((table.num_rows, 2, -(-bits.shape[2] // 8) * 8), np.uint8)
+        padded[:, :, :bits.shape[2]] = bits
+        padded = padded.view(np.uint64)
+        columns = (table["id"].to_numpy(), table["n"].to_numpy(), padded[:, 0], padded[:, 1],
+                   table["component"].to_numpy())
+        left = tuple(c[own == x] for c in columns)
+        right = None if x == y else tuple(c[own == y] for c in columns)
+        found = (np.empty(0, np.int64),) * 3 + (False,)
+        if len(left[0]) and (right is None or len(right[0])):
+            both = not table["inside"].to_numpy()[own == x].any()      # the largest component is on the left
+            found = _meet(left, right, share, most, both)
+        a, b, match, more = found
+        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64()),
+                         "estimate": pa.array(match, pa.int32()), "more": pa.array(np.full(len(a), more))})
+
+    found = shipped(rows).groupBy("tree", "region", "x", "y").applyInArrow(
+        run, "a long, b long, estimate int, more boolean")
+    return found.groupBy("a", "b").agg(F.max("estimate").alias("estimate"), F.max("more").alias("more"))
+
+
 def confirm(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
     """The pairs (a, b) whose full sets have at least the share of their union in common."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -397,34 +474,32 @@ def _links(docs: DataFrame, nodes: DataFrame, shingle: int, share: tuple[int, in
     """(node, component) of the sets that are linked with others."""
     least = share[0] / share[1]
     plain = nodes.withColumn("component", F.lit(None).cast("long"))
-    pairs = checkpointed(candidates(plain, least, WINDOW, DENSE_KEEP, 0, "op5-forest"), "op5-pairs")
-    ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    pairs = checkpointed(candidates(plain, least, WINDOW, DENSE_KEEP, "op5-forest"), "op5-pairs")
+    dense = pairs.filter("dense")
+    ids = dense.select(F.col("a").alias("id")).unionByName(dense.select(F.col("b").alias("id"))).distinct()
+    crowd = _crowd(plain.join(ids, "id", "left_semi"))
+    ends = (pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+            .unionByName(crowd.select("id")).distinct())
     spark = docs.sparkSession
     name = _store_sets(docs, ends, shingle)
     try:
-        return _confirmed(plain, pairs, spark.table(name), share)
+        return _confirmed(pairs, crowd, spark.table(name), share)
     finally:    # all that was made from it is written by now; the files go with the checkpoint folder
         spark.sql(f"DROP TABLE {name}")
 
 
-def _confirmed(plain: DataFrame, pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """(node, component) from the candidates of the forest and, for crowded regions, of further scans."""
-    least = share[0] / share[1]
-    spark = plain.sparkSession
+def _confirmed(pairs: DataFrame, crowd: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """(node, component) from the candidates of the forest and those of its crowded regions."""
+    spark = pairs.sparkSession
     linked = _join_up(pairs, sets, share, spark.createDataFrame([], "node long, component long"))
-    dense = pairs.filter("dense")
-    if dense.head(1):
-        ids = dense.select(F.col("a").alias("id")).unionByName(dense.select(F.col("b").alias("id"))).distinct()
-        crowd = plain.drop("component").join(ids, "id", "left_semi")
-        for _ in range(DENSE_SCANS):
-            named = (crowd.join(linked.withColumnRenamed("node", "id"), "id", "left")
-                     .withColumn("component", F.coalesce("component", "id")))
-            more = candidates(checkpointed(named, "op5-dense"), least, DENSE_WINDOW, 0, DENSE_BEST, "op5-dense-forest")
-            before = linked
-            linked = _join_up(checkpointed(more, "op5-pairs"), sets, share, linked)
-            if linked is before:
-                break
-    return linked
+    if not crowd.head(1):
+        return linked
+    while True:
+        found = checkpointed(crowded_pairs(crowd, linked, share[0] / share[1], DENSE_BEST), "op5-pairs")
+        before = linked
+        linked = _join_up(found, sets, share, linked)
+        if linked is before:
+            return linked
 
 
 def _apart(pairs: DataFrame, linked: DataFrame) -> DataFrame:
