@@ -73,6 +73,12 @@ def star(base, n, share):
     return [(0, base)] + [(k, changed(base, k, share)) for k in range(1, n)]
 
 
+def test_original_is_not_among_the_best_partners(spark):
+    rows = star(prose(60, 250), 400, 0.05)
+    found = {(r.doc_id, r.component_id) for r in op5.near_duplicates(documents(spark, rows)).collect()}
+    assert found == {(i, c) for (i, _), (_, c) in zip(rows, components(rows))}
+
+
 def test_regions_wider_than_a_block(spark, monkeypatch):
     monkeypatch.setattr(op5, "WINDOW", 4)
     monkeypatch.setattr(op5, "DENSE_WINDOW", 4)

@@ -12,8 +12,8 @@ Candidates whose sketches (two bits of every MinHash value) are out of reach of
 dropped; the rest is confirmed on the full sets: first the best pair of each set, twice over, then all
 pairs that would still join two components. Regions that hold more sets than the window are then
 compared whole: dealt into blocks of about ``DENSE_WINDOW`` sets, every two blocks of a region meet, but
-for those within its largest component. Each set gives its best partners in other components, until nothing
-new is linked.
+for those within its largest component. Each set first gives its best partners in other components, then
+``DENSE_MORE`` times as many, until a round has left none out.
 
 Documents with the same set are one node throughout, however many they are. Null or empty texts have an
 empty set and link with nothing. A null doc_id never names a component of other documents. Rows that
@@ -43,8 +43,8 @@ TREES, DEPTH, MIN_DEPTH = 24, 6, 3
 WINDOW, DENSE_WINDOW = 32, 512
 #: Neighbours that the first scan keeps of a row whose region is wider than the window.
 DENSE_KEEP = 8
-#: Best partners of a row, by sketch, in a round over the crowded regions.
-DENSE_BEST = 4
+#: Best partners of a row, by sketch, in the first round over the crowded regions; growth from round to round.
+DENSE_BEST, DENSE_MORE = 4, 16
 #: Rounds in which each set confirms its best pair, before all that is left is confirmed.
 BEST_ROUNDS = 2
 #: Standard deviations below the threshold at which a sketch is out of reach.
@@ -494,12 +494,14 @@ def _confirmed(pairs: DataFrame, crowd: DataFrame, sets: DataFrame, share: tuple
     linked = _join_up(pairs, sets, share, spark.createDataFrame([], "node long, component long"))
     if not crowd.head(1):
         return linked
+    tried, most = pairs.select("a", "b"), DENSE_BEST
     while True:
-        found = checkpointed(crowded_pairs(crowd, linked, share[0] / share[1], DENSE_BEST), "op5-pairs")
-        before = linked
-        linked = _join_up(found, sets, share, linked)
-        if linked is before:
+        found = checkpointed(crowded_pairs(crowd, linked, share[0] / share[1], most), "op5-dense-pairs")
+        new = checkpointed(found.join(tried, ["a", "b"], "left_anti"), "op5-pairs")
+        linked = _join_up(new, sets, share, linked)
+        if not found.filter("more").head(1):    # every pair is tried or inside one component
             return linked
+        tried, most = tried.unionByName(new.select("a", "b")), most * DENSE_MORE
 
 
 def _apart(pairs: DataFrame, linked: DataFrame) -> DataFrame:
