@@ -87,6 +87,23 @@ def test_regions_wider_than_a_block(spark, monkeypatch):
     assert found == {(i, c) for (i, _), (_, c) in zip(rows, components(rows))}
 
 
+@pytest.mark.parametrize("places", [(0, 41), (5, 25)])
+def test_pair_apart_in_a_region_of_strangers(spark, places):
+    """All sets share the leading values of every tree; the sketches allow no pair but one, which stands apart."""
+    random.seed(8)
+    a, b = places
+    rows = [(i, prose(700 + i, 60)) for i in range(42)]
+    rows[b] = (b, rows[a][1] + " more")
+    nodes = []
+    for i, _ in rows:
+        tree = bytes(2 * op5.MIN_DEPTH) + i.to_bytes(2, "big") * (op5.DEPTH - op5.MIN_DEPTH)
+        sketch = random.randbytes(2 * op5.TREES * op5.DEPTH // 8)
+        nodes.append((i, 60, bytearray(tree * op5.TREES), bytearray(nodes[a][3] if i == b else sketch)))
+    frame = spark.createDataFrame(nodes, "id long, n long, orders binary, sketch binary")
+    linked = op5._links(documents(spark, rows), frame, 2, (80, 100)).collect()
+    assert {(r.node, r.component) for r in linked} == {(a, a), (b, a)}
+
+
 def test_near_dedup_of_nothing(spark):
     assert op5.near_duplicates(documents(spark, [])).count() == 0
     found = op5.near_duplicates(documents(spark, [(3, None), (4, ""), (5, " ")])).collect()

@@ -195,7 +195,7 @@ class _Rows:
 
 
 def _pairs(rows: _Rows, first_new: int, window: int, share: float, keep: int, seam: bool = False) -> list[tuple]:
-    """Candidates (a, b, matches, dense) among sorted rows whose second row is ``first_new`` or later.
+    """Candidates (a, b, matches) among sorted rows whose second row is ``first_new`` or later.
 
     ``keep``: neighbours of a row whose region is wider than the window; ``seam``: only pairs whose first
     row comes before ``first_new``.
@@ -232,8 +232,8 @@ def _pairs(rows: _Rows, first_new: int, window: int, share: float, keep: int, se
             match = bits - np.bitwise_count(differ[:, :half] | differ[:, half:]).sum(axis=1, dtype=np.int64)
             hit = match >= need
             a, b, match = a[hit], b[hit], match[hit]
-            found.append((a, b, match, wide[a] | wide[b]))
-    return [(rows.ids[a], rows.ids[b], match, dense) for a, b, match, dense in found]
+            found.append((a, b, match))
+    return [(rows.ids[a], rows.ids[b], match) for a, b, match in found]
 
 
 def _least_matches(share: float, bits: int) -> int:
@@ -242,8 +242,8 @@ def _least_matches(share: float, bits: int) -> int:
 
 
 def _scan(forest: DataFrame, window: int, share: float, keep: int) -> DataFrame:
-    """Candidate rows (kind 0: a, b, estimate, dense) and each partition's outer rows (kind 1, 2: first, last)."""
-    schema = f"kind int, part int, a long, b long, estimate int, dense boolean, {NODE}"
+    """Candidate rows (kind 0: a, b, estimate) and each partition's outer rows (kind 1, 2: first, last)."""
+    schema = f"kind int, part int, a long, b long, estimate int, {NODE}"
     names = [x.split()[0] for x in schema.split(", ")]
 
     def outer(kind: int, part: int, rows: _Rows) -> pa.RecordBatch:
@@ -251,7 +251,7 @@ def _scan(forest: DataFrame, window: int, share: float, keep: int) -> DataFrame:
         none = pa.nulls(n, pa.int64())
         return pa.RecordBatch.from_arrays(
             [pa.array([kind] * n, pa.int32()), pa.array([part] * n, pa.int32()), none, none, pa.nulls(n, pa.int32()),
-             pa.nulls(n, pa.bool_()), pa.array(rows.tree, pa.int32()),
+             pa.array(rows.tree, pa.int32()),
              pa.array([p.tobytes() for p in rows.prefix], pa.binary()), pa.array(rows.ids), pa.array(rows.n),
              pa.array([s.tobytes() for s in rows.sketch], pa.binary()), pa.array(rows.component)], names=names)
 
@@ -275,27 +275,27 @@ def _scan(forest: DataFrame, window: int, share: float, keep: int) -> DataFrame:
 
 
 def _pair_batches(found: list[tuple], part: int, names: list[str]) -> Iterator[pa.RecordBatch]:
-    for a, b, match, dense in found:
+    for a, b, match in found:
         n = len(a)
         if n:
             kinds = [pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(n, np.int32)), pa.array(np.full(n, part, np.int32)), pa.array(np.minimum(a, b)),
-                 pa.array(np.maximum(a, b)), pa.array(match.astype(np.int32)), pa.array(dense),
+                 pa.array(np.maximum(a, b)), pa.array(match.astype(np.int32)),
                  *(pa.nulls(n, k) for k in kinds)], names=names)
 
 
 def candidates(nodes: DataFrame, share: float, window: int, keep: int, name: str) -> DataFrame:
-    """Distinct candidate pairs of nodes (a < b) with sketch matches and whether their region was dense."""
+    """Distinct candidate pairs of nodes (a < b) with sketch matches."""
     n = max(1, -(-nodes.count() * TREES // ROWS_A_PARTITION))
     ranged = _forest(nodes).repartitionByRange(n, "tree", "prefix", "id").sortWithinPartitions("tree", "prefix", "id")
     scanned = checkpointed(_scan(ranged, window, share, keep), name)
-    inner = scanned.filter("kind = 0").select("a", "b", "estimate", "dense")
+    inner = scanned.filter("kind = 0").select("a", "b", "estimate")
     edge = scanned.filter("kind > 0")
     edge = edge.withColumn("seam", F.when(F.col("kind") == 1, F.col("part") - 1).otherwise(F.col("part")))
 
     def seam(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["a", "b", "estimate", "dense"]
+        names = ["a", "b", "estimate"]
         seams: dict[int, list[pa.RecordBatch]] = {}
         for batch in batches:       # a few hundred rows a seam
             for s in set(batch.column("seam").to_pylist()):
@@ -307,21 +307,20 @@ def candidates(nodes: DataFrame, share: float, window: int, keep: int, name: str
             if len(sides) == 2:
                 rows = sides[0].plus(sides[1])
                 order = np.lexsort((rows.ids, *rows.prefix.T[::-1], rows.tree))
-                for a, b, match, dense in _pairs(rows[order], len(sides[0]), window, share, keep, seam=True):
+                for a, b, match in _pairs(rows[order], len(sides[0]), window, share, keep, seam=True):
                     if len(a):
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)),
-                             pa.array(match.astype(np.int32)), pa.array(dense)], names=names)
+                             pa.array(match.astype(np.int32))], names=names)
 
-    across = shipped(edge.repartition("seam")).mapInArrow(seam, "a long, b long, estimate int, dense boolean")
-    return (inner.unionByName(across).groupBy("a", "b")
-            .agg(F.max("estimate").alias("estimate"), F.max("dense").alias("dense")))
+    across = shipped(edge.repartition("seam")).mapInArrow(seam, "a long, b long, estimate int")
+    return inner.unionByName(across).groupBy("a", "b").agg(F.max("estimate").alias("estimate"))
 
 
 def _crowd(nodes: DataFrame) -> DataFrame:
-    """tree, region, id, n and sketch of the rows of regions that hold several of the nodes."""
+    """tree, region, id, n and sketch of all rows of the regions that hold more rows than the window."""
     rows = _forest(nodes).withColumn("region", F.substring("prefix", 1, 2 * MIN_DEPTH))
-    wide = rows.groupBy("tree", "region").count().filter("count > 1").select("tree", "region")
+    wide = rows.groupBy("tree", "region").count().filter(F.col("count") > WINDOW).select("tree", "region")
     wide = checkpointed(wide, "op5-regions")
     return checkpointed(rows.select("tree", "region", "id", "n", "sketch")
                         .join(wide, ["tree", "region"], "left_semi"), "op5-crowd")
@@ -475,9 +474,7 @@ def _links(docs: DataFrame, nodes: DataFrame, shingle: int, share: tuple[int, in
     least = share[0] / share[1]
     plain = nodes.withColumn("component", F.lit(None).cast("long"))
     pairs = checkpointed(candidates(plain, least, WINDOW, DENSE_KEEP, "op5-forest"), "op5-pairs")
-    dense = pairs.filter("dense")
-    ids = dense.select(F.col("a").alias("id")).unionByName(dense.select(F.col("b").alias("id"))).distinct()
-    crowd = _crowd(plain.join(ids, "id", "left_semi"))
+    crowd = _crowd(plain)
     ends = (pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
             .unionByName(crowd.select("id")).distinct())
     spark = docs.sparkSession
