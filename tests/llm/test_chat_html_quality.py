@@ -74,6 +74,17 @@ def test_page_extraction():
     assert op3_html.main_text(deep).startswith("some words")
 
 
+def test_head_without_end_tag():
+    text = "This sentence is long enough to be the main text of the page, with some more words in it."
+    for page in (f"<html><head><title>x</title><body><p>{text}</p></body></html>",
+                 f"<html><head><meta charset=utf-8><title>x</title><p>{text}</p>",
+                 f"<html><head><title>x</title>{text}",
+                 f"<html><head><head><title>x</title><style>p {{}}</style></head><body><p>{text}</p></body></html>",
+                 f"<html><head><noscript><img src=y></noscript><template><div>no</div></template><title>x</title>"
+                 f"<article><p>{text}</p></article></html>"):
+        assert op3_html.main_text(page) == text
+
+
 def test_page_without_article_element():
     paragraphs = "".join(f"<p>{prose(k, 30)}.</p>" for k in range(5))
     page = f"<body><div class=menu><a href=/>Home</a> <a href=/a>A</a></div><div class=x>{paragraphs}</div><div>" \

@@ -31,6 +31,8 @@ DROPPED = frozenset("script style noscript template svg math head title iframe o
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset "
                    "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol "
                    "p pre search section summary table tbody td tfoot th thead tr ul".split())
+#: Start tags that leave an open head open; any other ends it, as its end tag may be left out.
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 CLOSES = {"p": BLOCKS - {"body", "html"}, "li": frozenset(["li"]), "dd": frozenset(["dd", "dt"]),
           "dt": frozenset(["dd", "dt"]), "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]),
           "th": frozenset(["td", "th", "tr"])}
@@ -110,7 +112,16 @@ class PageParser(HTMLParser):
         self.dropped -= tag in DROPPED
         self.links -= tag == "a"
 
+    def leave_head(self) -> None:
+        while self.stack[-1].tag == "head":
+            self.pop()
+
     def handle_starttag(self, tag, attrs):
+        if tag == "body" and not self.open.get("template"):
+            while self.open.get("head"):
+                self.close_to("head", ())
+        if tag not in IN_HEAD:
+            self.leave_head()
         if tag == "br" or tag == "img":
             self.parts.append(" ")
             return
@@ -159,6 +170,8 @@ class PageParser(HTMLParser):
             self.close_to(tag, () if tag in BLOCKS else ("p", "div", "article", "section", "td", "li", "body"))
 
     def handle_data(self, data):
+        if data.strip():
+            self.leave_head()
         if not self.dropped:
             self.parts.append(data)
             if self.links:
