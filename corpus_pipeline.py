@@ -40,11 +40,14 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near duplicates; of rows that repeat a doc_id, one."""
-    name = free("_kept", docs.columns)
-    kept = op5_near_dedup.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias(name)).distinct()
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
-    return rows.dropDuplicates(["doc_id"])
+    """The first document of each group of near duplicates; of rows with the same doc_id and shingles, one."""
+    own = free("_set", docs.columns)
+    name, kind = (free(c, [*docs.columns, own]) for c in ("_kept", "_kind"))
+    kept = op5_near_dedup.near_duplicates_by_set(docs).filter("kept").select(
+        F.col("doc_id").alias(name), F.col("set_id").alias(kind)).distinct()
+    rows = op5_near_dedup.with_set_id(docs, own)
+    same = F.col("doc_id").eqNullSafe(F.col(name)) & F.col(own).eqNullSafe(F.col(kind))
+    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", own]).select(*docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

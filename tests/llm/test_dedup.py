@@ -179,6 +179,16 @@ def test_automaton_counts_occurrences():
             assert automaton.matching(list(s), k) == [often[s[i:i + k]] > 1 for i in range(len(s) - k + 1)]
 
 
+def test_near_dedup_stage_keeps_different_texts_of_one_id(spark):
+    import corpus_pipeline as pipeline
+    rows = [(None, prose(801, 40)), (None, prose(802, 40)), (None, prose(802, 40)), (8, prose(803, 40)),
+            (8, prose(804, 40)), (8, prose(804, 40)), (9, prose(805, 40)), (10, prose(805, 40)), (11, "")]
+    found = pipeline.near_dedup(spark, documents(spark, rows, "_set int, _kept int"), "")
+    assert found.columns == ["doc_id", "text", "_set", "_kept"]
+    assert sorted((r.doc_id or -1, r.text) for r in found.collect()) == sorted(
+        {(i or -1, t) for i, t in rows if i != 10})
+
+
 def test_pipeline_stages(spark, tmpdir_path):
     import corpus_pipeline as pipeline
     rows = variants() + [(3000 + i, f"{prose(3000 + i, 40)}\nA line that is in every one of these\n{prose(4000 + i, 40)}")

@@ -33,6 +33,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from touchline.llm.common import id_text, shipped, slices
 from touchline.llm.components import connected_components
@@ -455,6 +456,24 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, share: tuple[int, int] =
 
     Documents are linked if their sets have ``share[0]`` in ``share[1]`` of the union or more in common.
     """
+    return near_duplicates_by_set(docs, shingle, share).drop("set_id")
+
+
+def with_set_id(docs: DataFrame, name: str, shingle: int = 2) -> DataFrame:
+    """``docs`` with the digest of each text's shingle set (null for an empty one) as column ``name``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(over="ignore"):
+            for batch in slices(batches, "text", 8 << 20):
+                found = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
+                         for s in shingle_sets(batch.column("text"), shingle)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())],
+                                                 names=[*batch.schema.names, name])
+
+    return shipped(docs).mapInArrow(run, StructType([*docs.schema.fields, StructField(name, BinaryType())]))
+
+
+def near_duplicates_by_set(docs: DataFrame, shingle: int = 2, share: tuple[int, int] = (80, 100)) -> DataFrame:
+    """The rows of ``near_duplicates`` with the digest of their shingle set, set_id."""
     signed = checkpointed(signatures(docs, shingle), "op5-signatures")
     classes = (signed.filter("n_shingles > 0").groupBy("set_id")
                .agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("orders").alias("orders"),
@@ -465,7 +484,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, share: tuple[int, int] =
         "set_id", F.coalesce("component", "id").alias("_component"))
     found = signed.select("doc_id", "n_shingles", "set_id").join(named, "set_id", "left")
     component = F.coalesce("_component", "doc_id")
-    return found.select("doc_id", "n_shingles", component.alias("component_id"),
+    return found.select("doc_id", "set_id", "n_shingles", component.alias("component_id"),
                         F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
