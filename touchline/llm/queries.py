@@ -78,6 +78,11 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from touchline.llm.op11_ngram_join import jaccard_classes
+    return jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality_rules": op2_quality_rules,
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_substrings": op9_substrings,
     "op10_fingerprints": op10_fingerprints,
+    "op11_ngram_join": op11_ngram_join,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
