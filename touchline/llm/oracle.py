@@ -83,4 +83,86 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(length(rendered)) AS BIGINT) AS formatted_chars
 FROM shown GROUP BY conv_id"""
 
-ORACLE_SQL = {"op2_quality_rules": _rules_sql(), "op6_chat": CHAT_SQL, "op8_line_dedup": LINES_SQL}
+def _jaccard_sql(size: int) -> str:
+    """Documents, the sizes of their sets of shingles, and the smallest doc_id they are linked with."""
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= {size}
+    THEN list_transform(range(1, len(w) - {size - 2}), lambda i: md5(array_to_string(w[i:i + {size - 1}], ' ')))
+    WHEN len(w) > 0 THEN [md5('short ' || array_to_string(w, ' '))] ELSE [] END) AS s
+  FROM d
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id
+  GROUP BY ALL
+),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)
+),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id AS start, doc_id AS node FROM d
+  UNION
+  SELECT start, b FROM reach JOIN both_ways ON a = node
+)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
+FROM d LEFT JOIN sizes ON sizes.doc_id = d.doc_id
+JOIN (SELECT start, min(node) AS component_id FROM reach GROUP BY start) ON start = d.doc_id"""
+
+
+TRIE_SQL = """
+WITH own AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+sizes AS (SELECT c, max(pos) AS n FROM own GROUP BY c),
+-- CRC-32: one step a byte, eight shifts a step
+hashed AS (
+  SELECT c, n, c - c % 5 AS base, xor(list_reduce(
+      list_prepend(4294967295, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+      lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 9 AS h
+  FROM sizes
+),
+convs AS (
+  SELECT x.c, x.base, x.h, least(x.h, coalesce(b.n, 0)) AS m FROM hashed x LEFT JOIN sizes b ON b.c = x.base
+),
+rebuilt AS (
+  SELECT v.c, o.pos AS d, role, text FROM convs v JOIN own o ON o.c = v.base AND o.pos <= v.m
+  UNION ALL
+  SELECT v.c, v.m + o.pos - v.h, role, text FROM convs v JOIN own o ON o.c = v.c AND o.pos > v.h
+),
+ways AS (
+  SELECT c, d, sha256(string_agg(length(role) || ':' || role || length(text) || ':' || text, '')
+    OVER (PARTITION BY c ORDER BY d)) AS node, strlen(text) AS bytes
+  FROM rebuilt
+  UNION ALL SELECT c, 0, '', 0 FROM convs
+),
+steps AS (
+  SELECT *, lag(node) OVER (PARTITION BY c ORDER BY d) AS up, max(d) OVER (PARTITION BY c) AS last FROM ways
+),
+nodes AS (
+  SELECT node, any_value(up) AS up, any_value(d) AS d, min(c) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (d = last), '')) AS ends_sha256
+  FROM steps GROUP BY node
+),
+children AS (SELECT up AS node, count(*) AS n FROM nodes WHERE up IS NOT NULL GROUP BY up),
+full_nodes AS (SELECT nodes.*, coalesce(children.n, 0) AS n_children FROM nodes LEFT JOIN children ON children.node = nodes.node),
+totals AS (
+  SELECT w.node, sum(CASE WHEN v.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((v.n_convs - 1) * v.bytes) AS saved
+  FROM full_nodes v JOIN ways w ON w.c = v.conv_id AND w.d <= v.d GROUP BY w.node
+)
+SELECT f.conv_id, CAST(f.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children,
+  CAST(t.n_leaves AS BIGINT) AS n_leaves, CAST(t.saved AS BIGINT) AS saved_tokens, f.ends_sha256
+FROM full_nodes f JOIN totals t ON t.node = f.node LEFT JOIN nodes p ON p.node = f.up"""
+
+
+ORACLE_SQL = {"op2_quality_rules": _rules_sql(), "op6_chat": CHAT_SQL, "op8_line_dedup": LINES_SQL,
+              "op5_near_dedup": f"SELECT *, doc_id = component_id AS kept FROM ({_jaccard_sql(2)})",
+              "op11_ngram_join": _jaccard_sql(5), "op13_prefix_trie": TRIE_SQL}
