@@ -83,6 +83,11 @@ def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from touchline.llm.op12_whitening import whiten
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     from touchline.llm.op13_prefix_trie import prefix_trie
     return prefix_trie(table(spark, sf_dir, "conversations"))
@@ -100,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substrings": op9_substrings,
     "op10_fingerprints": op10_fingerprints,
     "op11_ngram_join": op11_ngram_join,
+    "op12_whitening": op12_whitening,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
