@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from touchline.schema import SOURCE_NAMES
+from touchline.sources.tsv import read_tsv
 
 # Fixed value: label of a code missing from the names table.
 UNKNOWN_SOURCE_NAME = "Неизвестный источник"
@@ -12,8 +13,7 @@ UNKNOWN_SOURCE_NAME = "Неизвестный источник"
 
 def read_source_names(spark: SparkSession, path: str) -> DataFrame:
     """Tab-separated file with header ``SourceCode<TAB>SourceName``; codes stay text."""
-    return (spark.read.schema(SOURCE_NAMES).option("sep", "\t").option("header", True)
-            .csv(path))
+    return read_tsv(spark, path, SOURCE_NAMES)
 
 
 def no_source_names(spark: SparkSession) -> DataFrame:
