@@ -110,8 +110,12 @@ def _flat_group(df: DataFrame, name: str) -> Column:
     parts = []
     for f in struct_t.fields:
         if f.name in own:
-            values = F.transform(array(f.name), _converter(own[f.name].elementType, f.dataType,
-                                                           (name, f.name) in _U64_GROUP_FIELDS))
+            values = F.transform(F.col(f"`{name}.{f.name}`"), _converter(
+                own[f.name].elementType, f.dataType, (name, f.name) in _U64_GROUP_FIELDS))
+            if f.name not in _REQUIRED[name]:    # a row without this sub-column
+                values = F.coalesce(values, F.transform(key, _constant(_default(f.dataType))))
+            else:
+                values = F.coalesce(values, F.array().cast(T.ArrayType(f.dataType)))
         else:
             values = F.transform(key, _constant(_default(f.dataType)))
         parts.append(values.alias(f.name))
@@ -125,7 +129,7 @@ def normalize_raw_visits(df: DataFrame) -> DataFrame:
     flat form of the source system, where a group is a set of parallel arrays named
     ``TrafficSource.Model``, ``TrafficSource.ID``, ... , zipped element-wise into one array of structs.
     Without a group's ``Model`` or ``ID`` no row could be read right, so their absence raises; other
-    missing sub-columns take their type's default, NULL groups are empty.
+    missing sub-columns take their type's default (also where only some rows lack one), NULL groups are empty.
     """
     cols = set(df.columns)
     out = []
@@ -155,26 +159,75 @@ def _export_schema() -> T.StructType:
     return T.StructType([*fields, T.StructField("UserID", T.StringType())])
 
 
+def _present_columns(pieces: DataFrame, names: list[str]) -> set[str]:
+    """The export's columns: the union of the keys of all rows (pieces of text, one JSON object each).
+
+    The set is merged like any aggregate: each task sends a row a known column at most.
+    """
+    keys = pieces.select(F.explode(F.expr("json_object_keys(value)")).alias("k")).filter(F.col("k").isin(names))
+    return {r["k"] for r in keys.groupBy("k").agg(F.count(F.lit(1))).select("k").collect()}
+
+
+#: Where a record ends in an export of one document that stands on several lines. A line feed cannot be
+#: inside a JSON text, so this end is never one.
+RECORD_END = "\n\t\t},"
+_COMPACT_END = "},"
+
+
+def _records(spark: SparkSession, path: str, end: str) -> DataFrame:
+    """Texts of the records of one-document exports, cut at ``end`` by the scan itself, so that a file which
+    is not compressed is read by many tasks. The head of the document (up to its list of columns, and from
+    there to its row list) is dropped from its pieces; what follows the last record in its piece is not read."""
+    pieces = spark.read.option("lineSep", end).text(path)
+    head = F.when(F.contains("value", F.lit('"meta"')), F.regexp_replace("value", r'(?s)^[^\[]*"meta"\s*:\s*\[', "")) \
+        .otherwise(F.col("value"))
+    rest = F.when(F.contains(head, F.lit('"data"')), F.regexp_replace(head, r'(?s)^.*"data"\s*:\s*\[', "")) \
+        .otherwise(head)
+    value = F.btrim(rest, F.lit(" \t\r\n"))
+    # the scan took the closing brace of all but the last piece; one more brace behind a record does no harm
+    return pieces.select(F.concat(value, F.lit("}")).alias("value")).filter(F.startswith("value", F.lit("{")))
+
+
+def _is_column_list(keys: Column) -> Column:
+    """Whether an object is an entry of the document's list of columns (name and type)."""
+    return (F.size(keys) == 2) & F.array_contains(keys, "name") & F.array_contains(keys, "type")
+
+
+def _envelope_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The texts of the rows (column ``value``) of exports of one document a file."""
+    lines = spark.read.text(path)
+    if lines.filter(F.col("value") == RECORD_END[1:]).head(1):
+        pieces = _records(spark, path, RECORD_END)
+    else:
+        # all in one line: the end of a record may also stand inside a text, which cuts a record
+        pieces = _records(spark, path, _COMPACT_END)
+        if pieces.filter("json_object_keys(value) IS NULL").head(1):
+            doc = spark.read.option("multiLine", True).schema(T.StructType([T.StructField("data", T.ArrayType(schema))]))
+            return doc.json(path).select(F.explode("data").alias("r")).select(
+                F.to_json("r", {"ignoreNullFields": "true"}).alias("value"))
+    return pieces.filter(~F.coalesce(_is_column_list(F.expr("json_object_keys(value)")), F.lit(False)))
+
+
 def load_json_dump(spark: SparkSession, path: str, envelope: bool = False) -> DataFrame:
     """Load a JSON export of raw visits.
 
     The normal form is JSON lines, one visit row per line, which splits across tasks.
-    ``envelope=True`` reads one document ``{"meta": [...], "data": [{...}, ...], "rows": n}`` (may be
-    gzip-compressed): one task holds the whole file, so this is for small exports only. Groups are
-    parallel arrays (``TrafficSource.Model``, ...); date-time fields are ``YYYY-MM-DD hh:mm:ss`` text.
-    Which columns the export has is read off its first line (or document); the types are fixed, so the
-    data is not read twice.
+    ``envelope=True`` reads documents ``{"meta": [...], "data": [{...}, ...], "rows": n}`` (may be
+    gzip-compressed). They are cut at the ends of records by the scan, so one file that is not compressed is read by
+    many tasks too. A document without line feeds between records is cut at ``},``; only if one of its texts
+    holds that, each file is read whole by one task.
+
+    Groups are parallel arrays (``TrafficSource.Model``, ...); date-time fields are ``YYYY-MM-DD hh:mm:ss``
+    text. Which columns the export has is the union over all rows, found in a pass of its own; a column that
+    no row has is missing (see ``normalize_raw_visits``), in a row without a sub-column its values are the
+    type's default. A row that is no JSON object raises.
     """
     schema = _export_schema()
-    if envelope:
-        doc = spark.read.option("multiLine", True).schema(T.StructType([T.StructField("data", T.ArrayType(schema))]))
-        rows = doc.json(path).select(F.explode("data").alias("r")).select("r.*")
-        whole = spark.read.text(path, wholetext=True).select(F.expr("json_object_keys(get_json_object(value, '$.data[0]'))"))
-        present = whole.first()
-    else:
-        rows = spark.read.schema(schema).json(path)
-        present = spark.read.text(path).select(F.expr("json_object_keys(value)")).first()
-    present = set(present[0] or ()) if present else set(schema.names)
+    texts = _envelope_rows(spark, path, schema) if envelope else spark.read.text(path).filter(F.btrim("value") != "")
+    present = _present_columns(texts, schema.names)
+    if not present and not texts.head(1):
+        present = set(schema.names)     # no rows: no column can be missing
+    rows = texts.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
     fixed = []
     for c in rows.columns:
         if c not in present:
