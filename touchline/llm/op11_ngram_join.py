@@ -12,8 +12,9 @@ hash; so frequencies are counted for a region only, and orders have little in co
 2. For the sets that are left, all orders are built exactly: tokens, their frequencies (pre-aggregated) and
    each set's prefix. Sets without a shared prefix token under some order leave.
 3. Postings of one order give pairs, the prefixes under the others must overlap too, and what passes is
-   confirmed on full sets. Each posting list first tries a hub with all its members, ``HUB_ROUNDS`` times
-   over; groups of copies are one component by then, and only pairs between components are tried in full.
+   confirmed on full sets. Pairs that their sizes, tokens of their own or parity bits rule out are never made. Each posting
+   list first tries a hub with all its members, ``HUB_ROUNDS`` times over; groups of copies are one component
+   by then, and only pairs between components are tried in full.
 
 No link is lost: the filters are exact, and every pair they leave between two components is confirmed.
 Documents with the same set are one node. Null, empty or blank texts have an empty set, link with nothing
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.common import id_text, shipped, slices
@@ -43,6 +44,7 @@ REGION = 5
 #: Tokens in a slab, and tokens counted at once by a task.
 SLAB_TOKENS, PART_TOKENS = 1 << 20, 1 << 22
 HUB_ROUNDS = 3
+PARITY_BITS = 512
 _TOP24 = REGION << 20       # first value of the upper 24 bits behind the first region
 
 
@@ -60,6 +62,13 @@ def digest(tokens: np.ndarray) -> bytes:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
+def parity(tokens: np.ndarray) -> list[int]:
+    """``PARITY_BITS`` bits, each the parity of the tokens that fall on it. Where the bits of two sets differ, a
+    token is in one of them only: the number of such places is at most the size of their difference."""
+    odd = np.bincount((tokens & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8").tolist()
+
+
 def _pack(tokens: np.ndarray) -> bytes:
     """The upper 48 bits of each token."""
     return np.ascontiguousarray(tokens.astype("<u8").view("<u2").reshape(-1, 4)[:, 1:]).tobytes()
@@ -204,21 +213,22 @@ def possible_sets(signed: DataFrame, share: tuple[int, int]) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, signed: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """node (a number of its own), set_id, n and sorted tokens (8 bytes each) of the wanted sets."""
+    """node (a number of its own), set_id, n, sorted tokens (8 bytes each) and parity bits of the wanted sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in slices(batches, "text", 4 << 20):
                 sets = [s for s in shingle_sets(batch.column("text"), size) if len(s)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([digest(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([s.tobytes() for s in sets], pa.binary())], names=["set_id", "n", "tokens"])
+                     pa.array([s.tobytes() for s in sets], pa.binary()),
+                     pa.array([parity(s) for s in sets], pa.list_(pa.int64()))], names=["set_id", "n", "tokens", "bits"])
 
     owners = (signed.join(wanted, "set_id").groupBy("set_id").agg(F.min("doc_id").alias("_owner"))
               .select("_owner").distinct())
     texts = id_text(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     texts = texts.join(owners, F.col("doc_id").eqNullSafe(F.col("_owner")), "left_semi").select("text")
-    found = shipped(texts).mapInArrow(run, "set_id binary, n long, tokens binary").join(wanted, "set_id", "left_semi")
-    one = found.groupBy("set_id").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
+    found = shipped(texts).mapInArrow(run, "set_id binary, n long, tokens binary, bits array<long>")
+    one = found.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(*(F.first(c).alias(c) for c in ("n", "tokens", "bits")))
     return one.withColumn("node", F.monotonically_increasing_id())
 
 
@@ -252,26 +262,39 @@ def _order_tokens(sets: DataFrame, k: int, share: tuple[int, int]) -> DataFrame:
 
 
 def order_prefixes(sets: DataFrame, k: int, share: tuple[int, int]) -> DataFrame:
-    """node, n, the tokens of its prefix under order k that other sets have too (``prefix``, in order), and
-    how many of them belong to the shorter prefix of the smaller set of a pair (``inner``).
+    """node, n, how many tokens of the region no other set has (``lonely``), the tokens of its prefix under
+    order k that other sets have too (``prefix``, in order), and how many of them belong to the shorter prefix
+    of the smaller set of a pair (``inner``).
 
     A token of a single set takes its place in a prefix but is in no posting list.
     """
     tokens = _order_tokens(sets, k, share)
     shared = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
     rows = tokens.join(shared, "token")
-    lists = rows.groupBy("node", "n", "region").agg(F.sort_array(F.collect_list(
-        F.struct(F.greatest("place", F.lit(-1)).alias("place"), "df", "token"))).alias("own"))
-    n, region = F.col("n"), F.col("region")
-    seen = F.size(F.filter("own", lambda x: x["place"] < 0))
-    at = F.transform("own", lambda x, i: F.struct(
-        F.when(x["place"] < 0, region - seen + i).otherwise(region + x["place"]).alias("at"), x["token"].alias("token")))
+    early = F.col("place") < 0
+    lists = rows.groupBy("node", "n", "region").agg(
+        F.sort_array(F.collect_list(F.struct("place", "df", "token"))).alias("own"),
+        F.sum(early.cast("long")).alias("seen"))
+    lonely, place = F.col("region") - F.col("seen"), F.col("own.place")
     length = F.expr(f"n - ceil({share[0]}bd * n / {share[1]}bd) + 1")
     shorter = F.expr(f"n - ceil({2 * share[0]}bd * n / {share[0] + share[1]}bd) + 1")
-    inside = F.filter(at, lambda x: x["at"] < length)
-    return (lists.withColumn("kept", inside).filter(F.size("kept") > 0)
-            .select("node", "n", F.col("kept.token").alias("prefix"),
-                    F.size(F.filter("kept", lambda x: x["at"] < shorter)).alias("inner")))
+    # of the region's tokens the shared ones stand behind the lonely ones, of the others each has its place
+    late = F.size(F.filter(place, lambda p: (p >= 0) & (p < length - F.col("region"))))
+    late_short = F.size(F.filter(place, lambda p: (p >= 0) & (p < shorter - F.col("region"))))
+
+    def first(limit: Column, of_late: Column) -> Column:
+        return (F.least(F.col("seen"), F.greatest(limit - lonely, F.lit(0))) + of_late).cast("int")
+
+    counted = lists.select("node", "n", lonely.alias("lonely"), F.col("own.token").alias("tokens"),
+                           first(length, late).alias("long"), first(shorter, late_short).alias("inner"))
+    return counted.filter("long > 0").select("node", "n", "lonely", F.slice("tokens", F.lit(1), F.col("long")).alias("prefix"),
+                                             "inner")
+
+
+def _near_enough(n: str, m: str, c: str, d: str, share: tuple[int, int]) -> Column:
+    """Whether sets of n and m tokens, c and d of them not theirs alone, can be as alike as the threshold."""
+    most = F.least(c, d)
+    return most * share[1] >= (F.col(n) + F.col(m) - most) * share[0]
 
 
 def _confirmed(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
@@ -298,6 +321,28 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, share: tuple
     return shipped(near.select("a", "b", "x", "y")).mapInArrow(run, "a long, b long")
 
 
+def _other_pairs(live: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) of different components that a posting list holds and whose sizes, own tokens and parity
+    bits allow the threshold. The largest component of a list meets only the others, never itself."""
+    names = [f"b{i}" for i in range(PARITY_BITS // 64)]
+    bits = sets.select("node", *(F.get("bits", i).alias(x) for i, x in enumerate(names)))
+    top = (live.groupBy("token", "component").agg(F.count("*").alias("size"))
+           .groupBy("token").agg(F.max_by("component", F.struct("size", "component")).alias("top")))
+    rows = checkpointed(live.join(top, "token").join(bits, "node"), "op11-live")
+    columns = ["node", "n", "c", "component", "indexed", *names]
+    left = rows.filter("component <> top").select("token", *(F.col(c).alias(f"l_{c}") for c in columns))
+    right = rows.select("token", "top", *(F.col(c).alias(f"r_{c}") for c in columns))
+    once = (F.col("r_component") == F.col("top")) | (F.col("l_node") < F.col("r_node"))
+    less = (F.col("l_n") < F.col("r_n")) | ((F.col("l_n") == F.col("r_n")) & (F.col("l_node") < F.col("r_node")))
+    apart = sum((F.bit_count(F.col(f"l_{x}").bitwiseXOR(F.col(f"r_{x}"))) for x in names), F.lit(0))
+    close = apart * (share[0] + share[1]) <= (F.col("l_n") + F.col("r_n")) * (share[1] - share[0])
+    return (left.join(right, "token")
+            .filter((F.col("l_component") != F.col("r_component")) & once
+                    & F.when(less, F.col("l_indexed")).otherwise(F.col("r_indexed"))
+                    & _near_enough("l_n", "r_n", "l_c", "r_c", share) & close)
+            .select(*_pair("l_node", "r_node")))
+
+
 def _pair(left: str, right: str) -> list:
     return [F.least(left, right).alias("a"), F.greatest(left, right).alias("b")]
 
@@ -310,35 +355,31 @@ def links(sets: DataFrame, share: tuple[int, int]) -> DataFrame:
         own = sets if nodes is None else sets.join(nodes.select("node"), "node", "left_semi")
         found = order_prefixes(own, k, share).withColumnRenamed("prefix", f"prefix{k}")
         found = found if k == 0 else found.drop("inner")
-        found = found if nodes is None else found.join(nodes.drop("n"), "node")
+        if nodes is not None:
+            found = found.join(nodes.drop("n").withColumnRenamed("lonely", "_lonely"), "node").withColumn(
+                "lonely", F.col("lonely") + F.col("_lonely")).drop("_lonely")
         nodes = checkpointed(found, "op11-order")
-    post = nodes.select("node", "n", "inner", F.posexplode("prefix0").alias("at", "token")).select(
-        "token", "node", "n", (F.col("at") < F.col("inner")).alias("indexed"))
+    post = nodes.select("node", "n", (F.col("n") - F.col("lonely")).alias("c"), "inner",
+                        F.posexplode("prefix0").alias("at", "token")).select(
+        "token", "node", "n", "c", (F.col("at") < F.col("inner")).alias("indexed"))
     post = checkpointed(post, "op11-postings")
     linked = spark.createDataFrame([], "node long, component long")
-    close = F.col("n") * share[1] >= F.col("m") * share[0]
     tried = None
     for turn in range(HUB_ROUNDS + 1):
         named = post.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
         if turn:
             named = checkpointed(named, "op11-named")
-        salt = F.xxhash64("node", "token", F.lit(turn)) if turn else F.col("node")
+        # first the set with the least share of tokens of its own, then others
+        rank = F.xxhash64("node", "token", F.lit(turn)) if turn else F.struct(F.col("c") / -F.col("n"), F.col("node"))
         lists = (named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                                            F.min_by(F.struct("node", "n", "component"), salt).alias("hub"))
+                                            F.min_by(F.struct("node", "n", "c", "component"), rank).alias("hub"))
                  .filter("low <> high"))
         if turn < HUB_ROUNDS:
             pairs = (named.join(lists.select("token", "hub"), "token")
-                     .filter("component <> hub.component")
-                     .filter(F.least("n", "hub.n") * share[1] >= F.greatest("n", "hub.n") * share[0])
+                     .filter((F.col("component") != F.col("hub.component")) & _near_enough("n", "hub.n", "c", "hub.c", share))
                      .select(*_pair("node", "hub.node")))
         else:
-            live = named.join(lists.select("token"), "token", "left_semi")
-            left = live.filter("indexed").select("token", F.col("node").alias("left"), "n", F.col("component").alias("c"))
-            right = live.select("token", F.col("node").alias("right"), F.col("n").alias("m"), F.col("component").alias("d"))
-            pairs = (left.join(right, "token")
-                     .filter((F.col("c") != F.col("d")) & close
-                             & ((F.col("n") < F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("left") < F.col("right")))))
-                     .select(*_pair("left", "right")))
+            pairs = _other_pairs(named.join(lists.select("token"), "token", "left_semi"), sets, share)
         pairs = pairs.distinct()
         pairs = checkpointed(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "op11-pairs")
         if pairs.head(1):
