@@ -43,7 +43,7 @@ ORDERS = 3
 REGION = 5
 #: Tokens in a slab, and tokens counted at once by a task.
 SLAB_TOKENS, PART_TOKENS = 1 << 20, 1 << 22
-HUB_ROUNDS = 3
+HUB_ROUNDS = 1
 PARITY_BITS = 512
 _TOP24 = REGION << 20       # first value of the upper 24 bits behind the first region
 
