@@ -12,12 +12,15 @@ Candidates whose sketches (two bits of every MinHash value) are out of reach of
 dropped; the rest is confirmed on the full sets: first the best pair of each set, twice over, then all
 pairs that would still join two components. Regions that hold more sets than the window are then
 compared whole: dealt into blocks of about ``DENSE_WINDOW`` sets, every two blocks of a region meet, but
-for those within its largest component. Each set first gives its best partners in other components, then
-``DENSE_MORE`` times as many, until a round has left none out.
+for those within its largest component. There a pair must also pass the parity bits of the full sets: the
+places where they differ are at most as many as the tokens that one set has and the other has not, so this
+drops no link, and few pairs are left but links. Each set first gives its best partners in other components,
+then ``DENSE_MORE`` times as many, until a round has left none out.
 
 Documents with the same set are one node throughout, however many they are. Null or empty texts have an
 empty set and link with nothing. A null doc_id never names a component of other documents. Rows that
-repeat a doc_id count as copies. No rows give no rows; columns other than the two named are ignored.
+repeat a doc_id with other texts are nodes of their own. No rows give no rows; columns other than the two
+named are ignored. What is stored on the way is deleted at the end.
 """
 
 from __future__ import annotations
@@ -37,15 +40,17 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from touchline.llm.common import id_text, shipped, slices
 from touchline.llm.components import connected_components
-from touchline.session import checkpointed, ensure_checkpoint_dir
+from touchline.session import checkpointed, delete_paths, ensure_checkpoint_dir, recorded
 
 TREES, DEPTH, MIN_DEPTH = 24, 6, 3
 #: Rows each way of the first scan; rows in a block of a region that is wider.
 WINDOW, DENSE_WINDOW = 32, 512
-#: Neighbours that the first scan keeps of a row whose region is wider than the window.
-DENSE_KEEP = 8
+#: Neighbours that the first scan keeps of a row whose region is wider than the window (compared whole later).
+DENSE_KEEP = 2
+#: Parity bits of a full set, by which pairs in crowded regions are ruled out.
+PARITY_BITS = 512
 #: Best partners of a row, by sketch, in the first round over the crowded regions; growth from round to round.
-DENSE_BEST, DENSE_MORE = 4, 16
+DENSE_BEST, DENSE_MORE = 32, 32
 #: Rounds in which each set confirms its best pair, before all that is left is confirmed.
 BEST_ROUNDS = 2
 #: Standard deviations below the threshold at which a sketch is out of reach.
@@ -126,13 +131,13 @@ def signatures(docs: DataFrame, shingle: int = 2) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _permutations()
         with np.errstate(over="ignore"):
-            for batch in slices(batches, "text", 8 << 20):
+            for batch in slices(batches, "text", 4 << 20):
                 rows = []
                 for own in shingle_sets(batch.column("text"), shingle):
                     if len(own):
                         least = minhash(own, a, b)
                         low = _mix(least.astype(np.uint64))
-                        rows.append((len(own), hashlib.blake2b(own.tobytes(), digest_size=16).digest(),
+                        rows.append((len(own), _digest(own),
                                      (low >> np.uint64(8)).astype(">u2").tobytes(),
                                      np.packbits(np.r_[low & np.uint64(1), low >> np.uint64(1) & np.uint64(1)]
                                                  .astype(np.uint8)).tobytes()))
@@ -327,17 +332,23 @@ def _crowd(nodes: DataFrame) -> DataFrame:
                         .join(wide, ["tree", "region"], "left_semi"), "op5-crowd")
 
 
+def parity(hashes: np.ndarray) -> bytes:
+    """``PARITY_BITS`` bits, each the parity of the hashes that fall on it."""
+    odd = np.bincount((hashes & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def _meet(left: tuple, right: tuple | None, share: float, most: int, both: bool) -> tuple:
     """Candidates among two blocks (or one, if ``right`` is None) of a region, and whether any were left out.
 
-    A block is (ids, n, low bits, high bits, component). ``most``: best partners taken of each row on the
+    A block is (ids, n, low bits, high bits, component, parity bits). ``most``: best partners taken of each row on the
     right, and on the left too if ``both``.
     """
     other = left if right is None else right
     need = _least_matches(share, TREES * DEPTH)
     found = []
     for k in range(0, len(left[0]), 64):
-        ids, n, low, high, component = (c[k:k + 64] for c in left)
+        ids, n, low, high, component, odd = (c[k:k + 64] for c in left)
         match = np.full((len(ids), len(other[0])), TREES * DEPTH, np.int16)
         for w in range(low.shape[1]):
             match -= np.bitwise_count((low[:, None, w] ^ other[2][:, w]) | (high[:, None, w] ^ other[3][:, w]))
@@ -347,7 +358,13 @@ def _meet(left: tuple, right: tuple | None, share: float, most: int, both: bool)
         if right is None:
             ok &= np.arange(k, k + len(ids))[:, None] < np.arange(len(other[0]))
         i, j = np.nonzero(ok)
-        found.append((i + k, j, match[i, j]))
+        for start in range(0, len(i), 100_000):
+            a, b = i[start:start + 100_000], j[start:start + 100_000]
+            apart = np.bitwise_count(odd[a] ^ other[5][b]).sum(axis=1, dtype=np.int64)
+            near = apart * (1 + share) <= (n[a] + other[1][b]) * (1 - share) + 1e-9
+            found.append((a[near] + k, b[near], match[a[near], b[near]]))
+    if not found:
+        return left[0][:0], other[0][:0], np.empty(0, np.int16), False
     i, j, match = (np.concatenate(c) for c in zip(*found))
     stay = np.zeros(len(i), bool)
     if len(i):
@@ -362,9 +379,9 @@ def _meet(left: tuple, right: tuple | None, share: float, most: int, both: bool)
     return left[0][i[stay]], other[0][j[stay]], match[stay], not stay.all()
 
 
-def crowded_pairs(crowd: DataFrame, linked: DataFrame, share: float, most: int) -> DataFrame:
-    """Distinct pairs (a < b) of crowded regions between different components that their sketches allow, with
-    sketch matches and whether others of the same blocks were left out (``more``).
+def crowded_pairs(crowd: DataFrame, linked: DataFrame, share: float, most: int, sets: DataFrame) -> DataFrame:
+    """Distinct pairs (a < b) of crowded regions between different components that their sketches and the parity
+    bits of their sets (id, odd) allow, with sketch matches and whether others of the same blocks were left out (``more``).
 
     Every two rows of a region meet unless both are in its largest component, in one of the groups that
     its pairs of blocks make: so no task holds a region, and groups of copies that are linked already cost
@@ -372,6 +389,7 @@ def crowded_pairs(crowd: DataFrame, linked: DataFrame, share: float, most: int)
     """
     named = checkpointed(crowd.join(linked.withColumnRenamed("node", "id"), "id", "left")
                          .withColumn("component", F.coalesce("component", "id")), "op5-dense")
+    odd = checkpointed(sets.select("id", "odd"), "op5-parity")
     parts = named.groupBy("tree", "region", "component").count()
     regions = (parts.groupBy("tree", "region").agg(F.sum("count").alias("size"),
                                                    F.max(F.struct("count", "component")).alias("top"))
@@ -381,13 +399,13 @@ def crowded_pairs(crowd: DataFrame, linked: DataFrame, share: float, most: int)
                        F.ceil((F.col("size") - F.col("top.count")) / DENSE_WINDOW).alias("q")))
     regions = checkpointed(regions, "op5-regions")
     inside, salt = F.col("component") == F.col("major"), F.xxhash64("id")
-    rows = (named.join(regions, ["tree", "region"])
+    rows = (named.join(regions, ["tree", "region"]).join(odd, "id")
             .withColumn("inside", inside)
             .withColumn("block", F.when(F.col("inside"), F.pmod(salt, "p")).otherwise(F.col("p") + F.pmod(salt, "q")))
             .withColumn("other", F.explode(F.sequence(F.when(F.col("inside"), F.col("p")).otherwise(F.lit(0)),
                                                       F.col("p") + F.col("q") - 1)))
             .select("tree", "region", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
-                    "block", "inside", "id", "n", "sketch", "component"))
+                    "block", "inside", "id", "n", "sketch", "component", "odd"))
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -397,8 +415,9 @@ def crowded_pairs(crowd: DataFrame, linked: DataFrame, share: float, most: int)
         padded = np.zeros((table.num_rows, 2, -(-bits.shape[2] // 8) * 8), np.uint8)
         padded[:, :, :bits.shape[2]] = bits
         padded = padded.view(np.uint64)
+        odd = np.frombuffer(b"".join(table["odd"].to_pylist()), np.uint64).reshape(table.num_rows, -1)
         columns = (table["id"].to_numpy(), table["n"].to_numpy(), padded[:, 0], padded[:, 1],
-                   table["component"].to_numpy())
+                   table["component"].to_numpy(), odd)
         left = tuple(c[own == x] for c in columns)
         right = None if x == y else tuple(c[own == y] for c in columns)
         found = (np.empty(0, np.int64),) * 3 + (False,)
@@ -431,24 +450,41 @@ def confirm(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFr
     return shipped(both.select("a", "b", "x", "y")).mapInArrow(run, "a long, b long")
 
 
-def _store_sets(docs: DataFrame, ids: DataFrame, shingle: int) -> str:
-    """Name of a table with id and sorted hashes of the full shingle set of the named documents, stored in buckets of id: they are
-    joined many times over, and bucketed they are never shuffled again."""
+def _digest(hashes: np.ndarray) -> bytes:
+    return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
+
+
+def _store_sets(docs: DataFrame, ids: DataFrame, shingle: int, owners: DataFrame | None = None) -> tuple[str, str]:
+    """Name and folder of a table with id, sorted hashes and parity bits of the full shingle set of the named
+    nodes, stored in buckets of id: they are joined many times over, and bucketed they are never shuffled again.
+
+    ``owners``: a document (owner) and the set_id of each node; without them a node's id is its doc_id.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
-            for batch in slices(batches, "text", 8 << 20):
-                found = [s.tobytes() for s in shingle_sets(batch.column("text"), shingle)]
-                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.binary())],
-                                                 names=["id", "hashes"])
-
-    rows = id_text(docs).select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
-    found = shipped(rows).mapInArrow(run, "id long, hashes binary").dropDuplicates(["id"])
+            for batch in slices(batches, "text", 4 << 20):
+                found = shingle_sets(batch.column("text"), shingle)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id"), pa.array([s.tobytes() for s in found], pa.binary()),
+                     pa.array([_digest(s) if len(s) else None for s in found], pa.binary()),
+                     pa.array([parity(s) for s in found], pa.binary())], names=["id", "hashes", "digest", "odd"])
+
+    texts = id_text(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if owners is None:
+        rows = texts.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi")
+    else:
+        wanted = owners.join(ids, "id", "left_semi")
+        rows = texts.join(wanted.select("owner", "id"), F.col("doc_id").eqNullSafe(F.col("owner"))).select("id", "text")
+    found = shipped(rows).mapInArrow(run, "id long, hashes binary, digest binary, odd binary")
+    if owners is not None:      # rows that repeat the owner's doc_id may have other sets
+        found = found.join(wanted.select("id", F.col("set_id").alias("digest")), ["id", "digest"], "left_semi")
+    found = found.drop("digest").dropDuplicates(["id"])
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"touchline_sets_{uuid.uuid4().hex}"
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/touchline/{name}"
     found.repartition(n, "id").write.bucketBy(n, "id").sortBy("id").format("parquet").option("path", path).saveAsTable(name)
-    return name
+    return name, path
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 2, share: tuple[int, int] = (80, 100)) -> DataFrame:
@@ -463,8 +499,8 @@ def with_set_id(docs: DataFrame, name: str, shingle: int = 2) -> DataFrame:
     """``docs`` with the digest of each text's shingle set (null for an empty one) as column ``name``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
-            for batch in slices(batches, "text", 8 << 20):
-                found = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
+            for batch in slices(batches, "text", 4 << 20):
+                found = [_digest(s) if len(s) else None
                          for s in shingle_sets(batch.column("text"), shingle)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())],
                                                  names=[*batch.schema.names, name])
@@ -474,21 +510,31 @@ def with_set_id(docs: DataFrame, name: str, shingle: int = 2) -> DataFrame:
 
 def near_duplicates_by_set(docs: DataFrame, shingle: int = 2, share: tuple[int, int] = (80, 100)) -> DataFrame:
     """The rows of ``near_duplicates`` with the digest of their shingle set, set_id."""
-    signed = checkpointed(signatures(docs, shingle), "op5-signatures")
-    classes = (signed.filter("n_shingles > 0").groupBy("set_id")
-               .agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("orders").alias("orders"),
-                    F.first("sketch").alias("sketch")))
-    nodes = checkpointed(classes, "op5-nodes")
-    linked = _links(docs, nodes.filter("id is not null"), shingle, share)
-    named = nodes.join(linked.withColumnRenamed("node", "id"), "id", "left").select(
-        "set_id", F.coalesce("component", "id").alias("_component"))
-    found = signed.select("doc_id", "n_shingles", "set_id").join(named, "set_id", "left")
-    component = F.coalesce("_component", "doc_id")
-    return found.select("doc_id", "set_id", "n_shingles", component.alias("component_id"),
-                        F.col("doc_id").eqNullSafe(component).alias("kept"))
-
-
-def _links(docs: DataFrame, nodes: DataFrame, shingle: int, share: tuple[int, int]) -> DataFrame:
+    passing: list[str] = []
+    with recorded(passing):
+        signed = checkpointed(signatures(docs, shingle), "op5-signatures")
+        classes = (signed.filter("n_shingles > 0").groupBy("set_id")
+                   .agg(F.min("doc_id").alias("owner"), F.first("n_shingles").alias("n"),
+                        F.first("orders").alias("orders"), F.first("sketch").alias("sketch"))
+                   .withColumn("id", F.monotonically_increasing_id()))
+        nodes = checkpointed(classes, "op5-nodes")
+        owners = nodes.select("id", "owner", "set_id")
+        linked = _links(docs, nodes, shingle, share, owners)
+        in_group = owners.join(linked.withColumnRenamed("node", "id"), "id")
+        least = in_group.groupBy("component").agg(F.min("owner").alias("_least"))
+        named = (owners.join(in_group.join(least, "component").select("id", "_least"), "id", "left")
+                 .select("set_id", F.coalesce("_least", "owner").alias("_component")))
+        found = signed.select("doc_id", "n_shingles", "set_id").join(named, "set_id", "left")
+        component = F.coalesce("_component", "doc_id")
+        done = checkpointed(found.select("doc_id", "set_id", "n_shingles", component.alias("component_id"),
+                                         F.col("doc_id").eqNullSafe(component).alias("kept")), "op5-classes")
+    passing.pop()
+    delete_paths(docs.sparkSession, passing)
+    return done
+
+
+def _links(docs: DataFrame, nodes: DataFrame, shingle: int, share: tuple[int, int],
+           owners: DataFrame | None = None) -> DataFrame:
     """(node, component) of the sets that are linked with others."""
     least = share[0] / share[1]
     plain = nodes.withColumn("component", F.lit(None).cast("long"))
@@ -497,11 +543,12 @@ def _links(docs: DataFrame, nodes: DataFrame, shingle: int, share: tuple[int, in
     ends = (pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
             .unionByName(crowd.select("id")).distinct())
     spark = docs.sparkSession
-    name = _store_sets(docs, ends, shingle)
+    name, path = _store_sets(docs, ends, shingle, owners)
     try:
         return _confirmed(pairs, crowd, spark.table(name), share)
-    finally:    # all that was made from it is written by now; the files go with the checkpoint folder
+    finally:    # all that was made from it is written by now
         spark.sql(f"DROP TABLE {name}")
+        delete_paths(spark, [path])
 
 
 def _confirmed(pairs: DataFrame, crowd: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
@@ -512,7 +559,7 @@ def _confirmed(pairs: DataFrame, crowd: DataFrame, sets: DataFrame, share: tuple
         return linked
     tried, most = pairs.select("a", "b"), DENSE_BEST
     while True:
-        found = checkpointed(crowded_pairs(crowd, linked, share[0] / share[1], most), "op5-dense-pairs")
+        found = checkpointed(crowded_pairs(crowd, linked, share[0] / share[1], most, sets), "op5-dense-pairs")
         new = checkpointed(found.join(tried, ["a", "b"], "left_anti"), "op5-pairs")
         linked = _join_up(new, sets, share, linked)
         if not found.filter("more").head(1):    # every pair is tried or inside one component
