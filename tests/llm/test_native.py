@@ -2,12 +2,16 @@
 
 import collections
 import hashlib
+import random
 import re
 
-from tests.llm.helpers_llm import awkward, documents, prose, words
+import pytest
+import xxhash
+
+from tests.llm.helpers_llm import LONG, awkward, documents, prose, words
 from touchline.llm.op2_quality_rules import RULES, apply_rules
 from touchline.llm.op8_line_dedup import dedup_lines
-from touchline.llm.op10_fingerprints import K, fingerprints, syncmers
+from touchline.llm.op10_fingerprints import K, fingerprints, syncmers, with_next
 
 
 def rules(text):
@@ -89,3 +93,61 @@ def test_syncmers_are_context_free(spark):
         documents(spark, [(1, passage), (2, f"{left} {passage} {right}"), (3, "a b"), (4, None)])).collect()}
     assert {(h, p + 31) for h, p in found[1]} == {(h, p) for h, p in found[2] if 31 <= p <= 31 + 60 - K}
     assert len(found[1]) > 10 and not found[3] and not found[4]
+
+
+def signed(x):
+    return x - (1 << 64) if x >= 1 << 63 else x
+
+
+def folded(parts):
+    """Hash of several values, each seeded by the one before."""
+    seed = 42
+    for p in parts:
+        seed = xxhash.xxh64_intdigest(p.encode() if isinstance(p, str) else (p & (1 << 64) - 1).to_bytes(8, "little"), seed=seed)
+    return signed(seed)
+
+
+def plain_anchors(text):
+    """(hash, position) by the rule: the least inner S-mer is the first or the last one."""
+    w = words(text)
+    h = [folded(w[i:i + 2]) for i in range(len(w) - 1)]
+    found = [(folded(h[i:i + 4]), i) for i in range(len(w) - 4)
+             if min(h[i], h[i + 3]) <= min(h[i + 1], h[i + 2])]
+    return found or ([(folded([" ".join(w)]), 0)] if w else [])
+
+
+def plain_print(anchors):
+    places = [p for _, p in anchors]
+    return "".join(f"{min(b - a, 15):x}{h & 0xFFFFFFFF:08x}" for (h, b), a in zip(anchors, [0, *places]))
+
+
+def test_fingerprints_equal_plain_python(spark):
+    """Every length from 0 to 12 words, long texts, repeats: fingerprints, likeness and same places."""
+    random.seed(11)
+    rows = [(i, prose(900 + i, i % 13)) for i in range(60)] + [(100, LONG), (101, LONG + " x"), (102, "a b " * 40)]
+    rows += [(103, prose(5, 300)), (104, prose(6, 40) + " " + prose(5, 300)), (None, "one two three four five six")]
+    found = {r.doc_id: r for r in fingerprints(documents(spark, rows)).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    for (i, text), (_, other) in zip(order, order[1:] + order[:1]):
+        half = len(text) // 2
+        edit = text[:len(text) - half] + other[:half]
+        own, new, after = plain_anchors(text), plain_anchors(edit), plain_anchors(other)
+
+        def dice(a, b):
+            a, b = ({h & 0xFFFFFFFF for h, _ in x} for x in (a, b))
+            return 2 * len(a & b) / (len(a) + len(b)) if a or b else 1.0
+
+        r = found[i]
+        assert (r.fingerprint, r.edited_fingerprint) == (plain_print(own), plain_print(new))
+        assert (r.near_edited, r.near_next) == pytest.approx((dice(own, new), dice(own, after)))
+        assert (r.n_anchors, r.same_places) == (len(own), len(set(own) & set(new)))
+        assert bool(r.fingerprint) == bool(words(text))
+    assert found[103].near_next > 0.85      # a passage that moved is found in full
+
+
+def test_neighbours_across_many_ranges(spark):
+    rows = [(i * 7 % 501, prose(i, 8)) for i in range(501)] + [(None, "null one"), (None, "null two"), (250, "again")]
+    got = with_next(documents(spark, rows), ranges=60).select("doc_id", "text", "next_text").collect()
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    assert sorted(((r.doc_id or -1, r.text, r.next_text) for r in got)) == \
+        sorted((i or -1, t, u) for (i, t), (_, u) in zip(order, order[1:] + order[:1]))

@@ -15,7 +15,7 @@ from __future__ import annotations
 import base64
 import heapq
 import re
-from bisect import bisect_left
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +28,9 @@ from touchline.llm.common import id_text, shipped, slices
 
 #: Chunks of text (a word with the space before it, as a rule) and pre-tokens kept with their ids, in two
 #: generations of this size.
-CACHE_ENTRIES = 150_000
+CACHE_ENTRIES = 250_000
+#: Places from which on a merge is applied by array operations.
+MANY_PLACES = 40
 #: A single space between two characters that are no white space: a pre-token starts there and none spans it.
 _SEAM = regex.compile(r"(?<=\S) (?=\S)")
 _OTHER_SPACE = re.compile(r"[^\S \n]")
@@ -44,9 +46,9 @@ class Kept(dict):
 
     old: dict = {}
 
-    def lacks(self, keys) -> list:
-        """The keys to be learned; makes room first."""
-        if len(self) > CACHE_ENTRIES:
+    def lacks(self, keys, room: bool = True) -> list:
+        """The keys to be learned; makes room first, unless keys are in use."""
+        if room and len(self) > CACHE_ENTRIES:
             self.old = dict(self)
             self.clear()
         missing, old = [], self.old
@@ -61,100 +63,142 @@ class Kept(dict):
 
 
 class Replay:
-    """Merges of a rank table replayed over many words at once."""
+    """Merges of a rank table replayed over many words at once.
+
+    All words stand end to end. ``places`` is the inverted index: for each merged token the places whose pair it
+    would replace. Merges are taken in rank order; one with many places is applied to all of them by array
+    operations, one with few by a loop, and either way only the pairs beside a merged place are looked up anew.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.single = np.array([ranks[bytes([b])] for b in range(256)])
-        self.first = np.array([[ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)])
-        self.pair_rank: dict[int, int] = {}
-
-    def _rank(self, a: int, b: int) -> int:
-        """Rank of the merge of two tokens, -1 if there is none; kept for the next time."""
-        if len(self.pair_rank) > 2 * CACHE_ENTRIES:
-            self.pair_rank.clear()
-        found = self.pair_rank[a << 20 | b] = self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1)
-        return found
-
-    def _start(self, words: list[bytes]) -> tuple[list[int], dict[int, list[int]]]:
-        """Tokens of all words, each word ended by -1, and the inverted index of the adjacent pairs:
-        merged token -> places of the left part, ascending."""
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        #: (left << 32 | right) -> merged token, for every split of a token into two
+        self.pairs = {ranks[token[:k]] << 32 | ranks[token[k:]]: rank for token, rank in ranks.items()
+                      for k in range(1, len(token)) if token[:k] in ranks and token[k:] in ranks}
+        self.keys = np.array(sorted(self.pairs), np.int64)
+        self.merged = np.array([self.pairs[k] for k in self.keys.tolist()], np.int64)
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Merged token of each pair, -1 where there is none (parts below 0 are none)."""
+        key = left.astype(np.int64) << 32 | right
+        at = np.searchsorted(self.keys, key)
+        at[at == len(self.keys)] = 0
+        return np.where((self.keys[at] == key) & (left >= 0) & (right >= 0), self.merged[at], -1)
+
+    def _start(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, dict[int, list[int]]]:
+        """Tokens of all words, each word ended by -1, the bounds of words, and the index of the first pairs."""
         raw = np.frombuffer(b"".join(words), np.uint8)
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         word = np.repeat(np.arange(len(words)), sizes)
-        at = np.arange(len(raw)) + word
-        token = np.full(len(raw) + len(words), -1)
-        token[at] = self.single[raw]
-        rank = np.where(word[:-1] == word[1:], self.first[raw[:-1], raw[1:]], -1)
-        left = np.flatnonzero(rank >= 0)
-        left = left[np.argsort(rank[left], kind="stable")]
-        cuts = np.flatnonzero(np.diff(rank[left])) + 1
-        parts = np.split(at[left], cuts) if len(left) else []
-        first = rank[left[np.r_[0, cuts]]].tolist() if len(left) else []
-        return token.tolist(), {r: p.tolist() for r, p in zip(first, parts)}
-
-    def __call__(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of each word; no word is empty."""
-        token, places = self._start(words)
-        known, rank_of = self.pair_rank.get, self._rank
-        n = len(token)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        token = np.full(len(raw) + len(words) + 1, -1, np.int32)
+        token[np.arange(len(raw)) + word] = self.single[raw]
+        places: dict[int, list[int]] = {}
+        self._note(places, [], self._ranks(token[:-1], token[1:]), np.arange(len(token) - 1))
+        return token, np.r_[0, np.cumsum(sizes + 1)], places
+
+    @staticmethod
+    def _note(places: dict[int, list[int]], heap: list[int], ranks: np.ndarray, at: np.ndarray) -> None:
+        """Add places to the index, by their merged token (-1: none)."""
+        some = np.flatnonzero(ranks >= 0)
+        if not len(some):
+            return
+        order = some[np.argsort(ranks[some], kind="stable")]
+        ranks, at = ranks[order], at[order].tolist()
+        cuts = (np.flatnonzero(np.diff(ranks)) + 1).tolist()
+        for a, b, r in zip([0, *cuts], [*cuts, len(at)], ranks[[0, *cuts]].tolist()):
+            if r in places:
+                places[r] += at[a:b]
+            else:
+                places[r] = at[a:b]
+                heapq.heappush(heap, r)
+
+    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words one after another, and the number of each word's; no word is empty."""
+        first, bounds, places = self._start(words)
+        n = len(first)
+        token, after, before = (array("i", x.astype(np.int32).tobytes()) for x in
+                                (first, np.r_[np.arange(1, n), n - 1], np.arange(-1, n - 1)))
+        views = tuple(np.frombuffer(x, np.int32) for x in (token, after, before))
+        known = self.pairs.get
         heap = list(places)
         heapq.heapify(heap)
-        again: set[int] = set()    # where a merge made a pair that ranks before it
+        again: set[int] = set()    # places where a merge made a pair that ranks before it
         while heap:
             r = heapq.heappop(heap)
-            for i in sorted(places.pop(r)):
+            found = places.pop(r)
+            if len(found) >= MANY_PLACES:
+                again.update(self._merge(views, r, np.unique(found), places, heap))
+                continue
+            for i in sorted(found):
                 a, j = token[i], after[i]
-                if a < 0 or (b := token[j]) < 0:
+                if a < 0 or (b := token[j]) < 0 or known(a << 32 | b) != r:
                     continue        # a part went into another merge
-                q = known(a << 20 | b)
-                if (rank_of(a, b) if q is None else q) != r:
-                    continue
                 token[i], token[j] = r, -2
                 after[i] = k = after[j]
                 before[k] = i
-                if (b := token[k]) >= 0:
-                    q = known(r << 20 | b)
-                    if q is None:
-                        q = rank_of(r, b)
-                    if q >= 0:
-                        if q in places:
-                            places[q].append(i)
-                        else:
-                            places[q] = [i]
-                            heapq.heappush(heap, q)
-                        if q < r:
-                            again.add(i)
+                if (b := token[k]) >= 0 and (q := known(r << 32 | b)) is not None:
+                    if q in places:
+                        places[q].append(i)
+                    else:
+                        places[q] = [i]
+                        heapq.heappush(heap, q)
+                    if q < r:
+                        again.add(i)
                 h = before[i]
-                if h >= 0 and (a := token[h]) >= 0:
-                    q = known(a << 20 | r)
-                    if q is None:
-                        q = rank_of(a, r)
-                    if q >= 0:
-                        if q in places:
-                            places[q].append(h)
-                        else:
-                            places[q] = [h]
-                            heapq.heappush(heap, q)
-                        if q < r:
-                            again.add(h)
-        found, at = [], 0
-        older = sorted(again)
-        for word in words:
-            end = at + len(word)
-            if older and (i := bisect_left(older, at)) < len(older) and older[i] < end:   # replay this word alone
-                found.append(self._one(word))
-            else:
-                found.append([t for t in token[at:end] if t >= 0])
-            at = end + 1
-        return found
+                if h >= 0 and (a := token[h]) >= 0 and (q := known(a << 32 | r)) is not None:
+                    if q in places:
+                        places[q].append(h)
+                    else:
+                        places[q] = [h]
+                        heapq.heappush(heap, q)
+                    if q < r:
+                        again.add(h)
+        left = np.flatnonzero(views[0] >= 0)
+        ids = views[0][left]
+        counts = np.diff(np.searchsorted(left, bounds))
+        if again:
+            ids, counts = self._alone(words, ids, counts, np.unique(np.searchsorted(bounds, sorted(again), "right") - 1))
+        return ids, counts
+
+    def _merge(self, views: tuple, r: int, at: np.ndarray, places: dict[int, list[int]], heap: list[int]) -> list[int]:
+        """Apply a merge to all of its places (ascending); returns those beside which a pair ranks before it."""
+        token, after, before = views
+        at = at[self._ranks(token[at], token[after[at]]) == r]
+        if not len(at):
+            return []
+        # of places that overlap, as in a run of one letter, every second from the left
+        follows = np.r_[False, at[1:] == after[at[:-1]]]
+        if follows.any():
+            count = np.arange(len(at))
+            at = at[(count - np.maximum.accumulate(np.where(follows, 0, count))) % 2 == 0]
+        gone = after[at]
+        token[at], token[gone] = r, -2
+        behind = after[gone]
+        after[at] = behind
+        before[behind] = at
+        ahead = before[at]
+        ahead = ahead[ahead >= 0]
+        where = np.r_[at, ahead]
+        ranks = np.r_[self._ranks(token[at], token[behind]), self._ranks(token[ahead], np.full(len(ahead), r, np.int32))]
+        self._note(places, heap, ranks, where)
+        return where[(ranks >= 0) & (ranks < r)].tolist()
+
+    def _alone(self, words, ids, counts, which) -> tuple[np.ndarray, np.ndarray]:
+        """The result with some words replayed each by itself."""
+        ends = np.cumsum(counts)
+        parts, at, counts = [], 0, counts.copy()
+        for w in which.tolist():
+            own = self._one(words[w])
+            parts += [ids[at:ends[w] - counts[w]], np.array(own, np.int32)]
+            at, counts[w] = ends[w], len(own)
+        return np.concatenate([*parts, ids[at:]]), counts
 
     def _one(self, word: bytes) -> list[int]:
         parts = self.single[list(word)].tolist()
+        known = self.pairs.get
         while len(parts) > 1:
-            best = min(((r, i) for i in range(len(parts) - 1) if (r := self._rank(parts[i], parts[i + 1])) >= 0),
+            best = min(((r, i) for i in range(len(parts) - 1) if (r := known(parts[i] << 32 | parts[i + 1])) is not None),
                        default=None)
             if best is None:
                 break
@@ -170,36 +214,41 @@ class Encoder:
         self.ranks = read_ranks(path)
         self.replay = Replay(self.ranks)
         self.pattern = regex.compile(pattern)
-        self.chunks, self.words = Kept(), Kept()
+        self.known = Kept()
 
     def _learn(self, missing: list[str]) -> None:
-        cut = [self.pattern.findall(c) for c in missing]
-        new, ranks = [], self.ranks
-        for w in self.words.lacks({w for c in cut for w in c}):
-            raw = w.encode()
-            if raw in ranks:        # a token of the vocabulary as it is
-                self.words[w] = ranks[raw].to_bytes(4, "little")
+        """Ids of chunks: those of the pre-tokens they are cut into (a chunk of letters is one itself)."""
+        cut, alone = {}, []
+        for chunk in missing:
+            if (chunk[1:] if chunk[0] == " " else chunk).isalpha():
+                alone.append(chunk)
             else:
-                new.append((w, raw))
-        if new:
-            ids = self.replay([raw for _, raw in new])
-            flat = np.array([t for own in ids for t in own], "<i4").tobytes()
-            at = 0
-            for (w, _), own in zip(new, ids):
-                end = at + 4 * len(own)
-                self.words[w] = flat[at:end]
-                at = end
-        words = self.words
-        for chunk, own in zip(missing, cut):
-            self.chunks[chunk] = words[own[0]] if len(own) == 1 else b"".join([words[w] for w in own])
+                cut[chunk] = self.pattern.findall(chunk)
+        new = set(alone).union(*cut.values())
+        new, ranks, known = self.known.lacks(new, room=False), self.ranks, self.known
+        words, raws = [], []
+        for w in new:
+            raw = w.encode()
+            rank = ranks.get(raw)
+            if rank is None:
+                words.append(w)
+                raws.append(raw)
+            else:               # a token of the vocabulary as it is
+                known[w] = rank.to_bytes(4, "little")
+        if words:
+            ids, counts = self.replay(raws)
+            flat, ends = ids.astype("<i4").tobytes(), (4 * np.cumsum(counts)).tolist()
+            known.update(zip(words, map(flat.__getitem__, map(slice, [0, *ends], ends))))
+        for chunk, own in cut.items():
+            known[chunk] = b"".join([known[w] for w in own])
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian int32 bytes."""
         cut = [self._chunks(t) for t in texts]
-        missing = self.chunks.lacks(set().union(*cut))
+        missing = self.known.lacks(set().union(*cut))
         if missing:
             self._learn(missing)
-        return [b"".join(map(self.chunks.__getitem__, c)) for c in cut]
+        return [b"".join(map(self.known.__getitem__, c)) for c in cut]
 
     def _chunks(self, text: str) -> list[str]:
         """Cuts a text at seams; the chunks' pre-tokens are those of the whole text."""
@@ -221,7 +270,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _ENCODERS.setdefault((ranks_path, pattern), None) or Encoder(ranks_path, pattern)
         _ENCODERS[ranks_path, pattern] = encoder
-        for batch in slices(batches, "text", 2 << 20):      # the replay's lists take many times the new words' bytes
+        for batch in slices(batches, "text", 6 << 20):      # Python's strings take some times their bytes
             found = encoder([t or "" for t in batch.column(1).to_pylist()])
             ends = np.r_[0, np.cumsum([len(f) // 4 for f in found])].astype(np.int32)
             ids = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(found), "<i4")))

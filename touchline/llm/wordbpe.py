@@ -104,13 +104,13 @@ class WordEncoder:
     The vocabulary's normaliser and splitter never look across white space, so a text's ids are those of
     its white-space separated chunks; each distinct chunk of a call is encoded once. Chunks of printable
     ASCII (without apostrophes) and Latin-1 letters are lower-cased, cut where the kind of character
-    changes and merged in bulk; all other chunks go through the tokenizers library.
+    changes and merged in bulk; all other chunks, and those with a string of a special token (which the
+    library takes for that token), go through the tokenizers library.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
             model = json.load(file)["model"]
         self.merges = Merges(model["vocab"], model["merges"], model["end_of_word_suffix"])
@@ -134,6 +134,7 @@ class WordEncoder:
         plain = ((raw > 0x20) & (raw < 0x7F) & (raw != 0x27) | (raw == 0xC3)
                  | after & (raw != 0x97) & (raw != 0xB7))
         of = np.repeat(np.arange(len(sizes)), sizes)
+        plain &= ~(np.r_[(raw[:-1] == 0x3C) & (raw[1:] == 0x7C), False] if len(raw) else plain)      # <|: a special token
         odd = np.bincount(of[~plain], minlength=len(sizes)) > 0
         keep = ~odd[of]
         ids, counts = self._plain(raw[keep], after[keep], of[keep], len(sizes))
