@@ -92,6 +92,71 @@ def test_page_without_article_element():
     assert op3_html.main_text(page) == " ".join(f"{prose(k, 30)}." for k in range(5))
 
 
+def sentences(seed, n=3):
+    return [f"{prose(50 * seed + k, 25)}." for k in range(n)]
+
+
+def p(texts):
+    return "".join(f"<p>{t}</p>" for t in texts)
+
+
+MENU = "<div class=menu><a href=/>Home</a> <a href=/a>About us</a></div>"
+FOOT = "<div class=footer>&copy; Somebody, all rights reserved, since many years.</div>"
+
+
+@pytest.mark.parametrize("before, after", [
+    ('<body class="page no-sidebar"><div id="content">', "</div>"),
+    ('<body class="has-fixed-footer"><div>', "</div>"),
+    ('<body><div class="wrapper with-sidebar"><div class="content">', "</div></div>"),
+    ('<body><article class="post category-search">', "</article>"),
+    ('<body><article class="post tag-legal">', "</article>"),
+    ('<body><form action=/ id=aspnetForm><div class="page">', "</div></form>"),
+    ('<body><div class="content-sidebar-wrap"><div class=entry>', "</div></div>"),
+    ('<body class="page-template-sidebar"><main>', "</main>"),
+    ('<body><div id="related-stories-layout"><div>', "</div></div>")])
+def test_names_of_wrappers(before, after):
+    """Names that speak of boilerplate on elements that hold the page's text."""
+    own = sentences(3)
+    page = f"<html>{before}{MENU}<h1>A title</h1>{p(own)}{after}{FOOT}</body></html>"
+    assert op3_html.main_text(page) == " ".join(["A title", *own])
+
+
+def test_long_comments_and_small_articles():
+    own, said = sentences(4, 2), sentences(5, 5)
+    for comments in ("<div id=comments><ol>{}</ol></div>", "<section class=comment-list>{}</section>",
+                     "<div class='comments-area'>{}</div>"):
+        inner = "".join(f"<article class=comment><p>{t}</p></article>" for t in said)
+        page = f"<body><article><h1>A title</h1>{p(own)}</article>{comments.format(inner)}{FOOT}</body>"
+        assert op3_html.main_text(page) == " ".join(["A title", *own])
+    aside = f"<aside><article><p>{sentences(6, 1)[0]}</p></article></aside>"
+    page = f"<body><div class=x>{p(sentences(7, 6))}</div>{aside}</body>"
+    assert op3_html.main_text(page) == " ".join(sentences(7, 6))
+
+
+def test_the_cut_overrules_the_classifier():
+    """Short lines between paragraphs look like boilerplate alone, a sentence in the menu like content."""
+    own = sentences(8, 4)
+    page = (f"<body><div class=x>{p(own[:2])}<p>No full stop</p>{p(own[2:])}</div><div class=y><ul><li><a href=1>One</a>"
+            "<li><a href=2>Two</a><li>Read all of it here.<li><a href=3>Three</a><li><a href=4>Four</a></ul></div></body>")
+    blocks = op3_html.blocks_of(page)
+    total = op3_html.measure(blocks)
+    alone = {b.text: op3_html.evidence(b, total) > 0 for b in blocks}
+    cut = {b.text: keep for b, keep in zip(blocks, op3_html.label(blocks))}
+    assert not alone["No full stop"] and cut["No full stop"]
+    assert alone["Read all of it here."] and not cut["Read all of it here."]
+    assert op3_html.main_text(page) == " ".join([*own[:2], "No full stop", *own[2:]])
+
+
+def test_pages_keep_their_articles_only():
+    """On the given pages the article is the main text, and nothing else is."""
+    import pyarrow.parquet as pq
+    rows = pq.read_table("/root/testdata/sf0.001/pages.parquet").to_pylist()
+    for r in rows:
+        article = r["html"][r["html"].index("<article"):r["html"].index("</article>") + len("</article>")]
+        want = " ".join(b.text for b in op3_html.blocks_of(article))
+        assert op3_html.main_text(r["html"]) == want and want
+
+
 @pytest.mark.parametrize("seed", range(30))
 def test_cut_is_minimal(seed):
     random.seed(seed)

@@ -2,7 +2,8 @@
 
 A tolerant parser cuts a page into blocks of text with the chain of elements around each. A linear
 classifier gives each block a cost for being called content and one for being called boilerplate; these
-become terminal capacities. Blocks that follow each other and blocks below the same element are tied by
+become terminal capacities. What an element's tag or names say against its text counts the less, the more of
+the page's text it holds. Blocks that follow each other and blocks below the same element are tied by
 smoothness edges. The minimum cut (max-flow by blocking flows) separates content from boilerplate at the
 least total cost, and the content side is joined in page order.
 
@@ -44,35 +45,55 @@ BOILER_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar "
     "navigation menu submenu breadcrumb breadcrumbs sidebar aside widget widgets footer foot copyright cookie cookies "
     "consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login "
-    "signin register share sharing social related recommended recommendations trending popular comment comments "
-    "commentlist disqus respond reply replies discussion pagination pager search form toolbar masthead topbar "
-    "hidden legal disclaimer tags taglist skip".split())
+    "signin register share sharing social related recommended recommendations trending popular "
+    "pagination pager search form toolbar masthead topbar hidden legal disclaimer tags taglist skip".split())
+COMMENT_WORDS = frozenset("comment comments commentlist disqus respond reply replies discussion".split())
 CONTENT_WORDS = frozenset("article content main post entry story body text".split())
+#: First words of class names that say what a page has, lacks or is filed under, not what an element is; and words
+#: that make a name one of the page's layout wherever they stand.
+MODIFIERS = frozenset("no not without with has have category categories cat tag format status type".split())
+LAYOUT_WORDS = frozenset("layout template".split())
 
 _TOKEN = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "boiler", "content", "holds_main", "header")
+    """An open or closed element: what its tag, role and names say, and how much text it holds.
+
+    ``boiler``: the kinds of evidence against it (structure, words, comments).
+    """
+
+    __slots__ = ("tag", "parent", "boiler", "main", "named", "header", "chars", "holds_main")
 
     def __init__(self, tag: str, parent: Element | None, attrs: list):
-        self.tag, self.parent, self.holds_main = tag, parent, False
-        self.content = tag in CONTENT_TAGS
+        self.tag, self.parent, self.chars, self.holds_main = tag, parent, 0, False
+        self.main, self.named = tag in CONTENT_TAGS, False
         self.header = tag == "header"
-        self.boiler = tag in BOILER_TAGS
+        self.boiler = {"structure"} if tag in BOILER_TAGS else set()
         for key, value in attrs:
             value = value or ""
             if key in ("class", "id"):
-                found = {w.lower() for w in _TOKEN.findall(value)}
-                self.boiler |= not found.isdisjoint(BOILER_WORDS)
-                self.content |= not found.isdisjoint(CONTENT_WORDS) and tag not in ("body", "html", "p")
-                self.header |= "header" in found
+                for name in value.split():
+                    self._name([w.lower() for w in _TOKEN.findall(name)])
             elif key == "role":
-                self.boiler |= value.lower() in BOILER_ROLES
-                self.content |= value.lower() in ("main", "article")
+                if value.lower() in BOILER_ROLES:
+                    self.boiler.add("structure")
+                self.main |= value.lower() in ("main", "article")
             elif key == "hidden" or key == "aria-hidden" and value.lower() == "true" or \
                     key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value.lower()):
-                self.boiler = True
+                self.boiler.add("structure")
+
+    def _name(self, words: list[str]) -> None:
+        """Evidence of one class name or id."""
+        found = set(words)
+        if len(words) > 1 and words[0] in MODIFIERS or not found.isdisjoint(LAYOUT_WORDS):
+            return
+        if not found.isdisjoint(BOILER_WORDS):
+            self.boiler.add("words")
+        if not found.isdisjoint(COMMENT_WORDS):
+            self.boiler.add("comments")
+        self.named |= not found.isdisjoint(CONTENT_WORDS) and self.tag not in ("body", "html", "p")
+        self.header |= "header" in found
 
 
 class Block:
@@ -136,13 +157,7 @@ class PageParser(HTMLParser):
                         self.close_to(t, ("ul", "ol", "dl", "table", "menu", "dir"))
         if tag in VOID:
             return
-        element = Element(tag, self.stack[-1], attrs)
-        if tag in CONTENT_TAGS and not self.dropped:
-            above = element.parent
-            while above and not above.holds_main:
-                above.holds_main = True
-                above = above.parent
-        self.stack.append(element)
+        self.stack.append(Element(tag, self.stack[-1], attrs))
         self.open[tag] = self.open.get(tag, 0) + 1
         self.dropped += tag in DROPPED
         self.links += tag == "a"
@@ -187,37 +202,72 @@ def blocks_of(html: str) -> list[Block]:
 
 
 #: Weights of the classifier, in hundredths of a log-odd; positive speaks for content.
-WEIGHTS = {"bias": 40, "boiler": -1200, "content": 500, "site_header": -900, "link_density": -450,
-           "long": 150, "short": -60, "sentence": 60, "heading": 60}
+WEIGHTS = {"bias": 40, "structure": -600, "words": -450, "comments": -600, "main": 250, "named": 100, "site_header": -500,
+           "link_density": -400, "long": 150, "short": -60, "sentence": 60, "heading": 60}
+#: Shares of the page's text up to which evidence against an element counts in full, and from which on not at all:
+#: what holds most of a page is a wrapper, whatever its name. Comments may well be longer than their article.
+FADES = {"structure": (0.5, 0.9), "words": (0.4, 0.8), "comments": (0.8, 0.98)}
+#: Least share of the page's text in the article that makes the elements around it wrappers.
+MAIN_SHARE = 0.2
 ADJACENT, SAME_PARENT, SAME_BRANCH = 60, 80, 25
 
 
-def evidence(block: Block) -> int:
-    """The classifier: log-odds of content over boilerplate."""
-    words = block.text.count(" ") + 1
-    total = WEIGHTS["bias"]
-    total += int(WEIGHTS["link_density"] * block.linked / len(block.text))
-    total += WEIGHTS["long"] if words >= 15 else WEIGHTS["short"] if words < 4 else 0
-    total += WEIGHTS["sentence"] * (block.text[-1] in ".!?…。”\"")
-    total += WEIGHTS["heading"] * block.heading
-    element, boiler, content, header = block.element, False, False, False
+def measure(blocks: list[Block]) -> int:
+    """Notes in each element how much text it holds, and which elements are around the page's main element (the
+    ``article`` or ``main`` with the most text outside comments); returns the page's text length."""
+    mains: dict[int, Element] = {}
+    for block in blocks:
+        element = block.element
+        while element:
+            element.chars += len(block.text)
+            if element.main:
+                mains[id(element)] = element
+            element = element.parent
+    total = sum(len(b.text) for b in blocks)
+    found = [m for m in mains.values() if m.chars >= MAIN_SHARE * total and not _commented(m)]
+    above = max(found, key=lambda m: m.chars).parent if found else None
+    while above:
+        above.holds_main = True
+        above = above.parent
+    return total
+
+
+def _commented(element: Element | None) -> bool:
     while element:
-        if not element.holds_main:
-            boiler |= element.boiler
-        if element.content:
-            content = True
-        elif element.header and not element.holds_main and not content and not _within_main(element):
-            header = True
+        if "comments" in element.boiler:
+            return True
         element = element.parent
-    return total + WEIGHTS["boiler"] * boiler + WEIGHTS["content"] * content + WEIGHTS["site_header"] * header
+    return False
+
+
+def _against(element: Element, total: int) -> float:
+    """The strongest evidence that an element is boilerplate, weakened by its share of the text."""
+    least, share = 0.0, element.chars / total
+    for kind in element.boiler:
+        full, none = FADES[kind]
+        if share < none and not element.holds_main:
+            least = min(least, WEIGHTS[kind] * min(1.0, (none - share) / (none - full)))
+    return least
 
 
-def _within_main(element: Element) -> bool:
+def evidence(block: Block, total: int) -> int:
+    """The classifier: log-odds of content over boilerplate. ``total``: length of the page's text."""
+    words = block.text.count(" ") + 1
+    found = WEIGHTS["bias"]
+    found += int(WEIGHTS["link_density"] * block.linked / len(block.text))
+    found += WEIGHTS["long"] if words >= 15 else WEIGHTS["short"] if words < 4 else 0
+    found += WEIGHTS["sentence"] * (block.text[-1] in ".!?…。”\"")
+    found += WEIGHTS["heading"] * block.heading
+    element, against, main, named, header = block.element, 0.0, False, False, False
     while element:
-        if element.tag in CONTENT_TAGS:
-            return True
+        against = min(against, _against(element, total))
+        header |= element.header and not element.holds_main and not main and element.chars < 0.5 * total
+        main |= element.main
+        named |= element.named
         element = element.parent
-    return False
+    # a header inside the main element is the article's own
+    found += WEIGHTS["main"] if main else WEIGHTS["named"] * named + WEIGHTS["site_header"] * header
+    return found + int(against)
 
 
 def minimum_cut(gain: list[int], edges: dict[tuple[int, int], int]) -> list[bool]:
@@ -291,7 +341,8 @@ def minimum_cut(gain: list[int], edges: dict[tuple[int, int], int]) -> list[bool
 
 def label(blocks: list[Block]) -> list[bool]:
     """True for content."""
-    gain = [evidence(b) for b in blocks]
+    total = measure(blocks)
+    gain = [evidence(b, total) for b in blocks]
     edges: dict[tuple[int, int], int] = {}
     last_below: dict[int, int] = {}
     for i, block in enumerate(blocks):
