@@ -61,10 +61,22 @@ def text_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker lives through many tasks, and what one of them has
+    freed would else count against the executor for good."""
+    import ctypes
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):       # another C library
+        pass
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that one holds about ``max_bytes`` of ``column`` (or a single row): bounds Python's memory."""
     import numpy as np
     import pyarrow.compute as pc
+    batch = sizes = None
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         part = np.concatenate([[0], np.cumsum(sizes)[:-1]]) // max_bytes if len(sizes) else sizes
@@ -72,3 +84,5 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 <<
         for a, b in zip(cuts[:-1], cuts[1:]):
             if b > a:
                 yield batch.slice(a, b - a)
+    del batch, sizes
+    give_back()

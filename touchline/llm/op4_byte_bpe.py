@@ -113,8 +113,13 @@ class Replay:
                 places[r] = at[a:b]
                 heapq.heappush(heap, r)
 
-    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words one after another, and the number of each word's; no word is empty."""
+    def __call__(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of each word; no word is empty."""
+        ids, counts = self.flat(words)
+        return [own.tolist() for own in np.split(ids, np.cumsum(counts)[:-1])]
+
+    def flat(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words one after another, and the number of each word's."""
         first, bounds, places = self._start(words)
         n = len(first)
         token, after, before = (array("i", x.astype(np.int32).tobytes()) for x in
@@ -236,7 +241,7 @@ class Encoder:
             else:               # a token of the vocabulary as it is
                 known[w] = rank.to_bytes(4, "little")
         if words:
-            ids, counts = self.replay(raws)
+            ids, counts = self.replay.flat(raws)
             flat, ends = ids.astype("<i4").tobytes(), (4 * np.cumsum(counts)).tolist()
             known.update(zip(words, map(flat.__getitem__, map(slice, [0, *ends], ends))))
         for chunk, own in cut.items():

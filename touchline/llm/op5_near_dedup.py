@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from touchline.llm.common import id_text, shipped, slices
+from touchline.llm.common import give_back, id_text, shipped, slices
 from touchline.llm.components import connected_components
 from touchline.session import checkpointed, delete_paths, ensure_checkpoint_dir, recorded
 
@@ -444,6 +444,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFr
                 hits.append(share[1] * common >= share[0] * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")],
                                              names=["a", "b"]).filter(pa.array(hits, pa.bool_()))
+        give_back()
 
     both = (pairs.select("a", "b").join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("x")), "a")
             .join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("y")), "b"))

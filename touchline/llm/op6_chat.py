@@ -14,8 +14,10 @@ end a turn. The loss mask covers the escaped text of assistant turns.
 and one conversation's running digests, however long the conversation. A conversation's digest needs its
 turns in order, so they meet in one task, but never in memory.
 
-Null role or text: empty. Null or unknown kinds of parts are an error only in ``kind``; empty lists
-give an empty text. Rows that tie in (conversation, turn) are ordered by role and text; repeated rows
+Null role or text: empty. Text parts that follow each other are one text, which is escaped as a whole, so no
+split of a text into parts can open or end a turn either. A null part counts for nothing, a part of null kind
+as text; a part of any other kind becomes the placeholder ``<|attachment|>`` and is recorded with its kind and
+no tokens. Null and empty lists give an empty text. Rows that tie in (conversation, turn) are ordered by role and text; repeated rows
 are turns of their own; a null conversation or turn comes first. No rows give no rows.
 """
 
@@ -64,21 +66,40 @@ class Flatten:
 
     def __init__(self):
         self.out: list[str] = []
+        self.run: list[str] = []       # texts since the last placeholder
         self.attachments: list[dict] = []
 
-    def visit(self, part: dict) -> None:
-        getattr(self, f"visit_{part['kind']}")(part)
+    def visit(self, part: dict | None) -> None:
+        if part is not None:
+            kind = "text" if part["kind"] is None else part["kind"]
+            method = getattr(self, f"visit_{kind}") if kind in ("text", *self.TOKENS) else self.visit_other
+            method(part)
 
     def visit_text(self, part: dict) -> None:
-        self.out.append(escape(part["text"] or ""))
+        self.run.append(part["text"] or "")
 
-    def _attach(self, part: dict) -> None:
-        kind = part["kind"]
-        self.out.append(f"<|{kind}|>")
-        self.attachments.append({"kind": kind, "ref": part["ref"], "place": len(self.attachments),
-                                 "tokens": self.TOKENS[kind] * max(1, part["units"] or 1)})
+    def _attach(self, part: dict, placeholder: str, tokens: int) -> None:
+        self._end_run()
+        self.out.append(f"<|{placeholder}|>")
+        self.attachments.append({"kind": part["kind"], "ref": part["ref"], "place": len(self.attachments),
+                                 "tokens": tokens})
 
-    visit_image = visit_audio = visit_document = _attach
+    def _known(self, part: dict) -> None:
+        self._attach(part, part["kind"], self.TOKENS[part["kind"]] * max(1, part["units"] or 1))
+
+    visit_image = visit_audio = visit_document = _known
+
+    def visit_other(self, part: dict) -> None:
+        self._attach(part, "attachment", 0)
+
+    def _end_run(self) -> None:
+        if self.run:
+            self.out.append(escape("".join(self.run)))
+            self.run.clear()
+
+    def body(self) -> str:
+        self._end_run()
+        return "".join(self.out)
 
 
 def text_parts(text: str) -> Column:
@@ -99,14 +120,14 @@ def format_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
                      ("n_tokens", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(a, 500) for whole in batches for a in range(0, whole.num_rows, 500)):
             found = []
             for row in batch.to_pylist():
                 visitor = Flatten()
                 for part in row["parts"] or []:
                     visitor.visit(part)
                 head = f"{START}{escape_role(row['role'])}\n"
-                body = "".join(visitor.out)
+                body = visitor.body()
                 loss = (len(head), len(head) + len(body)) if row["role"] == "assistant" else (0, 0)
                 found.append({"conv_id": row["conv_id"], "turn": row["turn"], "role": row["role"],
                               "rendered": f"{head}{body}{END}\n", "loss_from": loss[0], "loss_to": loss[1],

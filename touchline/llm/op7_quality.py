@@ -2,9 +2,10 @@
 
 Each whole text becomes a vector of statistics (lengths, kinds of characters, repetition, stop words).
 Random Fourier features approximate a Gaussian kernel on the standardised vectors. The normal equations
-of the ridge fit are summed within partitions and added up, so all labelled rows count and only one
-matrix a partition (of ``FIT_PARTITIONS``) reaches the driver. Raw scores of a calibration fold are
-counted in ``BINS`` bins and made monotone by pooling adjacent violators.
+of the ridge fit are summed within partitions and added up, so all labelled rows count and at most
+``SUMS_AT_ONCE`` matrices reach the driver. Rows are dealt and sorted by doc_id before, so sums are added in
+the same order whenever the fit is run. Raw scores of a calibration fold are counted in ``BINS`` bins and
+made monotone by pooling adjacent violators.
 
 Labels are read only from rows whose crc32(doc_id as text) mod 4 is not 2; of these, remainder 3 is the
 calibration fold and the rest fits the scores. Nothing but the text enters a score. Null text: as empty.
@@ -20,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +32,8 @@ FEATURES = 256
 BANDWIDTH = 3.0
 RIDGE = 1e-3
 BINS = 512
-FIT_PARTITIONS = 16
+#: Labelled rows of a partition of the fit, and partition sums that reach the driver at once.
+FIT_ROWS, SUMS_AT_ONCE = 100_000, 64
 THRESHOLD = 0.7
 SEED = 17
 
@@ -77,7 +80,7 @@ def with_statistics(docs: DataFrame, text_col: str = "text", out: str = "_stats"
     text_at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text_col, 16 << 20):
+        for batch in slices(batches, text_col, 4 << 20):
             found = [statistics(t or b"") for t in text_bytes(batch.column(text_at))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.float64()))],
                                              names=[*batch.schema.names, out])
@@ -117,7 +120,8 @@ def _vectors(batch: pa.RecordBatch, name: str) -> np.ndarray:
 
 
 def _sums(rows: DataFrame, add) -> np.ndarray:
-    """Sum over all rows of ``add(stats, labels)``, an array of fixed size, by partition sums."""
+    """Sum over all rows of ``add(stats, labels)``, an array of fixed size: partition sums in their order, added
+    in groups first where there are many. Empty if there are no rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
@@ -125,11 +129,25 @@ def _sums(rows: DataFrame, add) -> np.ndarray:
                 part = add(_vectors(batch, "_stats"), batch.column("label").to_numpy())
                 total = part if total is None else total + part
         if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sum"])
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]),
+                                              pa.array([total.tobytes()], pa.binary())], names=["part", "sum"])
 
-    found = shipped(rows).mapInArrow(run, "sum binary").collect()
-    return sum((np.frombuffer(bytes(r["sum"])) for r in found), np.zeros(0)) if not found else \
-        np.sum([np.frombuffer(bytes(r["sum"])) for r in found], axis=0)
+    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, first = None, None
+        for batch in batches:
+            for part, own in zip(batch.column("part").to_pylist(), batch.column("sum").to_pylist()):
+                own = np.frombuffer(own)
+                total, first = (own, part) if total is None else (total + own, first)
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([first]), pa.array([total.tobytes()], pa.binary())],
+                                             names=["part", "sum"])
+
+    sums = shipped(rows).mapInArrow(run, "part long, sum binary")
+    if rows.rdd.getNumPartitions() > SUMS_AT_ONCE:
+        sums = sums.repartitionByRange(SUMS_AT_ONCE, "part").sortWithinPartitions("part").mapInArrow(
+            together, "part long, sum binary")
+    found = sorted((r["part"], bytes(r["sum"])) for r in sums.collect())
+    return np.sum([np.frombuffer(s) for _, s in found], axis=0) if found else np.zeros(0)
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -150,7 +168,8 @@ def fit(stats: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
              .agg(F.avg(label_col).alias("label")))
     rows = (stats.select(F.col(id_col).alias("_id"), "_stats").join(known, "_id")
             .withColumn("fold", remainder("_id")).filter("fold <> 2").select("fold", "_stats", "label"))
-    rows = rows.repartition(FIT_PARTITIONS).persist()
+    n = known.count()      # at least the labelled rows, but for rows that repeat a doc_id
+    rows = rows.repartition(max(8, -(-n // FIT_ROWS)), "_id").sortWithinPartitions("_id", "_stats").persist()
     try:
         return _fit(rows)
     finally:
