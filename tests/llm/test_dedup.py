@@ -219,3 +219,75 @@ def test_pipeline_stages(spark, tmpdir_path):
         assert empty.count() == 0
 
 
+
+
+def without_shared_lines(rows):
+    """Lines of 10 characters or more that two documents have stay in the one with the least id."""
+    holders = {}
+    for i, text in rows:
+        for line in text.split("\n"):
+            key = "".join(c.lower() if c.isascii() else c for c in line.strip(" \t\n\x0b\f\r"))
+            holders.setdefault(key, set()).add(i)
+
+    def stays(i, line):
+        key = "".join(c.lower() if c.isascii() else c for c in line.strip(" \t\n\x0b\f\r"))
+        return len(key) < 10 or len(holders[key]) < 2 or min(holders[key]) == i
+
+    return [(i, "\n".join(x for x in text.split("\n") if stays(i, x))) for i, text in rows]
+
+
+def test_pipeline_equals_plain_python(spark, tmpdir_path):
+    """Every stage on what the one before kept, and the packed pieces, against plain Python."""
+    import zlib
+
+    import numpy as np
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline as pipeline
+    from touchline.llm import op7_quality as quality
+    random.seed(12)
+    rows = [(i, ". ".join(prose(70 * i + k, 12) for k in range(3 + i % 4)) + ".\nA line that many have\n" + prose(5000 + i, 30))
+            for i in range(60)]
+    rows += [(100 + i, changed(rows[3 * i][1].replace("\n", " "), i, 0.01)) for i in range(8)]
+    rows += [(200 + i, f"{prose(8000 + i, 60)}. {prose(77, 60)}. {prose(9000 + i, 60)}.") for i in range(6)]
+    rows += [(300 + i, " ".join(w.upper() + "!!#" for w in prose(i, 40).split())) for i in range(25)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long").coalesce(2)
+    docs.write.parquet(f"{tmpdir_path}/documents.parquet")
+    labels = spark.createDataFrame([(i, int(i < 300)) for i, _ in rows], "doc_id long, quality int")
+    labels.write.parquet(f"{tmpdir_path}/labels.parquet")
+
+    model = quality.fit(quality.with_statistics(docs.select("doc_id", "text")), labels)
+    z = model.features(np.array([quality.statistics(t.encode()) for _, t in rows]))
+    scores = np.interp(z @ model.weights, model.knots, model.values)
+    kept = [r for r, s in zip(rows, scores) if s >= quality.THRESHOLD]
+    assert 0 < len(rows) - len(kept) and all(i >= 300 for (i, _), s in zip(rows, scores) if s < quality.THRESHOLD)
+    kept = without_shared_lines(kept)
+    kept = [r for r, (_, c) in zip(kept, components(kept)) if c == r[0]]
+    assert 60 < len(kept) < 74
+    kept = [(i, new if gone else t) for (i, t), (_, gone, new) in zip(kept, removal(kept, 35))]
+    tokenizer = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    want = []
+    for i, text in kept:
+        ids = tokenizer.encode(text, add_special_tokens=False).ids + [0]
+        for piece, start in enumerate(range(0, len(ids), 2048)):
+            own = ids[start:start + 2048]
+            want.append((i, piece, start, len(own), zlib.crc32(np.array(own, "<u4").tobytes())))
+    found = pipeline.run(spark, tmpdir_path).collect()
+    assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in found) == sorted(want)
+    places = {}
+    for r in found:
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in places.values():
+        own.sort()
+        assert [o for o, _ in own] == [sum(n for _, n in own[:k]) for k in range(len(own))] and sum(n for _, n in own) <= 2048
+    assert len(places) == -(-sum(r.length for r in found) // 2048)
+
+
+def test_rows_that_repeat_a_doc_id_are_nodes_of_their_own(spark):
+    a, b = prose(821, 60), prose(822, 60)
+    rows = [(10, a), (10, b), (12, b + " more"), (None, a), (None, prose(823, 30)), (None, prose(823, 30)), (5, a + " end")]
+    found = op5.near_duplicates(documents(spark, rows)).collect()
+    assert sorted((r.doc_id or -1, r.component_id or -1) for r in found) == sorted(
+        [(10, 5), (10, 10), (12, 10), (-1, 5), (-1, -1), (-1, -1), (5, 5)])

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import id_text, shipped, slices
+from touchline.llm.common import give_back, id_text, shipped, slices
 from touchline.llm.components import connected_components
 from touchline.llm.op5_near_dedup import shingle_sets
 from touchline.session import checkpointed, delete_paths, recorded
@@ -42,7 +42,7 @@ ORDERS = 3
 #: Sixteenths of the hash space in the region of an order; a prefix of a fifth of a set lies in it as a rule.
 REGION = 5
 #: Tokens in a slab, and tokens counted at once by a task.
-SLAB_TOKENS, PART_TOKENS = 1 << 20, 1 << 22
+SLAB_TOKENS, PART_TOKENS = 1 << 19, 1 << 21
 HUB_ROUNDS = 1
 PARITY_BITS = 512
 _TOP24 = REGION << 20       # first value of the upper 24 bits behind the first region
@@ -133,6 +133,8 @@ def _slab_rows(sets: DataFrame, parts: int) -> DataFrame:
                     number, ids, sizes, packed, held = number + 1, [], [], [], 0
         if ids:
             yield slab(number, ids, sizes, packed)
+        del ids, sizes, packed
+        give_back()
 
     return shipped(sets).mapInArrow(run, "part int, slab long, tokens binary, counts binary, owners binary, "
                                          "set_ids binary, sizes binary, n_sets int")
@@ -179,6 +181,8 @@ def _lonely_counts(slabs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [table["slab"].combine_chunks(), pa.array(found, pa.binary()), table["set_ids"].combine_chunks(),
                  table["sizes"].combine_chunks()], names=["slab", "lonely", "set_ids", "sizes"])
+            del table, blocks, every, order, put
+        give_back()
 
     return shipped(slabs).mapInArrow(run, "slab long, lonely binary, set_ids binary, sizes binary")
 
@@ -256,6 +260,7 @@ def _order_tokens(sets: DataFrame, k: int, share: tuple[int, int]) -> DataFrame:
                          *(pa.array(np.repeat(np.array(x, np.int64), times)) for x in (nodes, n, region)),
                          pa.array(np.concatenate(place).astype(np.int64))],
                         names=["token", "node", "n", "region", "place"])
+        give_back()
 
     return shipped(sets.select("node", "n", "tokens")).mapInArrow(
         run, "token long, node long, n long, region long, place long")
@@ -308,6 +313,7 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, share: tuple
                 hits.append(share[1] * common >= share[0] * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")],
                                              names=["a", "b"]).filter(pa.array(hits, pa.bool_()))
+        give_back()
 
     others = [f"prefix{k}" for k in range(1, ORDERS)]
     near = pairs
