@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm import op1_packing, op5_near_dedup, op7_quality, op8_line_dedup, op9_substrings
 from touchline.llm.common import free
-from touchline.session import checkpointed
+from touchline.session import checkpointed, delete_paths, recorded
 
 
 def _like(docs: DataFrame, frame: DataFrame) -> DataFrame:
@@ -72,9 +72,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage. What a stage stores on its way, and its input, is deleted once its own output is
+    written; only what the last stage still reads stays."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before: list[str] = []
     for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        passing: list[str] = []
+        with recorded(passing):
+            docs = stage(spark, docs, sf_dir)
+            if k < len(STAGES) - 1:
+                docs = checkpointed(docs, "pipeline-" + name.replace(" ", "-"))
         if k < len(STAGES) - 1:
-            docs = checkpointed(docs, "pipeline-" + name.replace(" ", "-"))
+            delete_paths(spark, before + passing[:-1])
+            before = passing[-1:]
     return docs
