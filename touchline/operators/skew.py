@@ -120,8 +120,8 @@ def resolve_hot(df: DataFrame, key: Sequence[str], threshold: int | None, hot=AU
     return hot.select(*key) if hot is not None else None
 
 
-#: Pieces that one second of a hot key can be cut into, by equal ranges of its ids.
-SECOND_PIECES = 4096
+#: Pieces that one second of a hot key can be cut into, of about as many rows each (by quantiles of its ids).
+SECOND_PIECES = 512
 
 
 def split_hot(df: DataFrame, key: Sequence[str], threshold: int | None, block_rows: int, ts: str = "ts",
@@ -132,8 +132,8 @@ def split_hot(df: DataFrame, key: Sequence[str], threshold: int | None, block_ro
     there are none the plan has no blocked branch at all.
 
     Blocks follow the row count, not the clock, in (``ts``, ``order``) order: rows are counted per (key,
-    second), and a second with more than ``block_rows`` rows is cut into ranges of ``order``, which are
-    counted too; ``rows_before`` gives each of these pieces the number of earlier rows, and
+    second), and a second with more than ``block_rows`` rows is cut at quantiles of ``order``, however its
+    ids are spread; the pieces are counted too; ``rows_before`` gives each of these pieces the number of earlier rows, and
     ``blk = earlier_rows div block_rows``. A block therefore holds ``block_rows`` rows plus at most one
     piece's, however bursty the key is, and block order is time order.
     """
@@ -142,15 +142,15 @@ def split_hot(df: DataFrame, key: Sequence[str], threshold: int | None, block_ro
         return df, None
     normal = df.join(hot, list(key), "left_anti")
     hot_rows = df.join(hot, list(key), "left_semi")
-    full = (hot_rows.groupBy(*key, ts).agg(F.count(F.lit(1)).alias("_c"), F.min(order).alias("_lo"),
-                                           F.max(order).alias("_hi"))
-            .where(F.col("_c") > block_rows).drop("_c"))
-    width = (F.col("_hi").cast("double") - F.col("_lo").cast("double") + 1.0) / SECOND_PIECES
-    piece = F.floor((F.col(order).cast("double") - F.col("_lo").cast("double")) / width)
-    pieces = (hot_rows.join(full, [*key, ts], "left")
-              .withColumn("_at", F.col(ts) * SECOND_PIECES
-                          + F.coalesce(F.least(piece, F.lit(SECOND_PIECES - 1)), F.lit(0)).cast("long"))
-              .drop("_lo", "_hi"))
+    crowded = (hot_rows.groupBy(*key, ts).agg(F.count(F.lit(1)).alias("_c"))
+               .where(F.col("_c") > block_rows).drop("_c"))
+    quantiles = [i / SECOND_PIECES for i in range(1, SECOND_PIECES)]
+    bounds = (hot_rows.join(crowded, [*key, ts], "left_semi").groupBy(*key, ts)
+              .agg(F.percentile_approx(order, quantiles).alias("_bounds")))
+    piece = F.coalesce(F.size(F.filter("_bounds", lambda b: b < F.col(order))), F.lit(0))
+    pieces = (hot_rows.join(bounds, [*key, ts], "left")
+              .withColumn("_at", F.col(ts) * SECOND_PIECES + F.when(F.col("_bounds").isNull(), 0).otherwise(piece))
+              .drop("_bounds"))
     counts = pieces.groupBy(*key, "_at").agg(F.count(F.lit(1)).alias("_c"))
     blocks = rows_before(counts, key, "_at", bucket=3600 * SECOND_PIECES).select(
         *key, "_at", F.floor(F.col("_before") / F.lit(block_rows)).cast("long").alias("blk"))

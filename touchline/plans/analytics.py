@@ -8,9 +8,10 @@
     ca.source_in_chains_metrics()
     ca.chains()                    # chain table: one row per element with (chain, pos)
 
-Nothing is written unless a path is given. ``materialize=True`` on
-``combine_visits`` writes the touch table as parquet under the session's
-checkpoint directory (``spark.checkpoint.dir``, shared storage on a cluster), so the
+Without a path the live visits are still stored once, as parquet under the session's
+checkpoint directory, since every later step reads them (``release`` deletes them). ``materialize=True`` on
+``combine_visits`` writes the touch table as parquet under that
+directory (``spark.checkpoint.dir``, shared storage on a cluster), so the
 reports and the chain table start from stored rows instead of replaying the
 collapse and windows, and a lost executor costs only its own tasks.
 """
