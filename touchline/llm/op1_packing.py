@@ -6,7 +6,8 @@ rows, whatever the corpus holds): a sequence is filled greedily with the longest
 fits, then its shortest piece is exchanged for two unpacked ones whenever those fill the widened gap
 more tightly. The resulting pattern of lengths is applied as often as the counts allow, so the plan is
 a short list of (pattern, times). Pieces get their place by their rank among the pieces of their
-length; ranks are counted in salted groups, so one frequent length does not meet in one task.
+length; ranks are counted in salted groups, as many as a length's pieces need, so one frequent length does not
+meet in one task.
 
 Null or empty text: the separator alone. Equal lengths (ties) rank by (salt, doc_id, piece), rows that
 repeat a doc_id are packed each. No rows give no rows. Columns other than the two named are ignored.
@@ -29,7 +30,8 @@ from touchline.session import checkpointed
 
 CAPACITY = 2048
 SEPARATOR = 0
-SALTS = 256
+#: Pieces of one length that are ranked by one task.
+RANKED_ROWS = 50_000
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
@@ -144,9 +146,11 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Data
 def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Place rows with a ``length`` of at most ``capacity`` into sequences; ``doc_id`` and ``piece`` order ties."""
     spark = pieces.sparkSession
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)).cast("int"))
+    counts = {int(r["length"]): int(r["n"]) for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    salts = spark.createDataFrame([(n, -(-c // RANKED_ROWS)) for n, c in counts.items()], "_length long, _salts long")
+    salted = (pieces.join(F.broadcast(salts), F.col("length") == F.col("_length"))      # a row a length
+              .withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece", "start"), "_salts")).drop("_length", "_salts"))
     groups = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
-    counts = {int(r["length"]): int(r["n"]) for r in groups.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
     slots = spark.sparkContext.broadcast(_slots(best_two_fit(counts, capacity)))   # at most a few rows a length
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     first = groups.select(F.col("length").alias("_l"), F.col("_salt").alias("_s"),
