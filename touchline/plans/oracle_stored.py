@@ -58,6 +58,9 @@ def oracle_sql() -> dict[str, str]:
         "touches_stored_layout": done["touches_segments"],
         "chains_refreshed": done["chains_array"],
         "gap_quantile_hash_range": f"{half}\nSELECT round(d, 6) AS max_gap, di AS max_gap_seconds FROM thr",
+        "user_buckets": f"""{base._with(base.visits_cte(), _hashed("UserID"))}
+SELECT CAST(hash * 8 // 4294967296 AS BIGINT) AS bucket, count(*) AS visits, count(DISTINCT UserID) AS users
+FROM vsrc JOIN hashed USING (UserID) GROUP BY 1""",
         "gap_quantile_of_state": f"{base._with(base.visits_cte())} {periods}",
         "source_users_sketched": f"""{base._with(base.visits_cte())}
 SELECT SourceCode, count(DISTINCT (CounterID, UserID)) AS users, true AS close FROM vsrc GROUP BY SourceCode""",

@@ -22,6 +22,7 @@ from touchline.session import checkpointed, delete_paths, ensure_checkpoint_dir
 from touchline.sources.layout import save_visits_by_user
 from touchline.sources.publish import read_published
 from touchline.sources.raw_visits import load_json_dump
+from touchline.sources.sampling import user_bucket
 from touchline.sources.sinks import publish_chains, publish_visits, write_visits
 from touchline.sources.tsv import read_tsv, write_tsv
 
@@ -140,6 +141,17 @@ def q_gap_quantile_hash_range(spark, sf_dir):
                                                    sample_method="range"))
 
 
+def q_user_buckets(spark, sf_dir):
+    """Visits and users in each of the eight buckets that cover every user once."""
+    visits = checkpointed(_live(spark, sf_dir, base.GOALS), "bucket-visits")
+    parts = [user_bucket(visits, BUCKETS, i, method="range").groupBy(F.lit(i).cast("long").alias("bucket")).agg(
+        F.count(F.lit(1)).alias("visits"), F.countDistinct("UserID").alias("users")) for i in range(BUCKETS)]
+    found = parts[0]
+    for more in parts[1:]:
+        found = found.unionByName(more)
+    return found
+
+
 def q_gap_quantile_of_state(spark, sf_dir):
     """The threshold of three periods from one stored state."""
     visits = checkpointed(_live(spark, sf_dir, base.GOALS), "state-visits")
@@ -169,6 +181,7 @@ QUERIES = {name: base._wide_ints(fn) for name, fn in {
     "touches_stored_layout": q_touches_stored_layout,
     "chains_refreshed": q_chains_refreshed,
     "gap_quantile_hash_range": q_gap_quantile_hash_range,
+    "user_buckets": q_user_buckets,
     "gap_quantile_of_state": q_gap_quantile_of_state,
     "source_users_sketched": q_source_users_sketched,
 }.items()}
