@@ -61,6 +61,16 @@ def text_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def mix64(x):
+    """Finaliser of 64-bit hashes in a numpy array (a bijection that spreads every bit)."""
+    import numpy as np
+    x = x ^ (x >> np.uint64(30))
+    x = x * np.uint64(0xBF58476D1CE4E5B9)
+    x = x ^ (x >> np.uint64(27))
+    x = x * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 def give_back() -> None:
     """Return freed memory to the system: a Python worker lives through many tasks, and what one of them has
     freed would else count against the executor for good."""

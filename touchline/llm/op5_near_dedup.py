@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from touchline.llm.common import give_back, id_text, shipped, slices
+from touchline.llm.common import give_back, id_text, mix64, shipped, slices
 from touchline.llm.components import connected_components
 from touchline.session import checkpointed, delete_paths, ensure_checkpoint_dir, recorded
 
@@ -59,15 +59,6 @@ ROWS_A_PARTITION = 100_000
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    """Finaliser of a 64-bit hash (a bijection that spreads every bit)."""
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def word_hashes(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of all texts one after another, and the texts' bounds in them."""
     texts = pc.fill_null(texts.cast(pa.string()), "")
@@ -92,7 +83,7 @@ def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
     words, bounds = word_hashes(texts)
     rolled = words.copy()
     for k in range(1, size):
-        rolled[:-k] = _mix(rolled[:-k] * _MULTIPLY + words[k:]) if len(words) > k else rolled[:-k]
+        rolled[:-k] = mix64(rolled[:-k] * _MULTIPLY + words[k:]) if len(words) > k else rolled[:-k]
     found = []
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
         if b - a >= size:
@@ -100,7 +91,7 @@ def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
         elif b > a:     # the whole sequence, told apart from any full shingle by its length
             whole = np.uint64(b - a)
             for w in words[a:b]:
-                whole = _mix(np.array([whole * _MULTIPLY + w], np.uint64))[0]
+                whole = mix64(np.array([whole * _MULTIPLY + w], np.uint64))[0]
             found.append(np.array([whole]))
         else:
             found.append(np.empty(0, np.uint64))
@@ -136,7 +127,7 @@ def signatures(docs: DataFrame, shingle: int = 2) -> DataFrame:
                 for own in shingle_sets(batch.column("text"), shingle):
                     if len(own):
                         least = minhash(own, a, b)
-                        low = _mix(least.astype(np.uint64))
+                        low = mix64(least.astype(np.uint64))
                         rows.append((len(own), _digest(own),
                                      (low >> np.uint64(8)).astype(">u2").tobytes(),
                                      np.packbits(np.r_[low & np.uint64(1), low >> np.uint64(1) & np.uint64(1)]

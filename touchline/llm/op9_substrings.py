@@ -28,8 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.llm.common import free, shipped, slices, text_bytes
-from touchline.llm.op5_near_dedup import _mix, word_hashes
+from touchline.llm.common import free, mix64, shipped, slices, text_bytes
+from touchline.llm.op5_near_dedup import word_hashes
 from touchline.session import checkpointed
 
 MIN_WORDS = 35
@@ -51,7 +51,7 @@ def _rolling(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _spans(sums: np.ndarray, back: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hashes of the word spans [start, end)."""
-    return _mix((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64) * _BASE)
+    return mix64((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64) * _BASE)
 
 
 def _stretches(words: np.ndarray, size: int) -> tuple[np.ndarray, ...] | None:
