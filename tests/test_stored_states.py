@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.inthash import int_hash32, with_int_hash32
 from touchline.operators.distinct_state import daily_user_sketches, users_by_source
-from touchline.operators.gap_state import daily_gap_state, gap_quantile_of_state
+from touchline.operators.gap_state import daily_gap_state, gap_quantile_of_state, read_gap_state, save_gap_state
 from touchline.operators.gaps import gap_quantile
 from touchline.operators.touches import touches
 from touchline.operators.visits import latest_live_visits, with_source_code
@@ -135,3 +135,36 @@ def test_sketches_of_dates_unite(spark, live):
     again = many.unionByName(many.withColumn("StartDate", F.date_add("StartDate", 1)))
     (estimate,) = users_by_source(daily_user_sketches(again), *PERIOD).collect()
     assert abs(estimate.users - 300_000) <= 0.02 * 300_000
+
+
+def test_state_is_replaced_by_date(spark, live, tmpdir_path):
+    path = f"{tmpdir_path}/state"
+    first = live.where("VisitID % 5 <> 0 OR StartDate <> DATE'2024-01-10'")
+    save_gap_state(first, path)
+    before = {p: sorted(glob.glob(f"{path}/{p}/StartDate=*/*.parquet")) for p in ("inside", "ends")}
+    save_gap_state(live.where("StartDate = DATE'2024-01-10'"), path)
+    for part, was in before.items():
+        now = sorted(glob.glob(f"{path}/{part}/StartDate=*/*.parquet"))
+        assert {f for f in was if "2024-01-10" not in f} == {f for f in now if "2024-01-10" not in f}
+    assert gap_quantile_of_state(*read_gap_state(spark, path), *PERIOD) == gap_quantile(live, 0.95)
+
+
+def test_facade_with_state_and_published_tables(spark, raw001, live, tmpdir_path, capsys):
+    from touchline.__main__ import main
+    from touchline.plans.analytics import ChainAnalytics
+    from touchline.sources import read_published
+    save_gap_state(live, f"{tmpdir_path}/state")
+    plain = ChainAnalytics(spark, raw001, *PERIOD)
+    merged = ChainAnalytics(spark, raw001, *PERIOD, gap_state=read_gap_state(spark, f"{tmpdir_path}/state"))
+    assert merged.visit_gap_threshold() == plain.visit_gap_threshold()
+    raw001.write.parquet(f"{tmpdir_path}/raw")
+    for _ in range(2):
+        main(["--raw", f"{tmpdir_path}/raw", "--start", PERIOD[0], "--end", PERIOD[1], "--publish",
+              "--gap-state", f"{tmpdir_path}/state", "--visits-out", f"{tmpdir_path}/visits",
+              "--chains-out", f"{tmpdir_path}/chains", "--out", f"{tmpdir_path}/reports"])
+    assert read_published(spark, f"{tmpdir_path}/visits").count() == live.count()
+    found = read_published(spark, f"{tmpdir_path}/chains")
+    assert rows(found.select("UserID", "chain", "pos", "VisitID")) == rows(
+        plain.chains().select("UserID", "chain", "pos", "VisitID"))
+    assert len(glob.glob(f"{tmpdir_path}/visits/v-*")) == 2 and "== conv_chains ==" in capsys.readouterr().out
+    plain.release()

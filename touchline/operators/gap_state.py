@@ -8,13 +8,16 @@ dates replace their own rows of the state only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchline.functions.time import epoch_seconds
 from touchline.operators.gaps import exact_quantile, gap_histogram, visit_gaps
 from touchline.operators.skew import BLOCK_ROWS, HOT_USER_ROWS
 
+#: Tasks, and files, that a date's state is written by.
+FILES_A_DATE = 4
+
 
 def daily_gap_state(visits: DataFrame, hot_user_rows: int | None = HOT_USER_ROWS,
                     block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
@@ -26,6 +29,22 @@ def daily_gap_state(visits: DataFrame, hot_user_rows: int | None = HOT_USER_ROWS
     return counted, ends
 
 
+def save_gap_state(visits: DataFrame, path: str, hot_user_rows: int | None = HOT_USER_ROWS,
+                   block_rows: int = BLOCK_ROWS) -> None:
+    """Write the state of ``visits`` below ``path``; it replaces the state of the dates that these visits have, so
+    call it with all visits of each date that is new or has changed. Other dates' files are left alone."""
+    for part, rows in zip(("inside", "ends"), daily_gap_state(visits, hot_user_rows, block_rows)):
+        (rows.repartition("StartDate", F.pmod(F.xxhash64(*rows.columns[1:2]), F.lit(FILES_A_DATE)))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("StartDate")
+         .parquet(f"{path.rstrip('/')}/{part}"))
+
+
+def read_gap_state(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The stored state, as ``daily_gap_state`` gives it."""
+    inside, ends = (spark.read.parquet(f"{path.rstrip('/')}/{part}") for part in ("inside", "ends"))
+    return (inside.select("StartDate", "gap", "n"), ends.select("StartDate", "UserID", "first_ts", "last_ts"))
+
+
 def merged_gap_histogram(inside: DataFrame, ends: DataFrame, start_date, end_date) -> DataFrame:
     """gap -> number of gaps of the period. Raises in its task if a user's dates interleave in time (as with counters
     in several time zones): then gaps are not the sum of their parts, take ``gap_quantile`` of the visits."""

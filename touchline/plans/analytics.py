@@ -25,13 +25,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from touchline.operators import attribution, positions, reports
 from touchline.operators.chains import chains as chain_table
+from touchline.operators.gap_state import gap_quantile_of_state
 from touchline.operators.gaps import gap_quantile
 from touchline.operators.skew import AUTO, BLOCK_ROWS, HOT_USER_ROWS, hot_user_lists
 from touchline.operators.touches import touches
 from touchline.operators.visits import latest_live_visits
 from touchline.session import checkpointed, delete_paths, recorded
 from touchline.sources.names import UNKNOWN_SOURCE_NAME, no_source_names
-from touchline.sources.sinks import write_chains, write_visits
+from touchline.sources.sinks import publish_chains, publish_visits, write_chains, write_visits
 
 
 class ChainAnalytics:
@@ -41,7 +42,10 @@ class ChainAnalytics:
                  sample_method: str = "hash", source_names: DataFrame | None = None,
                  unknown_name: str = UNKNOWN_SOURCE_NAME, exact_ad_prefix: bool = False,
                  hot_user_rows: int | None = HOT_USER_ROWS, block_rows: int = BLOCK_ROWS,
-                 literal_banner_column: bool = False):
+                 literal_banner_column: bool = False,
+                 gap_state: tuple[DataFrame, DataFrame] | None = None):
+        """``gap_state``: the stored daily state (``operators.gap_state``) that D is merged from, instead of a window
+        pass over the visits; it must cover the period."""
         if max_gap is not None and max_gap < 0:
             raise ValueError("max_gap must not be negative")
         self.spark = spark
@@ -59,6 +63,7 @@ class ChainAnalytics:
         self.hot_user_rows = hot_user_rows
         self.literal_banner_column = literal_banner_column
         self.block_rows = block_rows
+        self.gap_state = gap_state
         self._visits = None
         self._touches = None
         self._measures = None
@@ -67,12 +72,14 @@ class ChainAnalytics:
         self._hot = AUTO
 
     # -- step 1 --------------------------------------------------------
-    def prepare_visits(self, path: str | None = None, persist: bool = True) -> DataFrame:
-        """The live visits. With ``path`` they are written (partitioned by StartDate) and read back;
-        otherwise they are stored under ``spark.checkpoint.dir``, since the hot-user count, the quantile
+    def prepare_visits(self, path: str | None = None, persist: bool = True, published: bool = False) -> DataFrame:
+        """The live visits. With ``path`` they are written (partitioned by StartDate) and read back, with
+        ``published`` as a new version that readers of the path switch to in one step; otherwise they are stored under ``spark.checkpoint.dir``, since the hot-user count, the quantile
         and the chain pass all read them (``persist=False``: left as a plan)."""
         v = latest_live_visits(self.raw_visits, self.start_date, self.end_date, self.goals)
-        if path:
+        if path and published:
+            v = self.spark.read.parquet(publish_visits(v, path))
+        elif path:
             write_visits(v, path)
             v = self.spark.read.parquet(path)
         elif persist:
@@ -88,7 +95,9 @@ class ChainAnalytics:
     # -- step 2 --------------------------------------------------------
     def visit_gap_threshold(self) -> float | None:
         """D: the given max_gap, or the percentile of gaps (one small action)."""
-        if self._max_gap is None:
+        if self._max_gap is None and self.gap_state is not None:
+            self._max_gap = gap_quantile_of_state(*self.gap_state, self.start_date, self.end_date, self.percentile)
+        elif self._max_gap is None:
             self._max_gap = gap_quantile(self.visits, self.percentile, self.sample_denominator,
                                          self.sample_method, self.hot_user_rows, self.block_rows,
                                          hot=self._hot_lists()[0])
@@ -127,11 +136,14 @@ class ChainAnalytics:
         """(CounterID, UserID) with more than hot_user_rows visits (bounded list), or None."""
         return self._hot_lists()[1]
 
-    def chains(self, path: str | None = None) -> DataFrame:
-        """The chain table (one row per element with its chain and position; see operators.chains)."""
+    def chains(self, path: str | None = None, published: bool = False) -> DataFrame:
+        """The chain table (one row per element with its chain and position; see operators.chains), written and
+        read back like the visits if there is a path."""
         c = chain_table(self.touches, self.visit_gap_threshold(), self.end_date,
                         self.hot_user_rows, self.block_rows, hot=self.hot_users())
-        if path:
+        if path and published:
+            c = self.spark.read.parquet(publish_chains(c, path))
+        elif path:
             write_chains(c, path)
             c = self.spark.read.parquet(path)
         return c
