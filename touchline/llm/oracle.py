@@ -163,6 +163,28 @@ SELECT f.conv_id, CAST(f.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, f.n
 FROM full_nodes f JOIN totals t ON t.node = f.node LEFT JOIN nodes p ON p.node = f.up"""
 
 
+SUBSTRINGS_SQL = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+),
+places AS (
+  SELECT doc_id, len(w) AS n, unnest(range(1, len(w) + 1)) AS i,
+    unnest(list_transform(range(1, len(w) + 1), lambda i: CASE WHEN i + 34 <= len(w) THEN md5(array_to_string(w[i:i + 34], ' ')) END)) AS win,
+    unnest(w) AS word
+  FROM d
+),
+counted AS (SELECT *, CASE WHEN win IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY win) END AS often FROM places),
+judged AS (
+  SELECT *, max(often) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) > 1 AS gone FROM counted
+),
+kept AS (
+  SELECT doc_id, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_removed,
+    coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT gone), '') AS text
+  FROM judged GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id"""
+
 ORACLE_SQL = {"op2_quality_rules": _rules_sql(), "op6_chat": CHAT_SQL, "op8_line_dedup": LINES_SQL,
               "op5_near_dedup": f"SELECT *, doc_id = component_id AS kept FROM ({_jaccard_sql(2)})",
-              "op11_ngram_join": _jaccard_sql(5), "op13_prefix_trie": TRIE_SQL}
+              "op11_ngram_join": _jaccard_sql(5), "op13_prefix_trie": TRIE_SQL, "op9_substrings": SUBSTRINGS_SQL}
