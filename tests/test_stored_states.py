@@ -168,3 +168,16 @@ def test_facade_with_state_and_published_tables(spark, raw001, live, tmpdir_path
         plain.chains().select("UserID", "chain", "pos", "VisitID"))
     assert len(glob.glob(f"{tmpdir_path}/visits/v-*")) == 2 and "== conv_chains ==" in capsys.readouterr().out
     plain.release()
+
+
+def test_recorders_inside_each_other(spark):
+    """Lists that hold the same are told apart."""
+    from touchline.session import checkpointed, delete_paths, recorded
+    outer, inner = [], []
+    with recorded(outer):
+        with recorded(inner):
+            checkpointed(spark.range(1), "one")
+        checkpointed(spark.range(1), "two")
+    checkpointed(spark.range(1), "three")
+    assert len(inner) == 1 and len(outer) == 2 and outer[0] == inner[0]
+    delete_paths(spark, inner + outer)

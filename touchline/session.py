@@ -91,8 +91,8 @@ def recorded(paths: list[str]):
     _recorders.append(paths)
     try:
         yield paths
-    finally:
-        _recorders.remove(paths)
+    finally:        # this list, not one that is equal to it
+        del _recorders[next(i for i, own in enumerate(_recorders) if own is paths)]
 
 
 def delete_paths(spark: SparkSession, paths: list[str]) -> None:
