@@ -143,3 +143,13 @@ def test_hot_user_lists_user_and_pair_level(spark):
     assert sorted(r.UserID for r in users.collect()) == [7, 8]          # 7: 3 + 3 over two counters
     assert sorted((r.CounterID, r.UserID) for r in pairs.collect()) == [(1, 8)]
     assert hot_user_lists(df, 10) == (None, None)
+
+
+def test_a_crowded_second_with_an_odd_id(spark):
+    """One id far from the others does not put all of a second's rows into one block."""
+    ids = spark.range(1000).selectExpr("1L AS UserID", "100L AS ts", "IF(id = 7, 4611686018427387904L, id) AS VisitID")
+    _, hot = split_hot(ids, ["UserID"], 0, 50)
+    sizes = [r["count"] for r in hot.groupBy("blk").count().collect()]
+    assert sum(sizes) == 1000 and max(sizes) <= 60
+    order = [r.blk for r in hot.orderBy("VisitID").collect()]
+    assert order == sorted(order)
