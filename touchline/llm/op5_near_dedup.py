@@ -9,7 +9,7 @@ dense, the window holds the neighbours with the longest common prefixes, that is
 region. The last rows of a partition are compared with the first of the next in a second small job.
 
 Candidates whose sketches (two bits of every MinHash value) are out of reach of the threshold are
-dropped; the rest is confirmed on the full sets: first the best pair of each set, twice over, then all
+dropped; the rest is confirmed on the full sets: first the best pair of each set, then all
 pairs that would still join two components. Regions that hold more sets than the window are then
 compared whole: dealt into blocks of about ``DENSE_WINDOW`` sets, every two blocks of a region meet, but
 for those within its largest component. There a pair must also pass the parity bits of the full sets: the
@@ -51,8 +51,8 @@ DENSE_KEEP = 2
 PARITY_BITS = 512
 #: Best partners of a row, by sketch, in the first round over the crowded regions; growth from round to round.
 DENSE_BEST, DENSE_MORE = 32, 32
-#: Rounds in which each set confirms its best pair, before all that is left is confirmed.
-BEST_ROUNDS = 2
+#: Rounds in which each set confirms its best pair of the first scan, before all that is left is confirmed.
+BEST_ROUNDS = 1
 #: Standard deviations below the threshold at which a sketch is out of reach.
 REACH = 4.0
 ROWS_A_PARTITION = 100_000
@@ -370,7 +370,7 @@ def _meet(left: tuple, right: tuple | None, share: float, most: int, both: bool)
     return left[0][i[stay]], other[0][j[stay]], match[stay], not stay.all()
 
 
-def crowded_pairs(crowd: DataFrame, linked: DataFrame, share: float, most: int, sets: DataFrame) -> DataFrame:
+def crowded_pairs(crowd: DataFrame, linked: DataFrame, share: float, most: int, odd: DataFrame) -> DataFrame:
     """Distinct pairs (a < b) of crowded regions between different components that their sketches and the parity
     bits of their sets (id, odd) allow, with sketch matches and whether others of the same blocks were left out (``more``).
 
@@ -380,7 +380,6 @@ def crowded_pairs(crowd: DataFrame, linked: DataFrame, share: float, most: int,
     """
     named = checkpointed(crowd.join(linked.withColumnRenamed("node", "id"), "id", "left")
                          .withColumn("component", F.coalesce("component", "id")), "op5-dense")
-    odd = checkpointed(sets.select("id", "odd"), "op5-parity")
     parts = named.groupBy("tree", "region", "component").count()
     regions = (parts.groupBy("tree", "region").agg(F.sum("count").alias("size"),
                                                    F.max(F.struct("count", "component")).alias("top"))
@@ -550,10 +549,11 @@ def _confirmed(pairs: DataFrame, crowd: DataFrame, sets: DataFrame, share: tuple
     if not crowd.head(1):
         return linked
     tried, most = pairs.select("a", "b"), DENSE_BEST
+    odd = checkpointed(sets.select("id", "odd").join(crowd.select("id").distinct(), "id", "left_semi"), "op5-parity")
     while True:
-        found = checkpointed(crowded_pairs(crowd, linked, share[0] / share[1], most, sets), "op5-dense-pairs")
+        found = checkpointed(crowded_pairs(crowd, linked, share[0] / share[1], most, odd), "op5-dense-pairs")
         new = checkpointed(found.join(tried, ["a", "b"], "left_anti"), "op5-pairs")
-        linked = _join_up(new, sets, share, linked)
+        linked = _join_up(new, sets, share, linked, 0)      # few of them are no links
         if not found.filter("more").head(1):    # every pair is tried or inside one component
             return linked
         tried, most = tried.unionByName(new.select("a", "b")), most * DENSE_MORE
@@ -568,25 +568,26 @@ def _apart(pairs: DataFrame, linked: DataFrame) -> DataFrame:
             .filter("ca <> cb"))
 
 
-def _join_up(pairs: DataFrame, sets: DataFrame, share: tuple[int, int], linked: DataFrame) -> DataFrame:
+def _join_up(pairs: DataFrame, sets: DataFrame, share: tuple[int, int], linked: DataFrame,
+             best_rounds: int = BEST_ROUNDS) -> DataFrame:
     """The components once the pairs between different ones are confirmed and added; ``linked`` itself if
     that changes nothing.
 
-    First each set confirms its best pair with another component, ``BEST_ROUNDS`` times over; groups of
+    First each set confirms its best pair with another component, ``best_rounds`` times over; groups of
     copies are one component by then, and their other pairs need no look. The last round confirms all that
     is left.
     """
-    for turn in range(BEST_ROUNDS + 1):
+    for turn in range(best_rounds + 1):
         apart = checkpointed(_apart(pairs, linked), "op5-apart")
         if not apart.head(1):
             break
-        if turn < BEST_ROUNDS:
+        if turn < best_rounds:
             best = F.max(F.struct("estimate", F.col("a").alias("x"), F.col("b").alias("y"))).alias("best")
             picked = apart.groupBy("a").agg(best).select("best").unionByName(apart.groupBy("b").agg(best).select("best"))
             tried = picked.select(F.col("best.x").alias("a"), F.col("best.y").alias("b")).distinct()
+            tried = checkpointed(tried, "op5-tried")
         else:
             tried = apart.select("a", "b")
-        tried = checkpointed(tried, "op5-tried")
         new = checkpointed(confirm(tried, sets, share), "op5-edges")
         pairs = apart.select("a", "b", "estimate").join(tried, ["a", "b"], "left_anti")
         if new.head(1):
