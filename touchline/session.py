@@ -79,7 +79,7 @@ def checkpointed(df, name: str = "stage"):
     df.write.mode("error").parquet(path)
     for paths in _recorders:
         paths.append(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)     # no job to look the schema up
 
 
 _recorders: list[list[str]] = []
