@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchline.llm.common import id_text, words
@@ -113,6 +113,14 @@ def _range_of(key: Column, bounds: list[int]) -> Column:
     return block * step + inside
 
 
+def _task_keys(spark: SparkSession, n: int) -> list[int]:
+    """For each of n partitions, a number that is dealt to it by its hash: a range each goes to a task of its own."""
+    ids = spark.range(n * (20 + n.bit_length()))
+    rows = ids.groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("part")).agg(F.min("id").alias("id")).collect()
+    found = {r["part"]: r["id"] for r in rows}
+    return [found.get(part, part) for part in range(n)]
+
+
 def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """doc_id, text and anchors, and those of the next document in ascending doc_id.
 
@@ -138,12 +146,15 @@ def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     copies = (rows.join(before, "_key").groupBy("_key", "_before").agg(F.min("text").alias("text"))
               .select("_key", F.lit(None).cast("long").alias("doc_id"), "text",
                       F.col("_before").alias("_range"), F.lit(1).alias("_copy")))
-    dealt = rows.withColumn("_copy", F.lit(0)).unionByName(copies).repartition(2 * max(1, len(heads)), "_range")
+    n = max(1, bounds and len(bounds) + 1)
+    key = F.get(F.from_json(F.lit(json.dumps(_task_keys(spark, n))), "array<bigint>"), F.col("_range"))
+    dealt = rows.withColumn("_copy", F.lit(0)).unionByName(copies).withColumn("_task", key).repartition(n, "_task")
     dealt = with_hashes(with_anchors(dealt, "text", "anchors"), "anchors", "hashes")
-    side = Window.partitionBy("_range").orderBy("_copy", "_key", "text")
+    # a task is a range: the window needs no shuffle of its own
+    side = Window.partitionBy("_task").orderBy("_copy", "_key", "text")
     return (dealt.withColumn("next_text", F.lead("text").over(side))
             .withColumn("next_hashes", F.lead("hashes").over(side))
-            .filter(F.col("_copy") == 0).drop("_copy", "_key", "_range"))
+            .filter(F.col("_copy") == 0).drop("_copy", "_key", "_range", "_task"))
 
 
 def edited(text: Column, other: Column) -> Column:
