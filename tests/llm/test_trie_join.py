@@ -54,7 +54,7 @@ def test_prefix_lengths():
         assert 1 <= index_length(n, (80, 100)) <= prefix_length(n, (80, 100)) <= n
 
 
-@pytest.mark.parametrize("hubs", [3, 1, 0])
+@pytest.mark.parametrize("hubs", [1, 0])
 def test_join_equals_all_pairs(spark, monkeypatch, hubs):
     """Stars and chains of copies, short and awkward texts; without hubs all pairs go the full way."""
     monkeypatch.setattr("touchline.llm.op11_ngram_join.HUB_ROUNDS", hubs)
