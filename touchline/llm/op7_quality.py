@@ -33,7 +33,7 @@ BANDWIDTH = 3.0
 RIDGE = 1e-3
 BINS = 512
 #: Labelled rows of a partition of the fit, and partition sums that reach the driver at once.
-FIT_ROWS, SUMS_AT_ONCE = 100_000, 64
+FIT_ROWS, SUMS_AT_ONCE = 100_000, 16
 THRESHOLD = 0.7
 SEED = 17
 
@@ -129,25 +129,36 @@ def _sums(rows: DataFrame, add) -> np.ndarray:
                 part = add(_vectors(batch, "_stats"), batch.column("label").to_numpy())
                 total = part if total is None else total + part
         if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]),
-                                              pa.array([total.tobytes()], pa.binary())], names=["part", "sum"])
+            yield _sum_row(TaskContext.get().partitionId(), total)
 
     def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, first = None, None
+        total, now = None, None
         for batch in batches:
-            for part, own in zip(batch.column("part").to_pylist(), batch.column("sum").to_pylist()):
+            for group, own in zip(batch.column("part").to_pylist(), batch.column("sum").to_pylist()):
+                if group != now:
+                    if total is not None:
+                        yield _sum_row(now, total)
+                    total, now = None, group
                 own = np.frombuffer(own)
-                total, first = (own, part) if total is None else (total + own, first)
+                total = own if total is None else total + own
         if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([first]), pa.array([total.tobytes()], pa.binary())],
-                                             names=["part", "sum"])
+            yield _sum_row(now, total)
 
     sums = shipped(rows).mapInArrow(run, "part long, sum binary")
-    if rows.rdd.getNumPartitions() > SUMS_AT_ONCE:
-        sums = sums.repartitionByRange(SUMS_AT_ONCE, "part").sortWithinPartitions("part").mapInArrow(
-            together, "part long, sum binary")
-    found = sorted((r["part"], bytes(r["sum"])) for r in sums.collect())
-    return np.sum([np.frombuffer(s) for _, s in found], axis=0) if found else np.zeros(0)
+    if rows.rdd.getNumPartitions() > SUMS_AT_ONCE:      # never more rows to the driver than this
+        sums = (sums.withColumn("group", F.col("part") % SUMS_AT_ONCE).repartition(SUMS_AT_ONCE, "group")
+                .sortWithinPartitions("group", "part").select(F.col("group").alias("part"), "sum"))
+        sums = shipped(sums).mapInArrow(together, "part long, sum binary")
+    total = np.zeros(0)
+    for r in sorted(sums.collect(), key=lambda r: r["part"]):
+        own = np.frombuffer(bytes(r["sum"]))
+        total = total + own if len(total) else own
+    return total
+
+
+def _sum_row(part: int, total: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([total.tobytes()], pa.binary())],
+                                      names=["part", "sum"])
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
