@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from touchline.operators.visits import latest_live_visits
+from touchline.plans.registry_stored import _document_parts
 from touchline.sources import load_json_dump
 
 
@@ -109,3 +110,20 @@ def test_a_broken_row_raises(spark, tmpdir_path):
     path = save(tmpdir_path, "e.jsonl", json.dumps(row(1)) + '\n{"CounterID": 1, "UserID\n')
     with pytest.raises(Exception):
         load_json_dump(spark, path).collect()
+
+
+def test_document_in_parts(spark, tmpdir_path, splits):
+    """Written by many tasks, the parts are one document, none of them holds it all, and each row is there once."""
+    rows = spark.createDataFrame([(i % 399, 1, 1, json.dumps(row(i % 399))) for i in range(400)],
+                                 "VisitID long, VisitVersion long, Sign int, value string").repartition(8)
+    rows = rows.unionByName(rows.where("VisitID = 398"))        # the last row of the document repeats
+    path = os.path.join(tmpdir_path, "parts")
+    _document_parts(rows).write.text(path)
+    parts = [open(os.path.join(path, f)).read() for f in sorted(os.listdir(path)) if f.startswith("part-")]
+    whole = json.loads("".join(parts))
+    assert whole["rows"] == len(whole["data"]) == 401
+    assert sorted(int(r["VisitID"]) for r in whole["data"]) == sorted([i % 399 for i in range(400)] + [398])
+    assert max(p.count('"VisitVersion"') for p in parts) < 200
+    raw = load_json_dump(spark, path, envelope=True)
+    assert sorted(r.VisitID for r in raw.collect()) == sorted([i % 399 for i in range(400)] + [398])
+    assert raw.where("StartDate between '2024-01-01' and '2024-01-31'").count() == 401

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchline.operators.distinct_state import daily_user_sketches, users_by_source
@@ -79,19 +79,39 @@ def q_visits_json_lines(spark, sf_dir):
     return base._visits_out(latest_live_visits(load_json_dump(spark, path), base.START, base.END, base.GOALS))
 
 
-def q_visits_json_document(spark, sf_dir):
-    """One document, as exports write it: a list of columns, the rows, their number."""
-    path = _folder(spark, "export")
-    rows = _exported(spark, sf_dir)
+def _document_parts(rows: DataFrame) -> DataFrame:
+    """The lines of one document, as exports write it: a list of columns, the rows (``_exported``), their number.
+
+    Its head, its records and its end are partitions one after another: written, the parts make the document
+    in the order of their names, and no task holds more than its own part of the rows.
+    """
     key = F.struct("VisitID", "VisitVersion", "Sign")
     last = rows.agg(F.max(key).alias("k"), F.count(F.lit(1)).alias("n")).first()
-    is_last = (F.col("VisitID") == last["k"][0]) & (F.col("VisitVersion") == last["k"][1]) & (F.col("Sign") == last["k"][2])
+    is_last = F.lit(True)
+    for name, value in zip(("VisitID", "VisitVersion", "Sign"), last["k"] or (None,) * 3):
+        is_last = is_last & F.col(name).eqNullSafe(F.lit(value))
     inner = F.expr("substring(value, 2, length(value) - 2)")
-    records = rows.select(F.when(is_last, F.lit(2)).otherwise(F.lit(1)).alias("place"), F.concat(
-        F.lit("\t\t{\n\t\t\t"), inner, F.when(is_last, F.lit("\n\t\t}")).otherwise(F.lit("\n\t\t},"))).alias("value"))
+
+    def record(end: str | Column) -> Column:
+        return F.concat(F.lit("\t\t{\n\t\t\t"), inner, F.lit(end) if isinstance(end, str) else end).alias("value")
+
+    spark = rows.sparkSession
     head = '{\n\t"meta":\n\t[\n\t\t{\n\t\t\t"name": "CounterID",\n\t\t\t"type": "UInt32"\n\t\t}\n\t],\n\n\t"data":\n\t['
-    ends = spark.createDataFrame([(0, head), (3, f'\t],\n\n\t"rows": {last["n"]}\n}}')], "place int, value string")
-    records.unionByName(ends).repartition(1).sortWithinPartitions("place").select("value").write.text(path)
+    start = spark.createDataFrame([(head,)], "value string").coalesce(1)
+    # the rows of the greatest key (a few, where a row repeats) and the end of the list
+    place = F.row_number().over(Window.partitionBy("VisitID", "VisitVersion", "Sign").orderBy("value"))
+    after = F.count(F.lit(1)).over(Window.partitionBy("VisitID", "VisitVersion", "Sign"))
+    final = rows.where(is_last).select("value", place.alias("place"), after.alias("n"))
+    final = final.select("place", record(F.when(F.col("place") == F.col("n"), "\n\t\t}").otherwise("\n\t\t},")))
+    tail = spark.createDataFrame([(None, f'\t],\n\n\t"rows": {last["n"]}\n}}')], "place int, value string")
+    final = final.unionByName(tail).repartition(1).sortWithinPartitions(F.col("place").asc_nulls_last()).select("value")
+    return start.unionByName(rows.where(~is_last).select(record("\n\t\t},"))).unionByName(final)
+
+
+def q_visits_json_document(spark, sf_dir):
+    """One document, stored in parts in the order of their names."""
+    path = _folder(spark, "export")
+    _document_parts(_exported(spark, sf_dir)).write.text(path)
     return base._visits_out(latest_live_visits(load_json_dump(spark, path, envelope=True), base.START, base.END, base.GOALS))
 
 

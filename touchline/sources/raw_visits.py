@@ -184,8 +184,10 @@ def _records(spark: SparkSession, path: str, end: str) -> DataFrame:
     rest = F.when(F.contains(head, F.lit('"data"')), F.regexp_replace(head, r'(?s)^.*"data"\s*:\s*\[', "")) \
         .otherwise(head)
     value = F.btrim(rest, F.lit(" \t\r\n"))
-    # the scan took the closing brace of all but the last piece; one more brace behind a record does no harm
-    return pieces.select(F.concat(value, F.lit("}")).alias("value")).filter(F.startswith("value", F.lit("{")))
+    # the scan took the closing brace of all but the last piece; one more brace behind a record does no harm.
+    # What is no record is null, so that it cannot fail a parser that Spark runs before the filter
+    record = F.transform(F.array(value), lambda v: F.when(F.startswith(v, F.lit("{")), F.concat(v, F.lit("}"))))
+    return pieces.select(F.get(record, F.lit(0)).alias("value")).filter(F.col("value").isNotNull())
 
 
 def _is_column_list(keys: Column) -> Column:
@@ -205,7 +207,10 @@ def _envelope_rows(spark: SparkSession, path: str, schema: T.StructType) -> Data
             doc = spark.read.option("multiLine", True).schema(T.StructType([T.StructField("data", T.ArrayType(schema))]))
             return doc.json(path).select(F.explode("data").alias("r")).select(
                 F.to_json("r", {"ignoreNullFields": "true"}).alias("value"))
-    return pieces.filter(~F.coalesce(_is_column_list(F.expr("json_object_keys(value)")), F.lit(False)))
+    # only texts with both words are parsed for it
+    listed = (F.contains("value", F.lit('"name"')) & F.contains("value", F.lit('"type"'))
+              & _is_column_list(F.expr("json_object_keys(value)")))
+    return pieces.filter(~F.coalesce(listed, F.lit(False)))
 
 
 def load_json_dump(spark: SparkSession, path: str, envelope: bool = False) -> DataFrame:
@@ -214,8 +219,8 @@ def load_json_dump(spark: SparkSession, path: str, envelope: bool = False) -> Da
     The normal form is JSON lines, one visit row per line, which splits across tasks.
     ``envelope=True`` reads documents ``{"meta": [...], "data": [{...}, ...], "rows": n}`` (may be
     gzip-compressed). They are cut at the ends of records by the scan, so one file that is not compressed is read by
-    many tasks too. A document without line feeds between records is cut at ``},``; only if one of its texts
-    holds that, each file is read whole by one task.
+    many tasks too, and a document may be spread over several files, each of whole records. A document without line
+    feeds between records is cut at ``},``; only if one of its texts holds that, each file is read whole by one task.
 
     Groups are parallel arrays (``TrafficSource.Model``, ...); date-time fields are ``YYYY-MM-DD hh:mm:ss``
     text. Which columns the export has is the union over all rows, found in a pass of its own; a column that
