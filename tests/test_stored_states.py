@@ -108,6 +108,12 @@ def test_hash_ranges_cover_users_once(live):
     assert all(int_hash32(u) * 5 >> 32 == i for i, own in enumerate(seen) for u in own)
 
 
+def test_hash_range_filter_stays_small(live):
+    """The steps of the hash are not written into each other when the filter on it moves towards the scan."""
+    plan = user_bucket(live, 8, 3, method="range")._jdf.queryExecution().optimizedPlan()
+    assert plan.toString().count("^") < 100
+
+
 @pytest.mark.parametrize("kw", [{}, {"hot_user_rows": 3, "block_rows": 2}])
 def test_threshold_from_state(live, kw):
     inside, ends = daily_gap_state(live, **kw)

@@ -32,29 +32,32 @@ def _rotated_right(hi: Column, lo: Column, k: int) -> tuple[Column, Column]:
 def with_int_hash32(df: DataFrame, source: str, out: str) -> DataFrame:
     """``df`` with the hash (0 .. 2^32 - 1) of a BIGINT column, read as unsigned 64 bits.
 
-    One projection a step, so that no expression is repeated within another.
+    The steps map a list of one pair of halves, so that each step reads the one before it as a variable: written
+    into each other (as a filter on the hash would write them), they would double with every step.
     """
-    names = ["_ih_hi", "_ih_lo"]
-    while any(n in df.columns for n in names):
-        names = [f"_{n}" for n in names]
-    hi, lo = map(F.col, names)
+    def step(pairs: Column, made) -> Column:
+        return F.transform(pairs, lambda p: F.struct(
+            *[c.alias(n) for c, n in zip(made(p["hi"], p["lo"]), ("hi", "lo"))]))
 
-    def step(frame: DataFrame, pair: tuple[Column, Column]) -> DataFrame:
-        return frame.withColumns(dict(zip(names, pair)))
+    def inverted(hi: Column, lo: Column) -> tuple[Column, Column]:      # ~key + (key << 18)
+        h, l = _left(hi, lo, 18)
+        return _halves(hi.bitwiseXOR(F.lit(_MASK)) + h, lo.bitwiseXOR(F.lit(_MASK)) + l)
+
+    def mixed(k: int):                                                  # key ^ (key rotated right by k)
+        def made(hi: Column, lo: Column) -> tuple[Column, Column]:
+            h, l = _rotated_right(hi, lo, k)
+            return hi.bitwiseXOR(h), lo.bitwiseXOR(l)
+        return made
+
+    def shifted(hi: Column, lo: Column) -> tuple[Column, Column]:       # key += key << 6
+        h, l = _left(hi, lo, 6)
+        return _halves(hi + h, lo + l)
 
     key = F.col(source).cast("long")
-    df = step(df, (F.shiftrightunsigned(key, 32), key.bitwiseAND(_MASK)))
-    h, l = _left(hi, lo, 18)                                    # ~key + (key << 18)
-    df = step(df, _halves(hi.bitwiseXOR(F.lit(_MASK)) + h, lo.bitwiseXOR(F.lit(_MASK)) + l))
-    h, l = _rotated_right(hi, lo, 31)
-    df = step(df, (hi.bitwiseXOR(h), lo.bitwiseXOR(l)))
-    df = step(df, _halves(hi * 21, lo * 21))
-    h, l = _rotated_right(hi, lo, 11)
-    df = step(df, (hi.bitwiseXOR(h), lo.bitwiseXOR(l)))
-    h, l = _left(hi, lo, 6)                                     # key += key << 6
-    df = step(df, _halves(hi + h, lo + l))
-    _, l = _rotated_right(hi, lo, 22)
-    return df.withColumn(out, lo.bitwiseXOR(l)).drop(*names)
+    pairs = F.array(F.struct(F.shiftrightunsigned(key, 32).alias("hi"), key.bitwiseAND(_MASK).alias("lo")))
+    for made in (inverted, mixed(31), lambda hi, lo: _halves(hi * 21, lo * 21), mixed(11), shifted, mixed(22)):
+        pairs = step(pairs, made)
+    return df.withColumn(out, F.get(pairs, F.lit(0))["lo"])
 
 
 def int_hash32(key: int) -> int:

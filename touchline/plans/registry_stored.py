@@ -163,9 +163,10 @@ def q_gap_quantile_hash_range(spark, sf_dir):
 
 def q_user_buckets(spark, sf_dir):
     """Visits and users in each of the eight buckets that cover every user once."""
-    visits = checkpointed(_live(spark, sf_dir, base.GOALS), "bucket-visits")
-    parts = [user_bucket(visits, BUCKETS, i, method="range").groupBy(F.lit(i).cast("long").alias("bucket")).agg(
-        F.count(F.lit(1)).alias("visits"), F.countDistinct("UserID").alias("users")) for i in range(BUCKETS)]
+    users = _live(spark, sf_dir, base.GOALS).groupBy("UserID").agg(F.count(F.lit(1)).alias("n"))
+    users = checkpointed(users, "bucket-users")     # a row a user: the visits are counted once, not once a bucket
+    parts = [user_bucket(users, BUCKETS, i, method="range").groupBy(F.lit(i).cast("long").alias("bucket")).agg(
+        F.sum("n").alias("visits"), F.count("UserID").alias("users")) for i in range(BUCKETS)]
     found = parts[0]
     for more in parts[1:]:
         found = found.unionByName(more)
