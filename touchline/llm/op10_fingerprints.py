@@ -146,7 +146,7 @@ def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     copies = (rows.join(before, "_key").groupBy("_key", "_before").agg(F.min("text").alias("text"))
               .select("_key", F.lit(None).cast("long").alias("doc_id"), "text",
                       F.col("_before").alias("_range"), F.lit(1).alias("_copy")))
-    n = max(1, bounds and len(bounds) + 1)
+    n = len(bounds) + 1
     key = F.get(F.from_json(F.lit(json.dumps(_task_keys(spark, n))), "array<bigint>"), F.col("_range"))
     dealt = rows.withColumn("_copy", F.lit(0)).unionByName(copies).withColumn("_task", key).repartition(n, "_task")
     dealt = with_hashes(with_anchors(dealt, "text", "anchors"), "anchors", "hashes")
