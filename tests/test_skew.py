@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from touchline.operators import positions
+from touchline.operators.chains import chains
 from touchline.operators.gaps import gap_quantile
 from touchline.operators.skew import split_hot
 from touchline.operators.touches import TOUCH_TYPES, touches
@@ -153,3 +154,21 @@ def test_a_crowded_second_with_an_odd_id(spark):
     assert sum(sizes) == 1000 and max(sizes) <= 60
     order = [r.blk for r in hot.orderBy("VisitID").collect()]
     assert order == sorted(order)
+
+
+def test_hot_chains_read_stored_rows(spark, raw001):
+    """Each step of the hot path is computed once: the chain table's plan starts at the stored elements."""
+    v = latest_live_visits(raw001, "2024-01-02", "2024-01-29", [-1])
+    kw = {"hot_user_rows": 0, "block_rows": 7}
+    full = chains(touches(v, 86400.0, **kw), 86400.0, "2024-01-29", **kw)
+    plan = full._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") <= 12, plan.count("Window [")
+
+
+def test_chains_need_no_credits(spark, raw001):
+    v = latest_live_visits(raw001, "2024-01-02", "2024-01-29", [-1])
+    for kw in ({}, {"hot_user_rows": 0, "block_rows": 7}):
+        full = touches(v, 86400.0, **kw)
+        short = touches(v, 86400.0, credits=False, **kw)
+        assert short.columns == [c for c in full.columns if c in short.columns] and "suf_n" not in short.columns
+        assert sorted(short.collect()) == sorted(full.select(*short.columns).collect())

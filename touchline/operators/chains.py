@@ -24,6 +24,7 @@ from touchline.functions.time import ntz_from_seconds
 from touchline.operators.asof import asof_last
 from touchline.operators.skew import AUTO, BLOCK_ROWS, HOT_USER_ROWS, resolve_hot, rows_before
 from touchline.operators.touches import USER
+from touchline.session import checkpointed
 
 VISIT = "2_VISIT"
 CHURN = "0_NULL"
@@ -112,6 +113,9 @@ def chain_elements(t: DataFrame, max_gap: float | None, end_date, hot_user_rows:
     hot = resolve_hot(t, USER, hot_user_rows, hot)
     if hot is None:
         return _timeline(t, d, end_date)
+    # the markers read the touches several times over: stored, they are computed once
+    t = checkpointed(t.select(*USER, "idx", "seg", "pos", "VisitID", "StartDate", "SourceCode", "ts", "local_ts", "gap",
+                              "cut", "Duration", "Conversions", "Revenue"), "hot-chain-touches")
     hot_t = t.join(hot, USER, "left_semi")
     marks = _hot_markers(hot_t, d, end_date, hot, block_rows).select(
         *USER, "seg", "pos", "ts", "local_ts", F.col("kind").alias("_kind"),
@@ -166,6 +170,7 @@ def visits_ahead(elements: DataFrame, max_gap: float | None,
     d = int(max_gap) if max_gap is not None else 0
     hot = resolve_hot(elements, USER, hot_user_rows, hot)
     if hot is not None:
+        elements = checkpointed(elements, "hot-elements")       # read several times over
         normal = _visits_ahead_plain(elements.join(hot, USER, "left_anti"), d)
         return normal.unionByName(_visits_ahead_hot(elements.join(hot, USER, "left_semi"), d))
     return _visits_ahead_plain(elements, d)

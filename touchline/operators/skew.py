@@ -142,16 +142,21 @@ def split_hot(df: DataFrame, key: Sequence[str], threshold: int | None, block_ro
         return df, None
     normal = df.join(hot, list(key), "left_anti")
     hot_rows = df.join(hot, list(key), "left_semi")
-    crowded = (hot_rows.groupBy(*key, ts).agg(F.count(F.lit(1)).alias("_c"))
-               .where(F.col("_c") > block_rows).drop("_c"))
-    quantiles = [i / SECOND_PIECES for i in range(1, SECOND_PIECES)]
-    bounds = (hot_rows.join(crowded, [*key, ts], "left_semi").groupBy(*key, ts)
-              .agg(F.percentile_approx(order, quantiles).alias("_bounds")))
-    piece = F.coalesce(F.size(F.filter("_bounds", lambda b: b < F.col(order))), F.lit(0))
-    pieces = (hot_rows.join(bounds, [*key, ts], "left")
-              .withColumn("_at", F.col(ts) * SECOND_PIECES + F.when(F.col("_bounds").isNull(), 0).otherwise(piece))
-              .drop("_bounds"))
-    counts = pieces.groupBy(*key, "_at").agg(F.count(F.lit(1)).alias("_c"))
+    per_second = checkpointed(hot_rows.groupBy(*key, ts).agg(F.count(F.lit(1)).alias("_c")), "hot-seconds")
+    crowded = per_second.where(F.col("_c") > block_rows).drop("_c")
+    if crowded.head(1):
+        quantiles = [i / SECOND_PIECES for i in range(1, SECOND_PIECES)]
+        bounds = (hot_rows.join(crowded, [*key, ts], "left_semi").groupBy(*key, ts)
+                  .agg(F.percentile_approx(order, quantiles).alias("_bounds")))
+        piece = F.coalesce(F.size(F.filter("_bounds", lambda b: b < F.col(order))), F.lit(0))
+        pieces = (hot_rows.join(bounds, [*key, ts], "left")
+                  .withColumn("_at", F.col(ts) * SECOND_PIECES + F.when(F.col("_bounds").isNull(), 0).otherwise(piece))
+                  .drop("_bounds"))
+        counts = pieces.groupBy(*key, "_at").agg(F.count(F.lit(1)).alias("_c"))
+    else:       # every second is one piece
+        pieces = hot_rows.withColumn("_at", F.col(ts) * SECOND_PIECES)
+        counts = per_second.select(*key, (F.col(ts) * SECOND_PIECES).alias("_at"), "_c")
     blocks = rows_before(counts, key, "_at", bucket=3600 * SECOND_PIECES).select(
         *key, "_at", F.floor(F.col("_before") / F.lit(block_rows)).cast("long").alias("blk"))
-    return normal, pieces.join(blocks, [*key, "_at"], "inner").drop("_at")
+    # several plans read these rows: stored, they are cut once
+    return normal, checkpointed(pieces.join(blocks, [*key, "_at"], "inner").drop("_at"), "hot-blocks")

@@ -98,27 +98,32 @@ class ChainAnalytics:
         if self._max_gap is None and self.gap_state is not None:
             self._max_gap = gap_quantile_of_state(*self.gap_state, self.start_date, self.end_date, self.percentile)
         elif self._max_gap is None:
-            self._max_gap = gap_quantile(self.visits, self.percentile, self.sample_denominator,
-                                         self.sample_method, self.hot_user_rows, self.block_rows,
-                                         hot=self._hot_lists()[0])
+            visits, hot = self.visits, self._hot_lists()[0]
+            with recorded(self._stored):
+                self._max_gap = gap_quantile(visits, self.percentile, self.sample_denominator, self.sample_method,
+                                             self.hot_user_rows, self.block_rows, hot=hot)
         return self._max_gap
 
-    def combine_visits(self, materialize: bool = False, persist: bool = True) -> DataFrame:
+    def combine_visits(self, materialize: bool = False, persist: bool = True, credits: bool = True) -> DataFrame:
         """The touch table. It feeds the chain table and all reports, so it is
         kept: written under ``spark.checkpoint.dir`` and read back with
         ``materialize=True`` (lineage cut, survives executor loss), else
-        persisted (memory, spilling to disk; lost blocks are recomputed)."""
+        persisted (memory, spilling to disk; lost blocks are recomputed).
+        ``credits=False``: only the columns that chains read (see ``operators.touches``), for a caller
+        that makes no report; it is not kept for later calls."""
         threshold, hot = self.visit_gap_threshold(), self.hot_users()
         with recorded(self._stored):
             t = touches(self.visits, threshold, self.exact_ad_prefix, hot_user_rows=self.hot_user_rows,
-                        block_rows=self.block_rows, hot=hot, literal_banner_column=self.literal_banner_column)
+                        block_rows=self.block_rows, hot=hot, literal_banner_column=self.literal_banner_column,
+                        credits=credits)
             if materialize:
                 t = checkpointed(t, "touches")
         if persist and not materialize:
             t = t.persist(StorageLevel.MEMORY_AND_DISK)
             self._persisted.append(t)
-        self._touches = t
-        self._measures = None
+        if credits:
+            self._touches = t
+            self._measures = None
         return t
 
     @property
@@ -139,8 +144,9 @@ class ChainAnalytics:
     def chains(self, path: str | None = None, published: bool = False) -> DataFrame:
         """The chain table (one row per element with its chain and position; see operators.chains), written and
         read back like the visits if there is a path."""
-        c = chain_table(self.touches, self.visit_gap_threshold(), self.end_date,
-                        self.hot_user_rows, self.block_rows, hot=self.hot_users())
+        t, threshold, hot = self.touches, self.visit_gap_threshold(), self.hot_users()
+        with recorded(self._stored):
+            c = chain_table(t, threshold, self.end_date, self.hot_user_rows, self.block_rows, hot=hot)
         if path and published:
             c = self.spark.read.parquet(publish_chains(c, path))
         elif path:

@@ -187,7 +187,8 @@ def _chains_out(c: DataFrame) -> DataFrame:
 
 
 def _chain_table(ca: ChainAnalytics, **kw) -> DataFrame:
-    return _chains_out(chains(ca.combine_visits(persist=False), ca.visit_gap_threshold(), END, **kw))
+    t = ca.combine_visits(persist=False, credits=False)
+    return _chains_out(chains(t, ca.visit_gap_threshold(), END, **kw))
 
 
 def q_chains_array(spark, sf_dir):
